@@ -89,7 +89,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 to base**(n - 1) modulo 2**64; those for usual slices are kept."""
+    if base in _POWERS and len(_POWERS[base]) >= n:
+        return _POWERS[base][:n]
+    want, n = n, max(n, 2 * SLICE_CHARS)
     out = np.empty(n, np.uint64)
     if n:
         out[0] = 1
@@ -99,7 +106,9 @@ def _powers(base: int, n: int) -> np.ndarray:
             out[done : done + take] = out[:take] * np.uint64(step)
             done += take
             step = step * step & _MASK
-    return out
+    if n == 2 * SLICE_CHARS:
+        _POWERS[base] = out
+    return out[:want]
 
 
 _SPACE = np.zeros(256, bool)

@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arborel.llm import secrets, token_counts, token_files
+from arborel.llm import mixing, pii, quality, secrets, token_counts, token_files, topk
 from arborel.llm.common import shared_folder
 
 
@@ -15,6 +16,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Every source to an equal share of the mixture.
+WEIGHTS = {f"src{i}": 0.05 for i in range(20)}
+SEED = 20
+
+
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+OP1_SQL = """
+WITH v AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, len(e) AS dim, unnest(e) AS x, unnest(range(1, len(e) + 1)) AS i FROM v),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(sum(q.x * d.x) AS BIGINT) AS score
+  FROM c q JOIN c d ON q.i = d.i AND q.dim = d.dim AND q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, d.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/arborel/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(_table(spark, sf_dir, "documents"), path, "word_bpe_49k.json", end_id=1)
@@ -29,10 +54,25 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"), WEIGHTS, seed=SEED)
+
+
+OP9_SQL = mixing.mix_sql(WEIGHTS, SEED, columns="doc_id, text, lang, source, n_chars")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_topk": op1_exact_topk,
+    "op3_quality": op3_quality,
     "op5_token_files": op5_token_files,
     "op7_token_counts": op7_token_counts,
     "op8_secret_scan": op8_secret_scan,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op9_source_mixing": OP9_SQL}
