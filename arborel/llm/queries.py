@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborel.llm import mixing, pii, quality, secrets, token_counts, token_files, topk
+from arborel.llm import html_text, mixing, pii, quality, secrets, token_counts, token_files, topk
 from arborel.llm.common import shared_folder
 
 
@@ -46,6 +46,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), "byte_bpe_50k.tiktoken")
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op3_quality": op3_quality,
     "op5_token_files": op5_token_files,
+    "op6_html_extraction": op6_html_extraction,
     "op7_token_counts": op7_token_counts,
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mixing": op9_source_mixing,
