@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborel.llm import html_text, mixing, pii, quality, secrets, token_counts, token_files, topk
+from arborel.llm import html_text, mixing, pieces, pii, quality, secrets, token_counts, token_files, topk
 from arborel.llm.common import shared_folder
 
 
@@ -36,6 +36,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(_table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_quality": op3_quality,
     "op5_token_files": op5_token_files,
     "op6_html_extraction": op6_html_extraction,
