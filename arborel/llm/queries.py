@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborel.llm import html_text, mixing, pieces, pii, quality, secrets, token_counts, token_files, topk
+from arborel.llm import html_text, mixing, near_dup, pieces, pii, quality, secrets, token_counts, token_files, topk
 from arborel.llm.common import shared_folder
 
 
@@ -44,6 +44,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/arborel/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(_table(spark, sf_dir, "documents"), path, "word_bpe_49k.json", end_id=1)
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality": op3_quality,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_token_files": op5_token_files,
     "op6_html_extraction": op6_html_extraction,
     "op7_token_counts": op7_token_counts,
