@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text handled at once by a Python worker, in characters; a longer text is a slice of its own.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -94,21 +94,19 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def _powers(base: int, n: int) -> np.ndarray:
     """base**0 to base**(n - 1) modulo 2**64; those for usual slices are kept."""
-    if base in _POWERS and len(_POWERS[base]) >= n:
-        return _POWERS[base][:n]
-    want, n = n, max(n, 2 * SLICE_CHARS)
-    out = np.empty(n, np.uint64)
-    if n:
-        out[0] = 1
-        done, step = 1, base & _MASK
-        while done < n:
-            take = min(done, n - done)
-            out[done : done + take] = out[:take] * np.uint64(step)
-            done += take
-            step = step * step & _MASK
-    if n == 2 * SLICE_CHARS:
+    kept = _POWERS.get(base)
+    if kept is not None and len(kept) >= n:
+        return kept[:n]
+    out = np.empty(1 << max(n - 1, 1).bit_length(), np.uint64)
+    out[0] = 1
+    done, step = 1, base & _MASK
+    while done < len(out):
+        out[done : 2 * done] = out[:done] * np.uint64(step)
+        done *= 2
+        step = step * step & _MASK
+    if len(out) <= 4 * SLICE_CHARS:
         _POWERS[base] = out
-    return out[:want]
+    return out[:n]
 
 
 _SPACE = np.zeros(256, bool)
