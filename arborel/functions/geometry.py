@@ -1,7 +1,8 @@
 """Planar geometry as Column expressions.
 
 A polygon column ``parts`` is ARRAY<ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>>: parts, each a
-shell followed by its holes, every ring closed. Functions take column names or SQL expressions
+shell followed by its holes, every ring closed. Functions take column names of more than one letter (single
+letters name the variables of the expressions) or SQL expressions
 and return Columns, so all of it stays in the JVM; only the area of an intersection and the
 outline of a buffer need numpy and are Arrow functions (see ``overlay``).
 

@@ -109,12 +109,13 @@ def surface_point(parts) -> dict | None:
     ys = np.unique(np.concatenate([r[:, 1] for r in rings]))
     if len(ys) < 2:
         return {"x": float(rings[0][0, 0]), "y": float(rings[0][0, 1])}
-    middle = (ys[0] + ys[-1]) / 2
-    k = min(max(int(np.searchsorted(ys, middle)), 1), len(ys) - 1)
-    y = float(ys[k - 1] + ys[k]) / 2
-    xs = cuts(y)
-    widest = int(np.argmax(xs[1::2] - xs[0::2]))
-    return {"x": float(xs[2 * widest] + xs[2 * widest + 1]) / 2, "y": y}
+    lines = (ys[:-1] + ys[1:]) / 2
+    for y in lines[np.argsort(np.abs(lines - (ys[0] + ys[-1]) / 2), kind="stable")].tolist():
+        xs = cuts(y)
+        if len(xs):
+            widest = int(np.argmax(xs[1::2] - xs[0::2]))
+            return {"x": float(xs[2 * widest] + xs[2 * widest + 1]) / 2, "y": y}
+    return {"x": float(rings[0][0, 0]), "y": float(rings[0][0, 1])}
 
 
 @F.pandas_udf(_POINT)
