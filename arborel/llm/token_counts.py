@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborel.llm.common import over_texts, texts_of
+from arborel.llm.common import over_texts, stored, texts_of
 from arborel.llm.encoders import encoder
 
 #: Lengths whose sums are taken together.
@@ -77,4 +77,5 @@ def context_totals(counts: DataFrame) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    return context_totals(histogram(docs, vocabulary, text))
+    # the histogram is read twice below; written, its texts are encoded once
+    return context_totals(stored(histogram(docs, vocabulary, text), "lengths"))
