@@ -47,7 +47,7 @@ def sight_pairs(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, o
 
 def obstacles(buildings: DataFrame, trees: DataFrame) -> DataFrame:
     """Buildings and crowns as one table: kind, obs_id, obs_h, box and polygon."""
-    pick = lambda df, kind, key, height: df.select(F.lit(kind).alias("kind"), F.col(key).alias("obs_id"), F.col(height).cast("double").alias("obs_h"), *(F.col(c).alias(f"o_{c}") for c in BOX), F.col("parts").alias("o_parts"))
+    pick = lambda df, kind, key, height: df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("obs_id"), F.col(height).cast("double").alias("obs_h"), *(F.col(c).alias(f"o_{c}") for c in BOX), F.col("parts").alias("o_parts"))
     return pick(buildings, "b", "building_id", "building_height").unionByName(pick(trees, "t", "tree_id", "tree_height"))
 
 
@@ -57,7 +57,7 @@ def blocked(pairs: DataFrame, things: DataFrame, size: float = 50.0) -> DataFram
     The pair's own building and tree are no obstacles. A line without length is never blocked.
     """
     lines = pairs.filter("sight_len > 0").withColumns({"l_x0": F.least("ox", "tx"), "l_y0": F.least("oy", "ty"), "l_x1": F.greatest("ox", "tx"), "l_y1": F.greatest("oy", "ty")})
-    other = ~(((F.col("kind") == "b") & (F.col("obs_id") == F.col("building_id"))) | ((F.col("kind") == "t") & (F.col("obs_id") == F.col("tree_id"))))
+    other = ~(((F.col("kind") == "b") & (F.col("obs_id") == F.col("building_id").cast("string"))) | ((F.col("kind") == "t") & (F.col("obs_id") == F.col("tree_id").cast("string"))))
     met = box_join(lines, things, size, 0.0, ("l_x0", "l_y0", "l_x1", "l_y1"), tuple(f"o_{c}" for c in BOX), other)
     met = met.select("building_id", "tree_id", "bh", "th", "obs_h", "sight_len", geometry.segment_cuts("o_parts", "ox", "oy", "tx", "ty").alias("_cut")).filter("_cut IS NOT NULL")
     met = met.withColumns({"f_lo": F.greatest(F.col("_cut.lo"), END / F.col("sight_len")), "f_hi": F.least(F.col("_cut.hi"), 1 - END / F.col("sight_len"))}).filter("f_lo <= f_hi")
