@@ -93,8 +93,6 @@ def _with_codes(rows: DataFrame, c: catalog.Catalog, args) -> DataFrame:
 
 def result(spark: SparkSession, config: Config, c: catalog.Catalog, args) -> DataFrame:
     """The process's rows for all codes, with ``geo_code``."""
-    if args.dggs:
-        raise NotImplementedError("grid cells as units: build them with arborel.operators.cells, then give them as census_boundaries")
     sub, level = args.sub_geo_level, args.geo_level
     lifted = c.units.select(sub, F.col(level).alias("geo_code")).distinct()
     if args.process in ("T3", "Tree_count", "Visibility"):
@@ -139,7 +137,7 @@ def merged(spark: SparkSession, config: Config, c: catalog.Catalog, args) -> Dat
     canopy_rows = merge.canopy(read("t30"), c.units, level, sub)
     if sinks.written_codes(spark, f"{base}/spectral") is not None:
         canopy_rows = merge.with_spectral(canopy_rows, merge.spectral_means(read("spectral").drop("geo_code"), c.units, level, sub), level)
-    t300 = read("t300").drop("geo_code", *config.columns.geo_levels)
+    t300 = read("t300").drop("geo_code", sub, *config.columns.geo_levels)
     metrics = merge.building_metrics(t300, c.buildings, {b: read(f"t3_{b}m") for b in buffers})
     return merge.merged(
         merge.building_means(metrics, c.overlay, level, buffers), canopy_rows, merge.tree_totals(read("tree_count"), c.units, level, sub),
@@ -151,7 +149,7 @@ def run(args: argparse.Namespace) -> None:
     config = load_config(args.config)
     args = checked(args, config)
     spark = get_spark()
-    c = catalog.load(spark, config)
+    c = catalog.load(spark, config, args.dggs, args.dggs_resolution)
     base = config.output.base_dir.rstrip("/")
     if args.process == "Merge":
         sinks.write_single(merged(spark, config, c, args), f"{base}/database/T3_30_300_spectral.parquet", "parquet")

@@ -76,34 +76,51 @@ def _origin_north(p: TransverseMercator) -> float:
 def forward(lon: Column, lat: Column, p: TransverseMercator) -> tuple[Column, Column]:
     """Easting and northing in metres of degrees on the projection's own ellipsoid."""
     radius, coefficients, _, e, _ = _series(p)
-    phi, lam = F.radians(lat), F.radians(lon - p.lon0)
-    t = F.sinh(F.atanh(F.sin(phi)) - e * F.atanh(e * F.sin(phi)))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    north, east = xi, eta
-    for k, c in enumerate(coefficients):
-        m = 2 * (k + 1)
-        north = north + c * F.sin(m * xi) * F.cosh(m * eta)
-        east = east + c * F.cos(m * xi) * F.sinh(m * eta)
-    return p.east + p.scale * radius * east, p.north - _origin_north(p) + p.scale * radius * north
+
+    def sphere(q: Column) -> Column:
+        return F.struct(q["lam"].alias("lam"), F.sinh(F.atanh(q["s"]) - e * F.atanh(e * q["s"])).alias("t"))
+
+    def plane(q: Column) -> Column:
+        return F.struct(F.atan2(q["t"], F.cos(q["lam"])).alias("xi"), F.atanh(F.sin(q["lam"]) / F.sqrt(1 + q["t"] * q["t"])).alias("eta"))
+
+    def series(q: Column) -> Column:
+        north, east = q["xi"], q["eta"]
+        for k, c in enumerate(coefficients):
+            m = 2 * (k + 1)
+            north = north + c * F.sin(m * q["xi"]) * F.cosh(m * q["eta"])
+            east = east + c * F.cos(m * q["xi"]) * F.sinh(m * q["eta"])
+        return F.struct((p.east + p.scale * radius * east).alias("x"), (p.north - _origin_north(p) + p.scale * radius * north).alias("y"))
+
+    at = _let(_let(_let(F.struct(F.radians(lon - p.lon0).alias("lam"), F.sin(F.radians(lat)).alias("s")), sphere), plane), series)
+    return at["x"], at["y"]
 
 
 def inverse(east: Column, north: Column, p: TransverseMercator) -> tuple[Column, Column]:
     """Longitude and latitude in degrees on the projection's own ellipsoid."""
     radius, _, coefficients, e, _ = _series(p)
-    xi0 = (north - p.north + _origin_north(p)) / (p.scale * radius)
-    eta0 = (east - p.east) / (p.scale * radius)
-    xi, eta = xi0, eta0
-    for k, c in enumerate(coefficients):
-        m = 2 * (k + 1)
-        xi = xi - c * F.sin(m * xi0) * F.cosh(m * eta0)
-        eta = eta - c * F.cos(m * xi0) * F.sinh(m * eta0)
-    chi = F.asin(F.sin(xi) / F.cosh(eta))
+
+    def plane(q: Column) -> Column:
+        xi, eta = q["xi"], q["eta"]
+        for k, c in enumerate(coefficients):
+            m = 2 * (k + 1)
+            xi = xi - c * F.sin(m * q["xi"]) * F.cosh(m * q["eta"])
+            eta = eta - c * F.cos(m * q["xi"]) * F.sinh(m * q["eta"])
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    def sphere(q: Column) -> Column:
+        chi = F.sin(q["xi"]) / F.cosh(q["eta"])
+        return F.struct(F.atan2(F.sinh(q["eta"]), F.cos(q["xi"])).alias("lam"), F.atanh(chi).alias("psi"), chi.alias("s"))
+
     # conformal to geographic latitude, by fixed-point steps that gain over two digits each
-    sin_phi = F.sin(chi)
+    def step(q: Column) -> Column:
+        return F.struct(q["lam"].alias("lam"), q["psi"].alias("psi"), F.tanh(q["psi"] + e * F.atanh(e * q["s"])).alias("s"))
+
+    scale = p.scale * radius
+    at = _let(_let(F.struct(((north - p.north + _origin_north(p)) / scale).alias("xi"), ((east - p.east) / scale).alias("eta")), plane), sphere)
     for _ in range(6):
-        sin_phi = F.tanh(F.atanh(F.sin(chi)) + e * F.atanh(e * sin_phi))
-    return p.lon0 + F.degrees(F.atan2(F.sinh(eta), F.cos(xi))), F.degrees(F.asin(sin_phi))
+        at = _let(at, step)
+    there = _let(at, lambda q: F.struct((p.lon0 + F.degrees(q["lam"])).alias("lon"), F.degrees(F.asin(q["s"])).alias("lat")))
+    return there["lon"], there["lat"]
 
 
 def web_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
@@ -128,20 +145,58 @@ def project(lon: Column, lat: Column, epsg: str | int) -> tuple[Column, Column]:
     return forward(lon, lat, p)
 
 
+def _let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def _to_osgb36(lon: Column, lat: Column) -> tuple[Column, Column]:
     a, f = 6378137.0, 1 / 298.257223563
     e2 = f * (2 - f)
-    phi, lam = F.radians(lat), F.radians(lon)
-    nu = a / F.sqrt(1 - e2 * F.pow(F.sin(phi), 2))
-    x, y, z = nu * F.cos(phi) * F.cos(lam), nu * F.cos(phi) * F.sin(lam), nu * (1 - e2) * F.sin(phi)
     tx, ty, tz, s, *turns = HELMERT
     rx, ry, rz = (math.radians(r / 3600) for r in turns)
-    x, y, z = tx + (1 + s) * x - rz * y + ry * z, ty + rz * x + (1 + s) * y - rx * z, tz - ry * x + rx * y + (1 + s) * z
-    f = 1 / BRITISH.inverse_flattening
-    e2 = f * (2 - f)
-    p = F.sqrt(x * x + y * y)
-    phi = F.atan2(z, p * (1 - e2))
+    g = 1 / BRITISH.inverse_flattening
+    g2 = g * (2 - g)
+
+    def space(p: Column) -> Column:
+        nu = a / F.sqrt(1 - e2 * F.pow(F.sin(p["phi"]), 2))
+        return F.struct((nu * F.cos(p["phi"]) * F.cos(p["lam"])).alias("x"), (nu * F.cos(p["phi"]) * F.sin(p["lam"])).alias("y"), (nu * (1 - e2) * F.sin(p["phi"])).alias("z"))
+
+    def moved(p: Column) -> Column:
+        x, y, z = p["x"], p["y"], p["z"]
+        return F.struct((tx + (1 + s) * x - rz * y + ry * z).alias("x"), (ty + rz * x + (1 + s) * y - rx * z).alias("y"), (tz - ry * x + rx * y + (1 + s) * z).alias("z"))
+
+    def start(p: Column) -> Column:
+        r = F.sqrt(p["x"] * p["x"] + p["y"] * p["y"])
+        return F.struct(p["z"].alias("z"), r.alias("r"), F.atan2(p["y"], p["x"]).alias("lam"), F.atan2(p["z"], r * (1 - g2)).alias("phi"))
+
+    def step(p: Column) -> Column:
+        nu = BRITISH.a / F.sqrt(1 - g2 * F.pow(F.sin(p["phi"]), 2))
+        return F.struct(p["z"].alias("z"), p["r"].alias("r"), p["lam"].alias("lam"), F.atan2(p["z"] + g2 * nu * F.sin(p["phi"]), p["r"]).alias("phi"))
+
+    at = _let(_let(_let(F.struct(F.radians(lon).alias("lam"), F.radians(lat).alias("phi")), space), moved), start)
     for _ in range(4):
-        nu = BRITISH.a / F.sqrt(1 - e2 * F.pow(F.sin(phi), 2))
-        phi = F.atan2(z + e2 * nu * F.sin(phi), p)
-    return F.degrees(F.atan2(y, x)), F.degrees(phi)
+        at = _let(at, step)
+    there = _let(at, lambda p: F.struct(F.degrees(p["lam"]).alias("lon"), F.degrees(p["phi"]).alias("lat")))
+    return there["lon"], there["lat"]
+
+
+def unproject(x: Column, y: Column, epsg: str | int) -> tuple[Column, Column]:
+    """Coordinates of an EPSG code to WGS84 degrees."""
+    p = projection(epsg)
+    if p == "degrees":
+        return x, y
+    if p == "mercator":
+        return web_mercator_inverse(x, y)
+    lon, lat = inverse(x, y, p)
+    if p is not BRITISH:
+        return lon, lat
+
+    # the datum shift changes slowly: taking it at the shifted place once more leaves centimetres
+    def back(q: Column) -> Column:
+        shifted = _to_osgb36(q["near_lon"], q["near_lat"])
+        return F.struct(q["lon"].alias("lon"), q["lat"].alias("lat"), (q["near_lon"] + q["lon"] - shifted[0]).alias("near_lon"), (q["near_lat"] + q["lat"] - shifted[1]).alias("near_lat"))
+
+    at = _let(_let(F.struct(lon.alias("lon"), lat.alias("lat")), lambda q: F.struct(q["lon"].alias("lon"), q["lat"].alias("lat"), q["lon"].alias("near_lon"), q["lat"].alias("near_lat"))), back)
+    at = _let(at, back)
+    return at["near_lon"], at["near_lat"]

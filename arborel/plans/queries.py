@@ -486,6 +486,26 @@ def s2_cells(spark, sf):
     return b.select("building_id", s2.cell(0.10 + (F.col("x0") + F.col("x1")) / 2 / 1e5, 52.20 + (F.col("y0") + F.col("y1")) / 2 / 1e5, 17).alias("s2_17"))
 
 
+@query("rhealpix_cells")
+def rhealpix_cells(spark, sf):
+    """rHEALPix cells of resolution 9 at buildings; see the tests."""
+    b = city.buildings(spark, sf)
+    return b.select("building_id", cells.get_system("rhealpix").cell(0.10 + (F.col("x0") + F.col("x1")) / 2 / 1e5, 52.20 + (F.col("y0") + F.col("y1")) / 2 / 1e5, 9).alias("rhealpix_9"))
+
+
+def _system_grid(name: str, resolution: int) -> Query:
+    def run(spark, sf):
+        system = cells.get_system(name)
+        pairs = cells.grid_pairs(city.degrees(city.units(spark, sf)), ["r_name", "n_name"], system, resolution)
+        return cells.finished_grid(pairs, ["r_name", "n_name"], system, resolution).select(system.column_name(resolution), "r_name", "n_name")
+
+    return run
+
+
+query("s2_parent")(_system_grid("s2", 14))
+query("rhealpix_parent")(_system_grid("rhealpix", 8))
+
+
 # Projections: Krüger's series for UTM zone 31, written out.
 _TM = crs._series(crs.utm(31))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from arborel.config import Config, remote
 from arborel.functions import geometry
 from arborel.functions.overlay import point_on_surface
-from arborel.operators import canopy, graph, parks, trees
+from arborel.operators import canopy, cells, graph, parks, trees
 from arborel.operators.grid import BOX
 from arborel.sources import geotiff, sinks, vector
 
@@ -80,8 +80,11 @@ def _key(c: Config) -> str:
     return hashlib.sha256(json.dumps(dataclasses.asdict(c), sort_keys=True, default=str).encode()).hexdigest()[:12]
 
 
-def load(spark: SparkSession, c: Config) -> Catalog:
-    """The catalog; tables that an earlier run with the same configuration has completed are read again."""
+def load(spark: SparkSession, c: Config, dggs: str | None = None, resolution: int | None = None) -> Catalog:
+    """The catalog; tables that an earlier run with the same configuration has completed are read again.
+
+    With a grid, its cells take the place of the units; each has the codes of the unit that is its parent.
+    """
     base = f"{c.output.base_dir.rstrip('/')}/database/{_key(c)}"
 
     def cached(name: str, make) -> DataFrame:
@@ -102,6 +105,15 @@ def load(spark: SparkSession, c: Config) -> Catalog:
             roads.extend(_roads(spark, c))
         return roads[i]
 
+    if dggs is not None:
+        system, levels = cells.get_system(dggs), list(c.columns.geo_levels)
+        name = system.column_name(resolution)
+        whole = units
+        units = cached(f"boundaries_{name}", lambda: cells.finished_grid(cells.grid_pairs(whole, levels, system, resolution, c.crs), levels, system, resolution))
+        if not units.head(1):
+            raise ValueError(f"no {name} cells overlap the study area")
+        places = buildings.select("building_id", point_on_surface("parts").alias("p")).select("building_id", "p.x", "p.y")
+        overlay = cached(f"overlay_{name}", lambda: cells.cell_overlay(places, units, "building_id", [name, *levels], 500.0))
     return Catalog(units, buildings, overlay, sites, access, cached("road_nodes", lambda: road(0)), cached("road_edges", lambda: road(1)))
 
 

@@ -67,6 +67,8 @@ def test_unknown_and_missing_systems():
         cells.get_system("hexbin")
     with pytest.raises(NotImplementedError):
         cells.get_system("h3").cell(F.lit(0.0), F.lit(0.0), 5)
+    with pytest.raises(NotImplementedError):
+        cells.get_system("a5").covering(*(F.lit(0.0),) * 4, 5)
 
 
 def test_projections(spark):
@@ -84,3 +86,62 @@ def test_projections(spark):
     for bad in ("EPSG:9999", "nonsense", 32661):
         with pytest.raises(ValueError, match="Invalid CRS"):
             crs.projection(bad)
+
+
+def test_rhealpix_points(spark):
+    from arborel.functions import rhealpix
+
+    want = {(0.0, 0.0): "Q3", (0.0, 90.0): "N4", (0.0, -90.0): "S4", (-180.0, 0.0): "O3", (179.9, -0.01): "R5", (45.0, 1.0): "Q4", (-135.0, 89.0): "N4", (-135.0, 45.0): "N7", (-45.0, 45.0): "N5", (45.0, 45.0): "N1", (135.0, 45.0): "N3", (-135.0, -45.0): "S1", (-45.0, -45.0): "S5", (45.0, -45.0): "S7", (135.0, -45.0): "S3"}
+    rows = spark.createDataFrame(list(want), "lon double, lat double")
+    got = {(r["lon"], r["lat"]): r["c"] for r in rows.select("lon", "lat", rhealpix.cell(F.col("lon"), F.col("lat"), 1).alias("c")).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("name, resolution", [("s2", 9), ("rhealpix", 5)])
+def test_outlines_hold_their_cells(spark, name, resolution):
+    from arborel.functions import rhealpix
+
+    points = spark.createDataFrame([(float(a), float(b)) for a in range(-175, 180, 23) for b in (-84, -63, -41.9, -20, -3, 0.5, 14, 37, 41.7, 55, 77, 88)], "lon double, lat double")
+    system = cells.get_system(name)
+    if name == "s2":
+        ring = s2.outline(s2.index(F.col("lon"), F.col("lat"), resolution), resolution)
+    else:
+        ring = rhealpix.outline(rhealpix.index(F.col("lon"), F.col("lat"), resolution), resolution)
+    rows = points.select(system.cell(F.col("lon"), F.col("lat"), resolution).alias("cell"), ring.alias("ring"))
+    # the mean of two opposite corners lies inside, away from the date line and the poles
+    rows = rows.withColumn("x", (F.col("ring")[0]["x"] + F.col("ring")[2]["x"]) / 2).withColumn("y", (F.col("ring")[0]["y"] + F.col("ring")[2]["y"]) / 2)
+    rows = rows.filter((F.abs(F.col("ring")[0]["x"] - F.col("ring")[2]["x"]) < 5) & (F.abs("y") < 87))
+    got = rows.select("cell", system.cell(F.col("x"), F.col("y"), resolution).alias("again")).collect()
+    assert len(got) > 120 and all(r["cell"] == r["again"] for r in got)
+
+
+@pytest.mark.parametrize("name, resolution, epsg", [("geohash", 6, 4326), ("s2", 13, 4326), ("rhealpix", 7, 4326), ("s2", 15, "EPSG:32631"), ("rhealpix", 9, "EPSG:32631")])
+def test_grids_cover_their_units(spark, name, resolution, epsg):
+    from arborel.functions import geometry
+    from arborel.functions.overlay import overlap_area
+
+    corners = [(0.10, 52.20, 0.13, 52.21), (0.13, 52.20, 0.16, 52.24), (0.10, 52.21, 0.13, 52.24)] if epsg == 4326 else [(3e5, 5.78e6, 3.01e5, 5.781e6), (3.01e5, 5.78e6, 3.02e5, 5.781e6)]
+    units = spark.createDataFrame([(f"u{i}", *c) for i, c in enumerate(corners)], "code string, x0 double, y0 double, x1 double, y1 double").withColumn("parts", geometry.rect("x0", "y0", "x1", "y1"))
+    system = cells.get_system(name)
+    pairs = cells.grid_pairs(units, ["code"], system, resolution, epsg)
+    grid = cells.finished_grid(pairs, ["code"], system, resolution)
+    rows = grid.collect()
+    column = system.column_name(resolution)
+    assert rows and len({r[column] for r in rows}) == len(rows)
+    shared = pairs.select("code", overlap_area("c_parts", "parts").alias("a")).groupBy("code").agg(F.sum("a").alias("a"))
+    whole = units.select("code", geometry.area("parts").alias("w"))
+    for r in shared.join(whole, "code").collect():
+        assert r["a"] == pytest.approx(r["w"], rel=1e-6)
+    if epsg != 4326:
+        assert all(r["area"] == pytest.approx(rows[0]["area"], rel=0.05) for r in rows)
+
+
+def test_unproject(spark):
+    rows = spark.createDataFrame([(1.7, 52.6), (-3.2, 55.9), (9.3, 45.1)], "lon double, lat double")
+    for epsg in (4326, 3857, 27700, 32632, 32737):
+        x, y = crs.project(F.col("lon"), F.col("lat"), epsg)
+        there = rows.select("lon", "lat", x.alias("x"), y.alias("y"))
+        lon, lat = crs.unproject(F.col("x"), F.col("y"), epsg)
+        for r in there.select("lon", "lat", lon.alias("a"), lat.alias("b")).collect():
+            if epsg not in (32632, 32737) or abs(r["lon"] - 9) < 13:
+                assert (r["a"], r["b"]) == pytest.approx((r["lon"], r["lat"]), abs=2e-6)

@@ -255,6 +255,10 @@ def test_command_line(spark, tmp_path, capsys):
     assert go("-p", "Merge", "--t3_buffers", "50") == 1 and "t3_50m" in capsys.readouterr().err
     for bad in (("-p", "T3", "--geo_level", "nope"), ("-p", "T3", "--dggs", "s2"), ("-p", "Spectral"), ("-p", "T3", "--dggs", "s2", "--dggs_resolution", "9", "--sub_geo_level", "tract"), ("-p", "T3", "--h3_resolution", "9", "--dggs", "h3")):
         assert go(*bad) == 1
+    # cells in place of tracts
+    assert go("-p", "Tree_count", "--dggs", "geohash", "--dggs_resolution", "7") == 0
+    counted = spark.read.parquet(f"{out}/tree_count").collect()
+    assert sum(r["tree_count"] for r in counted) >= 4 and all(len(r["geohash_7"]) == 7 for r in counted)
     # a run that resumes leaves what is there
     assert go("-p", "T3", "--buffer", "100", "--no-overwrite") == 0
     assert spark.read.parquet(f"{out}/t3_100m").count() == 4
