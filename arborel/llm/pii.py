@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborel.llm.common import slices
+from arborel.llm.common import held, slices
 
 KEY = b"arborel pseudonyms"
 ROUNDS = 8
@@ -38,13 +38,13 @@ KINDS = ("card", "iban", "ssn", "phone", "ip", "email", "date")
 
 # The shapes looked for, in order of precedence.
 _SHAPES = (
-    ("card", r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d-])(?!\.\d)"),
+    ("card", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])(?!\.\d)"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("ssn", r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"),
-    ("phone", r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|(?=[ .-]?\d))(?:[ .-]?\d{2,5}){1,5}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])(?!\.\d)"),
-    ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d)(?!\.\d)"),
+    ("ssn", r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])"),
+    ("phone", r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|(?=[ .-]?\d))(?:[ .-]?\d{2,5}){1,5}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])(?!\.\d)"),
+    ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w)(?!\.\d)"),
     ("email", r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"),
-    ("date", r"(?<![\d./-])(?:(?:19|20)\d\d([-/])\d\d\1\d\d|\d\d?([./])\d\d?\2(?:19|20)\d\d)(?![\d/-])(?!\.\d)"),
+    ("date", r"(?<![\w./-])(?:(?:19|20)\d\d([-/])\d\d\1\d\d|\d\d?([./])\d\d?\2(?:19|20)\d\d)(?![\w/-])(?!\.\d)"),
 )
 _DIGITAL = [(k, re.compile(p, re.A)) for k, p in _SHAPES if k != "email"]
 _EMAIL = re.compile(_SHAPES[5][1], re.A)
@@ -203,6 +203,16 @@ def _phone(text: str, key: bytes) -> str | None:
 _MAKE: dict[str, Callable[[str, bytes], str | None]] = {"card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "email": _email, "date": _date}
 
 
+def _cut(m: re.Match) -> int:
+    """Where a phone number ends: before groups that would make it longer than 15 digits."""
+    end = m.end()
+    while len(_digits(m.string[m.start() : end])) > 15:
+        end = max(m.string.rfind(c, m.start(), end) for c in " .-")
+        if end <= m.start():
+            return m.end()
+    return end
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of candidates by shape, in order and apart from each other."""
     found = []
@@ -210,7 +220,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
         found += [(m.start(), 5, m.end(), "email") for m in _EMAIL.finditer(text)]
     if _DIGIT_RUN.search(text):
         for rank, (kind, shape) in enumerate(_DIGITAL):
-            found += [(m.start(), rank, m.end(), kind) for m in shape.finditer(text)]
+            found += [(m.start(), rank, _cut(m) if kind == "phone" else m.end(), kind) for m in shape.finditer(text)]
     return [(a, b, k) for a, _, b, k in sorted(found)]
 
 
@@ -243,6 +253,7 @@ def replace_in(docs: DataFrame, key: bytes = KEY, text: str = "text", counts: bo
     names = [f"n_{k}" for k in KINDS] if counts else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         for batch in batches:
             for part in slices(batch, text):
                 done = [(t, {}) if t is None else pseudonymise(t, key) for t in part.column(at).to_pylist()]
