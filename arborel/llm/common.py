@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -30,6 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Bytes of an Arrow batch and of a Parquet row group of intermediate tables. Texts are large rows: Spark's
+#: defaults would hold hundreds of MB a task on both sides of the pipe.
+BATCH_BYTES = 8 << 20
+GROUP_BYTES = 16 << 20
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches of at most ``BATCH_BYTES``, which bounds what a task of large texts holds."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below the shared folder and read again.
 
@@ -38,7 +51,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/arborel/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -62,6 +75,48 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_CHARS) -> Iterato
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    trim()
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def trim() -> None:
+    """Give memory that arrays have left back to the system; the allocators would keep it for the worker's life."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+_HELD: list[tuple[object, object]] = []
+
+
+def held(key: object, make: Callable[[], object] | None = None) -> object:
+    """What ``make`` builds for ``key``, kept in the worker until another key is asked for.
+
+    So a worker that goes on to another operator does not carry the last one's tables along.
+    """
+    if _HELD and _HELD[0][0] == key:
+        return _HELD[0][1]
+    _HELD.clear()
+    trim()
+    if make is not None:
+        _HELD.append((key, make()))
+        return _HELD[0][1]
+    return None
+
+
+def blobs(column: pa.Array) -> list[memoryview]:
+    """The values of a binary column without nulls, not copied."""
+    if not len(column):
+        return []
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    view = memoryview(data) if data is not None else memoryview(b"")
+    return [view[a:b] for a, b in zip(at[:-1], at[1:])]
 
 
 def over_texts(fn: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text") -> Callable:

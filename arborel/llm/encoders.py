@@ -7,7 +7,6 @@ A vocabulary is named by a path or, for the files of the installed
 from __future__ import annotations
 
 import base64
-import functools
 import itertools
 import json
 import os
@@ -15,6 +14,8 @@ import re
 
 import numpy as np
 
+from arborel.llm.common import held
+
 #: Different words whose ids a worker keeps, the first it meets; others are kept for one slice of text.
 CACHED_WORDS = 600_000
 
@@ -169,7 +170,6 @@ class RankEncoder:
         return np.fromiter((x for i in ids for x in i), np.uint32, int(sizes.sum())), sizes
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(name: str):
     path = resolve(name)
-    return RankEncoder(path) if path.endswith(".tiktoken") else WordCachedEncoder(path)
+    return held(path, lambda: RankEncoder(path) if path.endswith(".tiktoken") else WordCachedEncoder(path))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborel.llm.common import Words, fresh, mix, slices, stored, texts_of
+from arborel.llm.common import Words, blobs, fresh, held, mix, slices, stored, texts_of
 from arborel.llm.components import Forest, components
 
 COORDINATES = 64
@@ -107,6 +107,7 @@ def _sketches(docs: DataFrame, rule: Similarity, doc_id: str, text: str) -> Data
     """(doc_id, n_shingles, digest, signature) of each row; digest and signature are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(texts_of(part), rule.words)
@@ -122,7 +123,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, rep) of each coordinate-value pair: the value, then the coordinate in the low bits."""
     for batch in batches:
         reps = batch.column(0).to_numpy()
-        values = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, COORDINATES)
+        values = np.frombuffer(b"".join(blobs(batch.column(1))), "<u4").reshape(-1, COORDINATES)
         tokens = values.astype(np.int64) << 6 | np.arange(COORDINATES)
         yield pa.RecordBatch.from_arrays([pa.array(tokens.ravel()), pa.array(np.repeat(reps, COORDINATES))], ["token", "rep"])
 
@@ -134,27 +135,27 @@ def _blocks(size: Column, member: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), many - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), own.alias("block")))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
-    """Rows of sorted batches as groups of equal first ``keys`` columns: lists of the other columns' values."""
-    held: list[list] = []
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Array]]:
+    """Rows of sorted batches as groups of equal first ``keys`` columns: the other columns of each group."""
+    rest: list[list[pa.Array]] = []
     key = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        columns = [c.to_numpy() for c in batch.columns[:keys]]
         change = np.zeros(batch.num_rows, bool)
-        for c in columns[:keys]:
+        for c in columns:
             change[1:] |= c[1:] != c[:-1]
         cuts = np.concatenate([[0], np.flatnonzero(change), [batch.num_rows]])
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            now = tuple(c[a] for c in columns[:keys])
-            if held and now != key:
-                yield [np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*held)]
-                held = []
+            now = tuple(c[a] for c in columns)
+            if rest and now != key:
+                yield [pa.concat_arrays(x) if len(x) > 1 else x[0] for x in zip(*rest)]
+                rest = []
             key = now
-            held.append([c[a:b] for c in columns[keys:]])
-    if held:
-        yield [np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*held)]
+            rest.append([c.slice(a, b - a) for c in batch.columns[keys:]])
+    if rest:
+        yield [pa.concat_arrays(x) if len(x) > 1 else x[0] for x in zip(*rest)]
 
 
 def _collide(matches: int) -> Callable:
@@ -163,9 +164,11 @@ def _collide(matches: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_out: list[int] = []
         b_out: list[int] = []
+        held(None)
         for reps, signatures in _groups(batches, 3):
             if len(reps) > 1:
-                values = np.frombuffer(b"".join(signatures), np.uint32).reshape(len(reps), COORDINATES)
+                reps = reps.to_numpy()
+                values = np.frombuffer(b"".join(blobs(signatures)), np.uint32).reshape(len(reps), COORDINATES)
                 left = np.arange(len(reps))
                 while len(left) > 1:
                     # one connected part of the list: from each member reached, on to those not reached yet
@@ -191,8 +194,10 @@ def _confirm(rule: Similarity) -> Callable:
     """Links confirmed on full sets; input columns cluster, i, j, block, rep, set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         for blocks, reps, raw in _groups(batches, 3):
-            sets = [np.frombuffer(x, "<u8") for x in raw]
+            blocks, reps = blocks.to_numpy(), reps.to_numpy()
+            sets = [np.frombuffer(x, "<u8") for x in blobs(raw)]
             signatures = np.stack([signature(s) for s in sets])
             forest = Forest()
             a_out, b_out = [], []
@@ -224,6 +229,7 @@ def _confirm(rule: Similarity) -> Callable:
 
 def _full_sets(rule: Similarity) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = [s.astype("<u8").tobytes() for s in shingle_sets(texts_of(part), rule.words)]
@@ -265,7 +271,7 @@ def near_duplicates(docs: DataFrame, rule: Similarity = Similarity(), doc_id: st
     roots = components(confirmed_links(rows, clusters, rule))
     reps = classes.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component"))
     out = sketches.select("doc_id", "n_shingles", "digest").join(reps, "digest", "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 

@@ -18,7 +18,6 @@ but for U+2581, which the format cannot tell from a blank, and for unknown ids.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import re
 import struct
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborel.llm.common import fresh, mix, slices, texts_of
+from arborel.llm.common import fresh, held, mix, slices, texts_of
 from arborel.llm.encoders import resolve
 
 META = "▁"
@@ -39,8 +38,8 @@ META = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
-#: Different units whose ids a worker keeps; with more it starts anew.
-CACHED_UNITS = 1_000_000
+#: Different units whose ids a worker keeps, the first it meets; others are kept for one slice of text.
+CACHED_UNITS = 300_000
 #: Characters of units that advance together.
 BATCH_CHARS = 120_000
 
@@ -204,38 +203,39 @@ class PieceEncoder:
         self.vocabulary = v = Vocabulary(path)
         # characters in no piece stand alone, so texts can be cut at line ends if those are among them
         apart = "" if "\n" in v.singles else "\n"
-        self.find = re.compile(f"{META}*[^{META}{apart}]+|{META}+" + ("|\n" if apart else "")).findall
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = _Numbers()
+        self.find = re.compile(f" *[^ {apart}]+| +" + ("|\n" if apart else "")).findall
+        self.known = _Numbers()
         self.pool = np.empty(0, np.int32)
         self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def units(self, text: str) -> list[str]:
         if not text:
             return []
-        text = text.replace(" ", META)
-        return self.find(META + text if self.vocabulary.prefix else text)
+        text = text.replace(META, " ")
+        return self.find(" " + text if self.vocabulary.prefix else text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
         lists = [self.units(t) for t in texts]
-        if len(self.known) > CACHED_UNITS:
-            self._clear()
+        had, size = len(self.known), len(self.pool)
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         at = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(lists)), np.int64, int(counts.sum()))
-        if self.known.new:
+        new = self.known.new
+        if new:
             self._learn()
         many = self.sizes[at]
         ends = np.cumsum(many)
         total = int(ends[-1]) if len(ends) else 0
         out = self.pool[np.arange(total) + np.repeat(self.starts[at] - (ends - many), many)]
         done = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        if had >= CACHED_UNITS:
+            for u in new:
+                del self.known[u]
+            self.pool, self.starts, self.sizes = self.pool[:size], self.starts[:had], self.sizes[:had]
         return out, np.diff(done)
 
     def _learn(self) -> None:
-        units, self.known.new = self.known.new, []
+        units, self.known.new = [u.replace(" ", META) for u in self.known.new], []
         lengths = np.fromiter(map(len, units), np.int64, len(units))
         sizes = np.zeros(len(units), np.int64)
         order = np.argsort(lengths, kind="stable")
@@ -432,9 +432,9 @@ def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _GROWN[0], _GROWN[1]
 
 
-@functools.lru_cache(maxsize=2)
 def piece_encoder(name: str) -> PieceEncoder:
-    return PieceEncoder(resolve(name))
+    path = resolve(name)
+    return held(path, lambda: PieceEncoder(path))
 
 
 def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFrame:

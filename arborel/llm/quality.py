@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborel.llm.common import Words, mix, slices, texts_of
+from arborel.llm.common import Words, held, mix, slices, texts_of
 
 LANGUAGES = ("en", "de", "fr", "es")
 
@@ -118,6 +118,7 @@ def count_ngrams(docs: DataFrame, rules: Rules, text: str = "text", lang: str =
     """(language, code, n) of all whole texts: each task sums its own, Spark sums over tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         counts: dict[int, np.ndarray] = {}
         for batch in batches:
             for part in slices(batch, "text"):
@@ -231,6 +232,7 @@ def set_bands(model: Model, docs: DataFrame, text: str = "text", lang: str = "la
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = texts_of(part)
@@ -335,6 +337,7 @@ def judge(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         for batch in batches:
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column(0), *_judge(shared.value, part, 1, 2)], ["doc_id", *VERDICT])
@@ -350,6 +353,7 @@ def filter_documents(docs: DataFrame, model: Model, text: str = "text", lang: st
     at, of = columns.index(text), columns.index(lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         for batch in batches:
             for part in slices(batch, text):
                 yield part.filter(_judge(shared.value, part, at, of)[-1])

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborel.llm import html_text, mixing, near_dup, pieces, pii, quality, secrets, token_counts, token_files, topk
-from arborel.llm.common import shared_folder
+from arborel.llm.common import shared_folder, tuned
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 #: Every source to an equal share of the mixture.

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborel.llm import simple8b
-from arborel.llm.common import slices, texts_of
+from arborel.llm.common import GROUP_BYTES, slices, texts_of
 from arborel.llm.encoders import encoder
 
 RUN_SCHEMA = "part int, seq long, before long, n_ids long, doc_ids binary, nulls int, counts binary, payload binary, blocks binary"
@@ -75,7 +75,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    dealt.mapInArrow(run, RUN_SCHEMA).write.parquet(path)
+    dealt.mapInArrow(run, RUN_SCHEMA).write.option("parquet.block.size", GROUP_BYTES).parquet(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -11,32 +11,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from arborel.llm import mixing, near_dup, pieces, pii, quality
-from arborel.llm.common import stored
+from arborel.llm.common import stored, tuned
 from arborel.llm.queries import SEED, WEIGHTS
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or their language's perplexity band reject go."""
+    tuned(spark)
     return quality.filter_documents(docs, quality.train(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates, the document with the least doc_id stays."""
+    tuned(spark)
     return near_dup.keep_one(docs).select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data are replaced by pseudonyms of the same format."""
+    tuned(spark)
     return pii.replace_in(docs)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target weight asks for, shuffled globally."""
+    tuned(spark)
     return mixing.mix(docs, WEIGHTS, seed=SEED).select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and ids of every document's copy."""
+    tuned(spark)
     return pieces.encode_documents(docs, "piece_bpe_32k.model").select("doc_id", "lang", "source", "n_tokens", "ids")
 
 
