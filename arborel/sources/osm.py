@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from arborel.functions import crs
 
-# Default tags.
-RESIDENTIAL = ("apartments", "bungalow", "detached", "dormitory", "farm", "house", "residential", "semidetached_house", "static_caravan", "terrace")
-PARK_TAGS = {"leisure": ["park", "garden", "nature_reserve", "common", "recreation_ground"], "landuse": ["recreation_ground", "village_green", "forest"]}
+# Kinds of buildings and tags of parks by default. Gardens are mostly private and no park.
+RESIDENTIAL = ("residential", "house", "apartments", "detached", "semidetached_house", "terrace", "bungalow", "dormitory", "static_caravan", "houseboat")
+PARK_TAGS = {"leisure": ["park", "recreation_ground"], "landuse": ["village_green", "recreation_ground"]}
 PRIVATE = ("private", "no", "customers")
 FORM = (
     "elements ARRAY<STRUCT<type: STRING, id: BIGINT, lat: DOUBLE, lon: DOUBLE, nodes: ARRAY<BIGINT>, tags: MAP<STRING, STRING>, "

@@ -296,3 +296,17 @@ def test_stream(spark, tmp_path):
     stream.update_sums(spark, folder, units, ["n_name"], 10.0, sums, mark)
     want = canopy.raster_cover_of_units(units, canopy.binarised(pixels), ["n_name"], 10.0)
     assert sorted(map(tuple, stream.cover(spark, sums, ["n_name"]).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_access_points(spark):
+    from arborel.functions import geometry
+    from arborel.operators import parks
+
+    sites = spark.createDataFrame([(1, 0.0, 0.0, 40.0, 40.0), (2, 100.0, 100.0, 140.0, 140.0), (3, 500.0, 500.0, 520.0, 520.0)], "park_id long, x0 double, y0 double, x1 double, y1 double").withColumn("parts", geometry.rect("x0", "y0", "x1", "y1"))
+    roads = spark.createDataFrame([(1, -10.0, 20.0, 20.0, 20.0), (2, 100.0, 110.0, 100.0, 130.0), (3, 90.0, 120.0, 100.2, 120.0)], "edge_id long, ax double, ay double, bx double, by double")
+    got = sorted((r["access_id"], r["x"], r["y"]) for r in parks.access_points(sites, roads).collect())
+    # a crossing; the middle of the stretch along the boundary, which is within a metre of another crossing; the centroid
+    assert got == [("1_acc0", 0.0, 20.0), ("2_acc0", 100.0, 120.0), ("3_acc0", 510.0, 510.0)]
+    gates = spark.createDataFrame([(7, 510.0, 530.0), (8, 510.0, 536.0), (9, 0.0, -14.0)], "entrance_id long, x double, y double")
+    got = sorted((r["access_id"], r["x"], r["y"]) for r in parks.access_points(sites, roads, gates).collect())
+    assert got == [("1_acc0", 0.0, -14.0), ("2_acc0", 100.0, 120.0), ("3_acc0", 510.0, 530.0)]
