@@ -87,12 +87,13 @@ def access_points(parks: DataFrame, edges: DataFrame, entrances: DataFrame | Non
     t = f"(((e.ax - ax) * (e.by - e.ay) - (e.ay - ay) * (e.bx - e.ax)) / nullif({det}, 0))"
     u = f"(((e.ax - ax) * (by - ay) - (e.ay - ay) * (bx - ax)) / nullif({det}, 0))"
     at = lambda t: f"named_struct('x', round(ax + {t} * (bx - ax), 6), 'y', round(ay + {t} * (by - ay), 6))"
-    crossing = f"transform(filter({geometry.edges_sql('p_parts')}, e -> {t} BETWEEN 0 AND 1 AND {u} BETWEEN 0 AND 1), e -> {at(t)})"
     # where a road runs along the boundary, the middle of the shared stretch
     foot = lambda c: f"((e.{c}x - ax) * (bx - ax) + (e.{c}y - ay) * (by - ay)) / nullif((bx - ax) * (bx - ax) + (by - ay) * (by - ay), 0)"
     along = f"transform(filter({geometry.edges_sql('p_parts')}, e -> {det} = 0 AND (e.ax - ax) * (by - ay) = (e.ay - ay) * (bx - ax)), e -> named_struct('lo', greatest(0D, least({foot('a')}, {foot('b')})), 'hi', least(1D, greatest({foot('a')}, {foot('b')}))))"
-    shared = f"transform(filter({along}, s -> s.lo < s.hi), s -> {at('((s.lo + s.hi) / 2)')})"
-    places = F.expr(f"concat({crossing}, {shared})")
+    met = met.withColumn("_shared", F.expr(f"filter({along}, s -> s.lo < s.hi)"))
+    places_of = f"transform(filter({geometry.edges_sql('p_parts')}, e -> {t} BETWEEN 0 AND 1 AND {u} BETWEEN 0 AND 1), e -> {t})"
+    apart = f"filter({places_of}, m -> NOT exists(_shared, s -> m BETWEEN s.lo AND s.hi))"
+    places = F.expr(f"concat(transform({apart}, m -> {at('m')}), transform(_shared, s -> {at('((s.lo + s.hi) / 2)')}))")
     crossings = met.select("park_id", F.explode(places).alias("c")).select("park_id", "c.x", "c.y")
     thin = crossings.groupBy("park_id", F.round("x").alias("rx"), F.round("y").alias("ry")).agg(F.min(F.struct("x", "y")).alias("c")).select("park_id", "c.x", "c.y")
     rest = left.join(thin.select("park_id").distinct(), "park_id", "left_anti").select("park_id", geometry.centroid("p_parts").alias("c")).select("park_id", "c.x", "c.y")

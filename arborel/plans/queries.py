@@ -255,7 +255,9 @@ def derive_nodes(spark, sf):
 _ACCESS = with_sql(
     "p",
     f", l AS (SELECT CAST(range AS DOUBLE) * 250 AS pos FROM range({city.LINES})), "
-    "c AS (SELECT park_id, pos AS x, unnest([y0, y1]) AS y FROM p JOIN l ON pos BETWEEN x0 AND x1 UNION ALL SELECT park_id, unnest([x0, x1]), pos FROM p JOIN l ON pos BETWEEN y0 AND y1), "
+    "c AS (SELECT park_id, pos AS x, unnest([y0, y1]) AS y FROM p JOIN l ON pos > x0 AND pos < x1 UNION ALL SELECT park_id, unnest([x0, x1]), pos FROM p JOIN l ON pos > y0 AND pos < y1 "
+    "UNION ALL SELECT park_id, l.pos, (greatest(y0, m.pos) + least(y1, m.pos + 250)) / 2 FROM p JOIN l ON l.pos IN (x0, x1) JOIN l m ON m.pos < 5000 AND greatest(y0, m.pos) < least(y1, m.pos + 250) "
+    "UNION ALL SELECT park_id, (greatest(x0, m.pos) + least(x1, m.pos + 250)) / 2, l.pos FROM p JOIN l ON l.pos IN (y0, y1) JOIN l m ON m.pos < 5000 AND greatest(x0, m.pos) < least(x1, m.pos + 250)), "
     "d AS (SELECT park_id, min((round(x, 6), round(y, 6))) AS q FROM c WHERE x BETWEEN 0 AND 5000 AND y BETWEEN 0 AND 5000 GROUP BY park_id, round(x), round(y)), "
     "a AS (SELECT park_id, q[1] AS x, q[2] AS y FROM d UNION ALL SELECT park_id, (x0 + x1) / 2, (y0 + y1) / 2 FROM p WHERE park_id NOT IN (SELECT park_id FROM d)) "
     "SELECT park_id || '_acc' || (row_number() OVER (PARTITION BY park_id ORDER BY x, y) - 1) AS access_id, park_id, round(x, 4) AS x, round(y, 4) AS y FROM a",
