@@ -11,7 +11,7 @@ A box that is null or has a null corner is in no cell and joins with nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BOX = ("x0", "y0", "x1", "y1")
@@ -103,6 +103,10 @@ def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str
     b = b.withColumn("_dx", F.explode(F.sequence(F.floor(r0 / width), F.floor(r2 / width)))).withColumn("_dy", F.explode(F.sequence(F.floor(r1 / width), F.floor(r3 / width)))).withColumnRenamed("_level", "_right_level")
     gap = F.pow(F.greatest(l0 - r2, r0 - l2, F.lit(0.0)), 2) + F.pow(F.greatest(l1 - r3, r1 - l3, F.lit(0.0)), 2)
     pairs = a.join(b, (F.col("_level") == F.col("_right_level")) & (F.col("_cx") == F.col("_dx")) & (F.col("_cy") == F.col("_dy")) & (gap <= F.pow("_reach", F.lit(2))))
+    # no partner is nearer than its box, and the nearest is no further than any mark from the box's far corner
+    far = F.pow(F.greatest(F.abs(l0 - F.col(mark[0])), F.abs(l2 - F.col(mark[0]))), 2) + F.pow(F.greatest(F.abs(l1 - F.col(mark[1])), F.abs(l3 - F.col(mark[1]))), 2)
+    bound = F.min("_far").over(Window.partitionBy(key))
+    pairs = pairs.withColumn("_far", far).withColumn("_bound", bound).filter(gap <= F.col("_bound") * (1 + 1e-9) + 1e-9)
     return _best(pairs.withColumn("distance", distance), key, order, right)
 
 

@@ -13,7 +13,7 @@ from arborel.operators.grid import BOX, POINT, box_join, nearest
 SEARCH = 2000.0
 
 
-def euclidean(buildings: DataFrame, parks: DataFrame, size: float = 500.0) -> DataFrame:
+def euclidean(buildings: DataFrame, parks: DataFrame, size: float = 100.0) -> DataFrame:
     """Per building: closest_park_site_id and distance_euclidean (1 decimal, 0 where they touch); ties go to the least park."""
     a = buildings.select("building_id", *BOX, "parts")
     b = parks.select("park_id", *(F.col(c).alias(f"p_{c}") for c in BOX), F.col("parts").alias("p_parts"), F.expr("parts[0][0][0].x").alias("p_x"), F.expr("parts[0][0][0].y").alias("p_y"))
