@@ -1,22 +1,29 @@
 """Quality rules, the last of them a band of n-gram perplexity for each language.
 
-The model is a modified Kneser-Ney model of four characters. Characters are folded into 32
-classes, so a 4-gram is one of 2**20 codes: counts come from every document, summed in Spark,
-and what the driver gathers and broadcasts has a bound that does not depend on the corpus
-(2**20 codes for each listed language and one for the rest). A model keeps, for each language,
-the sorted codes of the 4-grams that occur with their log probabilities, and a table of the
-lower order for those that do not.
+The model is a modified Kneser-Ney model of GRAM = 6 characters as they are (letter case, marks and
+signs count; a character is hashed to ten bits), one for each value of the language column. N-grams are
+counted over all documents in Spark, and the probabilities are tables that grow with the corpus: nothing of
+them is gathered or broadcast. For scoring they are dealt into parts by a hash, each part a sorted hash array
+that the documents' n-grams are joined with; a part sends back sums by document only.
+
+A model of open size knows by heart what it was trained on, so documents are dealt into two halves and
+each is scored by the counts of the other half. The half follows from the text alone (the least hash of
+its five-word shingles), so that copies and most near copies fall into one.
 
 A document is scored by its bits a character. Each language's band lies around the median of
 its documents, so many quartile widths below and above; documents outside it are rejected.
 
-Null and empty texts have no words and fail the base rule. A language that is null or not
-listed belongs to the rest, which is modelled as one more language. Rows that repeat are
-judged each; extra columns pass through ``filter_documents`` unchanged.
+Null and empty texts have no words and fail the base rule. Rows whose language is null are one more
+language. Rows that repeat are judged each; extra columns pass through ``filter_documents`` unchanged.
+
+``codes_of``, ``count_ngrams``, ``fit`` and ``Model`` are the small model of four folded characters, for
+callers that need one of bounded size; the queries do not use it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborel.llm.common import Words, held, mix, slices, texts_of
+from arborel.llm.common import Words, fresh, held, mix, slices, stored, texts_of
 
 LANGUAGES = ("en", "de", "fr", "es")
 
@@ -34,6 +41,13 @@ CLASSES = 32
 ORDER = 4
 CODES = CLASSES**ORDER
 
+#: Characters of an n-gram of the model that documents are scored with, and bits of a character's hash.
+GRAM = 6
+BITS = 10
+#: N-grams that a task holds before it sums them, and entries of a part of the model.
+HELD = 1 << 22
+PART = 1 << 19
+
 #: Bits a character are counted in bins of this width to find medians and quartiles.
 BIN = 0.005
 #: Documents with fewer words say little about their language's usual perplexity.
@@ -45,15 +59,16 @@ class Rules:
     """Parameters: below_widths and above_widths are the band's reach in quartile widths.
 
     A mean over few characters spreads more, so the reach grows as the square root of
-    usual_chars / characters in shorter texts. Above, the reach is wide: passages in another
-    language raise a clean document's perplexity, though never to that of random letters.
+    usual_chars / characters in shorter texts. The reach above is set from labelled rows: few of
+    quality 1 lie higher, wrong-language and shuffled documents mostly do. A width that n documents
+    give has an error that falls as the square root of n, so it counts (1 + 13 / sqrt(n)) times above.
     """
 
     languages: tuple[str, ...] = LANGUAGES
     least_words: int = LEAST_WORDS
     most_repeated: int = 50  # percent of words
     below_widths: float = 3.75
-    above_widths: float = 40.0
+    above_widths: float = 2.5
     usual_chars: int = 1500
     least_width: float = 0.02  # a band's quartile width counts as this at least, in bits
 
@@ -165,7 +180,6 @@ class Model:
     bits: list[np.ndarray] = field(default_factory=list)
     context: list[np.ndarray] = field(default_factory=list)  # log2 of what an unseen code's context leaves it
     lower: list[np.ndarray] = field(default_factory=list)
-    bands: list[tuple[float, float, float]] = field(default_factory=list)  # middle, reach below and above
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_table"}
@@ -226,41 +240,288 @@ def fit(counts: DataFrame, rules: Rules) -> Model:
     return model
 
 
-def set_bands(model: Model, docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Each language's band, from the histogram of bits a character of its documents of enough words."""
-    rules = model.rules
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The GRAM-character code that ends at each character of each text, and each text's length. Line feeds stand before every text."""
+    lead = "\n" * (GRAM - 1)
+    points = np.frombuffer((lead + lead.join(texts) if texts else "").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    chars = np.where(points < 768, points, 768 + points % 256)
+    codes = chars.copy()
+    for k in range(1, GRAM):
+        codes[k:] |= chars[:-k] << (BITS * k)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    keep = np.ones(len(points), bool)
+    begins = np.cumsum(sizes + GRAM - 1) - sizes
+    for k in range(1, GRAM):
+        keep[begins - k] = False
+    return codes[keep], sizes
+
+
+def halves_of(words: Words) -> np.ndarray:
+    """0 or 1 for each text: a bit of the least hash of its five-word shingles, or of its words if it has fewer."""
+    out = np.zeros(len(words.first) - 1, np.int64)
+    for hashes, first in ((words.hashes, words.first), words.windows(5)):
+        full = np.flatnonzero(np.diff(first))
+        if len(full):
+            out[full] = np.minimum.reduceat(mix(hashes), first[full]) & np.uint64(1)
+    return out
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
+    body = F.col(text).cast("string")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(F.col(lang).cast("string")).alias("language"), F.unhex(F.md5(body)).alias("key"))
+
+
+def count_grams(rows: DataFrame) -> DataFrame:
+    """(language, code, n0, n1): occurrences in all whole texts of each half."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)
+        waiting: dict[int, list[np.ndarray]] = {}
+        size = 0
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            for k, parts in waiting.items():
+                found, n = np.unique(np.concatenate(parts), return_counts=True)
+                second = (found & 1) == 1
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k, np.int64)), pa.array(found >> 1), pa.array(np.where(second, 0, n)), pa.array(np.where(second, n, 0))], ["language", "code", "n0", "n1"])
+            waiting.clear()
+
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = texts_of(part)
-                languages = _language(part, 1, rules.languages)
-                bins = np.floor(shared.value.bits_per_character(texts, languages) / BIN).astype(np.int32)
-                enough = count_words(texts) >= rules.least_words
-                yield pa.RecordBatch.from_arrays([pa.array(languages[enough].astype(np.int32)), pa.array(bins[enough])], ["language", "bin"])
+                codes, sizes = grams_of(texts)
+                values = codes << 1 | np.repeat(halves_of(Words(texts)), sizes)
+                languages = part.column(part.schema.get_field_index("language")).to_numpy()
+                of = np.repeat(languages, sizes)
+                for k in np.unique(languages).tolist():
+                    waiting.setdefault(k, []).append(values[of == k])
+                size += len(values)
+                if size >= HELD:
+                    yield from summed()
+                    size = 0
+        yield from summed()
+
+    counted = rows.select("text", "language").mapInArrow(run, "language long, code long, n0 long, n1 long")
+    return counted.groupBy("language", "code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def _cuts(level: DataFrame) -> DataFrame:
+    """Modified Kneser-Ney discounts d{half}{count} of each language, as ``_discounts`` has them."""
+    n = level.groupBy("language").agg(*(F.count_if(F.col(f"n{h}") == k).cast("double").alias(f"c{h}{k}") for h in (0, 1) for k in (1, 2, 3, 4)))
+    out = []
+    for h in (0, 1):
+        c = [F.col(f"c{h}{k}") for k in (1, 2, 3, 4)]
+        few = (c[0] == 0) | (c[1] == 0)
+        y = c[0] / (c[0] + 2 * c[1])
+        for k, usual in enumerate((0.5, 0.75, 0.9)):
+            d = k + 1 - (k + 2) * y * F.when(c[k] > 0, c[k + 1] / c[k]).otherwise(0.0)
+            out.append(F.when(few, usual).otherwise(F.least(F.greatest(d, F.lit(0.1)), F.lit(k + 0.95))).alias(f"d{h}{k + 1}"))
+    return n.select("language", *out)
+
+
+def probabilities(counts: DataFrame) -> DataFrame:
+    """(language, code, p0, p1) of every n-gram of ``counts``, from the counts of either half alone.
+
+    N-grams that a half does not have get its lower orders' share; rows of count 0 change nothing else.
+    """
+    levels = [counts]
+    for order in range(GRAM - 1, 0, -1):
+        shorter = levels[-1].withColumn("code", F.col("code").bitwiseAND((1 << BITS * order) - 1))
+        # counts of lower orders: different n-grams of the next order that end in them
+        levels.append(stored(shorter.groupBy("language", "code").agg(F.count_if(F.col("n0") > 0).alias("n0"), F.count_if(F.col("n1") > 0).alias("n1")), "grams"))
+    below = None
+    for order, level in enumerate(reversed(levels), start=1):
+        rows = level.withColumn("context", F.shiftright("code", BITS)).join(_cuts(level), "language")
+        cut = [F.when(F.col(f"n{h}") == 0, 0.0).when(F.col(f"n{h}") == 1, F.col(f"d{h}1")).when(F.col(f"n{h}") == 2, F.col(f"d{h}2")).otherwise(F.col(f"d{h}3")) for h in (0, 1)]
+        rows = rows.select("language", "code", "context", "n0", "n1", cut[0].alias("d0"), cut[1].alias("d1"))
+        of = rows.groupBy("language", "context").agg(*(F.sum(f"{x}{h}").alias(f"{x}{h}_all") for x in "nd" for h in (0, 1)))
+        rows = rows.join(of, ["language", "context"])
+        if below is None:
+            rows = rows.withColumns({f"q{h}": F.lit(2.0**-BITS) for h in (0, 1)})
+        else:
+            rows = rows.withColumn("shorter", F.col("code").bitwiseAND((1 << BITS * (order - 1)) - 1)).join(below, ["language", "shorter"])
+        p = [F.when(F.col(f"n{h}_all") > 0, (F.col(f"n{h}") - F.col(f"d{h}") + F.col(f"d{h}_all") * F.col(f"q{h}")) / F.col(f"n{h}_all")).otherwise(F.col(f"q{h}")).alias(f"p{h}") for h in (0, 1)]
+        table = stored(rows.select("language", "code", *p), "probabilities")
+        below = table.select("language", F.col("code").alias("shorter"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
+    return table
 
-    rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    counted = rows.mapInArrow(run, "language int, bin int").groupBy("language", "bin").agg(F.count(F.lit(1)).alias("n")).toArrow()
-    language, bins, n = (counted.column(c).to_numpy() for c in ("language", "bin", "n"))
-    bands = []
-    for k in range(len(rules.languages) + 1):
-        mine = np.flatnonzero(language == k)
-        if not len(mine):
-            bands.append((0.0, 0.0, float("inf")))
-            continue
-        mine = mine[np.argsort(bins[mine])]
-        upto = np.cumsum(n[mine])
-        q1, mid, q3 = (float(bins[mine][np.searchsorted(upto, upto[-1] * q)]) * BIN for q in (0.25, 0.5, 0.75))
-        width = max(q3 - q1, rules.least_width)
-        bands.append((mid, rules.below_widths * width, rules.above_widths * width))
-    model.bands = bands
-    return model
+
+def _hashes(codes: np.ndarray, languages: np.ndarray) -> np.ndarray:
+    return mix(codes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + mix(languages.astype(np.uint64)))
+
+
+def _cut(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part of sorted hashes begins, and the end."""
+    return np.searchsorted((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+
+
+_DEALT = "part int, kind int, slice binary, rows int, keys binary, more binary"
+
+
+def _packed(a: np.ndarray) -> bytes:
+    return pa.compress(a.tobytes(), codec="zstd", asbytes=True)
+
+
+def _raw(blob: bytes, dtype: object, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, decompressed_size=size * np.dtype(dtype).itemsize, codec="zstd"), dtype)
+
+
+def _size(n: int) -> bytes:
+    return int(n).to_bytes(8, "little")
+
+
+def _dealt(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["part", "kind", "slice", "rows", "keys", "more"])
 
 
-def train(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> Model:
-    return set_bands(fit(count_ngrams(docs, rules, text, lang), rules), docs, text, lang)
+def _model_parts(table: DataFrame, parts: int) -> DataFrame:
+    """Kind 0: hashes of n-grams in order, and the log2 of their probabilities by both halves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
+        waiting: list[tuple] = []
+
+        def summed() -> pa.RecordBatch:
+            hashes, logs = (np.concatenate(x) for x in zip(*waiting))
+            order = np.argsort(hashes)
+            hashes, logs = hashes[order], logs[order]
+            cuts = _cut(hashes, parts)
+            waiting.clear()
+            return _dealt([(i, 0, b"", b - a, hashes[a:b].tobytes(), logs[a:b].tobytes()) for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a])
+
+        for batch in batches:
+            language, code, p0, p1 = (c.to_numpy() for c in batch.columns)
+            if len(code):
+                waiting.append((_hashes(code, language), np.log2(np.stack([p0, p1], 1)).astype(np.float32)))
+            if sum(len(x) for x, _ in waiting) >= PART:
+                yield summed()
+        if waiting:
+            yield summed()
+
+    return table.mapInArrow(run, _DEALT)
+
+
+def _document_parts(rows: DataFrame, parts: int) -> DataFrame:
+    """Kind 1: hashes of a slice's n-grams in order, how often each occurs, and in which documents (with their halves).
+    Kind 2: what is known of the slice's documents without the model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = texts_of(part)
+                language = part.column(2).to_numpy()
+                counts = base_counts(texts)
+                codes, sizes = grams_of(texts)
+                known = pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c.astype(np.int64)) for c in counts), pa.array(sizes), part.column(2), part.column(3)], [*_KNOWN])
+                meta = known.serialize().to_pybytes()
+                name = hashlib.blake2b(meta, digest_size=16).digest()
+                out = [(int.from_bytes(name[:4], "little") % parts, 2, name, len(texts), meta, None)]
+                hashes = _hashes(codes, np.repeat(language, sizes))
+                order = np.argsort(hashes, kind="stable")
+                hashes = hashes[order]
+                docs = np.repeat(np.arange(len(texts), dtype=np.uint32) << 1 | halves_of(Words(texts)).astype(np.uint32), sizes)[order]
+                starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+                times = np.diff(np.concatenate([starts, [len(hashes)]])).astype(np.uint32)
+                cuts = _cut(hashes[starts], parts).tolist()
+                ends = np.concatenate([starts, [len(hashes)]])
+                narrow = np.uint16 if len(texts) < 1 << 15 else np.uint32
+                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    if b > a:
+                        found = docs[ends[a] : ends[b]].astype(narrow)
+                        out.append((i, 1, name, len(texts), hashes[starts[a:b]].tobytes(), _size(b - a) + _size(len(found)) + _size(len(t := _packed(times[a:b]))) + t + _packed(found)))
+                yield _dealt(out)
+
+    return rows.mapInArrow(run, _DEALT)
+
+
+def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of log2 probabilities by document, from rows sorted by part and kind."""
+    held(None)
+    at, model, keys, logs = -1, [], None, None
+    for batch in batches:
+        out = []
+        for part, kind, name, rows, key, more in zip(*(c.to_pylist() for c in batch.columns)):
+            if part != at:
+                at, model, keys = part, [], None
+            if kind == 0:
+                model.append((np.frombuffer(key, np.uint64), np.frombuffer(more, np.float32).reshape(-1, 2)))
+            elif kind == 2:
+                out.append((name, 0, key))
+            else:
+                if keys is None:
+                    keys, logs = (np.concatenate(x) for x in zip(*model))
+                    order = np.argsort(keys)
+                    keys, logs, model = keys[order], logs[order], []
+                n, m, k = (int.from_bytes(more[i : i + 8], "little") for i in (0, 8, 16))
+                times = _raw(more[24 : 24 + k], np.uint32, n)
+                docs = _raw(more[24 + k :], np.uint16 if rows < 1 << 15 else np.uint32, m)
+                place = np.repeat(np.searchsorted(keys, np.frombuffer(key, np.uint64)), times)
+                sums = np.bincount(docs >> 1, logs[place, 1 - (docs & 1)], rows)
+                out.append((name, 1, sums.tobytes()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.int32(), pa.binary()))], ["slice", "kind", "data"])
+
+
+_KNOWN = {"doc_id": "long", "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "chars": "long", "language": "long", "key": "binary"}
+_SCHEMA = pa.schema([(k, pa.binary() if v == "binary" else pa.int64()) for k, v in _KNOWN.items()])
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of documents with bits_per_char, from rows sorted by slice and kind. Slices of equal content share their name."""
+
+    def done(known: list[bytes], sums: np.ndarray | float) -> Iterator[pa.RecordBatch]:
+        for meta in known:
+            batch = pa.ipc.read_record_batch(meta, _SCHEMA)
+            chars = batch.column(6).to_numpy()
+            bits = np.where(chars > 0, -sums / len(known) / np.maximum(chars, 1), 0.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits)], [*_KNOWN, "bits_per_char"])
+
+    held(None)
+    at, known, sums = None, [], 0.0
+    for batch in batches:
+        for name, kind, data in zip(*(c.to_pylist() for c in batch.columns)):
+            if name != at:
+                yield from done(known, sums)
+                at, known, sums = name, [], 0.0
+            if kind == 0:
+                known.append(data)
+            else:
+                sums = sums + np.frombuffer(data)
+    yield from done(known, sums)
+
+
+def score(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Per row: its base counts, length, language, key and bits a character by the other half's model."""
+    parts = max(24, math.ceil(table.count() / PART))
+    dealt = _model_parts(table, parts).unionByName(_document_parts(rows, parts))
+    sums = dealt.repartition(parts, "part").sortWithinPartitions("part", "kind").mapInArrow(_look_up, "slice binary, kind int, data binary")
+    whole = sums.repartition("slice").sortWithinPartitions("slice", "kind")
+    return whole.mapInArrow(_add_up, ", ".join(f"{k} {v}" for k, v in _KNOWN.items()) + ", bits_per_char double")
+
+
+@dataclass
+class Trained:
+    """What ``train`` leaves: tables of counts, scores of the documents trained on, and each language's band."""
+
+    rules: Rules
+    docs: DataFrame
+    columns: tuple[str, str]
+    counts: DataFrame
+    scores: DataFrame
+    bands: DataFrame
+
+
+def train(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Trained:
+    rows = _rows(docs, doc_id, text, lang)
+    counts = stored(count_grams(rows), "counts")
+    scores = stored(score(rows, probabilities(counts)), "scores")
+    usual = scores.filter(F.col("n_words") >= rules.least_words).withColumn("bin", F.floor(F.col("bits_per_char") / BIN) * BIN)
+    bands = usual.groupBy("language").agg(F.percentile("bin", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.count(F.lit(1)).alias("n"))
+    width = F.greatest(F.col("q")[2] - F.col("q")[0], F.lit(rules.least_width))
+    bands = bands.select("language", F.col("q")[1].alias("middle"), width.alias("width"), (1 + 13 / F.sqrt("n")).alias("unsure"))
+    return Trained(rules, docs, (doc_id, text, lang), counts, scores, stored(bands, "bands"))
 
 
 _SYMBOL = np.zeros(256, bool)
@@ -319,46 +580,32 @@ def base_counts(texts: list[str]) -> tuple[np.ndarray, ...]:
 VERDICT = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "base_failed": "boolean", "bits_per_char": "double", "kept": "boolean"}
 
 
-def _judge(model: Model, part: pa.RecordBatch, text: int, lang: int) -> list[pa.Array]:
-    rules = model.rules
-    texts = [t or "" for t in part.column(text).to_pylist()]
-    counts = base_counts(texts)
-    failed = (counts[0] < rules.least_words) | (100 * counts[4] > rules.most_repeated * counts[0])
-    languages = _language(part, lang, rules.languages)
-    bits = model.bits_per_character(texts, languages)
-    middle, below, above = (np.array([b[k] for b in model.bands])[languages] for k in range(3))
-    more = np.sqrt(np.maximum(1.0, rules.usual_chars / np.maximum(np.fromiter(map(len, texts), np.int64, len(texts)), 1)))
-    kept = ~failed & (bits >= middle - below * more) & (bits <= middle + above * more)
-    return [*(pa.array(c.astype(np.int64)) for c in counts), pa.array(failed), pa.array(bits), pa.array(kept)]
+def _verdicts(docs: DataFrame, model: Trained, doc_id: str, text: str, lang: str) -> DataFrame:
+    rules, scores = model.rules, model.scores
+    if docs is not model.docs or (doc_id, text, lang) != model.columns:
+        rows = _rows(docs, doc_id, text, lang)
+        none = [F.lit(0).cast("long").alias(n) for n in ("n0", "n1")]
+        both = model.counts.unionByName(count_grams(rows).select("language", "code", *none))
+        counts = stored(both.groupBy("language", "code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "counts")
+        scores = score(rows, probabilities(counts))
+    failed = (F.col("n_words") < rules.least_words) | (100 * F.col("n_repeat_words") > rules.most_repeated * F.col("n_words"))
+    reach = F.col("width") * F.sqrt(F.greatest(F.lit(1.0), rules.usual_chars / F.greatest(F.col("chars"), F.lit(1))))
+    above = (F.col("bits_per_char") - F.col("middle")) / reach
+    inside = F.coalesce(above.between(-rules.below_widths, rules.above_widths * F.col("unsure")), F.lit(True))
+    return scores.join(model.bands, "language", "left").withColumns({"base_failed": failed, "kept": ~failed & inside})
 
 
-def judge(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, model: Trained, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Per row: doc_id, the base counts, base_failed, bits_per_char and kept."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held(None)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column(0), *_judge(shared.value, part, 1, 2)], ["doc_id", *VERDICT])
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{k} {v}" for k, v in VERDICT.items()))
-
+    return _verdicts(docs, model, doc_id, text, lang).select("doc_id", *VERDICT)
 
-def filter_documents(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; texts are judged where they lie."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
-    at, of = columns.index(text), columns.index(lang)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held(None)
-        for batch in batches:
-            for part in slices(batch, text):
-                yield part.filter(_judge(shared.value, part, at, of)[-1])
 
-    return docs.mapInArrow(run, docs.schema)
+def filter_documents(docs: DataFrame, model: Trained, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; the verdict follows from language and text."""
+    key, of = fresh(docs, "key"), fresh(docs, "language")
+    kept = _verdicts(docs, model, doc_id, text, lang).filter("kept").select(F.col("key").alias(key), F.col("language").alias(of)).distinct()
+    rows = docs.withColumns({key: F.unhex(F.md5(F.col(text).cast("string"))), of: F.xxhash64(F.col(lang).cast("string"))})
+    return rows.join(kept, [key, of], "left_semi").select(docs.columns)
 
 
 def quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -232,6 +232,32 @@ def test_gibberish_is_rejected_and_prose_kept(spark):
     assert fine and all(r["kept"] for r in fine)
 
 
+def test_shuffled_and_wrong_language_documents_are_rejected(spark):
+    """Words in their order against the same words out of it, in languages that only the data name."""
+    r = random.Random(4)
+    chains = {}
+    for lang in ("xx", "yy"):
+        words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 7))) for _ in range(80)]
+        chains[lang] = {w: r.sample(words, 8) for w in words}
+
+    def prose(lang):
+        out = [r.choice(list(chains[lang]))]
+        while len(out) < 300:
+            out.append(r.choice(chains[lang][out[-1]]))
+        return out
+
+    rows = [(lang, " ".join(prose(lang)), True) for lang in ("xx", "yy") for _ in range(120)]
+    for _ in range(4):
+        words = prose("xx")
+        r.shuffle(words)
+        rows += [("xx", " ".join(words), False), ("xx", " ".join(prose("yy")), False), ("yy", "".join(r.choice("abc defghi") for _ in range(1500)), False)]
+    table = docs(spark, [{"doc_id": i, "text": t, "lang": k, "source": "s", "n_chars": len(t)} for i, (k, t, _) in enumerate(rows)])
+    got = {x["doc_id"]: x for x in quality.quality(table).collect()}
+    assert not any(x["base_failed"] for x in got.values())
+    assert not any(got[i]["kept"] for i, (_, _, good) in enumerate(rows) if not good)
+    assert sum(got[i]["kept"] for i, (_, _, good) in enumerate(rows) if good) >= 230
+
+
 # 4 near-duplicates
 
 
