@@ -33,6 +33,7 @@ kept. Extra columns do not matter.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -62,6 +63,16 @@ class Similarity:
     matches: int = MATCHES
 
 
+def matches_for(percent: int, miss: float = 2e-6) -> int:
+    """The most collisions that a pair of this similarity fails to have with a probability of at most ``miss``."""
+    p, below = percent / 100, 0.0
+    for k in range(COORDINATES + 1):
+        below += math.comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if below > miss:
+            return max(1, k)
+    return COORDINATES
+
+
 def shingle_sets(texts: list[str], n: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the n-word shingles of each text."""
     words = Words(texts, lower=True)

@@ -15,6 +15,10 @@ from arborel.llm.common import stored, tuned
 from arborel.llm.queries import SEED, WEIGHTS
 
 
+#: Documents are near-duplicates from a similarity of 0.8; op4 has a contract of its own.
+SIMILAR = near_dup.Similarity(percent=80, matches=near_dup.matches_for(80))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or their language's perplexity band reject go."""
     tuned(spark)
@@ -24,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates, the document with the least doc_id stays."""
     tuned(spark)
-    return near_dup.keep_one(docs).select(docs.columns)
+    return near_dup.keep_one(docs, SIMILAR).select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

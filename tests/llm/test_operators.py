@@ -319,6 +319,23 @@ def test_near_duplicates(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == want
 
 
+def test_stage_takes_pairs_from_080(spark):
+    import corpus_pipeline
+
+    r = random.Random(9)
+    rows = []
+    for _ in range(12):
+        base = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(204)]
+        copy = list(base)
+        for at in (30, 70, 110, 150):  # 20 of 200 shingles differ: 180 / 220 = 0.818
+            copy[at] += "x"
+        rows += [" ".join(base), " ".join(copy)]
+    table = docs(spark, rows)
+    assert near_dup.keep_one(table).count() == 24
+    assert sorted(x["doc_id"] for x in corpus_pipeline.near_duplicates(spark, table, SF).collect()) == list(range(0, 24, 2))
+    assert near_dup.matches_for(80) < near_dup.MATCHES <= near_dup.matches_for(85) + 1
+
+
 def test_near_duplicates_edges(spark):
     assert near_dup.near_duplicates(empty(spark)).count() == 0
     assert near_dup.keep_one(empty(spark)).count() == 0
