@@ -27,7 +27,7 @@ KINDS = ("assign", "access", "hex", "guess")
 
 # What a credential context looks like besides the base pattern.
 _NAMES = r"pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|credentials?|auth(?:orization)?|bearer"
-_CONTEXT = re.compile(rf"(?<![a-z])(?:{_NAMES})(?:[\"']?\x20{{0,8}}(?::=|=>|[:=]|>)\x20{{0,8}}(?:bearer\x20|basic\x20)?|\x20(?=--?[a-z]))(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'<>,;]+))", re.I | re.A)
+_CONTEXT = re.compile(rf"(?<![a-z])(?:{_NAMES})(?:[\"']?\x20*(?::=|=>|[:=]|>)\x20*(?:bearer\x20|basic\x20)?|\x20(?=--?[a-z]))(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'<>,;]+))", re.I | re.A)
 
 # Frequent passwords and words, most frequent first; the rank is the guess count.
 WORDS = """password 123456 qwerty abc letmein monkey dragon iloveyou admin welcome login princess master hello freedom
@@ -36,7 +36,19 @@ charlie secret summer winter spring autumn monday tuesday wednesday thursday fri
 march april june july august september october november december love test user root guest changeme default server
 database backup office company internet computer windows apple google orange cheese coffee cookie flower silver golden
 purple yellow green black white blue red dog cat house world money power magic music star tiger lion eagle wolf the and
-for you with this that have from your pass word key token null none true false example sample demo temp xxxx""".split()
+for you with this that have from your pass word key token null none true false example sample demo temp xxxx
+are was not but all can had her his one our out day get has him how man new now old see two way who boy did its let put say she too
+use about after again also always another any back because been before being between both came come could does down each even
+every first found give good great here home into just know large last left life like line little long look made make many may
+might more most much must name never next only other over own part people place right said same should show small some still
+such take tell than their them then there these they thing think those three through time under until upon very want water well
+went were what when where which while will work would write year years required optional missing invalid expired disabled enabled
+unknown undefined empty provided generated rotated revoked forgotten hidden redacted removed changed updated reset expires follows
+string integer number boolean object value type field account manager management service request response header cookies session
+policy policies protected private public access client credentials authorization authentication authenticated basic bearer digest
+username email address phone contact please enter choose create keep safe secure security stored storage vault environment
+variable variables config configuration settings file files path directory local remote production development staging testing
+correct horse battery staple""".split()
 _RANK = {w: i + 2 for i, w in enumerate(WORDS)}
 _LONGEST_WORD = max(map(len, WORDS))
 #: Letters that digits and signs often stand for.
@@ -121,7 +133,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def guess_spans(text: str, base: list[tuple[int, int, int]], cost: float = COST) -> list[tuple[int, int, int]]:
-    """Values in credential contexts that are not plain words, are in no base span and cost ``cost`` or more to guess."""
+    """Values in credential contexts that are in no base span and cost ``cost`` or more to guess."""
     low = text.lower()
     if not any(w in low for w in ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")):
         return []
@@ -129,9 +141,7 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], cost: float = COST)
     for m in _CONTEXT.finditer(text):
         group = m.lastindex
         value, start, end = m[group], m.start(group), m.end(group)
-        if len(value) < LEAST or (" " in value and len(value) > 128):
-            continue
-        if value.strip(".,!?:;").isalpha() or not re.search(r"[^A-Za-z .,!?]", value):
+        if len(value) < LEAST:
             continue
         if any(a <= start and end <= b for a, _, b in base):
             continue

@@ -522,6 +522,14 @@ def test_secrets(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_every_value_in_a_context_is_priced():
+    values = ["pwd: 'xKqjZwVhPdMbTrFnLc'", "private_key=QwXzRtPlMkJnBvGh", "passphrase: 'velvet anchor thirsty lagoon'", "pwd: '" + "k7 Zq" * 40 + "'", "pwd" + " " * 12 + "=" + " " * 12 + "xK9!jZ2wVh#P"]
+    for text in values:
+        assert len(secrets.guess_spans(text, [])) == 1, text
+    for text in ("access_key: required", "pwd: 'password'", "credentials: provided", "auth: disabled"):
+        assert secrets.guess_spans(text, []) == [], text
+
+
 def brute_guess(value):
     """The cheapest segmentation by trying every cut, with the same prices for a segment."""
     from functools import lru_cache
