@@ -18,6 +18,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Every source to an equal share of the mixture.
 WEIGHTS = {f"src{i}": 0.05 for i in range(20)}
+#: All other sources, and null, together have an equal share too.
+REST = 0.05
 SEED = 20
 
 
@@ -67,7 +69,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents"), WEIGHTS, seed=SEED)
+    return mixing.mix(_table(spark, sf_dir, "documents"), WEIGHTS, rest=REST, seed=SEED)
 
 
 OP9_SQL = mixing.mix_sql(WEIGHTS, SEED, columns="doc_id, text, lang, source, n_chars")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from arborel.llm import mixing, near_dup, pieces, pii, quality
 from arborel.llm.common import stored, tuned
-from arborel.llm.queries import SEED, WEIGHTS
+from arborel.llm.queries import REST, SEED, WEIGHTS
 
 
 #: Documents are near-duplicates from a similarity of 0.8; op4 has a contract of its own.
@@ -40,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target weight asks for, shuffled globally."""
     tuned(spark)
-    return mixing.mix(docs, WEIGHTS, seed=SEED).select(docs.columns)
+    return mixing.mix(docs, WEIGHTS, rest=REST, seed=SEED).select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

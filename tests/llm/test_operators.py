@@ -599,6 +599,14 @@ def test_mix_edges(spark):
     assert {r["source"]: r["count"] for r in many}["b"] == pytest.approx(1000, rel=0.15)  # a mean far beyond one table
 
 
+def test_unlisted_sources_are_mixed(spark):
+    import corpus_pipeline
+
+    table = docs(spark, [{"doc_id": i, "text": "x", "lang": "en", "source": ("src0", "elsewhere", None)[i % 3], "n_chars": 1} for i in range(600)])
+    n = collections.Counter(r["source"] for r in corpus_pipeline.source_mixture(spark, table, SF).collect())
+    assert n["elsewhere"] > 0 and n[None] > 0 and n["elsewhere"] + n[None] == pytest.approx(300, rel=0.25)
+
+
 # 10 personal data
 
 
