@@ -3,8 +3,8 @@
 The model is a modified Kneser-Ney model of GRAM = 6 characters as they are (letter case, marks and
 signs count; a character is hashed to ten bits), one for each value of the language column. N-grams are
 counted over all documents in Spark, and the probabilities are tables that grow with the corpus: nothing of
-them is gathered or broadcast. For scoring they are dealt into parts by a hash, each part a sorted hash array
-that the documents' n-grams are joined with; a part sends back sums by document only.
+them is gathered whole. For scoring, the HEAD most frequent n-grams are a sorted hash array of bounded size that every
+task has, which most characters find their n-gram in; the n-grams of all others are joined with the table.
 
 A model of open size knows by heart what it was trained on, so documents are dealt into two halves and
 each is scored by the counts of the other half. The half follows from the text alone (the least hash of
@@ -22,15 +22,13 @@ callers that need one of bounded size; the queries do not use it.
 
 from __future__ import annotations
 
-import hashlib
-import math
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborel.llm.common import Words, fresh, held, mix, slices, stored, texts_of
@@ -44,9 +42,10 @@ CODES = CLASSES**ORDER
 #: Characters of an n-gram of the model that documents are scored with, and bits of a character's hash.
 GRAM = 6
 BITS = 10
-#: N-grams that a task holds before it sums them, and entries of a part of the model.
+#: N-grams that a task holds before it sums them.
 HELD = 1 << 22
-PART = 1 << 19
+#: Most frequent n-grams that every task has, at 16 bytes each; others are joined.
+HEAD = 1 << 21
 
 #: Bits a character are counted in bins of this width to find medians and quartiles.
 BIN = 0.005
@@ -271,234 +270,253 @@ def _rows(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(F.col(lang).cast("string")).alias("language"), F.unhex(F.md5(body)).alias("key"))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, which compresses better than number by number."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _from_planes(blob: bytes, size: int) -> np.ndarray:
+    raw = pa.decompress(blob, decompressed_size=size * 8, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, size).T).view(np.int64).ravel()
+
+
+class _Counts:
+    """Sorted n-grams with their counts in each half, summed whenever HELD more have come."""
+
+    def __init__(self):
+        self.codes, self.n = np.empty(0, np.int64), np.empty((0, 2), np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, codes: np.ndarray, n: np.ndarray) -> None:
+        self.waiting.append((codes, n))
+        self.size += len(codes)
+        if self.size >= HELD:
+            self.fold()
+
+    def add_texts(self, codes: np.ndarray, halves: np.ndarray) -> None:
+        """One occurrence of each code; sorted with the half in the lowest bit."""
+        found = np.sort(codes << 1 | halves)
+        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.empty(0, np.int64)
+        times, second = np.diff(first, append=len(found)), found[first] & 1
+        self.add(found[first] >> 1, np.stack([times * (1 - second), times * second], 1))
+
+    def fold(self) -> None:
+        if self.waiting:
+            codes = np.concatenate([self.codes, *(c for c, _ in self.waiting)])
+            order = np.argsort(codes, kind="stable")
+            codes = codes[order]
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.empty(0, np.int64)
+            n = np.concatenate([self.n, *(n for _, n in self.waiting)])[order]
+            self.codes, self.n = codes[first], np.add.reduceat(n, first) if len(first) else n
+        self.waiting, self.size = [], 0
+
+
 def count_grams(rows: DataFrame) -> DataFrame:
-    """(language, code, n0, n1): occurrences in all whole texts of each half."""
+    """(language, code, n0, n1): occurrences in all whole texts of each half.
+
+    Each task sums its own; its sums go, packed and sorted, to the parts that sum over tasks.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)
-        waiting: dict[int, list[np.ndarray]] = {}
-        size = 0
-
-        def summed() -> Iterator[pa.RecordBatch]:
-            for k, parts in waiting.items():
-                found, n = np.unique(np.concatenate(parts), return_counts=True)
-                second = (found & 1) == 1
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k, np.int64)), pa.array(found >> 1), pa.array(np.where(second, 0, n)), pa.array(np.where(second, n, 0))], ["language", "code", "n0", "n1"])
-            waiting.clear()
+        counts: dict[int, _Counts] = {}
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            for k, table in counts.items():
+                table.fold()
+                of = (mix(table.codes.astype(np.uint64)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+                order = np.argsort(of, kind="stable")
+                cuts = np.searchsorted(of[order], np.arange(parts + 1, dtype=np.uint64)).tolist()
+                out = []
+                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    if b > a:
+                        codes, n = table.codes[order[a:b]], table.n[order[a:b]]
+                        out.append((i, k, b - a, _planes(np.diff(codes, prepend=0)), _planes(n.ravel())))
+                if out:
+                    types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["part", "language", "size", "codes", "n"])
+            counts.clear()
 
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = texts_of(part)
                 codes, sizes = grams_of(texts)
-                values = codes << 1 | np.repeat(halves_of(Words(texts)), sizes)
-                languages = part.column(part.schema.get_field_index("language")).to_numpy()
+                halves = np.repeat(halves_of(Words(texts)), sizes)
+                languages = part.column(1).to_numpy()
                 of = np.repeat(languages, sizes)
                 for k in np.unique(languages).tolist():
-                    waiting.setdefault(k, []).append(values[of == k])
-                size += len(values)
-                if size >= HELD:
-                    yield from summed()
-                    size = 0
-        yield from summed()
-
-    counted = rows.select("text", "language").mapInArrow(run, "language long, code long, n0 long, n1 long")
-    return counted.groupBy("language", "code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+                    mine = of == k
+                    counts.setdefault(k, _Counts()).add_texts(codes[mine], halves[mine])
+            if sum(len(c.codes) for c in counts.values()) >= HELD:
+                yield from packed()
+        yield from packed()
 
-
-def _cuts(level: DataFrame) -> DataFrame:
-    """Modified Kneser-Ney discounts d{half}{count} of each language, as ``_discounts`` has them."""
-    n = level.groupBy("language").agg(*(F.count_if(F.col(f"n{h}") == k).cast("double").alias(f"c{h}{k}") for h in (0, 1) for k in (1, 2, 3, 4)))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
+        counts: dict[int, _Counts] = {}
+        for batch in batches:
+            for k, size, codes, n in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                deltas = _from_planes(codes, size)
+                counts.setdefault(k, _Counts()).add(np.cumsum(deltas), _from_planes(n, 2 * size).reshape(-1, 2))
+        for k, table in counts.items():
+            table.fold()
+            for i in range(0, len(table.codes), 1 << 16):
+                codes, n = table.codes[i : i + (1 << 16)], table.n[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), k, np.int64)), pa.array(codes), pa.array(n[:, 0]), pa.array(n[:, 1])], ["language", "code", "n0", "n1"])
+
+    packed = rows.select("text", "language").mapInArrow(run, "part int, language long, size long, codes binary, n binary")
+    return packed.repartition(parts, "part").mapInArrow(merge, "language long, code long, n0 long, n1 long")
+
+
+#: Orders that are smoothed together: n-grams are dealt by the characters before their last that all these orders have,
+#: so that their contexts and what they are continued by meet in one place without further shuffles.
+SPANS = ((6, 4), (3, 2), (1, 1))
+
+
+def _suffix(code: str | Column, order: int) -> Column:
+    return (F.col(code) if isinstance(code, str) else code).bitwiseAND((1 << BITS * order) - 1)
+
+
+def _levels(top: DataFrame, high: int, low: int) -> DataFrame:
+    """``top`` (language, code, n0, n1 of order ``high``) with s{k} and n{k}{half}, for k from high to low: the suffix of that
+    order and how many different n-grams of the next order end in it; first{k} marks one row of each suffix."""
+    more = [c for c in ("p0", "p1") if c in top.columns]
+    rows = top.select("language", F.shiftright(_suffix("code", low), BITS).alias("at"), F.col("code").alias(f"s{high}"), *(F.col(f"n{h}").alias(f"n{high}{h}") for h in (0, 1)), F.lit(True).alias(f"first{high}"), *more)
+    rows = rows.repartition("language", "at") if low > 1 else rows.repartition("language")
+    for k in range(high - 1, low - 1, -1):
+        rows = rows.withColumn(f"s{k}", _suffix(f"s{k + 1}", k))
+        same = Window.partitionBy("language", "at", f"s{k}")
+        # one row of each suffix of the order above stands first, so that it counts once
+        rows = rows.withColumns(
+            {f"n{k}{h}": F.count_if(F.col(f"first{k + 1}") & (F.col(f"n{k + 1}{h}") > 0)).over(same) for h in (0, 1)} | {f"first{k}": F.row_number().over(same.orderBy(f"s{high}")) == 1}
+        )
+    return rows
+
+
+def _lower(levels: DataFrame, low: int) -> DataFrame:
+    """The order below ``low``: (language, code, n0, n1), counted as different n-grams that end in it."""
+    rows = levels.filter(f"first{low}").groupBy("language", _suffix(f"s{low}", low - 1).alias("code"))
+    return rows.agg(*(F.count_if(F.col(f"n{low}{h}") > 0).alias(f"n{h}") for h in (0, 1)))
+
+
+def _cuts(levels: DataFrame, high: int, low: int) -> DataFrame:
+    """Modified Kneser-Ney discounts d{order}{half}{count} of each language, as ``_discounts`` has them."""
+    orders = [(k, h) for k in range(high, low - 1, -1) for h in (0, 1)]
+    n = levels.groupBy("language").agg(*(F.count_if(F.col(f"first{k}") & (F.col(f"n{k}{h}") == c)).cast("double").alias(f"c{k}{h}{c}") for k, h in orders for c in (1, 2, 3, 4)))
     out = []
-    for h in (0, 1):
-        c = [F.col(f"c{h}{k}") for k in (1, 2, 3, 4)]
+    for k, h in orders:
+        c = [F.col(f"c{k}{h}{x}") for x in (1, 2, 3, 4)]
         few = (c[0] == 0) | (c[1] == 0)
         y = c[0] / (c[0] + 2 * c[1])
-        for k, usual in enumerate((0.5, 0.75, 0.9)):
-            d = k + 1 - (k + 2) * y * F.when(c[k] > 0, c[k + 1] / c[k]).otherwise(0.0)
-            out.append(F.when(few, usual).otherwise(F.least(F.greatest(d, F.lit(0.1)), F.lit(k + 0.95))).alias(f"d{h}{k + 1}"))
+        for x, usual in enumerate((0.5, 0.75, 0.9)):
+            d = x + 1 - (x + 2) * y * F.when(c[x] > 0, c[x + 1] / c[x]).otherwise(0.0)
+            out.append(F.when(few, usual).otherwise(F.least(F.greatest(d, F.lit(0.1)), F.lit(x + 0.95))).alias(f"d{k}{h}{x + 1}"))
     return n.select("language", *out)
 
 
+def _smoothed_levels(levels: DataFrame, cuts: DataFrame, high: int, low: int) -> DataFrame:
+    """(language, code, n, p0, p1) of order ``high``, from p0 and p1 of the order under ``low`` that ``levels`` has."""
+    rows = levels.join(cuts, "language")
+    for k in range(low, high + 1):
+        context = Window.partitionBy("language", "at", F.shiftright(f"s{k}", BITS))
+        found = {}
+        for h in (0, 1):
+            n = F.col(f"n{k}{h}")
+            cut = F.when(n == 0, 0.0).when(n == 1, F.col(f"d{k}{h}1")).when(n == 2, F.col(f"d{k}{h}2")).otherwise(F.col(f"d{k}{h}3"))
+            total = F.sum(F.when(F.col(f"first{k}"), n)).over(context)
+            left = F.sum(F.when(F.col(f"first{k}"), cut)).over(context)
+            found[f"p{h}"] = F.when(total > 0, (n - cut + left * F.col(f"p{h}")) / total).otherwise(F.col(f"p{h}"))
+        rows = rows.withColumns(found)
+    return rows.select("language", F.col(f"s{high}").alias("code"), (F.col(f"n{high}0") + F.col(f"n{high}1")).alias("n"), "p0", "p1")
+
+
 def probabilities(counts: DataFrame) -> DataFrame:
-    """(language, code, p0, p1) of every n-gram of ``counts``, from the counts of either half alone.
+    """(language, code, n, p0, p1) of every n-gram of ``counts``: all occurrences, and the probability by either half's counts.
 
     N-grams that a half does not have get its lower orders' share; rows of count 0 change nothing else.
     """
-    levels = [counts]
-    for order in range(GRAM - 1, 0, -1):
-        shorter = levels[-1].withColumn("code", F.col("code").bitwiseAND((1 << BITS * order) - 1))
-        # counts of lower orders: different n-grams of the next order that end in them
-        levels.append(stored(shorter.groupBy("language", "code").agg(F.count_if(F.col("n0") > 0).alias("n0"), F.count_if(F.col("n1") > 0).alias("n1")), "grams"))
+    tops = [counts]
+    for high, low in SPANS[:-1]:
+        tops.append(stored(_lower(_levels(tops[-1], high, low), low), "grams"))
     below = None
-    for order, level in enumerate(reversed(levels), start=1):
-        rows = level.withColumn("context", F.shiftright("code", BITS)).join(_cuts(level), "language")
-        cut = [F.when(F.col(f"n{h}") == 0, 0.0).when(F.col(f"n{h}") == 1, F.col(f"d{h}1")).when(F.col(f"n{h}") == 2, F.col(f"d{h}2")).otherwise(F.col(f"d{h}3")) for h in (0, 1)]
-        rows = rows.select("language", "code", "context", "n0", "n1", cut[0].alias("d0"), cut[1].alias("d1"))
-        of = rows.groupBy("language", "context").agg(*(F.sum(f"{x}{h}").alias(f"{x}{h}_all") for x in "nd" for h in (0, 1)))
-        rows = rows.join(of, ["language", "context"])
+    for top, (high, low) in zip(reversed(tops), reversed(SPANS)):
+        cuts = stored(_cuts(_levels(top, high, low), high, low), "discounts")
         if below is None:
-            rows = rows.withColumns({f"q{h}": F.lit(2.0**-BITS) for h in (0, 1)})
+            top = top.withColumns({f"p{h}": F.lit(2.0**-BITS) for h in (0, 1)})
         else:
-            rows = rows.withColumn("shorter", F.col("code").bitwiseAND((1 << BITS * (order - 1)) - 1)).join(below, ["language", "shorter"])
-        p = [F.when(F.col(f"n{h}_all") > 0, (F.col(f"n{h}") - F.col(f"d{h}") + F.col(f"d{h}_all") * F.col(f"q{h}")) / F.col(f"n{h}_all")).otherwise(F.col(f"q{h}")).alias(f"p{h}") for h in (0, 1)]
-        table = stored(rows.select("language", "code", *p), "probabilities")
-        below = table.select("language", F.col("code").alias("shorter"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
-    return table
-
-
-def _hashes(codes: np.ndarray, languages: np.ndarray) -> np.ndarray:
-    return mix(codes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + mix(languages.astype(np.uint64)))
-
-
-def _cut(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """Where each part of sorted hashes begins, and the end."""
-    return np.searchsorted((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
-
-
-_DEALT = "part int, kind int, slice binary, rows int, keys binary, more binary"
-
+            under = below.select("language", F.col("code").alias("shorter"), "p0", "p1")
+            top = top.withColumn("shorter", _suffix("code", low - 1)).join(under, ["language", "shorter"])
+        below = stored(_smoothed_levels(_levels(top, high, low), cuts, high, low), "probabilities")
+    return below
 
-def _packed(a: np.ndarray) -> bytes:
-    return pa.compress(a.tobytes(), codec="zstd", asbytes=True)
 
+def _hashes(codes: np.ndarray, languages: np.ndarray | int) -> np.ndarray:
+    return mix(codes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + mix(np.asarray(languages, np.int64).astype(np.uint64)))
 
-def _raw(blob: bytes, dtype: object, size: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(blob, decompressed_size=size * np.dtype(dtype).itemsize, codec="zstd"), dtype)
 
+def _head(table: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """The most frequent n-grams, HEAD at most: the least count of those, their hashes in order, and log2 of their probabilities."""
+    size = F.least(F.length(F.bin("n")), F.lit(62))  # counts by their number of bits
+    sizes = {r[0]: r[1] for r in table.groupBy(size.alias("size")).count().collect()}
+    least, n = 62, 0
+    while least > 0 and n + sizes.get(least, 0) <= HEAD:
+        n += sizes.get(least, 0)
+        least -= 1
+    found = table.filter(F.col("n") >= 1 << least if least else F.lit(True)).select("language", "code", "p0", "p1").toArrow()
+    keys = _hashes(found.column("code").to_numpy(), found.column("language").to_numpy())
+    order = np.argsort(keys)
+    logs = np.log2(np.stack([found.column("p0").to_numpy(), found.column("p1").to_numpy()], 1)).astype(np.float32)
+    return (1 << least if least else 0), keys[order], logs[order]
 
-def _size(n: int) -> bytes:
-    return int(n).to_bytes(8, "little")
 
+_KNOWN = {"doc_id": "long", "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "chars": "long", "language": "long", "key": "binary"}
 
-def _dealt(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["part", "kind", "slice", "rows", "keys", "more"])
-
-
-def _model_parts(table: DataFrame, parts: int) -> DataFrame:
-    """Kind 0: hashes of n-grams in order, and the log2 of their probabilities by both halves."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held(None)
-        waiting: list[tuple] = []
-
-        def summed() -> pa.RecordBatch:
-            hashes, logs = (np.concatenate(x) for x in zip(*waiting))
-            order = np.argsort(hashes)
-            hashes, logs = hashes[order], logs[order]
-            cuts = _cut(hashes, parts)
-            waiting.clear()
-            return _dealt([(i, 0, b"", b - a, hashes[a:b].tobytes(), logs[a:b].tobytes()) for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a])
-
-        for batch in batches:
-            language, code, p0, p1 = (c.to_numpy() for c in batch.columns)
-            if len(code):
-                waiting.append((_hashes(code, language), np.log2(np.stack([p0, p1], 1)).astype(np.float32)))
-            if sum(len(x) for x, _ in waiting) >= PART:
-                yield summed()
-        if waiting:
-            yield summed()
-
-    return table.mapInArrow(run, _DEALT)
 
+def score(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Per row: its base counts, length, language, key and bits a character by the other half's model.
 
-def _document_parts(rows: DataFrame, parts: int) -> DataFrame:
-    """Kind 1: hashes of a slice's n-grams in order, how often each occurs, and in which documents (with their halves).
-    Kind 2: what is known of the slice's documents without the model."""
+    The most frequent n-grams are a sorted hash array of bounded size that every task has; all others are looked up by a join,
+    in which no n-gram is frequent.
+    """
+    least, keys, logs = _head(table)
+    shared = rows.sparkSession.sparkContext.broadcast((keys, logs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held(None)
+        keys, logs = held(None) or shared.value
+        keys = np.append(keys, np.uint64(0xFFFFFFFFFFFFFFFF))
+        logs = np.append(logs, np.zeros((1, 2), np.float32), 0)
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = texts_of(part)
-                language = part.column(2).to_numpy()
-                counts = base_counts(texts)
+                words = Words(texts)
+                halves = halves_of(words)
+                counts = base_counts(texts, words)
                 codes, sizes = grams_of(texts)
-                known = pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c.astype(np.int64)) for c in counts), pa.array(sizes), part.column(2), part.column(3)], [*_KNOWN])
-                meta = known.serialize().to_pybytes()
-                name = hashlib.blake2b(meta, digest_size=16).digest()
-                out = [(int.from_bytes(name[:4], "little") % parts, 2, name, len(texts), meta, None)]
+                language = part.column(2).to_numpy()
                 hashes = _hashes(codes, np.repeat(language, sizes))
-                order = np.argsort(hashes, kind="stable")
-                hashes = hashes[order]
-                docs = np.repeat(np.arange(len(texts), dtype=np.uint32) << 1 | halves_of(Words(texts)).astype(np.uint32), sizes)[order]
-                starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
-                times = np.diff(np.concatenate([starts, [len(hashes)]])).astype(np.uint32)
-                cuts = _cut(hashes[starts], parts).tolist()
-                ends = np.concatenate([starts, [len(hashes)]])
-                narrow = np.uint16 if len(texts) < 1 << 15 else np.uint32
-                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                    if b > a:
-                        found = docs[ends[a] : ends[b]].astype(narrow)
-                        out.append((i, 1, name, len(texts), hashes[starts[a:b]].tobytes(), _size(b - a) + _size(len(found)) + _size(len(t := _packed(times[a:b]))) + t + _packed(found)))
-                yield _dealt(out)
-
-    return rows.mapInArrow(run, _DEALT)
-
-
-def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of log2 probabilities by document, from rows sorted by part and kind."""
-    held(None)
-    at, model, keys, logs = -1, [], None, None
-    for batch in batches:
-        out = []
-        for part, kind, name, rows, key, more in zip(*(c.to_pylist() for c in batch.columns)):
-            if part != at:
-                at, model, keys = part, [], None
-            if kind == 0:
-                model.append((np.frombuffer(key, np.uint64), np.frombuffer(more, np.float32).reshape(-1, 2)))
-            elif kind == 2:
-                out.append((name, 0, key))
-            else:
-                if keys is None:
-                    keys, logs = (np.concatenate(x) for x in zip(*model))
-                    order = np.argsort(keys)
-                    keys, logs, model = keys[order], logs[order], []
-                n, m, k = (int.from_bytes(more[i : i + 8], "little") for i in (0, 8, 16))
-                times = _raw(more[24 : 24 + k], np.uint32, n)
-                docs = _raw(more[24 + k :], np.uint16 if rows < 1 << 15 else np.uint32, m)
-                place = np.repeat(np.searchsorted(keys, np.frombuffer(key, np.uint64)), times)
-                sums = np.bincount(docs >> 1, logs[place, 1 - (docs & 1)], rows)
-                out.append((name, 1, sums.tobytes()))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.int32(), pa.binary()))], ["slice", "kind", "data"])
-
-
-_KNOWN = {"doc_id": "long", "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "chars": "long", "language": "long", "key": "binary"}
-_SCHEMA = pa.schema([(k, pa.binary() if v == "binary" else pa.int64()) for k, v in _KNOWN.items()])
-
-
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents with bits_per_char, from rows sorted by slice and kind. Slices of equal content share their name."""
-
-    def done(known: list[bytes], sums: np.ndarray | float) -> Iterator[pa.RecordBatch]:
-        for meta in known:
-            batch = pa.ipc.read_record_batch(meta, _SCHEMA)
-            chars = batch.column(6).to_numpy()
-            bits = np.where(chars > 0, -sums / len(known) / np.maximum(chars, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits)], [*_KNOWN, "bits_per_char"])
-
-    held(None)
-    at, known, sums = None, [], 0.0
-    for batch in batches:
-        for name, kind, data in zip(*(c.to_pylist() for c in batch.columns)):
-            if name != at:
-                yield from done(known, sums)
-                at, known, sums = name, [], 0.0
-            if kind == 0:
-                known.append(data)
-            else:
-                sums = sums + np.frombuffer(data)
-    yield from done(known, sums)
-
-
-def score(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """Per row: its base counts, length, language, key and bits a character by the other half's model."""
-    parts = max(24, math.ceil(table.count() / PART))
-    dealt = _model_parts(table, parts).unionByName(_document_parts(rows, parts))
-    sums = dealt.repartition(parts, "part").sortWithinPartitions("part", "kind").mapInArrow(_look_up, "slice binary, kind int, data binary")
-    whole = sums.repartition("slice").sortWithinPartitions("slice", "kind")
-    return whole.mapInArrow(_add_up, ", ".join(f"{k} {v}" for k, v in _KNOWN.items()) + ", bits_per_char double")
+                order = np.argsort(hashes)
+                at = np.empty(len(hashes), np.int64)
+                at[order] = np.searchsorted(keys, hashes[order])
+                known = keys[at] == hashes
+                of = np.repeat(np.arange(len(texts)), sizes)
+                sums = np.bincount(of[known], logs[at[known], 1 - halves[of[known]]], len(texts)).astype(float)
+                rare = np.flatnonzero(~known)
+                ends = np.searchsorted(of[rare], np.arange(len(texts) + 1))
+                tail = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes[rare]))
+                columns = [part.column(0), *(pa.array(c.astype(np.int64)) for c in counts), pa.array(sizes), part.column(2), part.column(3)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(halves), pa.array(sums), tail], [*_KNOWN, "half", "logs", "tail"])
+
+    types = ", ".join(f"{k} {v}" for k, v in _KNOWN.items())
+    found = rows.mapInArrow(run, f"{types}, half long, logs double, tail array<long>").withColumn("row", F.monotonically_increasing_id())
+    found = stored(found, "scored")
+    shared.unpersist()
+    rare = found.select("row", "language", "half", F.explode("tail").alias("code"))
+    other = F.when(F.col("half") == 0, F.col("p1")).otherwise(F.col("p0"))
+    sums = rare.join(table.filter(F.col("n") < least), ["language", "code"]).groupBy("row").agg(F.sum(F.log2(other)).alias("rare"))
+    bits = -(F.col("logs") + F.coalesce("rare", F.lit(0.0))) / F.greatest("chars", F.lit(1))
+    return found.join(sums, "row", "left").select(*_KNOWN, bits.alias("bits_per_char"))
 
 
 @dataclass
@@ -544,9 +562,9 @@ def count_words(texts: list[str]) -> np.ndarray:
     return np.diff(np.searchsorted(begins, offsets))
 
 
-def base_counts(texts: list[str]) -> tuple[np.ndarray, ...]:
+def base_counts(texts: list[str], words: Words | None = None) -> tuple[np.ndarray, ...]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text."""
-    words = Words(texts)
+    words = words or Words(texts)
     n_words = np.diff(words.first)
     raw, offsets = words.raw, words.offsets
     sums = np.concatenate([[0], np.cumsum(_IN_WORD[raw])])

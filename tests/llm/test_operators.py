@@ -202,6 +202,80 @@ def test_kneser_ney(spark):
         assert model.bits_per_character([t], np.array([0]))[0] == pytest.approx(-sum(want) / len(want), rel=1e-4)
 
 
+def brute_bits(rows):
+    """Bits a character of (text, language, half) rows by six-character models of the other half, from dictionaries."""
+    fold = lambda c: ord(c) if ord(c) < 768 else 768 + ord(c) % 256
+    codes = [[10] * 5 + [fold(c) for c in t] for t, _, _ in rows]
+    models = {}
+    for lang in {k for _, k, _ in rows}:
+        for half in (0, 1):
+            counts = [collections.Counter() for _ in range(7)]
+            for (t, k, h), c in zip(rows, codes):
+                if k == lang and h == half:
+                    counts[6].update(tuple(c[i - 5 : i + 1]) for i in range(5, len(c)))
+            for n in range(5, 0, -1):
+                counts[n].update(g[1:] for g in counts[n + 1])
+            cuts, totals, left = [], [], []
+            for n, found in enumerate(counts):
+                k = [sum(v == c for v in found.values()) for c in (1, 2, 3, 4)]
+                d = [0.5, 0.75, 0.9]
+                if k[0] and k[1]:
+                    y = k[0] / (k[0] + 2 * k[1])
+                    d = [min(max(c + 1 - (c + 2) * y * (k[c + 1] / k[c] if k[c] else 0), 0.1), c + 0.95) for c in range(3)]
+                cuts.append([0, *d])
+                totals.append(collections.Counter())
+                left.append(collections.Counter())
+                for g, v in found.items():
+                    totals[n][g[:-1]] += v
+                    left[n][g[:-1]] += cuts[n][min(v, 3)]
+            models[lang, half] = counts, cuts, totals, left
+
+    def p(model, gram):
+        if not gram:
+            return 2.0**-10
+        counts, cuts, totals, left = model
+        n, total = len(gram), totals[len(gram)][gram[:-1]]
+        lower = p(model, gram[1:])
+        c = counts[n][gram]
+        return (c - cuts[n][min(c, 3)] + left[n][gram[:-1]] * lower) / total if total else lower
+
+    out = []
+    for (t, k, h), c in zip(rows, codes):
+        out.append(-sum(math.log2(p(models[k, 1 - h], tuple(c[i - 5 : i + 1]))) for i in range(5, len(c))) / max(len(t), 1))
+    return out
+
+
+@pytest.mark.parametrize("head", [1 << 21, 40, 0])
+def test_bits_and_verdicts_are_those_of_dictionaries(spark, monkeypatch, head):
+    """The scores of every row, and the verdicts that follow from them, wherever the probabilities are looked up."""
+    monkeypatch.setattr(quality, "HEAD", head)
+    monkeypatch.setattr(quality, "HELD", 500)
+    r = random.Random(3)
+    words = ["the", "of", "tion", "er", "Straße", "日本語", "вода", "x1", "🙂"]
+    texts = [" ".join(r.choice(words) for _ in range(r.choice([3, 60, 75]))) for _ in range(50)] + ["", "a", None, "zq " * 70]
+    texts += texts[:3]
+    langs = [("xx", "yy", None)[i % 3] for i in range(len(texts))]
+    table = docs(spark, [{"doc_id": i, "text": t, "lang": k, "source": "s", "n_chars": 0} for i, (t, k) in enumerate(zip(texts, langs))])
+    got = {x["doc_id"]: x for x in quality.quality(table).collect()}
+    assert len(got) == len(texts)
+    halves = quality.halves_of(common.Words([t or "" for t in texts])).tolist()
+    want = brute_bits(list(zip([t or "" for t in texts], langs, halves)))
+    for i, bits in enumerate(want):
+        assert got[i]["bits_per_char"] == pytest.approx(bits, rel=1e-5), i
+    rules = quality.Rules()
+    for lang in set(langs):
+        bins = sorted(math.floor(want[i] / quality.BIN) * quality.BIN for i in got if langs[i] == lang and got[i]["n_words"] >= 50)
+        low, middle, high = (float(np.percentile(bins, q)) for q in (25, 50, 75))
+        for i in got:
+            if langs[i] == lang:
+                reach = max(high - low, rules.least_width) * max(1, rules.usual_chars / max(len(texts[i] or ""), 1)) ** 0.5
+                off = (want[i] - middle) / reach
+                limit = rules.above_widths * (1 + 13 / len(bins) ** 0.5)
+                if min(abs(off + rules.below_widths), abs(off - limit)) > 1e-6:
+                    assert got[i]["kept"] == (not got[i]["base_failed"] and -rules.below_widths <= off <= limit)
+    assert any(x["kept"] for x in got.values())
+
+
 def test_quality(spark):
     table = messy(spark)
     model = quality.train(table)
