@@ -65,7 +65,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(_table(spark, sf_dir, "documents"))
+    return secrets.scan(_table(spark, sf_dir, "documents"), vocabulary="word_bpe_49k.json")
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

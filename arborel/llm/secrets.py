@@ -10,14 +10,17 @@ unless a base span already covers them.
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborel.llm.common import over_texts, texts_of
+from arborel.llm.common import held, over_texts, texts_of
+from arborel.llm.encoders import resolve
 
 # The patterns of the base kinds, in the order in which equal starts are listed.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -50,19 +53,48 @@ username email address phone contact please enter choose create keep safe secure
 variable variables config configuration settings file files path directory local remote production development staging testing
 correct horse battery staple""".split()
 _RANK = {w: i + 2 for i, w in enumerate(WORDS)}
-_LONGEST_WORD = max(map(len, WORDS))
 #: Letters that digits and signs often stand for.
 _LEET = str.maketrans("4@301!$57", "aaeoiisst")
-_KEYBOARD = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890")
+_KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 _NEXT = {(a, b) for row in _KEYBOARD for p, q in zip(row, row[1:]) for a, b in ((p, q), (q, p))}
-_NEXT |= {(a, b) for upper, lower in zip(("1234567890", *_KEYBOARD), _KEYBOARD) for p, q in zip(upper, lower) for a, b in ((p, q), (q, p))}
+_NEXT |= {(a, b) for upper, lower in zip(_KEYBOARD, _KEYBOARD[1:]) for p, q in zip(upper, lower) for a, b in ((p, q), (q, p))}
 _DATE = re.compile(r"(?:19|20)\d\d([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/.]?)(?:0?[1-9]|1[0-2])\2(?:19|20)?\d\d|(?:19|20)\d\d")
 
 #: Guesses (power of ten) from which a value counts as a secret, and the shortest value looked at.
 COST = 10.0
 LEAST = 6
-#: Longest segment other than a brute-force span, so that time grows in proportion to a value's length.
-SEGMENT = 32
+#: Longest unit of a repeat; words and keys that are written twice are longer and count as what they are.
+UNIT = 4
+#: From this length on, what repeats, walks and runs may start at is decided by their first NEAR characters.
+NEAR = 32
+#: A longer value is first tried by so many of its characters, which mostly tell that it costs enough.
+PROBE = 2048
+_CHOICE = math.log10(4)
+
+
+def ranked_words(vocabulary: str | None) -> dict[str, int]:
+    """Guess counts of words: WORDS in their order, then the whole words of a vocabulary with word ends, in the order of its ids."""
+    ranks = dict(_RANK)
+    if vocabulary:
+        with open(resolve(vocabulary), encoding="utf-8") as f:
+            ids = json.load(f)["model"]["vocab"]
+        for token in sorted(ids, key=ids.get):
+            word = token.removesuffix("</w>")
+            if word != token and len(word) >= 3 and word.isalpha():
+                ranks.setdefault(word, len(ranks) + 2)
+    return ranks
+
+
+class Words:
+    """Ranks of words, and what tells quickly that no word ends with two characters."""
+
+    def __init__(self, ranks: dict[str, int]):
+        self.ranks = ranks
+        self.longest = max(map(len, ranks), default=0)
+        self.endings = {w[-2:] for w in ranks}
+
+
+_COMMON = Words(_RANK)
 
 
 def _spread(c: str) -> float:
@@ -70,54 +102,128 @@ def _spread(c: str) -> float:
     return 1.0 if c.isdigit() else math.log10(26) if c.isalpha() else math.log10(33)
 
 
-def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
+def _repeats(value: str) -> list[tuple[int, int, int]]:
+    """(start, end, unit) of the longest stretches of at least two equal units; those of a multiple of a shorter unit are left out."""
+    points = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), np.uint32)
+    found: dict[int, tuple[list[int], list[int]]] = {}
+    for unit in range(1, min(UNIT, len(points) // 2) + 1):
+        same = np.concatenate([[False], points[unit:] == points[:-unit], [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        starts, ends = edges[0::2], edges[1::2] + unit
+        long = (ends - starts >= max(3, 2 * unit))
+        starts, ends = starts[long], ends[long]
+        for u, (s, e) in found.items():
+            if unit % u == 0 and s:
+                at = np.searchsorted(s, starts, side="right") - 1
+                apart = (at < 0) | (np.asarray(e)[at] < ends)
+                starts, ends = starts[apart], ends[apart]
+        found[unit] = starts.tolist(), ends.tolist()
+    return [(a, b, unit) for unit, (s, e) in found.items() for a, b in zip(s, e)]
+
+
+class _Stretch:
+    """A repeat, walk or run that began at ``start``: the cheapest way to a place from any place within it.
+
+    Its price grows with the logarithm of its length, a new segment costs at least four guesses more. So once it is long,
+    only starts among its first NEAR characters that are hardly dearer than the first can be the best.
+    """
+
+    def __init__(self, start: int, step: int, least: int, price: float):
+        self.start, self.step, self.least, self.price = start, step, least, price
+        self.few: list[int] | None = None
+
+    def cost(self, best: list[float], i: int) -> float:
+        size = i - self.start
+        if size < 2 * NEAR + self.least:
+            starts = range(i - self.least, self.start - 1, -self.step)
+        else:
+            if self.few is None:
+                limit = best[self.start] + 0.5
+                self.few = [j for j in range(self.start, self.start + NEAR + self.step) if best[j] <= limit]
+            starts = [j for j in self.few if (i - j) % self.step == 0]
+        return min((best[j] + math.log10((i - j) // self.step) for j in starts), default=math.inf) + self.price
+
+
+def guess_cost(value: str, words: Words | None = None, enough: float = math.inf) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs; 0 for an empty value.
 
     Costs of segments multiply. A brute-force span costs its alphabet to the power of its
-    length; every other segment adds one choice of kind and place.
+    length; every other segment adds one choice of kind and place. Where the whole is sure to cost
+    ``enough``, the search ends there with a cost of at least that.
     """
-    ranks = _RANK if words is None else words
-    longest = _LONGEST_WORD if words is None else max(map(len, ranks), default=0)
+    if len(value) > 2 * PROBE and enough < math.inf:
+        cost, sure = _cheapest(value[:PROBE], words or _COMMON, enough)
+        if sure:
+            return cost
+    return _cheapest(value, words or _COMMON, enough)[0]
+
+
+def _cheapest(value: str, words: Words, enough: float) -> tuple[float, bool]:
+    """The cost, and whether the search ended before the value did, at a place that any longer value costs as much."""
+    ranks, longest, endings = words.ranks, words.longest, words.endings
     low = value.lower()
     if len(low) != len(value):
         low = value
     plain = low.translate(_LEET)
     n = len(value)
-    choice = math.log10(4)
     best = [0.0] + [math.inf] * n
-    walks = [0] * (n + 1)  # length of the keyboard walk, and of the run of neighbouring code points, that ends here
-    runs = [0] * (n + 1)
-    for i in range(1, n + 1):
-        walks[i] = walks[i - 1] + 1 if i > 1 and (low[i - 2], low[i - 1]) in _NEXT else 1
-        step = ord(value[i - 1]) - ord(value[i - 2]) if i > 1 else 0
-        runs[i] = (runs[i - 1] + 1 if i > 2 and runs[i - 1] >= 2 and step == ord(value[i - 2]) - ord(value[i - 3]) else 2) if abs(step) == 1 else 1
+    begins: dict[int, list[tuple[int, int, int]]] = {}
+    for a, b, unit in _repeats(value):
+        begins.setdefault(a + max(3, 2 * unit), []).append((a, b, unit))
+    repeats: list[tuple[int, _Stretch]] = []
+    walk = run = None
+    steps = 0
+    reach = max(longest, 10)
+    i = 0
+    while i < n:
+        i += 1
         cost = best[i - 1] + _spread(value[i - 1])
-        for size in range(2, min(SEGMENT, i) + 1):
-            j = i - size
-            found = math.inf
-            if size <= longest:
+        if i > 1:
+            if (low[i - 2], low[i - 1]) not in _NEXT:
+                walk = None
+            elif walk is None:
+                walk = _Stretch(i - 2, 1, 3, math.log10(160) + _CHOICE)
+            step = ord(value[i - 1]) - ord(value[i - 2])
+            if abs(step) != 1:
+                run = None
+            elif run is None or step != steps:
+                run = _Stretch(i - 2, 1, 3, math.log10(20) + _CHOICE)
+            steps = step
+        for a, b, unit in begins.get(i, ()):
+            repeats += [(b, _Stretch(a + k, unit, max(3, 2 * unit) if unit > 1 else 3, sum(map(_spread, value[a + k : a + k + unit])) + _CHOICE)) for k in range(unit)]
+        repeats = [r for r in repeats if r[0] >= i]
+        for stretch in (walk, run, *(r for _, r in repeats)):
+            if stretch is not None and i - stretch.start >= stretch.least:
+                cost = min(cost, stretch.cost(best, i))
+        if low[max(0, i - 2) : i] in endings or plain[max(0, i - 2) : i] in endings:
+            for size in range(2, min(longest, i) + 1):
+                j = i - size
                 part = low[j:i]
-                rank = ranks.get(part)
-                extra = 0.0
-                if rank is None and (rank := ranks.get(plain[j:i])) is not None:
-                    extra = math.log10(4)
+                rank, extra = ranks.get(part), _CHOICE
+                if rank is None:
+                    rank = ranks.get(plain[j:i])
+                    extra += math.log10(4)
                 if rank is not None:
                     if value[j:i] != part:
                         extra += math.log10(2 if value[j].isupper() or value[j:i].isupper() else size * 2)
-                    found = math.log10(rank) + extra
-            if size <= 10 and value[j].isdigit() and value[i - 1].isdigit() and _DATE.fullmatch(value, j, i):
-                found = min(found, math.log10(365 * 60 if size > 4 else 120))
-            if size >= 3 and walks[i] >= size:
-                found = min(found, math.log10(40 * size * 4))
-            if size >= 3 and runs[i] >= size:
-                found = min(found, math.log10(20 * size))
-            for unit in (1, 2, 3, 4):
-                if size >= max(3, 2 * unit) and size % unit == 0 and value[j : i - unit] == value[j + unit : i]:
-                    found = min(found, sum(_spread(c) for c in value[j : j + unit]) + math.log10(size // unit))
-            if best[j] + found + choice < cost:
-                cost = best[j] + found + choice
+                    cost = min(cost, best[j] + math.log10(rank) + extra)
+        if value[i - 1].isdigit():
+            for size in range(3, min(10, i) + 1):
+                j = i - size
+                if value[j].isdigit() and _DATE.fullmatch(value, j, i):
+                    cost = min(cost, best[j] + math.log10(365 * 60 if size > 4 else 120) + _CHOICE)
         best[i] = cost
-    return best[n]
+        # every way on passes one of the last places, or one within a stretch that is open here; looked at more rarely the longer it takes
+        if cost >= enough and (i <= 2 * NEAR or i & (i - 1) == 0) and min(best[max(0, i - reach) : i + 1]) >= enough:
+            opened = [s.start for s in (walk, run) if s is not None] + [a for found in begins.values() for a, b, _ in found if a < i < b]
+            if not opened or min(best[min(opened) : i + 1]) >= enough:
+                return cost, True
+        # no cut deep within a long repeat is better than one near its ends
+        for b, stretch in repeats:
+            if i - stretch.start > 6 * NEAR and b - i > reach + 6 * NEAR:
+                i = b - reach - 4 * NEAR
+                break
+    return best[n], False
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -132,7 +238,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]], cost: float = COST) -> list[tuple[int, int, int]]:
+def guess_spans(text: str, base: list[tuple[int, int, int]], cost: float = COST, words: Words | None = None) -> list[tuple[int, int, int]]:
     """Values in credential contexts that are in no base span and cost ``cost`` or more to guess."""
     low = text.lower()
     if not any(w in low for w in ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")):
@@ -145,7 +251,7 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], cost: float = COST)
             continue
         if any(a <= start and end <= b for a, _, b in base):
             continue
-        if guess_cost(value) >= cost:
+        if guess_cost(value, words, cost) >= cost:
             out.append((start, 3, end))
     return out
 
@@ -154,19 +260,22 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def scan(docs: DataFrame, cost: float = COST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, cost: float = COST, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans.
 
+    ``vocabulary`` names a vocabulary file with word ends, whose words the dictionary has besides WORDS.
+
     Spans are ``kind:start:end`` in code points, by start, then kind as listed, comma-joined.
     Null and empty texts have no spans; rows that repeat are scanned each.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = held(("words", vocabulary), lambda: Words(ranked_words(vocabulary)))
         rows = []
         for t in texts_of(batch):
             base = base_spans(t)
             kinds = [k for _, k, _ in base]
-            more = guess_spans(t, base, cost)
+            more = guess_spans(t, base, cost, words)
             rows.append((kinds.count(0), kinds.count(1), kinds.count(2), len(more), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(sorted(base + more))))
         columns = list(zip(*rows)) or [()] * 6
         types = [pa.int64()] * 4 + [pa.string()] * 2
