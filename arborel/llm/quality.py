@@ -10,7 +10,8 @@ A model of open size knows by heart what it was trained on, so documents are dea
 each is scored by the counts of the other half. The half follows from the text alone (the least hash of
 its five-word shingles), so that copies and most near copies fall into one.
 
-A document is scored by its bits a character. Each language's band lies around the median of
+A document is scored by its bits for each letter or digit, so that signs and blanks, however well the model
+foresees them, make it dearer than plain words. Each language's band lies around the median of
 its documents, so many quartile widths below and above; documents outside it are rejected.
 
 Null and empty texts have no words and fail the base rule. Rows whose language is null are one more
@@ -45,9 +46,9 @@ BITS = 10
 #: N-grams that a task holds before it sums them.
 HELD = 1 << 22
 #: Most frequent n-grams that every task has, at 16 bytes each; others are joined.
-HEAD = 1 << 21
+HEAD = 1 << 20
 
-#: Bits a character are counted in bins of this width to find medians and quartiles.
+#: Bits a letter are counted in bins of this width to find medians and quartiles.
 BIN = 0.005
 #: Documents with fewer words say little about their language's usual perplexity.
 LEAST_WORDS = 50
@@ -255,6 +256,19 @@ def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes[keep], sizes
 
 
+_LETTER: list[np.ndarray] = []
+
+
+def letters_of(texts: list[str]) -> np.ndarray:
+    """Letters, digits and the marks on them in each text."""
+    if not _LETTER:
+        _LETTER.append(np.fromiter((c.isalnum() or unicodedata.category(c)[0] == "M" for c in map(chr, range(0x110000))), bool, 0x110000))
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sums = np.concatenate([[0], np.cumsum(_LETTER[0][points])])
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    return np.diff(sums[ends], prepend=0)
+
+
 def halves_of(words: Words) -> np.ndarray:
     """0 or 1 for each text: a bit of the least hash of its five-word shingles, or of its words if it has fewer."""
     out = np.zeros(len(words.first) - 1, np.int64)
@@ -471,11 +485,11 @@ def _head(table: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
     return (1 << least if least else 0), keys[order], logs[order]
 
 
-_KNOWN = {"doc_id": "long", "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "chars": "long", "language": "long", "key": "binary"}
+_KNOWN = {"doc_id": "long", "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "chars": "long", "letters": "long", "language": "long", "key": "binary"}
 
 
 def score(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """Per row: its base counts, length, language, key and bits a character by the other half's model.
+    """Per row: its base counts, length, language, key and bits a letter by the other half's model.
 
     The most frequent n-grams are a sorted hash array of bounded size that every task has; all others are looked up by a join,
     in which no n-gram is frequent.
@@ -505,7 +519,7 @@ def score(rows: DataFrame, table: DataFrame) -> DataFrame:
                 rare = np.flatnonzero(~known)
                 ends = np.searchsorted(of[rare], np.arange(len(texts) + 1))
                 tail = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes[rare]))
-                columns = [part.column(0), *(pa.array(c.astype(np.int64)) for c in counts), pa.array(sizes), part.column(2), part.column(3)]
+                columns = [part.column(0), *(pa.array(c.astype(np.int64)) for c in counts), pa.array(sizes), pa.array(letters_of(texts)), part.column(2), part.column(3)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(halves), pa.array(sums), tail], [*_KNOWN, "half", "logs", "tail"])
 
     types = ", ".join(f"{k} {v}" for k, v in _KNOWN.items())
@@ -515,8 +529,8 @@ def score(rows: DataFrame, table: DataFrame) -> DataFrame:
     rare = found.select("row", "language", "half", F.explode("tail").alias("code"))
     other = F.when(F.col("half") == 0, F.col("p1")).otherwise(F.col("p0"))
     sums = rare.join(table.filter(F.col("n") < least), ["language", "code"]).groupBy("row").agg(F.sum(F.log2(other)).alias("rare"))
-    bits = -(F.col("logs") + F.coalesce("rare", F.lit(0.0))) / F.greatest("chars", F.lit(1))
-    return found.join(sums, "row", "left").select(*_KNOWN, bits.alias("bits_per_char"))
+    bits = -(F.col("logs") + F.coalesce("rare", F.lit(0.0))) / F.greatest("letters", F.lit(1))
+    return found.join(sums, "row", "left").select(*_KNOWN, bits.alias("bits_per_letter"))
 
 
 @dataclass
@@ -535,7 +549,7 @@ def train(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str
     rows = _rows(docs, doc_id, text, lang)
     counts = stored(count_grams(rows), "counts")
     scores = stored(score(rows, probabilities(counts)), "scores")
-    usual = scores.filter(F.col("n_words") >= rules.least_words).withColumn("bin", F.floor(F.col("bits_per_char") / BIN) * BIN)
+    usual = scores.filter(F.col("n_words") >= rules.least_words).withColumn("bin", F.floor(F.col("bits_per_letter") / BIN) * BIN)
     bands = usual.groupBy("language").agg(F.percentile("bin", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.count(F.lit(1)).alias("n"))
     width = F.greatest(F.col("q")[2] - F.col("q")[0], F.lit(rules.least_width))
     bands = bands.select("language", F.col("q")[1].alias("middle"), width.alias("width"), (1 + 13 / F.sqrt("n")).alias("unsure"))
@@ -595,7 +609,7 @@ def base_counts(texts: list[str], words: Words | None = None) -> tuple[np.ndarra
     return n_words, word_chars, n_symbols, dup, n_repeat
 
 
-VERDICT = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "base_failed": "boolean", "bits_per_char": "double", "kept": "boolean"}
+VERDICT = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "base_failed": "boolean", "bits_per_letter": "double", "kept": "boolean"}
 
 
 def _verdicts(docs: DataFrame, model: Trained, doc_id: str, text: str, lang: str) -> DataFrame:
@@ -608,13 +622,13 @@ def _verdicts(docs: DataFrame, model: Trained, doc_id: str, text: str, lang: str
         scores = score(rows, probabilities(counts))
     failed = (F.col("n_words") < rules.least_words) | (100 * F.col("n_repeat_words") > rules.most_repeated * F.col("n_words"))
     reach = F.col("width") * F.sqrt(F.greatest(F.lit(1.0), rules.usual_chars / F.greatest(F.col("chars"), F.lit(1))))
-    above = (F.col("bits_per_char") - F.col("middle")) / reach
+    above = (F.col("bits_per_letter") - F.col("middle")) / reach
     inside = F.coalesce(above.between(-rules.below_widths, rules.above_widths * F.col("unsure")), F.lit(True))
     return scores.join(model.bands, "language", "left").withColumns({"base_failed": failed, "kept": ~failed & inside})
 
 
 def judge(docs: DataFrame, model: Trained, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Per row: doc_id, the base counts, base_failed, bits_per_char and kept."""
+    """Per row: doc_id, the base counts, base_failed, bits_per_letter and kept."""
     return _verdicts(docs, model, doc_id, text, lang).select("doc_id", *VERDICT)
 
 

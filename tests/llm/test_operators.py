@@ -6,6 +6,8 @@ import math
 import os
 import random
 import re
+import time
+import unicodedata
 import zlib
 
 import numpy as np
@@ -203,7 +205,7 @@ def test_kneser_ney(spark):
 
 
 def brute_bits(rows):
-    """Bits a character of (text, language, half) rows by six-character models of the other half, from dictionaries."""
+    """Bits a letter of (text, language, half) rows by six-character models of the other half, from dictionaries."""
     fold = lambda c: ord(c) if ord(c) < 768 else 768 + ord(c) % 256
     codes = [[10] * 5 + [fold(c) for c in t] for t, _, _ in rows]
     models = {}
@@ -241,7 +243,7 @@ def brute_bits(rows):
 
     out = []
     for (t, k, h), c in zip(rows, codes):
-        out.append(-sum(math.log2(p(models[k, 1 - h], tuple(c[i - 5 : i + 1]))) for i in range(5, len(c))) / max(len(t), 1))
+        out.append(-sum(math.log2(p(models[k, 1 - h], tuple(c[i - 5 : i + 1]))) for i in range(5, len(c))) / max(sum(x.isalnum() or unicodedata.category(x)[0] == 'M' for x in t), 1))
     return out
 
 
@@ -261,7 +263,7 @@ def test_bits_and_verdicts_are_those_of_dictionaries(spark, monkeypatch, head):
     halves = quality.halves_of(common.Words([t or "" for t in texts])).tolist()
     want = brute_bits(list(zip([t or "" for t in texts], langs, halves)))
     for i, bits in enumerate(want):
-        assert got[i]["bits_per_char"] == pytest.approx(bits, rel=1e-5), i
+        assert got[i]["bits_per_letter"] == pytest.approx(bits, rel=1e-5), i
     rules = quality.Rules()
     for lang in set(langs):
         bins = sorted(math.floor(want[i] / quality.BIN) * quality.BIN for i in got if langs[i] == lang and got[i]["n_words"] >= 50)
@@ -636,6 +638,64 @@ def test_guess_cost():
     assert secrets.guess_cost(long) < 0.2 * sum(map(secrets._spread, long))
 
 
+def plain_cost(value, words):
+    """The cheapest segmentation by trying every cut, each segment priced from the rules alone."""
+    low = value.lower()
+    rows = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
+    beside = {frozenset(p) for row in rows for p in zip(row, row[1:])} | {frozenset(p) for a, b in zip(rows, rows[1:]) for p in zip(a, b)}
+    beside = {p for p in beside if len(p) == 2}
+    spread = lambda c: 1.0 if c.isdigit() else math.log10(26 if c.isalpha() else 33)
+    leet = str.maketrans("4@301!$57", "aaeoiisst")
+
+    def price(j, i):
+        part, small, size = value[j:i], low[j:i], i - j
+        found = [math.inf]
+        for form, more in ((small, 0.0), (small.translate(leet), math.log10(4))):
+            if form in words and size >= 2 and not (more and small in words):
+                case = 0.0 if part == small else math.log10(2 if part[0].isupper() or part.isupper() else 2 * size)
+                found.append(math.log10(words[form]) + more + case)
+        if re.fullmatch(r"(19|20)\d\d([-/.]?)(0[1-9]|1[0-2])\2(0[1-9]|[12]\d|3[01])|(0?[1-9]|[12]\d|3[01])([-/.]?)(0?[1-9]|1[0-2])\6((19|20)?\d\d)|(19|20)\d\d", part):
+            found.append(math.log10(365 * 60 if size > 4 else 120))
+        if size >= 3 and all(frozenset(p) in beside and p[0] != p[1] for p in zip(small, small[1:])):
+            found.append(math.log10(160 * size))
+        steps = {ord(b) - ord(a) for a, b in zip(part, part[1:])}
+        if size >= 3 and steps in ({1}, {-1}):
+            found.append(math.log10(20 * size))
+        for unit in range(1, min(secrets.UNIT, size // 2) + 1):
+            if size >= 3 and size % unit == 0 and part == part[:unit] * (size // unit):
+                found.append(sum(map(spread, part[:unit])) + math.log10(size // unit))
+        return min(found) + math.log10(4)
+
+    best = [0.0]
+    for i in range(1, len(value) + 1):
+        best.append(min([best[i - 1] + spread(value[i - 1])] + [best[j] + price(j, i) for j in range(i - 1)]))
+    return best[-1]
+
+
+def test_guess_cost_is_the_least_of_all_segmentations():
+    words = secrets.Words(dict(secrets._RANK))
+    r = random.Random(16)
+    bits = ["pass", "word", "P4ss", "12", "qwe", "rty", "uio", "a", "Z", "!", "1999", "xx", "dragon", "aaaa", "abcabc", "31.12.1987", "zyx", "k9!", "edcvfr", "abcdefghij"]
+    values = ["".join(r.choice(bits) for _ in range(r.randint(1, 8))) for _ in range(250)]
+    values += ["1" * 100, "*" * 150, "abcde" * 30, "x" + "qwertyuioiuytrewq" * 6 + "y", "".join(map(chr, range(0x4E00, 0x4E00 + 130))) + "a", "pass" + "s" * 90, "ababab" + "a" * 80 + "ab" * 40, "k9!x2" * 25, "aab" * 40]
+    for value in values:
+        assert secrets.guess_cost(value, words) == pytest.approx(plain_cost(value, words.ranks), abs=1e-9), value
+        for enough in (3.0, 10.0):
+            assert (secrets.guess_cost(value, words, enough) >= enough) == (plain_cost(value, words.ranks) >= enough), value
+
+
+def test_masks_and_long_values():
+    for text in ("secret: " + "*" * 500, "password: '" + "1" * 4000 + "'", "pwd=" + "ab" * 300):
+        assert secrets.guess_spans(text, []) == [], text[:20]
+    began = time.perf_counter()
+    for value in ("k9!qZ" + "x7" * 1_000_000, "a" * 2_000_000, "".join(random.Random(1).choices("abcdefghjkmnp23456789", k=2_000_000))):
+        secrets.guess_spans("pwd=" + value, [])
+        secrets.base_spans(value)
+    assert time.perf_counter() - began < 60
+    ranks = secrets.ranked_words("word_bpe_49k.json")
+    assert len(ranks) > 20_000 and ranks["password"] == 2 and secrets.guess_cost("household", secrets.Words(ranks)) < 6
+
+
 # 9 mixing
 
 
