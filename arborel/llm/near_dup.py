@@ -16,18 +16,25 @@ the whole signatures; members that have been reached are skipped from then on. A
 members gives at most n - 1 links, however many of its pairs collide.
 
 The links give candidate clusters. Their documents' sets are built again from the texts, each
-is sent to its cluster once, and there every pair that could matter is confirmed on the full
+is sent to its cluster, and there every pair that could matter is confirmed on the full
 sets: pairs whose documents are linked already are skipped, all others with enough collisions
-are compared. Lists and clusters larger than GROUP are dealt in blocks, and each pair of
-blocks is a task of its own, so nothing unbounded meets in one task and no pair is lost.
+are compared.
+
+Lists and clusters beyond GROUP members or GROUP_BYTES are contracted first: their members are
+dealt at random into blocks, and what is linked within the blocks joins them into parts. What is
+left are pairs of different parts. Each member outside a list's largest part meets all others,
+each pair of blocks in a task of its own; pairs within the largest part need no look. A family of
+n near copies so costs rows in proportion to n, nothing unbounded meets in one task, and no pair
+is lost.
 
 Two documents whose Jaccard similarity is at least 0.85 agree in 54 of 64 coordinates on
 average and in fewer than MATCHES = 40 with a probability below 2e-6.
 
 Null and empty texts, and texts without words, have an empty set and are linked with nothing. A
 text of one to four words has one shingle, the whole sequence. Each row has the component of its
-own text, also where rows have equal ids. A row without doc_id belongs to no component and is
-kept. Extra columns do not matter.
+own text, also where rows have equal ids; a component is named by its least doc_id, so two may
+bear one name where ids repeat. A row without doc_id belongs to no component and is kept. Extra
+columns do not matter.
 """
 
 from __future__ import annotations
@@ -47,8 +54,9 @@ from arborel.llm.components import Forest, components
 
 COORDINATES = 64
 MATCHES = 40
-#: Members of a list or cluster that one task holds from one side.
+#: Members of a list or cluster that one task holds from one side, and the bytes of their sets.
 GROUP = 512
+GROUP_BYTES = 1 << 25
 
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -115,7 +123,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _sketches(docs: DataFrame, rule: Similarity, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, n_shingles, digest, signature) of each row; digest and signature are null for an empty set."""
+    """(doc_id, row, n_shingles, digest, signature) of each row; digest and signature are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)
@@ -124,10 +132,15 @@ def _sketches(docs: DataFrame, rule: Similarity, doc_id: str, text: str) -> Data
                 sets = shingle_sets(texts_of(part), rule.words)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 signatures = [signature(s).astype("<u4").tobytes() if len(s) > 1 else None for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())], ["doc_id", "row", "n_shingles", "digest", "signature"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _row(doc_id, text).alias("row"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, row binary, n_shingles long, digest binary, signature binary")
+
+
+def _row(doc_id: str, text: str) -> Column:
+    """What rows of equal id and text have in common, nulls included."""
+    return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("-")), F.coalesce(F.md5(F.col(text).cast("string")), F.lit("-")))))
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +152,33 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(tokens.ravel()), pa.array(np.repeat(reps, COORDINATES))], ["token", "rep"])
 
 
-def _blocks(size: Column, member: Column) -> Column:
-    """Pairs of blocks that a member of a group of ``size`` takes part in, as structs (i, j, side)."""
-    many = F.ceil(size / GROUP).cast("int")
-    own = F.pmod(F.xxhash64(member), many).cast("int")
-    return F.transform(F.sequence(F.lit(0), many - 1), lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), own.alias("block")))
+def _dealt(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def _random_blocks(rows: DataFrame, group: str, blocks: Column, splits: int) -> DataFrame:
+    """Rows with ``i``: one block of the group for each of so many random splits; a group of one block is split once."""
+    each = F.transform(F.sequence(F.lit(0), F.when(blocks > 1, F.lit(splits - 1)).otherwise(F.lit(0))), lambda k: F.pmod(F.xxhash64("node", group, k), blocks).cast("long") * splits + k)
+    return rows.withColumn("i", F.explode(each))
+
+
+def _pairs_left(members: DataFrame, group: str, weight: Column) -> DataFrame:
+    """(group, node, root, i, j, first): for each member the pairs of blocks that it takes part in, ``first`` where it is of block i.
+
+    ``members`` has group, node and root (the part that node is in). Blocks below ``outside`` hold the members outside the
+    group's largest part, the others those of it; pairs of the latter with each other are left out.
+    """
+    parts = members.groupBy(group, "root").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("weight"))
+    most = parts.groupBy(group).agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"), F.sum("weight").alias("weight"))
+    most = most.filter("all > most.n").select(group, F.col("most.root").alias("main"), (F.col("all") - F.col("most.n")).alias("left"), F.col("most.n").alias("n"), (F.col("weight") / F.col("all")).alias("mean"))
+    size = lambda n: F.ceil(F.greatest(n / F.lit(GROUP), n * F.col("mean") / F.lit(GROUP_BYTES))).cast("int")
+    most = most.select(group, "main", size(F.col("left")).alias("outside"), size(F.col("n")).alias("inside"))
+    rows = members.join(most, group).withColumn("is_main", F.col("root") == F.col("main"))
+    own = F.pmod(F.xxhash64("node", group), F.when(F.col("is_main"), F.col("inside")).otherwise(F.col("outside"))).cast("int")
+    own = F.when(F.col("is_main"), F.col("outside") + own).otherwise(own)
+    last = F.when(F.col("is_main"), F.col("outside") - 1).otherwise(F.col("outside") + F.col("inside") - 1)
+    at = F.transform(F.sequence(F.lit(0), last), lambda other: F.struct(F.least(own, other).cast("long").alias("i"), F.greatest(own, other).cast("long").alias("j"), (own <= other).alias("first")))
+    return rows.select(group, "node", "root", F.explode(at).alias("at")).select(group, "node", "root", "at.i", "at.j", "at.first")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Array]]:
@@ -169,18 +204,22 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Ar
         yield [pa.concat_arrays(x) if len(x) > 1 else x[0] for x in zip(*rest)]
 
 
+def _links(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def _collide(matches: int) -> Callable:
-    """Links that join what collides in each list; input columns token, i, j, rep, signature."""
+    """Links that join what collides in each list; input columns token, i, node, signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_out: list[int] = []
         b_out: list[int] = []
         held(None)
-        for reps, signatures in _groups(batches, 3):
-            if len(reps) > 1:
-                reps = reps.to_numpy()
-                values = np.frombuffer(b"".join(blobs(signatures)), np.uint32).reshape(len(reps), COORDINATES)
-                left = np.arange(len(reps))
+        for nodes, signatures in _groups(batches, 2):
+            if len(nodes) > 1:
+                nodes = nodes.to_numpy()
+                values = np.frombuffer(b"".join(blobs(signatures)), np.uint32).reshape(len(nodes), COORDINATES)
+                left = np.arange(len(nodes))
                 while len(left) > 1:
                     # one connected part of the list: from each member reached, on to those not reached yet
                     front, left = [int(left[0])], left[1:]
@@ -191,108 +230,177 @@ def _collide(matches: int) -> Callable:
                             found = left[near]
                             left = left[~near]
                             front += found.tolist()
-                            a_out += [int(reps[x])] * len(found)
-                            b_out += reps[found].tolist()
+                            a_out += [int(nodes[x])] * len(found)
+                            b_out += nodes[found].tolist()
             if len(a_out) >= 1 << 14:
-                yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+                yield _links(a_out, b_out)
                 a_out, b_out = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+        yield _links(a_out, b_out)
 
     return run
 
 
-def _confirm(rule: Similarity) -> Callable:
-    """Links confirmed on full sets; input columns cluster, i, j, block, rep, set."""
+def _collide_apart(matches: int) -> Callable:
+    """Links between members of different parts; input columns token, i, j, node, root, first, signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)
-        for blocks, reps, raw in _groups(batches, 3):
-            blocks, reps = blocks.to_numpy(), reps.to_numpy()
+        for nodes, roots, first, signatures in _groups(batches, 3):
+            nodes, roots, first = nodes.to_numpy(), roots.to_numpy().copy(), first.to_numpy(zero_copy_only=False)
+            values = np.frombuffer(b"".join(blobs(signatures)), np.uint32).reshape(len(nodes), COORDINATES)
+            within = bool(first.all())  # one block with itself, or nothing to compare with
+            a_out, b_out = [], []
+            for x in np.flatnonzero(first).tolist():
+                other = (roots != roots[x]) if within else ~first & (roots != roots[x])
+                near = np.flatnonzero(other)
+                near = near[(values[near] == values[x]).sum(1) >= matches]
+                for y in near.tolist():
+                    if roots[y] != roots[x]:
+                        a_out.append(int(nodes[x]))
+                        b_out.append(int(nodes[y]))
+                        roots[roots == roots[y]] = roots[x]
+            yield _links(a_out, b_out)
+
+    return run
+
+
+def _confirm(rule: Similarity, keys: int) -> Callable:
+    """Links confirmed on full sets; input columns cluster and i, or cluster, i and j; then node, root, first, set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
+        for nodes, roots, first, raw in _groups(batches, keys):
+            nodes, roots, first = nodes.to_numpy(), roots.to_numpy(), first.to_numpy(zero_copy_only=False)
             sets = [np.frombuffer(x, "<u8") for x in blobs(raw)]
+            lengths = np.array([len(s) for s in sets])
             signatures = np.stack([signature(s) for s in sets])
             forest = Forest()
             a_out, b_out = [], []
-            apart = len(np.unique(blocks)) > 1  # two blocks: pairs within one are another task's
+            apart = not first.all()  # two blocks: pairs within one are another task's
             # likely pairs first: once two documents are joined, pairs of their parts need no look
-            order = np.argsort([len(s) for s in sets], kind="stable")
-            member = {int(i): [int(i)] for i in range(len(reps))}
-            for step in range(1, len(reps)):
+            order = np.argsort(lengths, kind="stable")
+            for step in range(1, len(nodes)):
                 x = int(order[step])
                 others = order[:step]
+                others = others[100 * lengths[others] >= rule.percent * lengths[x]]
                 if apart:
-                    others = others[blocks[others] != blocks[x]]
-                sizes = np.array([len(sets[o]) for o in others])
-                others = others[100 * sizes >= rule.percent * len(sets[x])] if len(others) else others
-                if not len(others):
-                    continue
+                    others = others[first[others] != first[x]]
+                others = others[roots[others] != roots[x]]
                 counts = (signatures[others] == signatures[x]).sum(1)
                 near = np.flatnonzero(counts >= rule.matches)
                 for k in near[np.argsort(-counts[near], kind="stable")].tolist():
                     o = int(others[k])
-                    if forest.root(x) != forest.root(o) and similar(sets[x], sets[o], rule.percent):
-                        forest.join(x, o)
-                        a_out.append(int(reps[x]))
-                        b_out.append(int(reps[o]))
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+                    if forest.root(int(roots[x])) != forest.root(int(roots[o])) and similar(sets[x], sets[o], rule.percent):
+                        forest.join(int(roots[x]), int(roots[o]))
+                        a_out.append(int(nodes[x]))
+                        b_out.append(int(nodes[o]))
+            yield _links(a_out, b_out)
 
     return run
 
 
-def _full_sets(rule: Similarity) -> Callable:
+def _full_sets(rule: Similarity, columns: list[str]) -> Callable:
+    """The set of each row's text; rows of texts that have another digest are left out. Input columns: text, digest, then ``columns``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = [s.astype("<u8").tobytes() for s in shingle_sets(texts_of(part), rule.words)]
-                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), pa.array(sets, pa.binary())], ["cluster", "size", "rep", "set"])
+                right = [i for i, (s, d) in enumerate(zip(sets, part.column(1).to_pylist())) if hashlib.blake2b(s, digest_size=16).digest() == d]
+                rest = part.take(pa.array(right, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*rest.columns[2:], pa.array([sets[i] for i in right], pa.binary())], [*columns, "set"])
 
     return run
 
 
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with the root of each node, itself where it has none."""
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def candidate_links(classes: DataFrame, matches: int) -> DataFrame:
-    """(a, b) that connect all classes with enough collisions; ``classes`` has rep and signature."""
-    posted = classes.mapInArrow(_tokens, "token long, rep long")
+    """(node, root) of the parts that all classes with enough collisions form; ``classes`` has node and signature."""
+    posted = classes.mapInArrow(_tokens, "token long, node long")
     frequent = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = posted.join(frequent, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("pairs"))
-    prefix = shared.filter(F.size("pairs") >= matches).select("rep", F.slice("pairs", F.lit(1), F.size("pairs") - (matches - 1)).alias("pairs"))
-    rows = prefix.join(classes, "rep").select("rep", "signature", F.explode("pairs").alias("pair")).select("rep", "signature", F.col("pair.token").alias("token"), F.explode(_blocks(F.col("pair.n"), F.col("rep"))).alias("at"))
-    dealt = rows.select("token", "at.i", "at.j", "rep", "signature").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return dealt.mapInArrow(_collide(matches), "a long, b long")
+    shared = posted.join(frequent, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("pairs"))
+    prefix = shared.filter(F.size("pairs") >= matches).select("node", F.slice("pairs", F.lit(1), F.size("pairs") - (matches - 1)).alias("pairs"))
+    lists = stored(prefix.select("node", F.explode("pairs").alias("pair")).select("node", "pair.token", "pair.n"), "lists")
+    rows = _random_blocks(lists.join(classes, "node"), "token", F.ceil(F.col("n") / GROUP), 1)
+    links = _dealt(rows.select("token", "i", "node", "signature"), ["token", "i"]).mapInArrow(_collide(matches), "a long, b long")
+    parts = components(links)
+    large = lists.filter(F.col("n") > GROUP).select("token", "node")
+    if not large.head(1):
+        return parts
+    left = stored(_pairs_left(_rooted(large, parts), "token", F.lit(4 * COORDINATES)), "left")
+    rows = left.join(classes, "node").select("token", "i", "j", "node", "root", "first", "signature")
+    more = _dealt(rows, ["token", "i", "j"]).mapInArrow(_collide_apart(matches), "a long, b long")
+    return components(more.unionByName(parts.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def confirmed_links(docs: DataFrame, clusters: DataFrame, rule: Similarity) -> DataFrame:
-    """(a, b) that connect all documents of (rep, cluster, size) whose full sets are similar; ``docs`` has doc_id and text."""
-    texts = docs.join(clusters.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", "cluster", "size", F.col("doc_id").alias("rep"))
-    sets = texts.mapInArrow(_full_sets(rule), "cluster long, size long, rep long, set binary")
-    rows = sets.select("cluster", "rep", "set", F.explode(_blocks(F.col("size"), F.col("rep"))).alias("at"))
-    dealt = rows.select("cluster", "at.i", "at.j", "at.block", "rep", "set").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return dealt.mapInArrow(_confirm(rule), "a long, b long")
+    """(node, root) of the parts that documents with similar full sets form; ``docs`` has doc_id and text, ``clusters`` cluster,
+    node, digest, least (a doc_id that has a text of that digest) and weight (bytes of the set)."""
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.col("n") / GROUP, F.col("bytes") / GROUP_BYTES))
+
+    def with_sets(at: DataFrame, columns: list[str]) -> DataFrame:
+        rows = docs.join(at.withColumnRenamed("least", "doc_id"), "doc_id").select("text", "digest", *columns)
+        types = dict(rows.dtypes)
+        return rows.mapInArrow(_full_sets(rule, columns), ", ".join(f"{c} {types[c]}" for c in columns) + ", set binary")
+
+    once = clusters.select("cluster", "node", "digest", "least", F.col("node").alias("root"), F.lit(True).alias("first"))
+    once = _random_blocks(once.join(sizes.select("cluster", blocks.alias("blocks")), "cluster"), "cluster", F.col("blocks"), 2)
+    rows = _dealt(with_sets(once, ["cluster", "i", "node", "root", "first"]), ["cluster", "i"])
+    parts = components(rows.mapInArrow(_confirm(rule, 2), "a long, b long"))
+    large = clusters.join(sizes.filter(blocks > 1).select("cluster"), "cluster")
+    if not large.head(1):
+        return parts
+    left = stored(_pairs_left(_rooted(large.select("cluster", "node", "weight"), parts), "cluster", F.col("weight")), "left")
+    again = left.join(clusters.select("node", "digest", "least"), "node")
+    rows = _dealt(with_sets(again, ["cluster", "i", "j", "node", "root", "first"]), ["cluster", "i", "j"])
+    more = rows.mapInArrow(_confirm(rule, 3), "a long, b long")
+    return components(more.unionByName(parts.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _judged(docs: DataFrame, rule: Similarity, doc_id: str, text: str) -> DataFrame:
+    """Per row of ``docs``: doc_id, row, n_shingles, part (a number of the row's component; null without one) and component_id."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    sketches = stored(_sketches(docs, rule, doc_id, text), "sketches")
+    sets = sketches.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
+    classes = sets.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("signature").alias("signature"), (8 * F.max("n_shingles")).alias("weight"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    links = candidate_links(classes.filter("signature IS NOT NULL").select("node", "signature"), rule.matches)
+    members = links.select(F.col("root").alias("cluster"), "node").unionByName(links.select(F.col("root").alias("cluster"), F.col("root").alias("node")).distinct())
+    clusters = stored(members.join(classes.select("node", "digest", "least", "weight"), "node"), "clusters")
+    parts = _rooted(classes.select("node", "digest", "least"), confirmed_links(rows, clusters, rule))
+    names = parts.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = parts.join(names, "root").select("digest", F.col("root").alias("part"), "component_id")
+    out = sketches.select("doc_id", "row", "n_shingles", "digest").join(found, "digest", "left")
+    mine = F.col("doc_id").isNotNull()
+    return out.select("doc_id", "row", "n_shingles", F.when(mine, F.col("part")).alias("part"), F.when(mine, F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, rule: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept (whether it is the component's least doc_id)."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sketches = stored(_sketches(rows, rule, "doc_id", "text"), "sketches")
-    sets = sketches.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = stored(sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")), "classes")
-    links = components(candidate_links(classes.filter("signature IS NOT NULL").select("rep", "signature"), rule.matches))
-    members = links.select(F.col("root").alias("cluster"), F.col("node").alias("rep")).unionByName(links.select(F.col("root").alias("cluster"), F.col("root").alias("rep")).distinct())
-    sizes = links.groupBy(F.col("root").alias("cluster")).agg((F.count(F.lit(1)) + 1).alias("size"))
-    clusters = members.join(sizes, "cluster")
-    roots = components(confirmed_links(rows, clusters, rule))
-    reps = classes.select("digest", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component"))
-    out = sketches.select("doc_id", "n_shingles", "digest").join(reps, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    found = _judged(docs, rule, doc_id, text)
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, rule: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component of ``docs``, the one with the least doc_id, with all its columns.
+    """One row of each component of ``docs``, one with its least doc_id, with all its columns.
 
-    Of several rows with that id, the one with the least text stays; rows without id stay but for repeats of their text.
+    Of rows of equal id and text one stays, also of those without words or without an id. Rows of equal id whose
+    texts are not near-duplicates are rows of different components, and stay.
     """
-    gone = near_duplicates(docs, rule, doc_id, text).filter("NOT kept").select(F.col("doc_id").alias(doc_id)).distinct()
-    left = docs.join(gone, doc_id, "left_anti")
-    place = fresh(docs, "place")
-    again = Window.partitionBy(doc_id, F.when(F.col(doc_id).isNull(), F.xxhash64(text))).orderBy(text)
-    return left.withColumn(place, F.row_number().over(again)).filter(F.col(place) == 1).drop(place)
+    found = stored(_judged(docs, rule, doc_id, text), "judged")
+    first = found.filter("part IS NOT NULL AND doc_id = component_id").groupBy("part").agg(F.min("row").alias("best"))
+    gone = found.filter("part IS NOT NULL").join(first, "part").filter("row <> best").select("row")
+    twice = found.groupBy("row").count().filter("count > 1").select("row")
+    row, place = fresh(docs, "row"), fresh(docs, "place")
+    rows = docs.withColumn(row, _row(doc_id, text))
+    gone, twice = (x.select(F.col("row").alias(row)).distinct() for x in (gone, twice))
+    single = rows.join(gone.unionByName(twice).distinct(), row, "left_anti")
+    again = rows.join(twice.join(gone, row, "left_anti"), row, "left_semi")
+    again = again.withColumn(place, F.row_number().over(Window.partitionBy(row).orderBy(F.lit(0)))).filter(F.col(place) == 1).drop(place)
+    return single.unionByName(again).select(docs.columns)

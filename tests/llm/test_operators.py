@@ -412,6 +412,43 @@ def test_stage_takes_pairs_from_080(spark):
     assert near_dup.matches_for(80) < near_dup.MATCHES <= near_dup.matches_for(85) + 1
 
 
+def test_rows_of_equal_id_keep_their_texts(spark):
+    """Two texts of one id are two documents: what either is a copy of does not decide about the other."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    a, b = [word() for _ in range(200)], [word() for _ in range(200)]
+    near = [*a[:199], word()]
+    rows = [(3, " ".join(a)), (5, " ".join(near)), (5, " ".join(b)), (9, " ".join(b)), (7, ""), (7, ""), (7, None), (None, " ".join(b)), (None, " ".join(b)), (3, " ".join(a))]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"row": F.lit(1), "part": F.lit(2)})
+    kept = sorted(map(str, near_dup.keep_one(table).select("doc_id", "text").collect()))
+    assert kept == sorted(map(str, spark.createDataFrame([rows[0], rows[2], rows[4], rows[6], rows[7]], "doc_id long, text string").collect()))
+    got = sorted((x["doc_id"], x["component_id"]) for x in near_dup.near_duplicates(table).collect() if x["doc_id"] is not None)
+    assert got == [(3, 3), (3, 3), (5, 3), (5, 5), (7, 7), (7, 7), (7, 7), (9, 5)]
+
+
+def test_large_families_cost_rows_in_proportion(spark, monkeypatch):
+    """A family of near copies and one boilerplate that unlike documents share, far beyond GROUP."""
+    monkeypatch.setattr(near_dup, "GROUP", 16)
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    base = [word() for _ in range(150)]
+    rows = []
+    for _ in range(900):
+        copy = list(base)
+        copy[r.randrange(150)] = word()
+        rows.append(" ".join(copy))
+    rows += [" ".join(base[:110] + [word() for _ in range(40)]) for _ in range(60)]
+    table = list(enumerate(rows))
+    made = []
+    left = near_dup._pairs_left
+    monkeypatch.setattr(near_dup, "_pairs_left", lambda *a: made.append(left(*a)) or made[-1])
+    got = near_dup.near_duplicates(spark.createDataFrame(table, "doc_id long, text string"))
+    assert sorted(((x["doc_id"] is None, x["doc_id"], x["n_shingles"], x["component_id"]) for x in got.collect()), key=str) == brute_components(table)
+    assert len(made) == 2 and sum(m.groupBy("i").count().count() for m in made) < 40
+    # blocks of the family with each other are left out: 57 blocks would make 1,653 pairs in each list
+    assert made[1].select("cluster", "i", "j").distinct().count() < 600
+
+
 def test_near_duplicates_edges(spark):
     assert near_dup.near_duplicates(empty(spark)).count() == 0
     assert near_dup.keep_one(empty(spark)).count() == 0
