@@ -566,6 +566,98 @@ def test_extract_takes_anything():
         html_text.extract(page)
 
 
+ARTICLE = [P * 4, P * 3, P * 5]
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "post has-comments", "main-content tags-page", "entry social", "page search-results", "social", "widget", "promo-story", "notice"])
+@pytest.mark.parametrize("frame", ['<body><nav><a href="/">home</a></nav><div class="{0}">{1}</div><footer>f</footer>', '<body><div id="wrap"><header><h1>Site</h1></header><div class="{0}">{1}</div><div class="rail sidebar"><p>Beside it</p></div></div>', '<form id="aspnetForm"><div class="{0}">{1}</div></form>', "<div>" * 14 + '<div class="{0}">{1}</div>' + "</div>" * 14])
+def test_names_do_not_rule_an_article_out(name, frame):
+    page = frame.format(name, "".join(f"<p>{p}</p>" for p in ARTICLE))
+    text = html_text.extract(page)
+    assert "\n".join(p.strip() for p in ARTICLE) in text and "home" not in text and "Site" not in text
+
+
+def test_long_unclosed_tags_take_linear_time():
+    began = time.perf_counter()
+    for page in ("<svg>" * 100_000, "<svg><math><video>" * 50_000 + "x", "x" * 2_000_000, "<" * 300_000, "<a " * 300_000, "&" * 300_000, "<div><p>word, word</p>" * 30_000):
+        html_text.extract(page)
+    assert time.perf_counter() - began < 30
+
+
+def plain_extract(tree):
+    """The container and its text from a nested (tag, names, children) page, scored by the definition: a paragraph gives
+    its worth to what holds it, half of it to what is above that, and so on."""
+    nodes = []  # path, tag, names, text
+
+    def visit(node, path):
+        tag, names, body = node
+        nodes.append((path, tag, names, body if isinstance(body, str) else None))
+        if not isinstance(body, str):
+            for k, child in enumerate(body):
+                visit(child, (*path, k))
+
+    visit(tree, ())
+    bad = {"sidebar", "comments", "promo"}
+    by = {path: (tag, names) for path, tag, names, _ in nodes}
+    within = lambda path: any(by[path[:k]][0] == "article" for k in range(len(path)))
+
+    def marked(path):
+        """A page's own article may be named after a sidebar, but not after comments or a promotion."""
+        tag, names = by[path]
+        return tag != "body" and names in (bad if tag != "article" or within(path) else bad - {"sidebar"})
+
+    doubtful = lambda path: any(marked(path[:k]) for k in range(len(path) + 1))
+    points = collections.defaultdict(float)
+    for path, tag, _, text in nodes:
+        if text and len(text) >= 25:
+            worth = (1 + text.count(",") + min(len(text) / 100, 3)) * (0.2 if doubtful(path) else 1)
+            for k in range(1, len(path) + 1):
+                points[path[:-k]] += worth / 2 ** (k - 1)
+    best, scored = None, {path for path in points if points[path] > 0}
+    for path, tag, names, text in nodes:
+        if text is None and any(q[: len(path)] == path and t for q, _, _, t in nodes) and (points[path] > 0 or tag == "article"):
+            bonus = 25 * (tag == "article") + 25 * (names in ("content", "post") and tag != "body") + 5 * (tag == "div")
+            points[path] += bonus * (0.2 if doubtful(path) else 1)
+            if best is None or points[path] > points[best]:
+                best = path
+    if best is None:
+        return None
+    inside = any(by[best[:k]][0] == "article" for k in range(len(best) + 1))
+    kept = {best}
+    for path, tag, names, text in nodes:
+        if path and best and path[:-1] == best[:-1] and path != best and by[best][0] != "body":
+            if (path in scored and points[path] >= max(10.0, points[best] * 0.2) and not marked(path)) or (text and not inside and len(text) > 80):
+                kept.add(path)
+    out = []
+    for path, _, _, text in nodes:
+        if text and any(path[:k] in kept and not any(marked(path[:j]) for j in range(k + 1, len(path) + 1)) for k in range(len(path) + 1)):
+            out.append(text)
+    return "\n".join(out)
+
+
+def test_extract_scores_as_a_plain_scorer_does():
+    r = random.Random(5)
+    words = ["Of", "the", "sea,", "and", "old", "harbours", "stood", "long,"]
+
+    def grow(depth):
+        if depth == 0 or r.random() < 0.35:
+            return ("p", "", " ".join(r.choice(words) for _ in range(r.choice([2, 8, 30]))))
+        return (r.choice(["div", "div", "section", "article"]), r.choice(["", "", "", "content", "post", "sidebar", "comments", "promo"]), [grow(depth - 1) for _ in range(r.randint(1, 4))])
+
+    def html_of(node):
+        tag, names, body = node
+        return f"<{tag}" + (f' class="{names}"' if names else "") + ">" + (body if isinstance(body, str) else "".join(map(html_of, body))) + f"</{tag}>"
+
+    looked = 0
+    for _ in range(400):
+        tree = ("body", "", [grow(r.randint(1, 4)) for _ in range(r.randint(1, 4))])
+        want = plain_extract(tree)
+        if want:
+            looked += 1
+            assert html_text.extract(html_of(tree)) == want, html_of(tree)
+    assert looked > 250
+
+
 def test_main_text(spark):
     rows = [(1, "u", "<p>é</p>", 1), (2, None, None, 2), (None, "v", "", 3), (1, "u", "<p>é</p>", 1)]
     got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
