@@ -22,10 +22,12 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary one is set.
+    Only where the session names none and runs on one machine (local tests) a temporary one is set.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="arborel-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -10,7 +10,8 @@ document, and the documents of one source, land apart.
 All of this is DataFrame expressions. What the plan holds grows with the weights given, not
 with the data: sources that are not listed, and null, are one group with the weight ``rest``.
 
-Documents of equal id draw alike. A null id draws as the empty string. A weight of 0 drops a
+Documents of equal id draw alike. A row without id draws by all that it holds, so that only rows equal
+in every column draw alike. A weight of 0 drops a
 source; a listed source without documents leaves its share to the others. Extra columns pass
 through; ``copy`` (from 1) and ``shuffle_key`` get underscores in front where they clash.
 """
@@ -60,15 +61,22 @@ def source_rates(docs: DataFrame, weights: dict[str, float], rest: float = 0.0,
     return {s: n * w / total / counts[s] for s, w in sorted(shares.items(), key=lambda x: str(x[0]))}
 
 
-def copies_of(rates: dict[str | None, float], seed: int, source: str = "source", doc_id: str = "doc_id") -> Column:
-    """Number of copies of a row."""
+def identity(docs: DataFrame, doc_id: str = "doc_id") -> Column:
+    """What a row draws by: its id, or a hash of the row where the id is null."""
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("row "), F.xxhash64(*hashed).cast("string")))
+
+
+def copies_of(rates: dict[str | None, float], seed: int, source: str = "source", draws_by: Column | None = None) -> Column:
+    """Number of copies of a row, drawn by ``draws_by``, usually its id."""
+    draws_by = F.col("doc_id") if draws_by is None else draws_by
 
     def drawn(mean: float) -> Column:
         parts = max(1, math.ceil(mean / LARGEST_MEAN))
         table = F.array(*(F.lit(p) for p in poisson_table(mean / parts)))
 
         def one(i: Column) -> Column:
-            u = (_hashed(F.lit(seed), F.col(doc_id), i) + F.lit(0.5)) / F.lit(16.0**_DIGITS)
+            u = (_hashed(F.lit(seed), draws_by, i) + F.lit(0.5)) / F.lit(16.0**_DIGITS)
             return F.size(F.filter(table, lambda c: c <= u))
 
         if parts == 1:
@@ -94,9 +102,11 @@ def mix(docs: DataFrame, weights: dict[str, float], rest: float = 0.0, seed: int
     if None in rates:
         known[None] = rates[None]
     copy, key = fresh(docs, "copy"), fresh(docs, "shuffle_key")
-    n = copies_of({s: r for s, r in known.items()}, seed, source, doc_id)
-    rows = docs.withColumn(copy, F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))))
-    rows = rows.withColumn(key, _hashed(F.lit(seed), F.col(doc_id), F.col(copy), F.lit("order")))
+    own = identity(docs, doc_id)
+    n = copies_of(known, seed, source, own)
+    held = fresh(docs, "draws_by")
+    rows = docs.withColumn(held, own).withColumn(copy, F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))))
+    rows = rows.withColumn(key, _hashed(F.lit(seed), F.col(held), F.col(copy), F.lit("order"))).drop(held)
     return rows.repartition(key).sortWithinPartitions(key)
 
 
