@@ -3,7 +3,8 @@
 Validated numbers, dates and addresses are replaced by others of the same format, by a keyed
 permutation of all values of that format. Equal values become equal pseudonyms in every
 document and run with the same key, different values of a format become different ones, and
-whoever has the key can undo it.
+whoever has the key can undo it. Without a key the driver draws one at random, so that pseudonyms are
+linked within one run and cannot be undone from this source.
 
     card    13 to 19 digits, plain or in groups, with a right Luhn digit; the new one is right too
     iban    country, two check digits that are right, 11 to 30 letters and digits
@@ -22,17 +23,20 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import os
 import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborel.llm.common import held, slices
+from arborel.llm.common import fresh, held, slices
 
-KEY = b"arborel pseudonyms"
+#: The key where none is given: drawn anew by every driver, so that no reader of this source can undo a pseudonym. Whoever
+#: wants equal pseudonyms in several runs, or to undo them, gives a key.
+KEY = os.urandom(32)
 ROUNDS = 8
 KINDS = ("card", "iban", "ssn", "phone", "ip", "email", "date")
 
@@ -43,16 +47,24 @@ _SHAPES = (
     ("ssn", r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])"),
     ("phone", r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|(?=[ .-]?\d))(?:[ .-]?\d{2,5}){1,5}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])(?!\.\d)"),
     ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w)(?!\.\d)"),
-    ("email", r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"),
+    ("email", r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"),  # what follows the local part
     ("date", r"(?<![\w./-])(?:(?:19|20)\d\d([-/])\d\d\1\d\d|\d\d?([./])\d\d?\2(?:19|20)\d\d)(?![\w/-])(?!\.\d)"),
 )
 _DIGITAL = [(k, re.compile(p, re.A)) for k, p in _SHAPES if k != "email"]
-_EMAIL = re.compile(_SHAPES[5][1], re.A)
+_AT_DOMAIN = re.compile(_SHAPES[5][1], re.A)
+# Characters of a local part besides full stops.
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-"
 _DIGIT_RUN = re.compile(r"\d[\d() ./-]{4}|\d{3}|[A-Z]{2}\d\d", re.A)
 _DAY0 = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _DAY0
 
 
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session names in spark.arborel.pii.key, else the driver's random one."""
+    named = spark.conf.get("spark.arborel.pii.key", None)
+    return named.encode() if named else KEY
+
+
 def permute(value: int, size: int, tweak: str, key: bytes = KEY, back: bool = False) -> int:
     """A keyed permutation of 0..size-1: a Feistel network over the next even number of bits, walked until it is inside."""
     half = max(1, ((size - 1).bit_length() + 1) // 2)
@@ -213,11 +225,26 @@ def _cut(m: re.Match) -> int:
     return end
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of addresses, sought from each at sign: the domain after it, the local part before it, which no
+    other at sign and no address before it is part of. So no character is looked at more than a few times."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        before = text[done:at]
+        local = before[len(before.rstrip(_LOCAL + ".")) :].rpartition("..")[2].lstrip(".")
+        m = _AT_DOMAIN.match(text, at) if local and not local.endswith(".") else None
+        if m:
+            yield at - len(local), m.end()
+        done = m.end() if m else at + 1
+        at = text.find("@", done)
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of candidates by shape, in order and apart from each other."""
     found = []
     if "@" in text:
-        found += [(m.start(), 5, m.end(), "email") for m in _EMAIL.finditer(text)]
+        found += [(a, 5, b, "email") for a, b in _emails(text)]
     if _DIGIT_RUN.search(text):
         for rank, (kind, shape) in enumerate(_DIGITAL):
             found += [(m.start(), rank, _cut(m) if kind == "phone" else m.end(), kind) for m in shape.finditer(text)]
@@ -246,11 +273,12 @@ def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
 def replace_in(docs: DataFrame, key: bytes = KEY, text: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` with its column ``text`` pseudonymised, all other columns as they are.
 
-    With ``counts``, a column n_<kind> for each kind follows (they must not be there already).
+    With ``counts``, a column n_<kind> for each kind follows, with underscores in front where it is there already.
+    Texts of any length are read in time that grows with their length.
     """
     columns = docs.columns
     at = columns.index(text)
-    names = [f"n_{k}" for k in KINDS] if counts else []
+    names = [fresh(docs, f"n_{k}") for k in KINDS] if counts else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)

@@ -76,7 +76,7 @@ OP9_SQL = mixing.mix_sql(WEIGHTS, SEED, columns="doc_id, text, lang, source, n_c
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonyms(_table(spark, sf_dir, "documents"))
+    return pii.pseudonyms(_table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -870,6 +870,14 @@ def test_unlisted_sources_are_mixed(spark):
     assert n["elsewhere"] > 0 and n[None] > 0 and n["elsewhere"] + n[None] == pytest.approx(300, rel=0.25)
 
 
+def test_rows_without_id_draw_for_themselves(spark):
+    rows = [{"doc_id": None, "text": f"t{i}", "lang": "en", "source": "a", "n_chars": 1} for i in range(2000)]
+    got = mixing.mix(docs(spark, rows), {"a": 1.0}, seed=3).select("text", "copy", "shuffle_key").collect()
+    assert len(got) == pytest.approx(2000, rel=0.1) and len({x["shuffle_key"] for x in got}) == len(got)
+    n = collections.Counter(collections.Counter(x["text"] for x in got).values())
+    assert n[1] > 500 and n[2] > 200 and n[3] > 50
+
+
 # 10 personal data
 
 
@@ -929,6 +937,52 @@ def test_pseudonyms(spark):
     assert pii.pseudonyms(empty(spark)).count() == 0
 
 
+def test_addresses_are_found_from_the_at_sign():
+    atom, domain = r"[A-Za-z0-9_%+-]+", r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
+    plain = re.compile(rf"{atom}(?:\.{atom})*@{domain}", re.A)
+    r = random.Random(14)
+    bits = ["a", "b.c", "..", ".", "@", "@", "x.org", "mail.example.com", " ", "-", "_", "é", "1", "@q.de", ",", "\n"]
+    for _ in range(20000):
+        text = "".join(r.choice(bits) for _ in range(r.randint(1, 14)))
+        assert list(pii._emails(text)) == [m.span() for m in plain.finditer(text)], text
+
+
+def test_very_long_texts_take_linear_time():
+    began = time.perf_counter()
+    for text in ("a" * 2_000_000 + " @", "a" * 2_000_000 + "@" + "b" * 2_000_000, "a@" * 500_000, "a." * 500_000 + "@x", "@a." * 300_000, "1" * 2_000_000, "1-" * 1_000_000, "+1 " * 500_000, "AB12 " * 300_000, "1.1.1.1." * 200_000):
+        pii.pseudonymise(text)
+    assert time.perf_counter() - began < 60
+
+
+def test_values_stay_linked_and_can_be_undone(spark):
+    """Planted values in known places: only they change, equal ones alike, different ones to different ones."""
+    r = random.Random(21)
+    days = [f"{r.randint(1930, 2020)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}" for _ in range(40)]
+    values = {"date": days, "ip": [".".join(str(r.randrange(256)) for _ in range(4)) for _ in range(40)], "phone": [f"(415) 555-{i:04d}" for i in range(0, 4000, 100)]}
+    rows, places = [], []
+    for i in range(120):
+        kind = r.choice(sorted(values))
+        places.append((kind, r.choice(values[kind])))
+        rows.append((i, f"On {i} one wrote {places[-1][1]}, and went on.", 5))
+    table = spark.createDataFrame(rows, "doc_id long, text string, N_DATE int")
+    got = pii.replace_in(table, b"own key", counts=True)
+    assert got.columns == ["doc_id", "text", "N_DATE", *("_n_date" if k == "date" else f"n_{k}" for k in pii.KINDS)]
+    new = {}
+    for x in got.collect():
+        kind, old = places[x["doc_id"]]
+        m = re.fullmatch(r"On (\d+) one wrote (.*), and went on\.", x["text"])
+        assert int(m[1]) == x["doc_id"] and new.setdefault((kind, old), m[2]) == m[2]
+        assert x["_n_date"] == (kind == "date") and x["n_ip"] == (kind == "ip")
+    for kind in values:
+        found = [v for (k, _), v in new.items() if k == kind]
+        assert len(set(found)) == len(found) and sum(v == old for (k, old), v in new.items() if k == kind) <= 1
+    for (kind, old), text in new.items():
+        if kind == "ip":
+            number = int.from_bytes(bytes(map(int, text.split("."))), "big")
+            assert pii.permute(number, 1 << 32, "ip", b"own key", back=True) == int.from_bytes(bytes(map(int, old.split("."))), "big")
+    assert pii.pseudonymise(days[0], b"another key")[0] != new.get(("date", days[0]), days[0]) or days[0] not in new
+
+
 # queries and pipeline
 
 
