@@ -117,10 +117,39 @@ def bbox_distance2(x0: str, y0: str, x1: str, y1: str, x: str, y: str) -> Column
     return F.expr(f"pow(greatest({x0} - {x}, 0D, {x} - {x1}), 2) + pow(greatest({y0} - {y}, 0D, {y} - {y1}), 2)")
 
 
-def boxes_distance2(a: str, b: str) -> Column:
-    """Squared distance of two boxes, whose columns are a_x0 ... and b_x0 ... ."""
-    gap = lambda k: f"greatest({a}{k}0 - {b}{k}1, 0D, {b}{k}0 - {a}{k}1)"
-    return F.expr(f"pow({gap('x')}, 2) + pow({gap('y')}, 2)")
+def is_box(parts: str) -> Column:
+    """Whether a polygon is one rectangle along the axes: a ring of four corners of which each shares x with one neighbour and y
+    with the other. Where both sides of a test are, closed forms of their boxes take the place of the general expressions."""
+    turn = lambda i, j, k: f"(({parts}[0][0][{i}].x = {parts}[0][0][{j}].x AND {parts}[0][0][{j}].y = {parts}[0][0][{k}].y) OR ({parts}[0][0][{i}].y = {parts}[0][0][{j}].y AND {parts}[0][0][{j}].x = {parts}[0][0][{k}].x))"
+    return F.expr(f"coalesce(size({parts}) = 1 AND size({parts}[0]) = 1 AND size({parts}[0][0]) = 5 AND {turn(0, 1, 2)} AND {turn(1, 2, 3)} AND {turn(2, 3, 4)}, false)")
+
+
+def box_gap(a: tuple[str, str, str, str], b: tuple[str, str, str, str]) -> Column:
+    """Distance of two boxes, 0 where they touch or overlap."""
+    gap = lambda k: f"greatest({a[k]} - {b[k + 2]}, 0D, {b[k]} - {a[k + 2]})"
+    return F.expr(f"sqrt(pow({gap(0)}, 2) + pow({gap(1)}, 2))")
+
+
+def nearest_boundary_point(parts: str, flag: str, box: tuple[str, str, str, str], x: str, y: str) -> Column:
+    """``closest_point``; of rectangles (``flag``) in closed form, for points outside."""
+    x0, y0, x1, y1 = box
+    beside = f"({x} <= {x0} OR {x} >= {x1} OR {y} <= {y0} OR {y} >= {y1})"
+    clamped = F.expr(f"named_struct('x', greatest({x0}, least({x}, {x1})), 'y', greatest({y0}, least({y}, {y1})))")
+    return F.when(F.expr(f"{flag} AND {beside}"), clamped).otherwise(closest_point(parts, x, y))
+
+
+def way_within(parts: str, flag: str, box: tuple[str, str, str, str], start: tuple[str, str], end: tuple[str, str]) -> Column:
+    """``segment_cuts`` of the way from start to end; of rectangles (``flag``) in closed form."""
+    lo, hi, out = ["0D"], ["1D"], []
+    for a, b, low, high in ((start[0], end[0], box[0], box[2]), (start[1], end[1], box[1], box[3])):
+        at = [f"({edge} - {a}) / nullif({b} - {a}, 0)" for edge in (low, high)]
+        # least and greatest pass over nulls: along an axis that the way does not move on, it is within all along or not at all
+        lo.append(f"least({at[0]}, {at[1]})")
+        hi.append(f"greatest({at[0]}, {at[1]})")
+        out.append(f"({a} = {b} AND ({a} < {low} OR {a} > {high}))")
+    first, last = f"greatest({', '.join(lo)})", f"least({', '.join(hi)})"
+    clipped = F.expr(f"if({' OR '.join(out)} OR {first} > {last}, NULL, named_struct('lo', {first}, 'hi', {last}))")
+    return F.when(F.col(flag), clipped).otherwise(segment_cuts(parts, *start, *end))
 
 
 def _crossing(e: str, g: str) -> str:

@@ -1,9 +1,14 @@
 """Trees in unobstructed view of a building, in two and a half dimensions.
 
-A sightline runs from the building to the tree's centroid, between three heights at each end:
-bottom 0, middle half the height, top the height. Buildings and crowns in between block it where
-they are as high as the line. One crossing interval per obstacle decides all nine lines, since a
-line's height is linear along it.
+Someone looks from a building at a tree, from three heights (the ground, half way up, the top) at
+three heights of the tree (the same). Other buildings and crowns stand in between as prisms.
+
+An obstacle of height H that the way to the tree crosses between the fractions f and g of its length
+hides, for an eye at height e, everything at the tree up to one height: e + (H - e) / f where it rises
+above the eye, since its near side then hides most, and e + (H - e) / g where it does not, since the
+view passes over its far side. So one number for each eye tells all lines to a tree apart: the
+greatest of these heights over the obstacles of the way, its ``shade``. A line is clear if it ends
+above the shade.
 """
 
 from __future__ import annotations
@@ -12,80 +17,102 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborel.functions import geometry
-from arborel.operators.grid import BOX, POINT, box_join
+from arborel.operators.grid import BOX, POINT, box_join, with_cells
 
-# Heights looked from and at, and the length at both ends of a line that obstacles may touch.
-LEVELS = {"bottom": "0D", "middle": "{h} / 2D", "top": "{h}"}
-END = 0.05
+# The heights looked from and at, as shares of the whole height, and the length at both ends of a way
+# in metres that obstacles may touch.
+SHARES = {"bottom": 0.0, "middle": 0.5, "top": 1.0}
+MARGIN = 0.05
 
 
 def usable_buildings(buildings: DataFrame) -> DataFrame:
     """Buildings with a positive height."""
-    return buildings.filter((F.col("building_height") > 0) & F.col("building_height").isNotNull())
+    return buildings.filter(F.col("building_height") > 0)
 
 
 def height_quality(buildings: DataFrame) -> DataFrame:
     """n_all and n_bad: buildings, and those whose height is missing or not positive."""
-    bad = F.when(F.col("building_height").isNull() | (F.col("building_height") <= 0), 1).otherwise(0)
-    return buildings.agg(F.count(F.lit(1)).alias("n_all"), F.coalesce(F.sum(bad), F.lit(0)).alias("n_bad"))
+    good = F.coalesce(F.col("building_height") > 0, F.lit(False))
+    return buildings.agg(F.count(F.lit(1)).alias("n_all"), F.count_if(~good).alias("n_bad"))
 
 
 def sight_pairs(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, observer: str = "facade") -> DataFrame:
-    """Building-tree pairs at most ``buffer`` apart: building_id, tree_id, bh, th, the line ox, oy, tx, ty and its length."""
+    """Building-tree pairs at most ``buffer`` apart: building_id, tree_id, the way from (eye_x, eye_y) to (aim_x, aim_y) with its
+    length ``way``, and the heights of both, eye_top and aim_top."""
     if observer not in ("facade", "centroid"):
         raise ValueError("observer must be facade or centroid")
     near = geometry.bbox_distance2("x0", "y0", "x1", "y1", "x", "y") <= buffer * buffer
-    exact = geometry.point_distance("parts", "x", "y") <= buffer
-    a = buildings.select("building_id", F.col("building_height").cast("double").alias("bh"), *BOX, "parts")
-    b = trees.select("tree_id", F.col("tree_height").cast("double").alias("th"), "x", "y")
-    pairs = box_join(a, b, max(float(buffer), 25.0), float(buffer), BOX, POINT, near & exact)
-    at = geometry.closest_point("parts", "x", "y") if observer == "facade" else geometry.centroid("parts")
-    pairs = pairs.select("building_id", "tree_id", "bh", "th", at.alias("_o"), F.col("x").alias("tx"), F.col("y").alias("ty"))
-    pairs = pairs.select("building_id", "tree_id", "bh", "th", F.col("_o.x").alias("ox"), F.col("_o.y").alias("oy"), "tx", "ty")
-    return pairs.withColumn("sight_len", F.sqrt(F.pow(F.col("tx") - F.col("ox"), 2) + F.pow(F.col("ty") - F.col("oy"), 2)))
+    exact = F.col("is_box") | (geometry.point_distance("parts", "x", "y") <= buffer)
+    homes = buildings.select("building_id", F.col("building_height").cast("double").alias("eye_top"), *BOX, "parts", geometry.is_box("parts").alias("is_box"))
+    aims = trees.select("tree_id", F.col("tree_height").cast("double").alias("aim_top"), "x", "y")
+    pairs = box_join(homes, aims, max(float(buffer), 25.0), float(buffer), BOX, POINT, near & exact)
+    eye = geometry.centroid("parts") if observer == "centroid" else geometry.nearest_boundary_point("parts", "is_box", BOX, "x", "y")
+    pairs = pairs.select("building_id", "tree_id", "eye_top", "aim_top", eye.alias("eye"), "x", "y")
+    pairs = pairs.select("building_id", "tree_id", "eye_top", "aim_top", F.col("eye.x").alias("eye_x"), F.col("eye.y").alias("eye_y"), F.col("x").alias("aim_x"), F.col("y").alias("aim_y"))
+    return pairs.withColumn("way", F.sqrt(F.pow(F.col("aim_x") - F.col("eye_x"), 2) + F.pow(F.col("aim_y") - F.col("eye_y"), 2)))
 
 
 def obstacles(buildings: DataFrame, trees: DataFrame) -> DataFrame:
-    """Buildings and crowns as one table: kind, obs_id, obs_h, box and polygon."""
-    pick = lambda df, kind, key, height: df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("obs_id"), F.col(height).cast("double").alias("obs_h"), *(F.col(c).alias(f"o_{c}") for c in BOX), F.col("parts").alias("o_parts"))
-    return pick(buildings, "b", "building_id", "building_height").unionByName(pick(trees, "t", "tree_id", "tree_height"))
+    """Buildings and crowns as one table: own_building or own_tree (the other is null), rise, box, polygon and whether it is its box."""
 
+    def stood(df: DataFrame, building: Column, tree: Column, height: str) -> DataFrame:
+        return df.select(building.alias("own_building"), tree.alias("own_tree"), F.col(height).cast("double").alias("rise"), *(F.col(c).alias(f"o_{c}") for c in BOX), F.col("parts").alias("o_parts"), geometry.is_box("parts").alias("o_is_box"))
 
-def blocked(pairs: DataFrame, things: DataFrame, size: float = 50.0) -> DataFrame:
-    """Per pair with an obstacle on its line: blk_<from>_<to> for the nine lines (1 blocked).
+    none = F.lit(None).cast("string")
+    of_buildings = stood(buildings, F.col("building_id").cast("string"), none, "building_height")
+    return of_buildings.unionByName(stood(trees, none, F.col("tree_id").cast("string"), "tree_height"))
 
-    The pair's own building and tree are no obstacles. A line without length is never blocked.
+
+def _beside_line(cx: Column, cy: Column, wide: Column, high: Column) -> Column:
+    """Whether a box of that centre and size lies wholly on one side of the way's line."""
+    dx, dy = F.col("aim_x") - F.col("eye_x"), F.col("aim_y") - F.col("eye_y")
+    off = F.abs(dx * (cy - F.col("eye_y")) - dy * (cx - F.col("eye_x")))
+    return off > (wide * F.abs(dy) + high * F.abs(dx)) / 2 * (1 + 1e-9) + 1e-9
+
+
+def shades(pairs: DataFrame, things: DataFrame, size: float = 50.0) -> DataFrame:
+    """Per pair with an obstacle on its way: shade_bottom, shade_middle and shade_top, the heights at the tree that are hidden
+    from each eye. A pair's own building and tree are no obstacles; nothing stands on a way without length.
+
+    Ways are dealt to the cells that they cross, obstacles to those they touch. A pair may meet an obstacle in several
+    cells, which a maximum does not mind.
+    """
+    ways = pairs.filter("way > 0").withColumns({"w_x0": F.least("eye_x", "aim_x"), "w_y0": F.least("eye_y", "aim_y"), "w_x1": F.greatest("eye_x", "aim_x"), "w_y1": F.greatest("eye_y", "aim_y")})
+    side = F.lit(float(size))
+    ways = with_cells(ways, size, ("w_x0", "w_y0", "w_x1", "w_y1")).filter(~_beside_line((F.col("_cx") + 0.5) * side, (F.col("_cy") + 0.5) * side, side, side))
+    stood = with_cells(things, size, tuple(f"o_{c}" for c in BOX)).withColumnsRenamed({"_cx": "_dx", "_cy": "_dy"})
+    x0, y0, x1, y1 = (F.col(f"o_{c}") for c in BOX)
+    foreign = ~F.coalesce(F.col("own_building") == F.col("building_id").cast("string"), F.lit(False)) & ~F.coalesce(F.col("own_tree") == F.col("tree_id").cast("string"), F.lit(False))
+    meet = (F.col("w_x0") <= x1) & (F.col("w_x1") >= x0) & (F.col("w_y0") <= y1) & (F.col("w_y1") >= y0) & ~_beside_line((x0 + x1) / 2, (y0 + y1) / 2, x1 - x0, y1 - y0)
+    met = ways.join(stood, (F.col("_cx") == F.col("_dx")) & (F.col("_cy") == F.col("_dy")) & meet & foreign)
+    within = geometry.way_within("o_parts", "o_is_box", tuple(f"o_{c}" for c in BOX), ("eye_x", "eye_y"), ("aim_x", "aim_y"))
+    met = met.select("building_id", "tree_id", "eye_top", "rise", "way", within.alias("within")).filter("within IS NOT NULL")
+    met = met.withColumns({"near": F.greatest(F.col("within.lo"), MARGIN / F.col("way")), "far": F.least(F.col("within.hi"), 1 - MARGIN / F.col("way"))}).filter("near <= far")
+    hidden = []
+    for name, share in SHARES.items():
+        over = F.col("rise") - F.col("eye_top") * share
+        hidden.append(F.max(F.col("eye_top") * share + over / F.when(over >= 0, F.col("near")).otherwise(F.col("far"))).alias(f"shade_{name}"))
+    return met.groupBy("building_id", "tree_id").agg(*hidden)
+
+
+def blocked(pairs: DataFrame, hidden: DataFrame) -> DataFrame:
+    """Per pair of ``shades``: blk_<from>_<to> for the nine lines, 1 where it ends in the shade."""
+    rows = hidden.join(pairs.select("building_id", "tree_id", "aim_top"), ["building_id", "tree_id"])
+    lines = [F.when(F.col("aim_top") * to <= F.col(f"shade_{name}"), 1).otherwise(0).alias(f"blk_{name}_{end}") for name in SHARES for end, to in SHARES.items()]
+    return rows.select("building_id", "tree_id", *lines)
+
+
+def visible_trees(observers: DataFrame, pairs: DataFrame, hidden: DataFrame) -> DataFrame:
+    """Per observer: visible_trees_bottom, _middle, _top and visible_trees (from any of them), 0 without trees.
+
+    A tree is visible from an eye if any of its heights is, so if its top is.
     """
-    lines = pairs.filter("sight_len > 0").withColumns({"l_x0": F.least("ox", "tx"), "l_y0": F.least("oy", "ty"), "l_x1": F.greatest("ox", "tx"), "l_y1": F.greatest("oy", "ty")})
-    other = ~(((F.col("kind") == "b") & (F.col("obs_id") == F.col("building_id").cast("string"))) | ((F.col("kind") == "t") & (F.col("obs_id") == F.col("tree_id").cast("string"))))
-    met = box_join(lines, things, size, 0.0, ("l_x0", "l_y0", "l_x1", "l_y1"), tuple(f"o_{c}" for c in BOX), other)
-    met = met.select("building_id", "tree_id", "bh", "th", "obs_h", "sight_len", geometry.segment_cuts("o_parts", "ox", "oy", "tx", "ty").alias("_cut")).filter("_cut IS NOT NULL")
-    met = met.withColumns({"f_lo": F.greatest(F.col("_cut.lo"), END / F.col("sight_len")), "f_hi": F.least(F.col("_cut.hi"), 1 - END / F.col("sight_len"))}).filter("f_lo <= f_hi")
-    flags = []
-    for a, za in LEVELS.items():
-        for b, zb in LEVELS.items():
-            z0, z1 = za.format(h="bh"), zb.format(h="th")
-            lowest = F.expr(f"least({z0} + f_lo * ({z1} - ({z0})), {z0} + f_hi * ({z1} - ({z0})))")
-            flags.append(F.max(F.when(F.col("obs_h") >= lowest, 1).otherwise(0)).alias(f"blk_{a}_{b}"))
-    return met.groupBy("building_id", "tree_id").agg(*flags)
-
-
-def _clear(level: str) -> Column:
-    """Whether any of the three lines from a level is clear; pairs that met no obstacle have none blocked."""
-    out = F.lit(False)
-    for b in LEVELS:
-        out = out | (F.coalesce(F.col(f"blk_{level}_{b}"), F.lit(0)) == 0)
-    return out
-
-
-def visible_trees(observers: DataFrame, pairs: DataFrame, flags: DataFrame) -> DataFrame:
-    """Per observer: visible_trees_bottom, _middle, _top and visible_trees (from any level), 0 without trees."""
-    seen = pairs.select("building_id", "tree_id").join(flags, ["building_id", "tree_id"], "left")
-    names = list(LEVELS)
-    seen = seen.select("building_id", *(_clear(a).alias(a) for a in names))
-    sums = seen.groupBy("building_id").agg(*(F.count_if(a).alias(f"visible_trees_{a}") for a in names), F.count_if(F.col(names[0]) | F.col(names[1]) | F.col(names[2])).alias("visible_trees"))
-    out = observers.select("building_id").join(sums, "building_id", "left")
-    return out.select("building_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in (*(f"visible_trees_{a}" for a in names), "visible_trees")))
+    clear = {name: F.coalesce(F.col("aim_top") > F.col(f"shade_{name}"), F.lit(True)) for name in SHARES}
+    rows = pairs.select("building_id", "tree_id", "aim_top").join(hidden, ["building_id", "tree_id"], "left")
+    counted = [F.count_if(c).alias(f"visible_trees_{name}") for name, c in clear.items()]
+    any_clear = clear["bottom"] | clear["middle"] | clear["top"]
+    sums = rows.groupBy("building_id").agg(*counted, F.count_if(any_clear).alias("visible_trees"))
+    return observers.select("building_id").join(sums, "building_id", "left").na.fill(0, [*(f"visible_trees_{name}" for name in SHARES), "visible_trees"])
 
 
 def visibility(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, observer: str = "facade", observers: DataFrame | None = None) -> DataFrame:
@@ -93,4 +120,4 @@ def visibility(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, ob
     usable = usable_buildings(buildings)
     looking = usable if observers is None else usable_buildings(observers)
     pairs = sight_pairs(looking, trees, buffer, observer)
-    return visible_trees(looking, pairs, blocked(pairs, obstacles(usable, trees), max(25.0, buffer / 2)))
+    return visible_trees(looking, pairs, shades(pairs, obstacles(usable, trees), max(25.0, buffer / 2)))
