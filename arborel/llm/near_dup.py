@@ -156,14 +156,14 @@ def _dealt(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def _random_blocks(rows: DataFrame, group: str, blocks: Column, splits: int) -> DataFrame:
-    """Rows with ``i``: one block of the group for each of so many random splits; a group of one block is split once."""
-    each = F.transform(F.sequence(F.lit(0), F.when(blocks > 1, F.lit(splits - 1)).otherwise(F.lit(0))), lambda k: F.pmod(F.xxhash64("node", group, k), blocks).cast("long") * splits + k)
-    return rows.withColumn("i", F.explode(each))
+def _random_blocks(group: str, blocks: Column, splits: int) -> Column:
+    """One block of the group for each of so many random splits; a group of one block is split once."""
+    last = F.when(blocks > 1, F.lit(splits - 1)).otherwise(F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.pmod(F.xxhash64("node", group, k), blocks).cast("long") * splits + k)
 
 
 def _pairs_left(members: DataFrame, group: str, weight: Column) -> DataFrame:
-    """(group, node, root, i, j, first): for each member the pairs of blocks that it takes part in, ``first`` where it is of block i.
+    """(group, node, root, at): for each member the pairs (i, j, first) of blocks that it takes part in, ``first`` where it is of block i.
 
     ``members`` has group, node and root (the part that node is in). Blocks below ``outside`` hold the members outside the
     group's largest part, the others those of it; pairs of the latter with each other are left out.
@@ -178,7 +178,7 @@ def _pairs_left(members: DataFrame, group: str, weight: Column) -> DataFrame:
     own = F.when(F.col("is_main"), F.col("outside") + own).otherwise(own)
     last = F.when(F.col("is_main"), F.col("outside") - 1).otherwise(F.col("outside") + F.col("inside") - 1)
     at = F.transform(F.sequence(F.lit(0), last), lambda other: F.struct(F.least(own, other).cast("long").alias("i"), F.greatest(own, other).cast("long").alias("j"), (own <= other).alias("first")))
-    return rows.select(group, "node", "root", F.explode(at).alias("at")).select(group, "node", "root", "at.i", "at.j", "at.first")
+    return rows.select(group, "node", "root", at.alias("at"))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Array]]:
@@ -326,14 +326,14 @@ def candidate_links(classes: DataFrame, matches: int) -> DataFrame:
     shared = posted.join(frequent, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("pairs"))
     prefix = shared.filter(F.size("pairs") >= matches).select("node", F.slice("pairs", F.lit(1), F.size("pairs") - (matches - 1)).alias("pairs"))
     lists = stored(prefix.select("node", F.explode("pairs").alias("pair")).select("node", "pair.token", "pair.n"), "lists")
-    rows = _random_blocks(lists.join(classes, "node"), "token", F.ceil(F.col("n") / GROUP), 1)
+    rows = lists.join(classes, "node").withColumn("i", F.explode(_random_blocks("token", F.ceil(F.col("n") / GROUP), 1)))
     links = _dealt(rows.select("token", "i", "node", "signature"), ["token", "i"]).mapInArrow(_collide(matches), "a long, b long")
     parts = components(links)
     large = lists.filter(F.col("n") > GROUP).select("token", "node")
     if not large.head(1):
         return parts
     left = stored(_pairs_left(_rooted(large, parts), "token", F.lit(4 * COORDINATES)), "left")
-    rows = left.join(classes, "node").select("token", "i", "j", "node", "root", "first", "signature")
+    rows = left.withColumn("at", F.explode("at")).join(classes, "node").select("token", "at.i", "at.j", "node", "root", "at.first", "signature")
     more = _dealt(rows, ["token", "i", "j"]).mapInArrow(_collide_apart(matches), "a long, b long")
     return components(more.unionByName(parts.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
@@ -344,22 +344,25 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, rule: Similarity) -> D
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("bytes"))
     blocks = F.ceil(F.greatest(F.col("n") / GROUP, F.col("bytes") / GROUP_BYTES))
 
-    def with_sets(at: DataFrame, columns: list[str]) -> DataFrame:
-        rows = docs.join(at.withColumnRenamed("least", "doc_id"), "doc_id").select("text", "digest", *columns)
+    def with_sets(members: DataFrame) -> DataFrame:
+        """Each member's set, which is built once and goes to all its blocks ``at``."""
+        columns = ["cluster", "node", "root", "at"]
+        # written, so that its size is known: where it is small, the texts are not shuffled
+        members = stored(members.withColumnRenamed("least", "doc_id"), "members")
+        rows = docs.join(members, "doc_id").select("text", "digest", *columns)
         types = dict(rows.dtypes)
-        return rows.mapInArrow(_full_sets(rule, columns), ", ".join(f"{c} {types[c]}" for c in columns) + ", set binary")
+        return rows.mapInArrow(_full_sets(rule, columns), ", ".join(f"{c} {types[c]}" for c in columns) + ", set binary").withColumn("at", F.explode("at"))
 
-    once = clusters.select("cluster", "node", "digest", "least", F.col("node").alias("root"), F.lit(True).alias("first"))
-    once = _random_blocks(once.join(sizes.select("cluster", blocks.alias("blocks")), "cluster"), "cluster", F.col("blocks"), 2)
-    rows = _dealt(with_sets(once, ["cluster", "i", "node", "root", "first"]), ["cluster", "i"])
-    parts = components(rows.mapInArrow(_confirm(rule, 2), "a long, b long"))
+    once = clusters.join(sizes.select("cluster", blocks.alias("blocks")), "cluster")
+    once = once.select("cluster", "node", "digest", "least", F.col("node").alias("root"), _random_blocks("cluster", F.col("blocks"), 2).alias("at"))
+    rows = with_sets(once).select("cluster", F.col("at").alias("i"), "node", "root", F.lit(True).alias("first"), "set")
+    parts = components(_dealt(rows, ["cluster", "i"]).mapInArrow(_confirm(rule, 2), "a long, b long"))
     large = clusters.join(sizes.filter(blocks > 1).select("cluster"), "cluster")
     if not large.head(1):
         return parts
-    left = stored(_pairs_left(_rooted(large.select("cluster", "node", "weight"), parts), "cluster", F.col("weight")), "left")
-    again = left.join(clusters.select("node", "digest", "least"), "node")
-    rows = _dealt(with_sets(again, ["cluster", "i", "j", "node", "root", "first"]), ["cluster", "i", "j"])
-    more = rows.mapInArrow(_confirm(rule, 3), "a long, b long")
+    left = _pairs_left(_rooted(large.select("cluster", "node", "weight"), parts), "cluster", F.col("weight"))
+    rows = with_sets(left.join(clusters.select("node", "digest", "least"), "node")).select("cluster", "at.i", "at.j", "node", "root", "at.first", "set")
+    more = _dealt(rows, ["cluster", "i", "j"]).mapInArrow(_confirm(rule, 3), "a long, b long")
     return components(more.unionByName(parts.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
