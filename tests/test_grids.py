@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,26 +7,58 @@ from arborel.functions import crs, geohash, s2
 from arborel.operators import cells
 
 
-@pytest.mark.parametrize("lat, lon, precision, want", [(57.64911, 10.40744, 11, "u4pruydqqvj"), (42.6, -5.6, 5, "ezs42"), (0.0, 0.0, 1, "s"), (-25.382708, -49.265506, 8, "6gkzwgjz")])
-def test_geohash(spark, lat, lon, precision, want):
+def plain_geohash(lon, lat, precision):
+    """Halving the span of longitude and latitude in turn, five turns a letter."""
+    spans, out = [[-180.0, 180.0], [-90.0, 90.0]], ""
+    for k in range(precision):
+        letter = 0
+        for i in range(5):
+            axis = (5 * k + i) % 2
+            middle = sum(spans[axis]) / 2
+            high = (lon, lat)[axis] >= middle
+            spans[axis][0 if high else 1] = middle
+            letter = 2 * letter + high
+        out += "0123456789bcdefghjkmnpqrstuvwxyz"[letter]
+    return out, (spans[0][0], spans[1][0], spans[0][1], spans[1][1])
+
+
+# Published examples of the code, fixed; the others follow from its definition.
+@pytest.mark.parametrize("lat, lon, precision, want", [(57.64911, 10.40744, 11, "u4pruydqqvj"), (42.6, -5.6, 5, "ezs42")])
+def test_published_geohashes(spark, lat, lon, precision, want):
+    assert plain_geohash(lon, lat, precision)[0] == want
     assert spark.range(1).select(geohash.encode(F.lit(lon), F.lit(lat), precision).alias("v")).first()["v"] == want
 
 
-def test_cell_size():
-    assert geohash.cell_size(5) == (360 / 2**13, 180 / 2**12)
-
-
-def test_covering_holds_the_box(spark):
-    box = (0.10, 52.20, 0.16, 52.24)
-    rows = spark.range(1).select(F.explode(geohash.covering(*(F.lit(v) for v in box), 6)).alias("c")).select("c.*").collect()
-    assert len({r["cell"] for r in rows}) == len(rows)
-    assert min(r["x0"] for r in rows) <= box[0] and max(r["x1"] for r in rows) >= box[2]
-    assert min(r["y0"] for r in rows) <= box[1] and max(r["y1"] for r in rows) >= box[3]
-    middles = spark.createDataFrame([(r["cell"], (r["x0"] + r["x1"]) / 2, (r["y0"] + r["y1"]) / 2) for r in rows], "cell string, x double, y double")
-    assert all(r["cell"] == r["again"] for r in middles.select("cell", geohash.encode(F.col("x"), F.col("y"), 6).alias("again")).collect())
-    e = 1e-6
-    tiny = spark.range(1).select(F.size(geohash.covering(*(F.lit(v) for v in (0.12 - e, 52.21 - e, 0.12 + e, 52.21 + e)), 9)).alias("n")).first()["n"]
-    assert tiny in (1, 2, 4)
+def test_geohashes_are_those_of_the_definition(spark):
+    r = random.Random(31)
+    points = [(r.uniform(-180, 180), r.uniform(-90, 90)) for _ in range(60)] + [(-180.0, -90.0), (0.0, 0.0), (-45.0, 22.5), (179.999999, 89.999999)]
+    rows = spark.createDataFrame(points, "lon double, lat double")
+    for precision in (1, 4, 7, 12):
+        got = rows.select("lon", "lat", geohash.encode(F.col("lon"), F.col("lat"), precision).alias("v")).collect()
+        assert all(x["v"] == plain_geohash(x["lon"], x["lat"], precision)[0] for x in got)
+        _, (x0, y0, x1, y1) = plain_geohash(1.0, 1.0, precision)
+        assert geohash.cell_size(precision) == (x1 - x0, y1 - y0)
+
+
+def test_coverings_are_all_cells_that_a_box_touches(spark):
+    """Boxes anywhere, from less than a cell to several cells wide, against the cells of a lattice of points within them."""
+    r = random.Random(32)
+    for precision in (3, 5, 8):
+        wide, high = geohash.cell_size(precision)
+        boxes = []
+        for i in range(25):
+            x, y = r.uniform(-170, 170), r.uniform(-80, 80)
+            boxes.append((i, x, y, x + wide * r.choice([0.0, 0.01, 0.6, 3.3]), y + high * r.choice([0.0, 0.01, 0.6, 2.7])))
+        table = spark.createDataFrame(boxes, "i int, x0 double, y0 double, x1 double, y1 double")
+        got = {}
+        for c in table.select("i", F.explode(geohash.covering(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), precision)).alias("c")).select("i", "c.cell", "c.x0", "c.y0", "c.x1", "c.y1").collect():
+            assert c["cell"] not in got.setdefault(c["i"], {})
+            got[c["i"]][c["cell"]] = tuple(c)[2:]
+        for i, x0, y0, x1, y1 in boxes:
+            steps = lambda a, b, size: [a + (b - a) * k / max(1, n) for n in [int((b - a) / size * 4) + 1] for k in range(n + 1)]
+            touched = {plain_geohash(x, y, precision)[0] for x in steps(x0, x1, wide) for y in steps(y0, y1, high)}
+            assert touched == set(got[i])
+            assert all(plain_geohash(x0 / 2 + x1 / 2, y0 / 2 + y1 / 2, precision)[1] == pytest.approx(b) for cell, b in got[i].items() if cell == plain_geohash(x0 / 2 + x1 / 2, y0 / 2 + y1 / 2, precision)[0])
 
 
 # Published leaf ids of the S2 library's own tests.
@@ -64,7 +98,7 @@ def test_registry(name, low, high):
 
 def test_unknown_and_missing_systems():
     with pytest.raises(ValueError, match="must be one of"):
-        cells.get_system("hexbin")
+        cells.get_system("quadkey")
     with pytest.raises(NotImplementedError):
         cells.get_system("h3").cell(F.lit(0.0), F.lit(0.0), 5)
     with pytest.raises(NotImplementedError):
