@@ -124,6 +124,12 @@ def is_box(parts: str) -> Column:
     return F.expr(f"coalesce(size({parts}) = 1 AND size({parts}[0]) = 1 AND size({parts}[0][0]) = 5 AND {turn(0, 1, 2)} AND {turn(1, 2, 3)} AND {turn(2, 3, 4)}, false)")
 
 
+def in_polygon(parts: str, flag: str, box: tuple[str, str, str, str], x: str, y: str) -> Column:
+    """``contains_point``; of rectangles (``flag``) in closed form."""
+    x0, y0, x1, y1 = box
+    return F.when(F.col(flag), F.expr(f"{x} >= {x0} AND {x} < {x1} AND {y} >= {y0} AND {y} < {y1}")).otherwise(contains_point(parts, x, y))
+
+
 def box_gap(a: tuple[str, str, str, str], b: tuple[str, str, str, str]) -> Column:
     """Distance of two boxes, 0 where they touch or overlap."""
     gap = lambda k: f"greatest({a[k]} - {b[k + 2]}, 0D, {b[k]} - {a[k + 2]})"
@@ -184,9 +190,11 @@ def segment_cuts(parts: str, ax: str, ay: str, bx: str, by: str) -> Column:
     t = f"(((e.ax - {ax}) * (e.by - e.ay) - (e.ay - {ay}) * (e.bx - e.ax)) / nullif({det}, 0))"
     u = f"(((e.ax - {ax}) * {dy} - (e.ay - {ay}) * {dx}) / nullif({det}, 0))"
     crossings = f"transform(filter({edges_sql(parts)}, e -> {t} BETWEEN 0 AND 1 AND {u} BETWEEN 0 AND 1), e -> {t})"
-    # along an edge: its ends that lie on the segment
-    along = f"(({{x}} - {ax}) * {dx} + ({{y}} - {ay}) * {dy}) / nullif({dx} * {dx} + {dy} * {dy}, 0)"
-    on = f"filter(flatten(transform(filter({edges_sql(parts)}, e -> {det} = 0 AND (e.ax - {ax}) * {dy} = (e.ay - {ay}) * {dx}), e -> array({along.format(x='e.ax', y='e.ay')}, {along.format(x='e.bx', y='e.by')}))), v -> v BETWEEN 0 AND 1)"
+    # along an edge: the stretch that both share
+    along = lambda x, y: f"(({x} - {ax}) * {dx} + ({y} - {ay}) * {dy}) / nullif({dx} * {dx} + {dy} * {dy}, 0)"
+    p, q = along("e.ax", "e.ay"), along("e.bx", "e.by")
+    stretches = f"transform(filter({edges_sql(parts)}, e -> {det} = 0 AND (e.ax - {ax}) * {dy} = (e.ay - {ay}) * {dx}), e -> array(greatest(0D, least({p}, {q})), least(1D, greatest({p}, {q}))))"
+    on = f"flatten(filter({stretches}, s -> s[0] <= s[1]))"
     ends = f"filter(array(if({contains_sql(parts, ax, ay)}, 0D, NULL), if({contains_sql(parts, bx, by)}, 1D, NULL)), v -> v IS NOT NULL)"
     return F.expr(f"transform(array(concat({crossings}, {on}, {ends})), v -> if(size(v) = 0, NULL, named_struct('lo', array_min(v), 'hi', array_max(v))))[0]")
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,9 +72,21 @@ def intersection_area(a, b) -> float:
     return max(total, 0.0)
 
 
-@F.pandas_udf(T.DoubleType())
-def overlap_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([intersection_area(x, y) for x, y in zip(a, b)], dtype=float)
+@F.arrow_udf(T.DoubleType())
+def overlap_area(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Area that two polygons share; 0 where one is null."""
+    out = np.zeros(len(a))
+    at = np.flatnonzero(pc.and_(a.is_valid(), b.is_valid()).to_numpy(zero_copy_only=False))
+    for i, p, q in zip(at.tolist(), a.take(pa.array(at)).to_pylist(), b.take(pa.array(at)).to_pylist()):
+        out[i] = intersection_area(p, q)
+    return pa.array(out)
+
+
+def shared_area(a: str, b: str, a_flag: str, b_flag: str, a_box: tuple[str, str, str, str], b_box: tuple[str, str, str, str]) -> Column:
+    """``overlap_area``; where both are rectangles (flags of ``geometry.is_box``) in closed form, without a trip to Python for their points."""
+    both = F.col(a_flag) & F.col(b_flag)
+    side = lambda k: f"greatest(least({a_box[k + 2]}, {b_box[k + 2]}) - greatest({a_box[k]}, {b_box[k]}), 0D)"
+    return F.when(both, F.expr(f"{side(0)} * {side(1)}")).otherwise(overlap_area(F.when(~both, F.col(a)), F.when(~both, F.col(b))))
 
 
 def surface_point(parts) -> dict | None:
@@ -118,40 +132,116 @@ def surface_point(parts) -> dict | None:
     return {"x": float(rings[0][0, 0]), "y": float(rings[0][0, 1])}
 
 
-@F.pandas_udf(_POINT)
-def point_on_surface(parts: pd.Series) -> pd.DataFrame:
-    found = [surface_point(p) or {"x": None, "y": None} for p in parts]
-    return pd.DataFrame({"x": [f["x"] for f in found], "y": [f["y"] for f in found]}, dtype=float)
+@F.arrow_udf(_POINT)
+def point_on_surface(parts: pa.Array) -> pa.Array:
+    found = [surface_point(p) or {"x": None, "y": None} for p in parts.to_pylist()]
+    return pa.array(found, pa.struct([("x", pa.float64()), ("y", pa.float64())]))
 
 
-def buffer_ring(points: np.ndarray, radius: float, quad_segs: int) -> np.ndarray:
-    """Outline of a convex ring (closed, any direction) grown by ``radius``, corners cut into quad_segs steps a quarter."""
-    p = points[:-1] if _area(points[:-1]) > 0 else points[:-1][::-1]
-    p = p[np.concatenate([[True], (np.abs(np.diff(p, axis=0)) > 0).any(1)])]
+def _is_convex(p: np.ndarray) -> bool:
+    """Whether an open ring turns one way, and once around."""
+    d = np.roll(p, -1, 0) - p
+    turn = d[:, 0] * np.roll(d[:, 1], -1) - d[:, 1] * np.roll(d[:, 0], -1)
+    angles = np.arctan2(d[:, 1], d[:, 0])
+    around = (np.diff(angles, append=angles[0]) + np.pi) % (2 * np.pi) - np.pi
+    return bool((turn >= 0).all() and abs(around.sum()) < 2 * np.pi + 1e-6)
+
+
+def _clean(points: np.ndarray, left: bool) -> np.ndarray:
+    """An open ring without repeated points that turns left, or right."""
+    p = points[:-1] if (points[0] == points[-1]).all() else points
+    p = p[(p != np.roll(p, 1, 0)).any(1)]
+    return p if len(p) < 3 or (_area(p) > 0) == left else p[::-1]
+
+
+def _offset(p: np.ndarray, radius: float, quad_segs: int) -> np.ndarray:
+    """The curve ``radius`` to the right of an open ring: arcs at corners to the left, at others a way through the corner.
+
+    It may cross itself; what it winds around more than zero times is the ring's inside grown.
+    """
     d = np.roll(p, -1, 0) - p
-    angle = np.arctan2(-d[:, 0], d[:, 1])  # outward normal of each edge
+    angle = np.arctan2(-d[:, 0], d[:, 1])  # normal of each edge, to its right
     out = []
     for i in range(len(p)):
         before, now = angle[i - 1], angle[i]
         turn = (now - before) % (2 * np.pi)
+        if turn > np.pi + 1e-9:
+            out += [p[i] + radius * np.array([np.cos(before), np.sin(before)]), p[i], p[i] + radius * np.array([np.cos(now), np.sin(now)])]
+            continue
         steps = max(1, int(np.ceil(turn / (np.pi / 2 / quad_segs) - 1e-9)))
         for a in before + turn * np.arange(steps + 1) / steps:
             out.append(p[i] + radius * np.array([np.cos(a), np.sin(a)]))
-    out.append(out[0])
     return np.array(out)
 
 
-def convex_buffer(radius: float, quad_segs: int = 8):
-    """An Arrow function: the outline of each convex polygon grown by ``radius``."""
+def buffer_ring(points: np.ndarray, radius: float, quad_segs: int) -> np.ndarray:
+    """Outline of a convex ring (closed, any direction) grown by ``radius``, corners cut into quad_segs steps a quarter."""
+    out = _offset(_clean(points, True), radius, quad_segs)
+    return np.concatenate([out, out[:1]])
+
+
+def wound_pieces(rings: list[np.ndarray]) -> list[np.ndarray]:
+    """What open rings wind around more than zero times, as trapezoids between the heights of their corners and crossings."""
+    a = np.concatenate(rings)
+    b = np.concatenate([np.roll(r, -1, 0) for r in rings])
+    flat = a[:, 1] == b[:, 1]
+    a, b = a[~flat], b[~flat]
+    heights = [a[:, 1], b[:, 1]]
+    d = b - a
+    for i in range(len(a)):
+        # where later edges cross this one
+        o, e = a[i + 1 :] - a[i], d[i + 1 :]
+        det = d[i, 0] * e[:, 1] - d[i, 1] * e[:, 0]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (o[:, 0] * e[:, 1] - o[:, 1] * e[:, 0]) / det
+            u = (o[:, 0] * d[i, 1] - o[:, 1] * d[i, 0]) / det
+        met = (det != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
+        heights.append(a[i, 1] + t[met] * d[i, 1])
+    ys = np.unique(np.concatenate(heights))
+    low, high = np.minimum(a[:, 1], b[:, 1]), np.maximum(a[:, 1], b[:, 1])
+    slope = d[:, 0] / d[:, 1]
+    way = np.where(d[:, 1] > 0, -1, 1)  # a ring that turns left goes down on its left side
+    out = []
+    for y0, y1 in zip(ys[:-1].tolist(), ys[1:].tolist()):
+        middle = (y0 + y1) / 2
+        here = np.flatnonzero((low < middle) & (high > middle))
+        at = a[here, 0] + (middle - a[here, 1]) * slope[here]
+        here = here[np.argsort(at, kind="stable")]
+        wound = np.cumsum(way[here])
+        left = None
+        for edge, w in zip(here.tolist(), wound.tolist()):
+            if w > 0 and left is None:
+                left = edge
+            elif w <= 0 and left is not None:
+                x = [[a[e, 0] + (y - a[e, 1]) * slope[e] for y in (y0, y1)] for e in (left, edge)]
+                out.append(np.array([(x[0][0], y0), (x[1][0], y0), (x[1][1], y1), (x[0][1], y1)]))
+                left = None
+    return out
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(_POINT))))
-    def grow(parts: pd.Series) -> pd.Series:
-        def one(p):
-            if p is None or not len(p):
-                return None
-            ring = buffer_ring(_ring(p[0][0]), radius, quad_segs)
-            return [[[{"x": float(x), "y": float(y)} for x, y in ring]]]
 
-        return parts.map(one)
+def grown_rings(parts, radius: float, quad_segs: int) -> list[list[np.ndarray]] | None:
+    """All parts of a polygon, with their holes, grown by ``radius``, as closed shells: one outline where the polygon is one
+    convex ring, else pieces that do not overlap. Rings without area grow as the points they have."""
+    if parts is None or not len(parts):
+        return None
+    rings = [_clean(_ring(r), k == 0) for part in parts for k, r in enumerate(part)]
+    if len(rings) == 1 and len(rings[0]) > 2 and _is_convex(rings[0]):
+        shells = [_offset(rings[0], radius, quad_segs)]
+    else:
+        origin = rings[0][0] if len(rings[0]) else np.zeros(2)
+        curves = [_offset(r - origin, radius, quad_segs) for r in rings if len(r) > 2]
+        shells = [p + origin for p in wound_pieces(curves)] if curves else []
+    return [np.concatenate([s, s[:1]]) for s in shells]
+
+
+def round_buffer(radius: float, quad_segs: int = 8):
+    """An Arrow function: each polygon grown by ``radius``."""
+
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.ArrayType(_POINT))))
+    def grow(parts: pa.Array) -> pa.Array:
+        grown = (grown_rings(p, radius, quad_segs) for p in parts.to_pylist())
+        rows = [None if shells is None else [[[{"x": x, "y": y} for x, y in s.tolist()]] for s in shells] for shells in grown]
+        point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+        return pa.array(rows, pa.list_(pa.list_(pa.list_(point))))
 
     return grow

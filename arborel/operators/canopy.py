@@ -6,14 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborel.functions import geometry
-from arborel.functions.overlay import convex_buffer, overlap_area
+from arborel.functions.overlay import round_buffer, shared_area
 from arborel.operators.grid import BOX, POINT, box_join
 
 _TREE_BOX = tuple(f"t_{c}" for c in BOX)
 
 
 def _trees(trees: DataFrame, *more: str) -> DataFrame:
-    return trees.select(*more, *(F.col(c).alias(f"t_{c}") for c in BOX), F.col("parts").alias("t_parts"))
+    return trees.select(*more, *(F.col(c).alias(f"t_{c}") for c in BOX), F.col("parts").alias("t_parts"), geometry.is_box("parts").alias("t_is_box"))
+
+
+def _zones(zones: DataFrame, *keys: str) -> DataFrame:
+    return zones.select(*keys, *BOX, "parts", geometry.is_box("parts").alias("is_box"))
+
+
+def _grown(buildings: DataFrame, buffer: float, quad_segs: int) -> DataFrame:
+    """Footprints, grown by ``buffer`` with round corners; all their parts and holes count."""
+    rows = buildings.select("building_id", *BOX, "parts")
+    if not buffer:
+        return rows
+    return rows.withColumn("parts", round_buffer(float(buffer), quad_segs)("parts")).withColumns({"x0": F.col("x0") - buffer, "y0": F.col("y0") - buffer, "x1": F.col("x1") + buffer, "y1": F.col("y1") + buffer})
 
 
 def cover_of_units(units: DataFrame, trees: DataFrame, codes: list[str], stored_area: bool = True, size: float = 250.0) -> DataFrame:
@@ -24,12 +36,12 @@ def cover_of_units(units: DataFrame, trees: DataFrame, codes: list[str], stored_
     """
     areas = units.groupBy(*codes).agg(F.sum(geometry.area("parts")).alias("_area"))
     a = _trees(trees, "tree_id", "tree_area")
-    pairs = box_join(a, units.select(*codes, *BOX, "parts"), size, 0.0, _TREE_BOX, BOX)
+    pairs = box_join(a, _zones(units, *codes), size, 0.0, _TREE_BOX, BOX)
     if stored_area:
-        touched = pairs.filter(geometry.polygons_intersect("t_parts", "parts")).select(*codes, "tree_id", "tree_area").distinct()
+        touched = pairs.filter((F.col("t_is_box") & F.col("is_box")) | geometry.polygons_intersect("t_parts", "parts")).select(*codes, "tree_id", "tree_area").distinct()
         sums = touched.groupBy(*codes).agg(F.sum("tree_area").alias("_canopy"))
     else:
-        sums = pairs.withColumn("_part", overlap_area("t_parts", "parts")).groupBy(*codes).agg(F.sum("_part").alias("_canopy"))
+        sums = pairs.withColumn("_part", shared_area("t_parts", "parts", "t_is_box", "is_box", _TREE_BOX, BOX)).groupBy(*codes).agg(F.sum("_part").alias("_canopy"))
     cover = F.round(F.try_divide(F.coalesce("_canopy", F.lit(0.0)) * 100, F.col("_area")), 3)
     return areas.join(sums, codes, "left").select(*codes, cover.alias("canopy_cover"), F.round("_area").cast("long").alias("total_pixels"))
 
@@ -37,14 +49,13 @@ def cover_of_units(units: DataFrame, trees: DataFrame, codes: list[str], stored_
 def cover_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, quad_segs: int = 8, size: float = 100.0) -> DataFrame:
     """Per building: tree_pixels (canopy area within ``buffer`` of the footprint, 3 decimals), total_pixels, canopy_cover.
 
-    The surroundings are the footprint's outline grown by ``buffer`` (footprints are taken as convex);
+    The surroundings are the footprint grown by ``buffer``, with round corners of quad_segs steps a quarter;
     0 is the footprint itself. Buildings without trees have 0.
     """
-    grown = buildings.select("building_id", *BOX, "parts")
-    if buffer:
-        grown = grown.withColumn("parts", convex_buffer(float(buffer), quad_segs)("parts")).withColumns({"x0": F.col("x0") - buffer, "y0": F.col("y0") - buffer, "x1": F.col("x1") + buffer, "y1": F.col("y1") + buffer})
-    pairs = box_join(grown, _trees(trees), max(size, float(buffer)), 0.0, BOX, _TREE_BOX)
-    sums = pairs.select("building_id", overlap_area("parts", "t_parts").alias("_part")).groupBy("building_id").agg(F.sum("_part").alias("_canopy"))
+    grown = _grown(buildings, buffer, quad_segs)
+    pairs = box_join(_zones(grown, "building_id"), _trees(trees), max(size, float(buffer)), 0.0, BOX, _TREE_BOX)
+    shared = shared_area("parts", "t_parts", "is_box", "t_is_box", BOX, _TREE_BOX)
+    sums = pairs.select("building_id", shared.alias("_part")).groupBy("building_id").agg(F.sum("_part").alias("_canopy"))
     rows = grown.select("building_id", geometry.area("parts").alias("_area")).join(sums, "building_id", "left")
     rows = rows.select("building_id", F.round(F.coalesce("_canopy", F.lit(0.0)), 3).alias("tree_pixels"), F.round("_area").alias("total_pixels"))
     return rows.withColumn("canopy_cover", F.round(F.try_divide(F.col("tree_pixels") * 100, F.col("total_pixels")), 3))
@@ -72,9 +83,9 @@ def zonal(zones: DataFrame, pixels: DataFrame, key: list[str], pixel_size: float
     if all_touched:
         square = valid.select("canopy", *((F.col(c[0]) + s * half).alias(f"t_{c}") for c, s in zip(BOX, (-1, -1, 1, 1))))
         square = square.withColumn("t_parts", geometry.rect("t_x0", "t_y0", "t_x1", "t_y1"))
-        pairs = box_join(zones.select(*key, *BOX, "parts"), square, size, 0.0, BOX, _TREE_BOX, geometry.polygons_intersect("parts", "t_parts"))
+        pairs = box_join(_zones(zones, *key), square, size, 0.0, BOX, _TREE_BOX, F.col("is_box") | geometry.polygons_intersect("parts", "t_parts"))
     else:
-        pairs = box_join(zones.select(*key, *BOX, "parts"), valid, size, 0.0, BOX, POINT, geometry.contains_point("parts", "x", "y"))
+        pairs = box_join(_zones(zones, *key), valid, size, 0.0, BOX, POINT, geometry.in_polygon("parts", "is_box", BOX, "x", "y"))
     return pairs.groupBy(*key).agg(F.sum("canopy").alias("canopy_pixels"), F.count("canopy").alias("total_pixels"))
 
 
@@ -88,9 +99,7 @@ def raster_cover_of_units(units: DataFrame, pixels: DataFrame, codes: list[str],
 
 def raster_cover_near_buildings(buildings: DataFrame, pixels: DataFrame, pixel_size: float, buffer: float = 0.0, all_touched: bool = True, quad_segs: int = 8) -> DataFrame:
     """Per building with valid pixels: tree_pixels, total_pixels, canopy_cover. Overlapping tiles count twice unless merged before."""
-    grown = buildings.select("building_id", *BOX, "parts")
-    if buffer:
-        grown = grown.withColumn("parts", convex_buffer(float(buffer), quad_segs)("parts")).withColumns({"x0": F.col("x0") - buffer, "y0": F.col("y0") - buffer, "x1": F.col("x1") + buffer, "y1": F.col("y1") + buffer})
+    grown = _grown(buildings, buffer, quad_segs)
     sums = zonal(grown, pixels, ["building_id"], pixel_size, all_touched)
     cover = F.round(F.try_divide(F.col("canopy_pixels") * F.lit(100.0), F.col("total_pixels").cast("double")), 3)
     return sums.filter("total_pixels > 0").select("building_id", F.coalesce("canopy_pixels", F.lit(0)).alias("tree_pixels"), "total_pixels", cover.alias("canopy_cover"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborel.functions import geometry
+from arborel.functions.overlay import point_on_surface
 from arborel.operators.graph import nearest_source
 from arborel.operators.grid import BOX, POINT, box_join, nearest
 
@@ -15,9 +16,11 @@ SEARCH = 2000.0
 
 def euclidean(buildings: DataFrame, parks: DataFrame, size: float = 100.0) -> DataFrame:
     """Per building: closest_park_site_id and distance_euclidean (1 decimal, 0 where they touch); ties go to the least park."""
-    a = buildings.select("building_id", *BOX, "parts")
-    b = parks.select("park_id", *(F.col(c).alias(f"p_{c}") for c in BOX), F.col("parts").alias("p_parts"), F.expr("parts[0][0][0].x").alias("p_x"), F.expr("parts[0][0][0].y").alias("p_y"))
-    found = nearest(a, b, size, "building_id", "park_id", geometry.polygon_distance("parts", "p_parts"), BOX, tuple(f"p_{c}" for c in BOX), ("p_x", "p_y"))
+    park_box = tuple(f"p_{c}" for c in BOX)
+    a = buildings.select("building_id", *BOX, "parts", geometry.is_box("parts").alias("is_box"))
+    b = parks.select("park_id", *(F.col(c).alias(f"p_{c}") for c in BOX), F.col("parts").alias("p_parts"), geometry.is_box("parts").alias("p_is_box"), F.expr("parts[0][0][0].x").alias("p_x"), F.expr("parts[0][0][0].y").alias("p_y"))
+    exact = F.when(F.col("is_box") & F.col("p_is_box"), geometry.box_gap(BOX, park_box)).otherwise(geometry.polygon_distance("parts", "p_parts"))
+    found = nearest(a, b, size, "building_id", "park_id", exact, BOX, park_box, ("p_x", "p_y"))
     return found.select("building_id", F.col("park_id").alias("closest_park_site_id"), F.round("distance", 1).alias("distance_euclidean"))
 
 
@@ -69,7 +72,7 @@ def access_points(parks: DataFrame, edges: DataFrame, entrances: DataFrame | Non
 
     Entrances at most ``snap`` from a park's boundary count for the nearest park; parks without
     get the places where roads cross their boundary, one for each square metre; parks without
-    either their centroid. Points of a park are numbered by x, then y;
+    either a point inside. Points of a park are numbered by x, then y;
     places of roads are rounded to a millionth of a metre.
     """
     p = parks.select("park_id", *(F.col(c).alias(f"p_{c}") for c in BOX), F.col("parts").alias("p_parts"))
@@ -96,7 +99,7 @@ def access_points(parks: DataFrame, edges: DataFrame, entrances: DataFrame | Non
     places = F.expr(f"concat(transform({apart}, m -> {at('m')}), transform(_shared, s -> {at('((s.lo + s.hi) / 2)')}))")
     crossings = met.select("park_id", F.explode(places).alias("c")).select("park_id", "c.x", "c.y")
     thin = crossings.groupBy("park_id", F.round("x").alias("rx"), F.round("y").alias("ry")).agg(F.min(F.struct("x", "y")).alias("c")).select("park_id", "c.x", "c.y")
-    rest = left.join(thin.select("park_id").distinct(), "park_id", "left_anti").select("park_id", geometry.centroid("p_parts").alias("c")).select("park_id", "c.x", "c.y")
+    rest = left.join(thin.select("park_id").distinct(), "park_id", "left_anti").select("park_id", point_on_surface("p_parts").alias("c")).select("park_id", "c.x", "c.y")
     points = thin.unionByName(rest)
     if found is not None:
         points = points.unionByName(found)

@@ -14,6 +14,11 @@ def tall_trees(trees: DataFrame, least_area: float = 10.0, least_height: float =
     return trees.filter((F.col("tree_area") > least_area) & (F.col("tree_height") > least_height) & F.col("x").isNotNull() & F.col("y").isNotNull())
 
 
+def _boxed(rows: DataFrame, *keys: str, prefix: str = "") -> DataFrame:
+    """Keys, box and polygon, and whether the polygon is its box, so that exact tests are done with the box test."""
+    return rows.select(*keys, *(F.col(c).alias(prefix + c) for c in (*BOX, "parts")), geometry.is_box("parts").alias(f"{prefix}is_box"))
+
+
 def trees_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, keep_zero: bool = True, least_area: float = 10.0, least_height: float = 3.0) -> DataFrame:
     """Per building: tree_count_<buffer>m, the trees whose centroid (x, y) is at most ``buffer`` from the footprint.
 
@@ -22,9 +27,9 @@ def trees_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float =
     """
     name = f"tree_count_{buffer:g}m"
     near = geometry.bbox_distance2("x0", "y0", "x1", "y1", "x", "y") <= buffer * buffer
-    exact = geometry.point_distance("parts", "x", "y") <= buffer
+    exact = F.col("is_box") | (geometry.point_distance("parts", "x", "y") <= buffer)
     kept = tall_trees(trees, least_area, least_height).select("x", "y")
-    pairs = box_join(buildings.select("building_id", *BOX, "parts"), kept, max(float(buffer), 25.0), float(buffer), BOX, POINT, near & exact)
+    pairs = box_join(_boxed(buildings, "building_id"), kept, max(float(buffer), 25.0), float(buffer), BOX, POINT, near & exact)
     counts = pairs.groupBy("building_id").agg(F.count(F.lit(1)).alias(name))
     if not keep_zero:
         return counts
@@ -37,8 +42,8 @@ def trees_per_unit(units: DataFrame, trees: DataFrame, codes: list[str], size: f
     ``codes`` may name several rows of ``units`` as one unit; with ``distinct`` a tree counts once in it,
     else once for each row it touches.
     """
-    a = trees.select("tree_id", *(F.col(c).alias(f"t_{c}") for c in BOX), F.col("parts").alias("t_parts"))
-    pairs = box_join(a, units.select(*codes, *BOX, "parts"), size, 0.0, tuple(f"t_{c}" for c in BOX), BOX, geometry.polygons_intersect("t_parts", "parts"))
+    touch = (F.col("t_is_box") & F.col("is_box")) | geometry.polygons_intersect("t_parts", "parts")
+    pairs = box_join(_boxed(trees, "tree_id", prefix="t_"), _boxed(units, *codes), size, 0.0, tuple(f"t_{c}" for c in BOX), BOX, touch)
     counted = F.count_distinct("tree_id") if distinct else F.count(F.lit(1))
     return pairs.groupBy(*codes).agg(counted.alias("tree_count"))
 
@@ -47,13 +52,12 @@ def overlay(buildings: DataFrame, units: DataFrame, codes: list[str], size: floa
     """Each building's unit: the one that holds its point (the centroid where no other is given); the least codes where several do."""
     at = point if point is not None else geometry.centroid("parts")
     points = buildings.select("building_id", at.alias("_at")).select("building_id", F.col("_at.x").alias("x"), F.col("_at.y").alias("y"))
-    pairs = box_join(points, units.select(*codes, *BOX, "parts"), size, 0.0, POINT, BOX, geometry.contains_point("parts", "x", "y"))
+    pairs = box_join(points, _boxed(units, *codes), size, 0.0, POINT, BOX, geometry.in_polygon("parts", "is_box", BOX, "x", "y"))
     return pairs.groupBy("building_id").agg(F.min(F.struct(*codes)).alias("_unit")).select("building_id", *(F.col(f"_unit.{c}").alias(c) for c in codes))
 
 
 def near_units(features: DataFrame, units: DataFrame, key: str, radius: float = 0.0, size: float = 500.0) -> DataFrame:
     """Features that touch, or are at most ``radius`` from, any of ``units``; members stand for their union."""
-    a = features.select(key, *(F.col(c).alias(f"f_{c}") for c in BOX), F.col("parts").alias("f_parts"))
-    exact = geometry.polygon_distance("f_parts", "parts") <= radius
-    pairs = box_join(a, units.select(*BOX, "parts"), size, radius, tuple(f"f_{c}" for c in BOX), BOX, exact)
+    exact = (F.col("f_is_box") & F.col("is_box")) | (geometry.polygon_distance("f_parts", "parts") <= radius)
+    pairs = box_join(_boxed(features, key, prefix="f_"), _boxed(units), size, radius, tuple(f"f_{c}" for c in BOX), BOX, exact)
     return features.join(pairs.select(key).distinct(), key, "left_semi")
