@@ -5,17 +5,18 @@ from __future__ import annotations
 import dataclasses
 import hashlib
 import json
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborel.config import Config, remote
-from arborel.functions import geometry
+from arborel.functions import crs, geometry
 from arborel.functions.overlay import point_on_surface
 from arborel.operators import canopy, cells, graph, parks, trees
 from arborel.operators.grid import BOX
-from arborel.sources import geotiff, sinks, vector
+from arborel.sources import footprints, geotiff, osm, sinks, vector
 
 
 @dataclass(frozen=True)
@@ -31,44 +32,86 @@ class Catalog:
     edges: DataFrame
 
 
-def _file(config: Config, layer: str) -> str:
-    source = getattr(config.data, layer)
-    if remote(source):
-        raise NotImplementedError(f"data.{layer}: {source} is a remote service; export it and read it with arborel.sources.osm or .footprints")
-    return source
+def _export(c: Config, layer: str) -> tuple[str | None, str]:
+    """The remote source that a layer names with the path of its export, or None and the layer's own path."""
+    path = getattr(c.data, layer)
+    source = remote(path)
+    if source is None:
+        return None, path
+    if source not in c.exports:
+        raise NotImplementedError(f"data.{layer}: {source} is a remote service; export it and name the export's path in exports.{source}")
+    return source, c.exports[source]
+
+
+def _layer(spark: SparkSession, c: Config, layer: str, table: str | None = None) -> DataFrame:
+    return vector.read_vector(spark, getattr(c.data, layer), table, c.crs)
+
+
+def _trimmed(rows: DataFrame, units: DataFrame, key: str, radius: float) -> DataFrame:
+    """Features (with ``parts``) that touch the study area or lie at most ``radius`` from it."""
+    return trees.near_units(rows.filter(F.size("parts") > 0).withColumns(geometry.bbox("parts")), units, key, radius)
+
+
+def _degrees(units: DataFrame, c: Config) -> tuple[float, float, float, float]:
+    """The study area's box in degrees, which prunes the files of published footprints."""
+    corners = F.array(*(F.struct(F.col(a).alias("x"), F.col(b).alias("y")) for a in ("x0", "x1") for b in ("y0", "y1")))
+    at = F.explode(F.transform(corners, lambda p: F.struct(*(v.alias(n) for v, n in zip(crs.unproject(p["x"], p["y"], c.crs), ("lon", "lat"))))))
+    box = units.select(at.alias("p")).agg(F.min("p.lon"), F.min("p.lat"), F.max("p.lon"), F.max("p.lat")).first()
+    return tuple(box)
 
 
 def _units(spark: SparkSession, c: Config) -> DataFrame:
-    rows = vector.polygons(vector.read_vector(spark, _file(c, "census_boundaries")))
+    rows = vector.polygons(_layer(spark, c, "census_boundaries"))
     return rows.select(*(F.col(g).cast("string").alias(g) for g in c.columns.geo_levels), "parts", *BOX, (geometry.area("parts") / 1e6).alias("area"))
 
 
-def _buildings(spark: SparkSession, c: Config) -> DataFrame:
-    rows = vector.read_vector(spark, _file(c, "buildings"), c.columns.building_layer)
-    rows = vector.renamed(rows, {c.columns.building_id: "building_id", c.columns.building_height_col: "building_height"})
+def _buildings(spark: SparkSession, c: Config, units: DataFrame) -> DataFrame:
+    source, path = _export(c, "buildings")
+    if source == "osm":
+        return _trimmed(osm.buildings(osm.elements(spark, path), c.crs, c.osm.building_types), units, "building_id", 0.0)
+    if source is not None:
+        box = _degrees(units, c)
+        rows = footprints.overture_buildings(spark, path, box) if source == "overture" else footprints.open_buildings(spark, path, c.open_buildings.confidence_threshold, box)
+        return _trimmed(vector.polygons(vector.reprojected(rows, 4326, c.crs, path)), units, "building_id", 0.0)
+    rows = vector.renamed(_layer(spark, c, "buildings", c.columns.building_layer), {c.columns.building_id: "building_id", c.columns.building_height_col: "building_height"})
     return vector.polygons(vector.numeric(rows, "building_height"))
 
 
-def _parks(spark: SparkSession, c: Config) -> DataFrame:
-    rows = vector.polygons(vector.renamed(vector.read_vector(spark, _file(c, "parks_sites")), {c.columns.park_id: "park_id"}))
+def _parks(spark: SparkSession, c: Config, units: DataFrame) -> DataFrame:
+    source, path = _export(c, "parks_sites")
+    if source == "osm":
+        found = osm.parks(osm.elements(spark, path), c.crs, c.osm.park_tags, c.osm.exclude_private)
+        return _trimmed(found, units, "park_id", float(c.osm.fetch_buffer)).select("park_id", "parts", *BOX)
+    rows = vector.polygons(vector.renamed(_layer(spark, c, "parks_sites"), {c.columns.park_id: "park_id"}))
     return parks.public_parks(rows, c.columns.park_function_col, c.columns.park_function_value).select("park_id", "parts", *BOX)
 
 
-def _access(spark: SparkSession, c: Config, sites: DataFrame) -> DataFrame:
-    names = {c.columns.park_id: "access_id", c.columns.park_access_ref_col: "park_access_ref"}
-    rows = parks.linked_access(vector.points(vector.renamed(vector.read_vector(spark, _file(c, "parks_access")), names)), sites)
+def _access(spark: SparkSession, c: Config, sites: DataFrame, edges: DataFrame) -> DataFrame:
+    source, path = _export(c, "parks_access")
+    if source == "osm":
+        rows = parks.access_points(sites, edges, osm.entrances(osm.elements(spark, path), c.crs))
+    else:
+        names = {c.columns.park_id: "access_id", c.columns.park_access_ref_col: "park_access_ref"}
+        rows = vector.points(vector.renamed(_layer(spark, c, "parks_access"), names))
+        rows = rows if remote(c.data.parks_sites) else parks.linked_access(rows, sites)
     # the order that breaks ties follows the id, which every run sees alike
     return rows.select("access_id", F.xxhash64("access_id").alias("rank"), "x", "y")
 
 
-def _roads(spark: SparkSession, c: Config) -> tuple[DataFrame, DataFrame]:
+def _roads(spark: SparkSession, c: Config, units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    source, path = _export(c, "roads")
+    if source == "osm":
+        nodes, edges = osm.roads(osm.elements(spark, path), c.crs, c.osm.network_type)
+        # of what lies near the study area, the one network that hangs together: stubs at its rim would catch buildings
+        edges = graph.largest_component(parks.streets_near_units(edges, units, float(c.osm.fetch_buffer)))
+        return parks.nodes_of_streets(nodes, edges), edges
     names = {c.columns.road_edge_start: "u", c.columns.road_edge_end: "v", c.columns.road_edge_length: "w"}
-    rows = vector.lines(vector.renamed(vector.read_vector(spark, _file(c, "roads"), c.columns.road_edge_layer), names))
+    rows = vector.lines(vector.renamed(_layer(spark, c, "roads", c.columns.road_edge_layer), names))
     rows = rows.withColumn("edge_id", F.xxhash64("path"))
     ends = {"ax": F.col("path")[0]["x"], "ay": F.col("path")[0]["y"], "bx": F.element_at("path", -1)["x"], "by": F.element_at("path", -1)["y"]}
     w = F.col("w").cast("double") if "w" in rows.columns else geometry.line_length("path")
     if c.data.road_nodes and "u" in rows.columns:
-        nodes = vector.points(vector.renamed(vector.read_vector(spark, c.data.road_nodes, c.columns.road_node_layer), {c.columns.road_node_id: "node"}))
+        nodes = vector.points(vector.renamed(_layer(spark, c, "road_nodes", c.columns.road_node_layer), {c.columns.road_node_id: "node"}))
         number = lambda x: F.xxhash64(F.col(x).cast("string"))
         return nodes.select(number("node").alias("node"), "x", "y"), rows.select("edge_id", number("u").alias("u"), number("v").alias("v"), w.alias("w"), *(e.alias(k) for k, e in ends.items()))
     nodes, named = graph.derived_nodes(rows)
@@ -94,17 +137,20 @@ def load(spark: SparkSession, c: Config, dggs: str | None = None, resolution: in
         return spark.read.parquet(path)
 
     units = cached("boundaries", lambda: _units(spark, c))
-    buildings = cached("buildings", lambda: _buildings(spark, c))
+    buildings = cached("buildings", lambda: _buildings(spark, c, units))
     overlay = cached("overlay", lambda: trees.overlay(buildings, units, list(c.columns.geo_levels), point=point_on_surface("parts")))
-    sites = cached("parks", lambda: _parks(spark, c))
-    access = cached("access", lambda: _access(spark, c, sites))
+    sites = cached("parks", lambda: _parks(spark, c, units))
     roads: list = []
 
     def road(i: int) -> DataFrame:
         if not roads:
-            roads.extend(_roads(spark, c))
+            roads.extend(_roads(spark, c, area))
         return roads[i]
 
+    area = units
+    nodes, edges = cached("road_nodes", lambda: road(0)), cached("road_edges", lambda: road(1))
+    access = cached("access", lambda: _access(spark, c, sites, edges))
+
     if dggs is not None:
         system, levels = cells.get_system(dggs), list(c.columns.geo_levels)
         name = system.column_name(resolution)
@@ -114,7 +160,7 @@ def load(spark: SparkSession, c: Config, dggs: str | None = None, resolution: in
             raise ValueError(f"no {name} cells overlap the study area")
         places = buildings.select("building_id", point_on_surface("parts").alias("p")).select("building_id", "p.x", "p.y")
         overlay = cached(f"overlay_{name}", lambda: cells.cell_overlay(places, units, "building_id", [name, *levels], 500.0))
-    return Catalog(units, buildings, overlay, sites, access, cached("road_nodes", lambda: road(0)), cached("road_edges", lambda: road(1)))
+    return Catalog(units, buildings, overlay, sites, access, nodes, edges)
 
 
 def tree_table(spark: SparkSession, c: Config) -> DataFrame:
@@ -122,7 +168,7 @@ def tree_table(spark: SparkSession, c: Config) -> DataFrame:
     if not c.data.trees_dir:
         raise ValueError("data.trees_dir is not set")
     names = {c.columns.tree_height_col: "tree_height", c.columns.tree_area_col: "tree_area"}
-    rows = vector.polygons(vector.renamed(vector.read_vector(spark, c.data.trees_dir, c.columns.tree_layer), names))
+    rows = vector.polygons(vector.renamed(vector.read_vector(spark, c.data.trees_dir, c.columns.tree_layer, c.crs), names))
     if "tree_area" not in rows.columns:
         rows = rows.withColumn("tree_area", geometry.area("parts"))
     at = geometry.centroid("parts")
@@ -137,6 +183,9 @@ def canopy_pixels(spark: SparkSession, c: Config, low: float, high: float) -> tu
     wrong = checks.filter("epsg IS NOT NULL AND error IS NOT NULL").head(1)
     if wrong:
         raise ValueError(f"{wrong[0]['path']}: {wrong[0]['error']}")
+    broken = checks.filter("epsg IS NULL").select("path", "error").limit(20).collect()
+    if broken:
+        warnings.warn("canopy is missing where these tiles cannot be read: " + "; ".join(f"{r['path']}: {r['error']}" for r in broken), stacklevel=2)
     pixels = geotiff.read_pixels(spark, c.data.chm_tiles_dir)
     step = pixels.groupBy("tile_id", "y").agg(((F.max("x") - F.min("x")) / F.greatest(F.count_distinct("x") - 1, F.lit(1))).alias("s")).agg(F.max("s")).first()[0]
     return canopy.binarised(canopy.merged_tiles(pixels), low, high), float(step or 1.0)

@@ -7,15 +7,27 @@ roads as edges between their nodes, entrances as points. Coordinates are project
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborel.functions import crs
 
-# Kinds of buildings and tags of parks by default. Gardens are mostly private and no park.
+# Kinds of buildings and tags of parks by default.
 RESIDENTIAL = ("residential", "house", "apartments", "detached", "semidetached_house", "terrace", "bungalow", "dormitory", "static_caravan", "houseboat")
 PARK_TAGS = {"leisure": ["park", "recreation_ground"], "landuse": ["village_green", "recreation_ground"]}
 PRIVATE = ("private", "no", "customers")
+# Ways that a network leaves out, by their tags; the kinds are those of the configuration.
+_NEVER = {"highway": ("abandoned", "construction", "no", "planned", "platform", "proposed", "raceway", "razed"), "area": ("yes",)}
+_FOOT_ONLY = ("bridleway", "corridor", "elevator", "escalator", "footway", "path", "pedestrian", "steps", "track")
+_MOTOR_ONLY = ("motor", "motorway", "motorway_link")
+LEFT_OUT = {
+    "all": {},
+    "all_public": {"access": ("private",), "service": ("private",)},
+    "walk": {"access": ("private",), "service": ("private",), "foot": ("no",), "highway": ("bus_guideway", "cycleway", *_MOTOR_ONLY)},
+    "bike": {"access": ("private",), "service": ("private",), "bicycle": ("no",), "highway": ("bus_guideway", "corridor", "elevator", "escalator", "footway", "steps", *_MOTOR_ONLY)},
+    "drive_service": {"access": ("private",), "motor_vehicle": ("no",), "motorcar": ("no",), "highway": ("bus_guideway", "cycleway", *_FOOT_ONLY), "service": ("emergency_access", "parking", "parking_aisle", "private")},
+    "drive": {"access": ("private",), "motor_vehicle": ("no",), "motorcar": ("no",), "highway": ("bus_guideway", "cycleway", "service", *_FOOT_ONLY), "service": ("alley", "driveway", "emergency_access", "parking", "parking_aisle", "private")},
+}
 FORM = (
     "elements ARRAY<STRUCT<type: STRING, id: BIGINT, lat: DOUBLE, lon: DOUBLE, nodes: ARRAY<BIGINT>, tags: MAP<STRING, STRING>, "
     "geometry: ARRAY<STRUCT<lat: DOUBLE, lon: DOUBLE>>, members: ARRAY<STRUCT<type: STRING, ref: BIGINT, role: STRING, geometry: ARRAY<STRUCT<lat: DOUBLE, lon: DOUBLE>>>>>>"
@@ -68,9 +80,18 @@ def parks(found: DataFrame, epsg: str | int, tags: dict[str, list[str]] | None =
     return rows.select(F.col("osm_id").alias("park_id"), "parts")
 
 
-def roads(found: DataFrame, epsg: str | int) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges) of ways with a highway tag, each way cut at its nodes: node, x, y; edge_id, u, v, w, ax, ay, bx, by."""
-    ways = found.filter("type = 'way' AND tags['highway'] IS NOT NULL AND size(nodes) >= 2 AND size(nodes) = size(geometry)")
+def in_network(network: str) -> Column:
+    """Whether a way with a highway tag is part of a network: walk leaves out motorways and what is closed to feet, and so on."""
+    out = F.col("tags")["highway"].isNotNull()
+    for rule in (_NEVER, LEFT_OUT[network]):
+        for tag, values in rule.items():
+            out = out & ~F.coalesce(F.col("tags")[tag].isin(list(values)), F.lit(False))
+    return out
+
+
+def roads(found: DataFrame, epsg: str | int, network: str = "walk") -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of the ways of a network, each way cut at its nodes: node, x, y; edge_id, u, v, w, ax, ay, bx, by."""
+    ways = found.filter("type = 'way' AND size(nodes) >= 2 AND size(nodes) = size(geometry)").filter(in_network(network))
     ways = ways.select("id", "nodes", _ring(F.col("geometry"), epsg).alias("g"))
     step = "transform(sequence(0, size(nodes) - 2), i -> named_struct('k', i, 'u', nodes[i], 'v', nodes[i + 1], 'a', g[i], 'b', g[i + 1]))"
     edges = ways.select("id", F.explode(F.expr(step)).alias("s")).select(
@@ -88,7 +109,3 @@ def entrances(found: DataFrame, epsg: str | int) -> DataFrame:
     x, y = crs.project(F.col("lon"), F.col("lat"), epsg)
     return rows.select(F.col("id").alias("entrance_id"), x.alias("x"), y.alias("y"))
 
-
-def tag_text(column):
-    """A list-valued tag as one text, its values joined by commas."""
-    return F.array_join(column, ",")

@@ -7,8 +7,10 @@ reads. Geometry that is null, empty or broken gives a null shape.
 from __future__ import annotations
 
 import json
+import logging
 import os
 import sqlite3
+import warnings
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,20 +18,88 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arborel.functions import geometry
+from arborel.functions import crs, geometry
 from arborel.sources import wkb
 
+log = logging.getLogger("arborel")
 
-def read_vector(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
-    """The features of a file or folder with their attributes and ``shape``, by the name's ending."""
+
+def read_vector(spark: SparkSession, path: str, layer: str | None = None, crs_to: str | int | None = None) -> DataFrame:
+    """The features of a file or folder with their attributes and ``shape``, by the name's ending.
+
+    With ``crs_to`` shapes come in the coordinates of that EPSG code, moved from those that the file says it has. A file
+    that does not say is taken to have them already, with a warning.
+    """
     ending = os.path.splitext(path.rstrip("/"))[1].lower()
     if ending in (".parquet", ".geoparquet"):
-        return read_geoparquet(spark, path)
-    if ending in (".geojson", ".json"):
-        return read_geojson(spark, path)
-    if ending == ".gpkg":
-        return read_geopackage(spark, path, layer)
-    raise ValueError(f"cannot read {path}: known are .parquet, .geoparquet, .geojson, .json and .gpkg")
+        rows, source = read_geoparquet(spark, path), geoparquet_epsg
+    elif ending in (".geojson", ".json"):
+        rows, source = read_geojson(spark, path), lambda *_: geojson_epsg(spark, path, rows)
+    elif ending == ".gpkg":
+        rows, source = read_geopackage(spark, path, layer), lambda *_: geopackage_epsg(spark, path, layer)
+    else:
+        raise ValueError(f"cannot read {path}: known are .parquet, .geoparquet, .geojson, .json and .gpkg")
+    return rows if crs_to is None else reprojected(rows, source(spark, path), crs_to, path)
+
+
+def _code(name: object) -> int | None:
+    """The EPSG code that a CRS is named by."""
+    text = str(name or "").upper()
+    if "CRS84" in text:
+        return 4326
+    digits = text.replace("/", ":").rpartition(":")[2]
+    return int(digits) if digits.isdigit() else None
+
+
+def geoparquet_epsg(spark: SparkSession, path: str) -> int | None:
+    """What the file metadata says: a CRS that is left out means degrees; without such metadata nothing is known."""
+    files = spark.read.parquet(path).inputFiles()
+    if not files:
+        return None
+    hadoop, parquet = spark._jvm.org.apache.hadoop.fs, spark._jvm.org.apache.parquet.hadoop
+    reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(hadoop.Path(files[0]), spark._jsc.hadoopConfiguration()))
+    try:
+        meta = reader.getFooter().getFileMetaData().getKeyValueMetaData().get("geo")
+    finally:
+        reader.close()
+    if meta is None:
+        return None
+    meta = json.loads(meta)
+    column = meta.get("columns", {}).get(meta.get("primary_column", "geometry"), {})
+    if "crs" not in column:
+        return 4326
+    named = (column["crs"] or {}).get("id") or {}
+    return _code(f"{named.get('authority')}:{named.get('code')}")
+
+
+def geojson_epsg(spark: SparkSession, path: str, rows: DataFrame) -> int | None:
+    """What the file's member crs says; without it degrees, unless a coordinate cannot be one."""
+    named = spark.read.text(path, wholetext=True).select(F.get_json_object("value", "$.crs.properties.name").alias("n")).filter("n IS NOT NULL").first()
+    if named:
+        return _code(named["n"])
+    points = F.concat(F.flatten(F.flatten(F.coalesce("shape.parts", F.array()))), F.flatten(F.coalesce("shape.paths", F.array())), F.coalesce("shape.points", F.array()))
+    far = rows.filter("shape IS NOT NULL").filter(F.exists(points, lambda p: (F.abs(p["x"]) > 180) | (F.abs(p["y"]) > 90)))
+    return None if far.head(1) else 4326
+
+
+def reprojected(layer: DataFrame, source: int | None, target: str | int, name: str = "a layer", shape: str = "shape") -> DataFrame:
+    """``layer`` with its shapes moved from one EPSG code's coordinates to another's."""
+    crs.projection(target)
+    if source is None:
+        warnings.warn(f"{name} does not say its CRS; its coordinates are taken for those of {target}", stacklevel=2)
+    if source is None or crs.projection(source) == crs.projection(target):
+        return layer
+
+    def point(p: Column) -> Column:
+        x, y = crs.project(*crs.unproject(p["x"], p["y"], source), target)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    def rings(column: Column) -> Column:
+        return F.transform(column, lambda ring: F.transform(ring, point))
+
+    s = F.col(shape)
+    moved = F.struct(s["kind"].alias("kind"), F.transform(s["parts"], rings).alias("parts"), rings(s["paths"]).alias("paths"), F.transform(s["points"], point).alias("points"))
+    return layer.withColumn(shape, F.when(s.isNotNull(), moved))
 
 
 def read_geoparquet(spark: SparkSession, path: str, column: str = "geometry") -> DataFrame:
@@ -81,29 +151,70 @@ def _layer(base: sqlite3.Connection, layer: str | None) -> tuple[str, str, list[
     return name, tables[name], columns
 
 
+def _first_package(spark: SparkSession, path: str, layer: str | None) -> dict | None:
+    """Geometry column, columns and EPSG code of the layer in the first readable package below ``path``, or its ``error``."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"]):
+                try:
+                    base = _open(content)
+                    table, geom, columns = _layer(base, layer)
+                    about = {"geom": geom, "columns": columns, "epsg": _package_code(base, table)}
+                except sqlite3.Error as e:
+                    log.warning("%s cannot be read: %s", name, e)
+                    continue
+                except ValueError as e:
+                    about = {"error": str(e)}
+                yield pd.DataFrame({"path": [name], "about": [json.dumps(about)]})
+
+    # the schema of a package is a few hundred bytes; one is enough
+    found = _packages(spark, path).mapInPandas(look, "path string, about string").agg(F.min(F.struct("path", "about")).alias("a")).first()["a"]
+    return json.loads(found["about"]) if found else None
+
+
+def _package_code(base: sqlite3.Connection, table: str) -> int | None:
+    try:
+        row = base.execute("SELECT r.organization_coordsys_id FROM gpkg_geometry_columns c JOIN gpkg_spatial_ref_sys r ON r.srs_id = c.srs_id WHERE c.table_name = ? AND upper(r.organization) = 'EPSG'", (table,)).fetchone()
+    except sqlite3.Error:
+        return None
+    return int(row[0]) if row else None
+
+
+def _packages(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg").option("recursiveFileLookup", "true").load(path).select("path", "content")
+
+
+def geopackage_epsg(spark: SparkSession, path: str, layer: str | None = None) -> int | None:
+    return (_first_package(spark, path, layer) or {}).get("epsg")
+
+
 def read_geopackage(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
-    """A layer (the first, if none is named) of one or more GeoPackages; files that cannot be read are left out.
+    """A layer (the first, if none is named) of one or more GeoPackages; files that cannot be read are left out and logged.
 
     The schema is that of the first file; a file is read by one task.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg").option("recursiveFileLookup", "true").load(path)
-    first = files.select("content").limit(1).collect()
-    if not first:
+    files = _packages(spark, path)
+    about = _first_package(spark, path, layer)
+    if about is None:
         raise ValueError(f"no GeoPackage at {path}")
-    _, geom, columns = _layer(_open(first[0][0]), layer)
+    if "error" in about:
+        raise ValueError(about["error"])
+    geom, columns = about["geom"], about["columns"]
     attributes = [(c, _TYPES.get(t, T.StringType())) for c, t in columns if c != geom]
     schema = T.StructType([*(T.StructField(c, t) for c, t in attributes), T.StructField("_wkb", T.BinaryType())])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
+            for at, content in zip(batch["path"], batch["content"]):
                 try:
                     base = _open(content)
                     name, column, there = _layer(base, layer)
                     known = {c for c, _ in there}
                     pick = ", ".join('"' + c.replace('"', '""') + '"' if c in known else "NULL" for c, _ in [*attributes, (column, None)])
                     found = base.execute(f'SELECT {pick} FROM "{name.replace(chr(34), chr(34) * 2)}"').fetchall()
-                except (sqlite3.Error, ValueError):
+                except (sqlite3.Error, ValueError) as e:
+                    log.warning("%s is left out: %s", at, e)
                     continue
                 out = pd.DataFrame(found, columns=[*(c for c, _ in attributes), "_wkb"], dtype=object)
                 out["_wkb"] = out["_wkb"].map(wkb.package_body)
@@ -112,7 +223,7 @@ def read_geopackage(spark: SparkSession, path: str, layer: str | None = None) ->
                         out[c] = out[c].map(lambda v: None if v is None else str(v))
                 yield out
 
-    found = files.select("content").mapInPandas(rows, schema)
+    found = files.mapInPandas(rows, schema)
     return found.withColumn("shape", wkb.shape_of("_wkb")).drop("_wkb")
 
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arborel import cli
 from arborel.operators import canopy
@@ -264,6 +265,77 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.read.parquet(f"{out}/t3_100m").count() == 4
 
 
+def test_layers_in_other_coordinates(spark, tmp_path):
+    """Each format says its CRS in its own way; shapes come in the study's."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from arborel.functions import crs
+
+    at = spark.range(1).select(*(v.alias(n) for n, v in zip("xy", crs.project(F.lit(9.1), F.lit(45.2), 32632)))).first()
+    want = (pytest.approx(at["x"], abs=0.02), pytest.approx(at["y"], abs=0.02))
+    ring = [[9.1, 45.2], [9.2, 45.2], [9.2, 45.3], [9.1, 45.2]]
+    (tmp_path / "d.geojson").write_text(vector.feature_collection([polygon(ring, id="a")]))
+    metres = [list(map(float, p)) for p in spark.createDataFrame([tuple(p) for p in ring], "a double, b double").select(*crs.project(F.col("a"), F.col("b"), 3857)).collect()]
+    named = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, "features": [polygon(metres, id="a")]}
+    (tmp_path / "m.geojson").write_text(json.dumps(named))
+    table = pa.table({"id": ["a"], "geometry": [bytes(wkb.encode_parts(parts(ring)))]})
+    for name, geo in (("p", {"primary_column": "geometry", "columns": {"geometry": {"encoding": "WKB"}}}), ("q", {"columns": {"geometry": {"crs": {"id": {"authority": "EPSG", "code": 4326}}}}})):
+        pq.write_table(table.replace_schema_metadata({"geo": json.dumps(geo)}), tmp_path / f"{name}.parquet")
+    gpkg(tmp_path / "g.gpkg", [(ring, 5.0, 1.0)])
+    base = sqlite3.connect(tmp_path / "g.gpkg")
+    base.execute("ALTER TABLE gpkg_geometry_columns ADD COLUMN srs_id INTEGER")
+    base.execute("UPDATE gpkg_geometry_columns SET srs_id = 7")
+    base.execute("CREATE TABLE gpkg_spatial_ref_sys (srs_id INTEGER, organization TEXT, organization_coordsys_id INTEGER)")
+    base.execute("INSERT INTO gpkg_spatial_ref_sys VALUES (7, 'epsg', 4326)")
+    base.commit()
+    base.close()
+    for name in ("d.geojson", "m.geojson", "p.parquet", "q.parquet", "g.gpkg"):
+        got = vector.polygons(vector.read_vector(spark, f"file://{tmp_path}/{name}", None, "EPSG:32632")).first()
+        assert (got["x0"], got["y0"]) == want, name
+    pq.write_table(table, tmp_path / "silent.parquet")
+    with pytest.warns(UserWarning, match="does not say its CRS"):
+        assert vector.polygons(vector.read_vector(spark, f"file://{tmp_path}/silent.parquet", None, 32632)).first()["x0"] == 9.1
+    pq.write_table(table.replace_schema_metadata({"geo": json.dumps({"columns": {"geometry": {"crs": {"id": {"authority": "EPSG", "code": 9999}}}}})}), tmp_path / "odd.parquet")
+    with pytest.raises(ValueError, match="9999"):
+        vector.read_vector(spark, f"file://{tmp_path}/odd.parquet", None, 32632)
+
+
+def test_networks(spark):
+    tags = [{"highway": "residential"}, {"highway": "motorway"}, {"highway": "footway"}, {"highway": "cycleway"}, {"highway": "proposed"}, {"highway": "service", "service": "driveway"}, {"highway": "path", "foot": "no"}, {"highway": "track", "access": "private"}, {"name": "no way"}, {"highway": "primary", "area": "yes"}]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(tags)], "i int, tags map<string,string>")
+    kept = {n: {r["i"] for r in rows.filter(osm.in_network(n)).collect()} for n in osm.LEFT_OUT}
+    assert kept == {"all": {0, 1, 2, 3, 5, 6, 7}, "all_public": {0, 1, 2, 3, 5, 6}, "walk": {0, 2, 5}, "bike": {0, 3, 5, 6}, "drive_service": {0, 1, 5}, "drive": {0, 1}}
+
+
+def test_exports_stand_for_remote_layers(spark, tmp_path):
+    """A study whose buildings, parks, gates and roads are one export of OpenStreetMap."""
+    yaml = pytest.importorskip("yaml")
+    place = lambda x, y: {"lat": 45.0 + y / 111_000, "lon": 9.0 + x / 78_700}
+    ring = lambda x, y, s: [place(x, y), place(x + s, y), place(x + s, y + s), place(x, y + s), place(x, y)]
+    found = [{"type": "way", "id": i, "tags": {"building": "house"}, "geometry": ring(x, 100, 10)} for i, x in ((1, 100), (2, 300), (3, 9000))]
+    found += [{"type": "way", "id": 4, "tags": {"leisure": "park"}, "geometry": ring(500, 100, 60)}]
+    found += [{"type": "way", "id": 5, "tags": {"highway": "residential"}, "nodes": list(range(50, 58)), "geometry": [place(100 * k, 130) for k in range(8)]}]
+    found += [{"type": "way", "id": 6, "tags": {"highway": "motorway"}, "nodes": [70, 71], "geometry": [place(90, 111), place(110, 111)]}, {"type": "way", "id": 7, "tags": {"highway": "footway"}, "nodes": [80, 81], "geometry": [place(290, 112), place(310, 112)]}]
+    (tmp_path / "o.json").write_text(json.dumps({"elements": found}))
+    corner = [[9.0, 45.0], [9.01, 45.0], [9.01, 45.005], [9.0, 45.005], [9.0, 45.0]]
+    (tmp_path / "wards.geojson").write_text(vector.feature_collection([polygon(corner, city="c", ward="w")]))
+    study = {
+        "study_area_name": "exported", "crs": "EPSG:32632", "data": {"buildings": "osm", "parks_sites": "osm", "parks_access": "osm", "roads": "osm", "census_boundaries": f"file://{tmp_path}/wards.geojson"},
+        "columns": {"geo_levels": ["city", "ward"]}, "output": {"base_dir": f"file://{tmp_path}/out"}, "exports": {"osm": f"file://{tmp_path}/o.json"},
+    }
+    (tmp_path / "s.yaml").write_text(yaml.safe_dump(study))
+    assert cli.main(["run", "-c", str(tmp_path / "s.yaml"), "-p", "T300"]) == 0
+    got = {r["building_id"]: r for r in spark.read.parquet(f"file://{tmp_path}/out/t300").collect()}
+    # the house far off is no part of the study, the motorway no way to walk, and the lone footway no network
+    assert set(got) == {"way/1", "way/2"}
+    assert got["way/1"]["distance_euclidean"] == pytest.approx(390, abs=3) and got["way/2"]["distance_euclidean"] == pytest.approx(190, abs=3)
+    assert got["way/1"]["distance_manhattan"] == pytest.approx(400 + 26, abs=70)
+    study["exports"] = {}
+    (tmp_path / "s.yaml").write_text(yaml.safe_dump(study | {"output": {"base_dir": f"file://{tmp_path}/other"}}))
+    assert cli.main(["run", "-c", str(tmp_path / "s.yaml"), "-p", "T300"]) == 1
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("a", "0012", 1.5), ("b", "7", float("nan"))], "geo_code string, code string, v double")
     path = f"file://{tmp_path}/t"
