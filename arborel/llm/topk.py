@@ -1,11 +1,11 @@
 """Exact top-k search: tiled matrix products, a partial selection in each tile, merged tops.
 
 Vectors are turned into integers, floor(scale * x), and scored by inner product. Queries are
-packed into matrices; as many as fit ``BLOCK_BYTES`` make a block, which the driver takes from
-the packed queries in turn and broadcasts, so the broadcast has a fixed bound and a larger
-query set means more blocks, each against all rows. A task cuts its rows into shards, multiplies
-each query tile with each shard, selects the k best of the product and merges them into the
-tops it has so far. What tasks return, k rows for each query, is merged by a tree.
+packed into tiles, which are dealt into groups of about ``BLOCK_BYTES``, and rows into shards, which
+are dealt into buckets. Each group meets each bucket in a task of its own, which holds the group's
+tiles, multiplies each with the bucket's shards one by one, selects the k best of the product and
+merges them into the tops that it has so far. What tasks return, k rows for each query, is merged by a
+tree. Nothing of queries or rows comes to the driver but the tiles' total size.
 
 Vectors that are null, or that hold null or non-finite components, take no part; an empty
 vector is a vector of no dimensions. Vectors are compared with those of equal dimension only.
@@ -16,7 +16,8 @@ its candidates. Scores beyond 64 bits are cut to the largest or smallest long.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from arborel.llm.common import stored
 
-#: Queries of a tile, rows of a shard.
+#: Queries of a tile, rows of a shard, bytes of a group of tiles.
 TILE = 512
 SHARD = 4096
 BLOCK_BYTES = 16_000_000
@@ -106,66 +107,65 @@ class _Tops:
         self.rows, self.scores, self.ids = r[good], s[good], i[good]
 
 
-def _packed(queries: DataFrame, scale: float) -> DataFrame:
-    """Query rows as matrices: (dim, ids, matrix)."""
+def _packed(rows: DataFrame, scale: float, most: int) -> DataFrame:
+    """Rows as matrices of at most so many, their ids in ascending order: (dim, ids, matrix)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, matrix in _vectors(batch, scale):
-                for i in range(0, len(ids), TILE):
-                    part = matrix[i : i + TILE]
-                    yield pa.RecordBatch.from_arrays([pa.array([part.shape[1]], pa.int32()), pa.array([ids[i : i + TILE].astype("<i8").tobytes()], pa.binary()), pa.array([part.astype("<f8").tobytes()], pa.binary())], ["dim", "ids", "matrix"])
-
-    return queries.mapInArrow(run, "dim int, ids binary, matrix binary")
-
-
-def _blocks(packed: DataFrame) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
-    """Tiles, gathered into blocks of bounded size; the driver holds one block and one partition's tiles."""
-    waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-    size = 0
-    for row in packed.toLocalIterator():
-        ids = np.frombuffer(row["ids"], "<i8")
-        matrix = np.frombuffer(row["matrix"], "<f8").reshape(len(ids), row["dim"])
-        waiting.setdefault(row["dim"], []).append((ids, matrix))
-        size += matrix.nbytes + ids.nbytes
-        if size >= BLOCK_BYTES:
-            yield _tiles(waiting)
-            waiting, size = {}, 0
-    if waiting:
-        yield _tiles(waiting)
-
-
-def _tiles(parts: dict[int, list[tuple[np.ndarray, np.ndarray]]]) -> list[tuple[np.ndarray, np.ndarray]]:
-    tiles = []
+                order = np.argsort(ids, kind="stable")
+                ids, matrix = ids[order], matrix[order]
+                for i in range(0, len(ids), most):
+                    part = matrix[i : i + most]
+                    yield pa.RecordBatch.from_arrays([pa.array([part.shape[1]], pa.int32()), pa.array([ids[i : i + most].astype("<i8").tobytes()], pa.binary()), pa.array([part.astype("<f8").tobytes()], pa.binary())], ["dim", "ids", "matrix"])
+
+    return rows.mapInArrow(run, "dim int, ids binary, matrix binary")
+
+
+def _tiles(parts: dict[int, list[tuple[np.ndarray, np.ndarray]]], k: int) -> list[_Tops]:
+    tops = []
     for found in parts.values():
         ids, matrix = (np.concatenate(x) for x in zip(*found))
-        tiles += [(ids[i : i + TILE], matrix[i : i + TILE]) for i in range(0, len(ids), TILE)]
-    return tiles
+        tops += [_Tops(ids[i : i + TILE], matrix[i : i + TILE], k) for i in range(0, len(ids), TILE)]
+    return tops
 
 
-def _scan(rows: DataFrame, tiles: list[tuple[np.ndarray, np.ndarray]], k: int, scale: float) -> DataFrame:
-    """Each task's k best candidates of every query of the block."""
-    shared = rows.sparkSession.sparkContext.broadcast(tiles)
+def _scan(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The k best candidates of every query of a group in a bucket, from rows sorted by group, bucket and kind (tiles first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tops = [_Tops(ids, matrix, k) for ids, matrix in shared.value]
-        for batch in batches:
-            for ids, matrix in _vectors(batch, scale):
-                order = np.argsort(ids, kind="stable")
-                ids, matrix = ids[order], matrix[order]
-                for i in range(0, len(ids), SHARD):
-                    for top in tops:
-                        if top.matrix.shape[1] == matrix.shape[1]:
-                            top.add(ids[i : i + SHARD], matrix[i : i + SHARD])
-        for top in tops:
-            yield pa.RecordBatch.from_arrays([pa.array(top.own[top.rows]), pa.array(top.ids), pa.array(top.scores)], ["query_id", "vec_id", "score"])
+        at: tuple[int, int] | None = None
+        waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        tops: list[_Tops] = []
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score long")
+        def done() -> Iterator[pa.RecordBatch]:
+            for top in tops:
+                lists = pa.array(np.full(len(top.rows), at[1], np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(top.own[top.rows]), pa.array(top.ids), pa.array(top.scores), lists], ["query_id", "vec_id", "score", "list"])
+
+        for batch in batches:
+            for group, bucket, kind, dim, raw_ids, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if (group, bucket) != at:
+                    yield from done()
+                    at, waiting, tops = (group, bucket), {}, []
+                ids = np.frombuffer(raw_ids, "<i8")
+                matrix = np.frombuffer(raw, "<f8").reshape(len(ids), dim)
+                if kind == 0:
+                    waiting.setdefault(dim, []).append((ids, matrix))
+                    continue
+                if waiting:
+                    tops, waiting = _tiles(waiting, k), {}
+                for top in tops:
+                    if top.matrix.shape[1] == dim:
+                        top.add(ids, matrix)
+        yield from done()
+
+    return run
 
 
 def _merged(lists: DataFrame, k: int, parts: int) -> DataFrame:
     """Tops of tops, level by level, until at most FAN lists of a query meet at once."""
-    lists = lists.withColumn("list", F.spark_partition_id())
+    lists = lists.withColumn("list", F.col("list") % parts)
     while parts > FAN:
         parts = -(-parts // FAN)
         level = Window.partitionBy("query_id", "list").orderBy(F.desc("score"), "vec_id")
@@ -178,18 +178,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     """query_id, rank (from 1), vec_id, score: each query's k best rows, all of them if there are fewer."""
     picked = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding"), is_query.alias("is_query"))
     rows = picked.select("vec_id", "embedding")
-    blocks = _blocks(_packed(picked.filter("is_query").select("vec_id", "embedding"), scale))
-    parts = rows.rdd.getNumPartitions()
-    found = None
-    for tiles in blocks:
-        part = _scan(rows, tiles, k, scale)
-        if found is not None or sum(m.nbytes for _, m in tiles) >= BLOCK_BYTES // 2:
-            part = stored(_merged(part, k, parts), "topk")  # keeps the plan small, however many blocks there are
-        else:
-            part = _merged(part, k, parts)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    # a query id may stand in more than one block
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    tiles = stored(_packed(picked.filter("is_query").select("vec_id", "embedding"), scale, TILE), "tiles")
+    size = tiles.agg(F.sum(F.length("ids") + F.length("matrix"))).first()[0] or 0
+    groups, buckets = max(1, math.ceil(size / BLOCK_BYTES)), max(1, rows.rdd.getNumPartitions())
+    own = lambda n: F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    what = ["dim", "ids", "matrix"]
+    dealt = tiles.select(own(groups).alias("group"), every(buckets).alias("bucket"), F.lit(0).alias("kind"), *what)
+    dealt = dealt.unionByName(_packed(rows, scale, SHARD).select(every(groups).alias("group"), own(buckets).alias("bucket"), F.lit(1).alias("kind"), *what))
+    dealt = dealt.repartition("group", "bucket").sortWithinPartitions("group", "bucket", "kind")
+    return _merged(dealt.mapInArrow(_scan(k), "query_id long, vec_id long, score long, list int"), k, buckets)
