@@ -57,6 +57,8 @@ MATCHES = 40
 #: Members of a list or cluster that one task holds from one side, and the bytes of their sets.
 GROUP = 512
 GROUP_BYTES = 1 << 25
+#: Members of clusters, of some 50 bytes each, that every task may have; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 19
 
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -347,9 +349,10 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, rule: Similarity) -> D
     def with_sets(members: DataFrame) -> DataFrame:
         """Each member's set, which is built once and goes to all its blocks ``at``."""
         columns = ["cluster", "node", "root", "at"]
-        # written, so that its size is known: where it is small, the texts are not shuffled
         members = stored(members.withColumnRenamed("least", "doc_id"), "members")
-        rows = docs.join(members, "doc_id").select("text", "digest", *columns)
+        # while members are few, the texts of all others need not be shuffled to leave them out
+        few = members.count() <= BROADCAST_ROWS
+        rows = docs.join(F.broadcast(members) if few else members, "doc_id").select("text", "digest", *columns)
         types = dict(rows.dtypes)
         return rows.mapInArrow(_full_sets(rule, columns), ", ".join(f"{c} {types[c]}" for c in columns) + ", set binary").withColumn("at", F.explode("at"))
 
