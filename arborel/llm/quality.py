@@ -43,8 +43,9 @@ CODES = CLASSES**ORDER
 #: Characters of an n-gram of the model that documents are scored with, and bits of a character's hash.
 GRAM = 6
 BITS = 10
-#: N-grams that a task holds before it sums them.
+#: Different n-grams that a task holds before it sends its sums on, and new ones of a language before it adds them to its sums.
 HELD = 1 << 22
+NEW = 1 << 19
 #: Most frequent n-grams that every task has, at 16 bytes each; others are joined.
 HEAD = 1 << 20
 
@@ -295,7 +296,7 @@ def _from_planes(blob: bytes, size: int) -> np.ndarray:
 
 
 class _Counts:
-    """Sorted n-grams with their counts in each half, summed whenever HELD more have come."""
+    """Sorted n-grams with their counts in each half, summed whenever NEW more have come."""
 
     def __init__(self):
         self.codes, self.n = np.empty(0, np.int64), np.empty((0, 2), np.int64)
@@ -305,7 +306,7 @@ class _Counts:
     def add(self, codes: np.ndarray, n: np.ndarray) -> None:
         self.waiting.append((codes, n))
         self.size += len(codes)
-        if self.size >= HELD:
+        if self.size >= max(NEW, len(self.codes) // 2):
             self.fold()
 
     def add_texts(self, codes: np.ndarray, halves: np.ndarray) -> None:
