@@ -52,6 +52,8 @@ def nearest_source(nodes: DataFrame, edges: DataFrame, sources: DataFrame, block
     """
     at = nodes.select("node", F.concat_ws(":", F.floor(F.col("x") / block), F.floor(F.col("y") / block)).alias("block"))
     ways = written(symmetric(edges).join(at.withColumnRenamed("node", "u"), "u").select("block", "u", "v", "w"), "streets")
+    # nodes with a street into another block
+    beyond = written(ways.join(at.select(F.col("node").alias("v"), F.col("block").alias("other")), "v").filter("block <> other").select(F.col("v").alias("node")).distinct().withColumn("edge", F.lit(True)), "beyond")
     schema = "node long, dist double, source long"
     start = sources.select(F.col("node").cast("long").alias("node"), F.col("dist").cast("double").alias("dist"), F.col("source").cast("long").alias("source"))
     labels = written(start.groupBy("node").agg(F.min(F.struct("dist", "source")).alias("b")).select("node", "b.dist", "b.source", F.lit(True).alias("fresh")), "labels")
@@ -65,7 +67,6 @@ def nearest_source(nodes: DataFrame, edges: DataFrame, sources: DataFrame, block
         both = labels.select("node", "dist", "source", F.lit(0).alias("new")).unionByName(found.select("node", "dist", "source", F.lit(1).alias("new")))
         best = both.groupBy("node").agg(F.min(F.struct("dist", "source")).alias("b"), F.min(F.when(F.col("new") == 0, F.struct("dist", "source"))).alias("old"))
         # a label is fresh to the blocks beyond the border only if it has just improved; inside its own block it is settled
-        beyond = ways.join(at.select(F.col("node").alias("v"), F.col("block").alias("other")), "v").filter("block <> other").select(F.col("v").alias("node")).distinct().withColumn("edge", F.lit(True))
         best = best.join(beyond, "node", "left")
         improved = F.col("old").isNull() | (F.col("b") < F.col("old"))
         labels = written(best.select("node", "b.dist", "b.source", (improved & F.coalesce("edge", F.lit(False))).alias("fresh")), "labels")

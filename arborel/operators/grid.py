@@ -11,9 +11,11 @@ A box that is null or has a null corner is in no cell and joins with nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arborel.operators.lineage import written
+
 BOX = ("x0", "y0", "x1", "y1")
 POINT = ("x", "y", "x", "y")
 
@@ -55,59 +57,51 @@ def box_join(left: DataFrame, right: DataFrame, size: float, radius: float = 0.0
     return a.join(b, on if condition is None else on & condition).drop("_cx", "_cy", "_dx", "_dy")
 
 
-def semi_join(left: DataFrame, right: DataFrame, size: float, radius: float, key: str, left_box: tuple = BOX, right_box: tuple = BOX, condition: Column | None = None, matched: DataFrame | None = None) -> DataFrame:
-    """Rows of ``left`` with a partner on the right; ``key`` names the left side's unique column."""
-    found = box_join(left, right, size, radius, left_box, right_box, condition).select(key).distinct()
-    return (left if matched is None else matched).join(found, key, "left_semi")
+#: A right row is dealt to cells of which its box spans at most so many each way.
+SPAN = 4
+#: More doublings than any coordinates have room for; rows without a distance to anything end there.
+ROUNDS = 40
 
 
-def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str, distance: Column, left_box: tuple = BOX, right_box: tuple = BOX, mark: tuple[str, str] = ("x", "y"), within: float | None = None) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str, distance: Column, left_box: tuple = BOX, right_box: tuple = BOX, mark: tuple[str, str] | None = None, within: float | None = None) -> DataFrame:
     """Each left row's nearest right row: key, the right columns, ``distance``; ties go to the least ``order``.
 
-    ``mark`` names a point of each right row (one of its own points, such as a vertex). Levels of
-    cells, each four times as wide as the last, note which cells hold marks. A left row looks for
-    the finest level that has a mark in one of the nine cells around its own corner: its nearest
-    partner is then no further than the far end of those cells, so all partners in that reach are
-    compared, and no others. Rows without any partner (an empty right side, or none ``within``) are left out.
+    Rounds look in a reach that doubles, from ``size`` on: a row whose best partner lies within the reach is done,
+    and only the others go on to the next round, so dense regions end early and sparse ones cost rounds, not rows.
+    Cells are as wide as the reach; a right row whose box spans many of them is dealt to wider cells of its own instead,
+    so no row is in many cells, however large it is. The best of a round is a partial minimum, never a list of pairs.
+    Rows without any partner (an empty right side, or none ``within``) are left out. ``mark`` is not needed any more.
     """
     if within is not None:
         reach = box_join(left, right, size, within, left_box, right_box).withColumn("distance", distance).filter(F.col("distance") <= within)
         return _best(reach, key, order, right)
-    span = right.agg(F.min(mark[0]).alias("a"), F.min(mark[1]).alias("b"), F.max(mark[0]).alias("c"), F.max(mark[1]).alias("d")).crossJoin(
-        left.agg(F.min(left_box[0]).alias("e"), F.min(left_box[1]).alias("f"), F.max(left_box[0]).alias("g"), F.max(left_box[1]).alias("h"))
-    )
-    got = span.first()
-    if got is None or got["a"] is None or got["e"] is None:
-        levels = 1
-    else:
-        wide = max(max(got["c"], got["g"]) - min(got["a"], got["e"]), max(got["d"], got["h"]) - min(got["b"], got["f"]), size)
-        levels, step = 1, size
-        while step < wide:
-            levels, step = levels + 1, step * 4
-    level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))
-    width = F.pow(F.lit(4.0), F.col("_level")) * size
-    marks = right.select(F.col(mark[0]).alias("_mx"), F.col(mark[1]).alias("_my")).withColumn("_level", level)
-    marks = marks.select("_level", F.floor(F.col("_mx") / width).alias("_ox"), F.floor(F.col("_my") / width).alias("_oy")).distinct()
-    seen = left.select(key, F.col(left_box[0]).alias("_px"), F.col(left_box[1]).alias("_py")).withColumn("_level", level)
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    seen = seen.select(key, "_level", (F.floor(F.col("_px") / width)).alias("_ox"), (F.floor(F.col("_py") / width)).alias("_oy"))
-    seen = seen.withColumn("_i", F.explode(around)).withColumn("_j", F.explode(around)).select(key, "_level", (F.col("_ox") + F.col("_i")).alias("_ox"), (F.col("_oy") + F.col("_j")).alias("_oy"))
-    finest = seen.join(marks, ["_level", "_ox", "_oy"], "left_semi").groupBy(key).agg(F.min("_level").alias("_level"))
-    # cells of a level reach no further than two of them each way
-    a = left.join(finest, key).withColumn("_reach", 2 * F.sqrt(F.lit(2.0)) * width)
     l0, l1, l2, l3 = (F.col(c) for c in left_box)
-    low, high = (lambda c: F.floor((c - F.col("_reach")) / width)), (lambda c: F.floor((c + F.col("_reach")) / width))
-    a = a.withColumn("_cx", F.explode(F.sequence(low(l0), high(l2)))).withColumn("_cy", F.explode(F.sequence(low(l1), high(l3))))
     r0, r1, r2, r3 = (F.col(c) for c in right_box)
-    b = right.withColumn("_level", level)
-    b = b.withColumn("_dx", F.explode(F.sequence(F.floor(r0 / width), F.floor(r2 / width)))).withColumn("_dy", F.explode(F.sequence(F.floor(r1 / width), F.floor(r3 / width)))).withColumnRenamed("_level", "_right_level")
+    whole = lambda *corners: F.expr(" AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)" for c in corners))
+    extent = F.greatest(r2 - r0, r3 - r1) / F.lit(size * SPAN)
+    own = F.greatest(F.ceil(F.log2(F.greatest(extent, F.lit(1.0)))), F.lit(0)).cast("int")
+    some = right.filter(whole(*right_box)).withColumn("_own", own)
+    widest = some.agg(F.max("_own")).first()[0]
     gap = F.pow(F.greatest(l0 - r2, r0 - l2, F.lit(0.0)), 2) + F.pow(F.greatest(l1 - r3, r1 - l3, F.lit(0.0)), 2)
-    pairs = a.join(b, (F.col("_level") == F.col("_right_level")) & (F.col("_cx") == F.col("_dx")) & (F.col("_cy") == F.col("_dy")) & (gap <= F.pow("_reach", F.lit(2))))
-    # no partner is nearer than its box, and the nearest is no further than any mark from the box's far corner
-    far = F.pow(F.greatest(F.abs(l0 - F.col(mark[0])), F.abs(l2 - F.col(mark[0]))), 2) + F.pow(F.greatest(F.abs(l1 - F.col(mark[1])), F.abs(l3 - F.col(mark[1]))), 2)
-    bound = F.min("_far").over(Window.partitionBy(key))
-    pairs = pairs.withColumn("_far", far).withColumn("_bound", bound).filter(gap <= F.col("_bound") * (1 + 1e-9) + 1e-9)
-    return _best(pairs.withColumn("distance", distance), key, order, right)
+    done, waiting, level = None, left.filter(whole(*left_box)), 0
+    while widest is not None and level < ROUNDS:
+        reach = size * 2.0**level
+        cell = lambda x, width: F.floor(x / width)
+        width = F.pow(F.lit(2.0), F.col("_level")) * F.lit(float(size))
+        a = waiting.withColumn("_level", F.explode(F.sequence(F.lit(level), F.lit(max(level, widest)))))
+        a = a.withColumn("_cx", F.explode(F.sequence(cell(l0 - reach, width), cell(l2 + reach, width)))).withColumn("_cy", F.explode(F.sequence(cell(l1 - reach, width), cell(l3 + reach, width))))
+        b = some.withColumn("_right_level", F.greatest(F.col("_own"), F.lit(level)))
+        width = F.pow(F.lit(2.0), F.col("_right_level")) * F.lit(float(size))
+        b = b.withColumn("_dx", F.explode(F.sequence(cell(r0, width), cell(r2, width)))).withColumn("_dy", F.explode(F.sequence(cell(r1, width), cell(r3, width)))).drop("_own")
+        # a pair may meet in several cells, which a minimum does not mind
+        pairs = a.join(b, (F.col("_level") == F.col("_right_level")) & (F.col("_cx") == F.col("_dx")) & (F.col("_cy") == F.col("_dy")) & (gap <= reach * reach))
+        found = written(_best(pairs.withColumn("distance", distance), key, order, right).filter(F.col("distance") <= reach), "nearest")
+        done = found if done is None else done.unionByName(found)
+        left_over = waiting.join(found.select(key), key, "left_anti")
+        waiting, level = written(left_over, "waiting"), level + 1
+        if not waiting.head(1):
+            return done
+    return done if done is not None else _best(box_join(left, right, size, size, left_box, right_box).withColumn("distance", distance), key, order, right)
 
 
 def _best(pairs: DataFrame, key: str, order: str, right: DataFrame) -> DataFrame:

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as Parquet below ``spark.checkpoint.dir``, read again; a temporary folder where the session names none."""
+    """``df`` as Parquet below ``spark.checkpoint.dir``, read again; local sessions that name none get a temporary folder."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="arborel-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/arborel-tables/{name}-{uuid.uuid4().hex}"

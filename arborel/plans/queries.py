@@ -144,10 +144,10 @@ def raster_binarise(spark, sf):
     return _binary(spark).groupBy(F.coalesce("canopy", F.lit(-1)).alias("canopy")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("raster_seam", with_sql("px", "SELECT x, y, v AS value, CAST(CASE WHEN i < 250 AND (v IS NOT NULL OR i < 240) THEN 0 WHEN i >= 250 THEN 1 ELSE 0 END AS INTEGER) AS tile_id FROM px WHERE i BETWEEN 235 AND 255"))
-def raster_seam(spark, sf):
-    """Merged pixels around the tiles' seam, with the tile that counted."""
-    return canopy.merged_tiles(city.pixels(spark).filter("x > 2350 AND x < 2560")).select("x", "y", "value", "tile_id")
+@query("raster_merged", with_sql("px", "SELECT x, y, v AS value, CAST(CASE WHEN i < 250 THEN 0 ELSE 1 END AS INTEGER) AS tile_id FROM px"))
+def raster_merged(spark, sf):
+    """All pixels of the two tiles, merged, with the tile that counted: the first where both have data or neither has."""
+    return canopy.merged_tiles(city.pixels(spark)).select("x", "y", "value", "tile_id")
 
 
 @query("t30_raster", with_sql("u px", f"SELECT n_name, round(sum({_CANOPY}) * 100e0 / count(px.v), 3) AS canopy_cover, count(px.v) AS total_pixels FROM u JOIN px ON px.x >= u.x0 AND px.x < u.x1 AND px.y >= u.y0 AND px.y < u.y1 GROUP BY n_name"))
@@ -229,9 +229,9 @@ def streets_near_units(spark, sf):
     return parks.streets_near_units(city.road_edges(spark), some, 1000.0).select("edge_id")
 
 
-@query("nodes_of_streets", with_sql("n e", "SELECT node FROM n WHERE node IN (SELECT u FROM e WHERE ax < 1000 UNION SELECT v FROM e WHERE ax < 1000)"))
-def nodes_of_streets(spark, sf):
-    return parks.nodes_of_streets(city.road_nodes(spark), city.road_edges(spark).filter("ax < 1000")).select("node")
+@query("street_nodes", with_sql("n e", "SELECT node FROM n WHERE node IN (SELECT u FROM e UNION SELECT v FROM e)"))
+def street_nodes(spark, sf):
+    return parks.nodes_of_streets(city.road_nodes(spark), city.road_edges(spark)).select("node")
 
 
 @query("road_components", with_sql("n", f"SELECT node, CAST(CASE WHEN node < {10 * city.LINES} THEN 0 ELSE {10 * city.LINES} END AS BIGINT) AS component FROM n"))
