@@ -1,4 +1,4 @@
-"""Vector layers as tables with a ``shape`` struct: (Geo)Parquet, GeoJSON and GeoPackage.
+"""Vector layers as tables with a ``shape`` struct: (Geo)Parquet, GeoJSON, GeoPackage and shapefiles.
 
 Every reader goes through Spark's own file access, so inputs may lie in any store that Spark
 reads. Geometry that is null, empty or broken gives a null shape.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborel.functions import crs, geometry
-from arborel.sources import wkb
+from arborel.sources import shapefile, wkb
 
 log = logging.getLogger("arborel")
 
@@ -37,8 +37,10 @@ def read_vector(spark: SparkSession, path: str, layer: str | None = None, crs_to
         rows, source = read_geojson(spark, path), lambda *_: geojson_epsg(spark, path, rows)
     elif ending == ".gpkg":
         rows, source = read_geopackage(spark, path, layer), lambda *_: geopackage_epsg(spark, path, layer)
+    elif ending == ".shp":
+        rows, source = shapefile.read_shapefile(spark, path), shapefile.shapefile_epsg
     else:
-        raise ValueError(f"cannot read {path}: known are .parquet, .geoparquet, .geojson, .json and .gpkg")
+        raise ValueError(f"cannot read {path}: known are .parquet, .geoparquet, .geojson, .json, .gpkg and .shp")
     return rows if crs_to is None else reprojected(rows, source(spark, path), crs_to, path)
 
 

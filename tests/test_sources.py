@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from arborel import cli
+from arborel.functions import geometry
 from arborel.operators import canopy
 from arborel.plans import city
-from arborel.sources import footprints, geotiff, osm, sinks, vector, wkb
+from arborel.sources import footprints, geotiff, osm, shapefile, sinks, vector, wkb
 from arborel.streaming import tiles as stream
 
 SQUARE = [[0.0, 0.0], [10.0, 0.0], [10.0, 10.0], [0.0, 10.0], [0.0, 0.0]]
@@ -301,6 +302,48 @@ def test_layers_in_other_coordinates(spark, tmp_path):
         vector.read_vector(spark, f"file://{tmp_path}/odd.parquet", None, 32632)
 
 
+def write_shapefile(stem, kind, records, columns, prj=None):
+    """A little writer of its own: records are (list of rings or points, values)."""
+    body, table = b"", b""
+    for i, (rings, values) in enumerate(records):
+        if rings is None:
+            content = struct.pack("<i", 0)
+        elif kind == 1:
+            content = struct.pack("<i2d", 1, *rings)
+        else:
+            points = [p for r in rings for p in r]
+            starts = [sum(map(len, rings[:k])) for k in range(len(rings))]
+            box = [f(p[a] for p in points) for f in (min, max) for a in (0, 1)]
+            content = struct.pack("<i4d2i", kind, *box, len(rings), len(points)) + struct.pack(f"<{len(starts)}i", *starts) + b"".join(struct.pack("<2d", *p) for p in points)
+        body += struct.pack(">2i", i + 1, len(content) // 2) + content
+        table += b" " + b"".join(str("" if v is None else v).encode().ljust(w) if t == "C" else str("" if v is None else v).encode().rjust(w) for v, (_, t, w) in zip(values, columns))
+    head = struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + len(body)) // 2) + struct.pack("<2i", 1000, kind) + b"\0" * 64
+    stem.with_suffix(".shp").write_bytes(head + body)
+    width = 1 + sum(w for _, _, w in columns)
+    names = b"".join(n.encode().ljust(11, b"\0") + t.encode() + b"\0" * 4 + bytes([w, 2 if t == "N" else 0]) + b"\0" * 14 for n, t, w in columns)
+    stem.with_suffix(".dbf").write_bytes(struct.pack("<4BIHH", 3, 24, 1, 1, len(records), 33 + len(names), width) + b"\0" * 20 + names + b"\r" + table + b"\x1a")
+    if prj:
+        stem.with_suffix(".prj").write_text(prj)
+
+
+def test_shapefiles(spark, tmp_path):
+    clockwise = lambda x0, y0, x1, y1: [(x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0)]
+    hole = clockwise(2, 2, 3, 3)[::-1]
+    columns = [("name", "C", 8), ("height", "N", 9)]
+    write_shapefile(tmp_path / "a", 5, [([clockwise(0, 0, 10, 10), hole, clockwise(20, 20, 30, 30)], ("Müller", 7.25)), (None, ("empty", None)), ([clockwise(5, 5, 6, 6)], ("", "x"))], columns)
+    layer = vector.read_vector(spark, f"file://{tmp_path}/a.shp")
+    got = vector.polygons(layer).withColumn("area", geometry.area("parts")).collect()
+    assert [(r["name"], r["height"], r["area"], r["x1"]) for r in got] == [("Müller", 7.25, 199.0, 30.0), (None, None, 1.0, 6.0)]
+    assert layer.count() == 3 and [len(p) for p in got[0]["parts"]] == [2, 1]
+    write_shapefile(tmp_path / "p", 1, [((9.0, 45.0), ("at", 1)), ((9.001, 45.0), ("by", 2))], columns, 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984"]]')
+    points = vector.points(vector.read_vector(spark, f"file://{tmp_path}/p.shp", None, 32632)).orderBy("height").collect()
+    assert points[0]["x"] == pytest.approx(500000, abs=0.01) and points[1]["x"] == pytest.approx(500078.8, abs=0.2)
+    write_shapefile(tmp_path / "l", 3, [([[(0, 0), (1, 1)], [(2, 2), (3, 3), (4, 4)]], ("l", 1))], columns)
+    assert sorted(len(r["path"]) for r in vector.lines(vector.read_vector(spark, f"file://{tmp_path}/l.shp")).collect()) == [2, 3]
+    codes = {'PROJCS["WGS_1984_UTM_Zone_33S",GEOGCS["GCS_WGS_1984"]]': 32733, 'PROJCS["x",AUTHORITY["EPSG","27700"]]': 27700, 'PROJCS["British_National_Grid"]': 27700, "": None, 'PROJCS["own"]': None}
+    assert {k: shapefile.prj_epsg(k) for k in codes} == codes
+
+
 def test_networks(spark):
     tags = [{"highway": "residential"}, {"highway": "motorway"}, {"highway": "footway"}, {"highway": "cycleway"}, {"highway": "proposed"}, {"highway": "service", "service": "driveway"}, {"highway": "path", "foot": "no"}, {"highway": "track", "access": "private"}, {"name": "no way"}, {"highway": "primary", "area": "yes"}]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(tags)], "i int, tags map<string,string>")
