@@ -95,8 +95,9 @@ def result(spark: SparkSession, config: Config, c: catalog.Catalog, args) -> Dat
     """The process's rows for all codes, with ``geo_code``."""
     sub, level = args.sub_geo_level, args.geo_level
     lifted = c.units.select(sub, F.col(level).alias("geo_code")).distinct()
+    reach = float(args.buffer if args.process in ("T3", "T30_buildings", "Visibility") else 0)
     if args.process in ("T3", "Tree_count", "Visibility"):
-        table = catalog.tree_table(spark, config)
+        table = catalog.tree_table(spark, config, c.units, reach)
     if args.process == "T3":
         rows = trees.trees_near_buildings(c.buildings, table, args.buffer, args.query_method == "sql", args.tree_area, args.tree_height)
         return _with_codes(rows, c, args)
@@ -109,13 +110,13 @@ def result(spark: SparkSession, config: Config, c: catalog.Catalog, args) -> Dat
         return _with_codes(visibility.visibility(c.buildings, tall, args.buffer, args.observer_mode), c, args).withColumn("buffer", F.lit(args.buffer))
     if args.process in ("T30", "T30_buildings"):
         if config.data.chm_tiles_dir:
-            pixels, step = catalog.canopy_pixels(spark, config, args.low_threshold, args.high_threshold)
+            pixels, step = catalog.canopy_pixels(spark, config, args.low_threshold, args.high_threshold, c.units, reach)
             if args.process == "T30":
                 return canopy.raster_cover_of_units(c.units, pixels, [sub], step).join(lifted, sub)
             return _with_codes(canopy.raster_cover_near_buildings(c.buildings, pixels, step, args.buffer), c, args).withColumn("buffer", F.lit(args.buffer))
         if config.data.canopy_height_ee_path:
             raise NotImplementedError("data.canopy_height_ee_path is a remote asset; export it as GeoTIFF tiles and set chm_tiles_dir")
-        table = catalog.tree_table(spark, config)
+        table = catalog.tree_table(spark, config, c.units, reach)
         if args.process == "T30":
             return canopy.cover_of_units(c.units, table, [sub]).join(lifted, sub)
         return _with_codes(canopy.cover_near_buildings(c.buildings, table, args.buffer), c, args).withColumn("buffer", F.lit(args.buffer))

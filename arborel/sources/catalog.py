@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import hashlib
 import json
+import os
 import warnings
 from dataclasses import dataclass
 
@@ -163,12 +164,15 @@ def load(spark: SparkSession, c: Config, dggs: str | None = None, resolution: in
     return Catalog(units, buildings, overlay, sites, access, nodes, edges)
 
 
-def tree_table(spark: SparkSession, c: Config) -> DataFrame:
-    """Trees with centroid, height, area and crown; ids follow the crown, so every branch of a plan sees the same."""
+def tree_table(spark: SparkSession, c: Config, units: DataFrame | None = None, radius: float = 0.0) -> DataFrame:
+    """Trees with centroid, height, area and crown; ids follow the crown, so every branch of a plan sees the same.
+
+    With ``units``, files of a folder of GeoPackages that lie more than ``radius`` from all of them are not read.
+    """
     if not c.data.trees_dir:
         raise ValueError("data.trees_dir is not set")
     names = {c.columns.tree_height_col: "tree_height", c.columns.tree_area_col: "tree_area"}
-    rows = vector.polygons(vector.renamed(vector.read_vector(spark, c.data.trees_dir, c.columns.tree_layer, c.crs), names))
+    rows = vector.polygons(vector.renamed(_tree_files(spark, c, units, radius), names))
     if "tree_area" not in rows.columns:
         rows = rows.withColumn("tree_area", geometry.area("parts"))
     at = geometry.centroid("parts")
@@ -176,8 +180,20 @@ def tree_table(spark: SparkSession, c: Config) -> DataFrame:
     return rows.select("tree_id", F.col("c.x").alias("x"), F.col("c.y").alias("y"), F.expr("try_cast(tree_height AS DOUBLE)").alias("tree_height"), F.col("tree_area").cast("double").alias("tree_area"), "parts", *BOX)
 
 
-def canopy_pixels(spark: SparkSession, c: Config, low: float, high: float) -> tuple[DataFrame, float]:
-    """Binarised pixels of the canopy height tiles and the pixel's size; a tile with another EPSG code is an error."""
+def _tree_files(spark: SparkSession, c: Config, units: DataFrame | None, radius: float) -> DataFrame:
+    path = c.data.trees_dir
+    if os.path.splitext(path.rstrip("/"))[1]:
+        return vector.read_vector(spark, path, c.columns.tree_layer, c.crs)
+    source = vector.geopackage_epsg(spark, path, c.columns.tree_layer)
+    wanted = None
+    if units is not None and (source is None or crs.projection(source) == crs.projection(c.crs)):
+        wanted = vector.files_near(vector.package_boxes(spark, path, c.columns.tree_layer), units, radius)
+    return vector.reprojected(vector.read_geopackage(spark, path, c.columns.tree_layer, wanted), source, c.crs, path)
+
+
+def canopy_pixels(spark: SparkSession, c: Config, low: float, high: float, units: DataFrame | None = None, radius: float = 0.0) -> tuple[DataFrame, float]:
+    """Binarised pixels of the canopy height tiles and the pixel's size; a tile with another EPSG code, or that cannot be
+    decoded, is an error. With ``units``, tiles more than ``radius`` from all of them are not decoded."""
     epsg = int(str(c.crs).split(":")[-1])
     checks = geotiff.checked(spark, c.data.chm_tiles_dir, epsg)
     wrong = checks.filter("epsg IS NOT NULL AND error IS NOT NULL").head(1)
@@ -186,6 +202,8 @@ def canopy_pixels(spark: SparkSession, c: Config, low: float, high: float) -> tu
     broken = checks.filter("epsg IS NULL").select("path", "error").limit(20).collect()
     if broken:
         warnings.warn("canopy is missing where these tiles cannot be read: " + "; ".join(f"{r['path']}: {r['error']}" for r in broken), stacklevel=2)
-    pixels = geotiff.read_pixels(spark, c.data.chm_tiles_dir)
-    step = pixels.groupBy("tile_id", "y").agg(((F.max("x") - F.min("x")) / F.greatest(F.count_distinct("x") - 1, F.lit(1))).alias("s")).agg(F.max("s")).first()[0]
+    good = checks.filter("error IS NULL")
+    step = good.agg(F.max("pixel")).first()[0]
+    wanted = good if units is None else vector.files_near(good, units, radius)
+    pixels = geotiff.read_pixels(spark, c.data.chm_tiles_dir, wanted, strict=True)
     return canopy.binarised(canopy.merged_tiles(pixels), low, high), float(step or 1.0)

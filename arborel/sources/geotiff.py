@@ -2,11 +2,12 @@
 
 Files are read through Spark's binary source and decoded by numpy: strips or tiles, without
 compression or with deflate, LZW or PackBits, predictors 1 to 3, integers and floats of 8 to 64
-bits, the first band. Files that cannot be decoded are left out of the pixels and told by ``checked``.
+bits, the first band. ``checked`` reads headers only, and tells files that are no rasters.
 """
 
 from __future__ import annotations
 
+import logging
 import struct
 import zlib
 from collections.abc import Iterator
@@ -24,6 +25,8 @@ WIDTH, HEIGHT, BITS, COMPRESSION, STRIPS, SAMPLES, ROWS, STRIP_BYTES, PLANAR, PR
 TILE_WIDTH, TILE_HEIGHT, TILES, TILE_BYTES, FORMAT, SCALE, TIEPOINT, KEYS, NODATA = 322, 323, 324, 325, 339, 33550, 33922, 34735, 42113
 CHUNK = 512
 
+log = logging.getLogger("arborel")
+
 
 @dataclass
 class Raster:
@@ -122,6 +125,27 @@ def _unpacked(data: bytes, compression: int) -> bytes:
     raise ValueError(f"unknown compression {compression}")
 
 
+@dataclass
+class Place:
+    """Size in pixels, the upper left corner, the pixel's size and the EPSG code (0 if there is none)."""
+
+    width: int
+    height: int
+    x0: float
+    y0: float
+    px: float
+    py: float
+    epsg: int
+
+
+def _place(t: dict[int, tuple]) -> Place:
+    px, py = t[SCALE][:2] if SCALE in t else (1.0, 1.0)
+    tie = t.get(TIEPOINT, (0.0,) * 6)
+    keys = t.get(KEYS, ())
+    codes = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
+    return Place(t[WIDTH][0], t[HEIGHT][0], tie[3] - tie[0] * px, tie[4] + tie[1] * py, px, py, codes.get(3072, codes.get(2048, 0)))
+
+
 def decode(data: bytes) -> Raster:
     """The first band of a GeoTIFF."""
     data = bytes(data)
@@ -161,11 +185,8 @@ def decode(data: bytes) -> Raster:
             out[out == (float(np.float32(none)) if kind == "f4" else none)] = np.nan
         except ValueError:
             pass
-    px, py = t[SCALE][:2] if SCALE in t else (1.0, 1.0)
-    tie = t.get(TIEPOINT, (0.0,) * 6)
-    keys = t.get(KEYS, ())
-    codes = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
-    return Raster(out, tie[3] - tie[0] * px, tie[4] + tie[1] * py, px, py, codes.get(3072, codes.get(2048, 0)))
+    at = _place(t)
+    return Raster(out, at.x0, at.y0, at.px, at.py, at.epsg)
 
 
 def _summed(rows: np.ndarray, step: int) -> np.ndarray:
@@ -205,15 +226,21 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
-def read_pixels(spark: SparkSession, path: str) -> DataFrame:
-    """tile_id (the file's path), x, y (pixel centres), value (null without data); in chunks of bounded size."""
+def read_pixels(spark: SparkSession, path: str, wanted: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """tile_id (the file's path), x, y (pixel centres), value (null without data); in chunks of bounded size.
+
+    With ``wanted`` (path) only those files are decoded. A file that cannot be is left out, or with ``strict`` an error.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"]):
                 try:
                     r = decode(content)
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error):
+                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
+                    if strict:
+                        raise ValueError(f"{name} cannot be decoded: {e}") from e
+                    log.warning("%s is left out: %s", name, e)
                     continue
                 for i in range(0, r.values.shape[0], CHUNK):
                     for j in range(0, r.values.shape[1], CHUNK):
@@ -221,22 +248,27 @@ def read_pixels(spark: SparkSession, path: str) -> DataFrame:
                         ii, jj = np.indices(part.shape)
                         yield pd.DataFrame({"tile_id": name, "x": r.x0 + (j + jj.ravel() + 0.5) * r.px, "y": r.y0 - (i + ii.ravel() + 0.5) * r.py, "value": part.ravel()})
 
-    found = _files(spark, path).mapInPandas(rows, "tile_id string, x double, y double, value double")
+    files = _files(spark, path)
+    if wanted is not None:
+        files = files.join(wanted.select("path").distinct(), "path", "left_semi")
+    found = files.mapInPandas(rows, "tile_id string, x double, y double, value double")
     return found.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
 def checked(spark: SparkSession, path: str, epsg: int) -> DataFrame:
-    """path, epsg, width, height, error: each file's header; error tells files that cannot be decoded or have another EPSG code."""
+    """path, epsg, width, height, pixel, box (x0 ... y1) and error of each file, from its header alone; error tells files that
+    are no rasters or have another EPSG code."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for name, content in zip(batch["path"], batch["content"]):
                 try:
-                    r = decode(content)
-                    out.append((name, r.epsg, r.values.shape[1], r.values.shape[0], None if r.epsg == epsg else f"EPSG:{r.epsg} is not EPSG:{epsg}"))
+                    at = _place(_tags(bytes(content))[1])
+                    box = (at.x0, at.y0 - at.height * at.py, at.x0 + at.width * at.px, at.y0)
+                    out.append((name, at.epsg, at.width, at.height, at.px, *box, None if at.epsg == epsg else f"EPSG:{at.epsg} is not EPSG:{epsg}"))
                 except Exception as e:  # any broken file is told, none stops the others
-                    out.append((name, None, None, None, str(e) or type(e).__name__))
-            yield pd.DataFrame(out, columns=["path", "epsg", "width", "height", "error"])
+                    out.append((name, None, None, None, None, None, None, None, None, str(e) or type(e).__name__))
+            yield pd.DataFrame(out, columns=["path", "epsg", "width", "height", "pixel", "x0", "y0", "x1", "y1", "error"])
 
-    return _files(spark, path).mapInPandas(rows, "path string, epsg int, width int, height int, error string")
+    return _files(spark, path).mapInPandas(rows, "path string, epsg int, width int, height int, pixel double, x0 double, y0 double, x1 double, y1 double, error string")

@@ -191,12 +191,34 @@ def geopackage_epsg(spark: SparkSession, path: str, layer: str | None = None) ->
     return (_first_package(spark, path, layer) or {}).get("epsg")
 
 
-def read_geopackage(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
+def package_boxes(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
+    """path and box of each GeoPackage below ``path``, as its table of contents tells it; a null box where it does not."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for name, content in zip(batch["path"], batch["content"]):
+                box = None
+                try:
+                    base = _open(content)
+                    box = base.execute("SELECT min_x, min_y, max_x, max_y FROM gpkg_contents WHERE table_name = ?", (_layer(base, layer)[0],)).fetchone()
+                except (sqlite3.Error, ValueError):
+                    pass  # it is not left out for that; reading it tells what is wrong
+                out.append((name, *(box or (None,) * 4)))
+            yield pd.DataFrame(out, columns=["path", "x0", "y0", "x1", "y1"]).astype({c: float for c in ("x0", "y0", "x1", "y1")})
+
+    found = _packages(spark, path).mapInPandas(look, "path string, x0 double, y0 double, x1 double, y1 double")
+    return found.select("path", *(F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("x0", "y0", "x1", "y1")))
+
+
+def read_geopackage(spark: SparkSession, path: str, layer: str | None = None, wanted: DataFrame | None = None) -> DataFrame:
     """A layer (the first, if none is named) of one or more GeoPackages; files that cannot be read are left out and logged.
 
-    The schema is that of the first file; a file is read by one task.
+    The schema is that of the first file; a file is read by one task. With ``wanted`` (path) only those files are read.
     """
     files = _packages(spark, path)
+    if wanted is not None:
+        files = files.join(wanted.select("path").distinct(), "path", "left_semi")
     about = _first_package(spark, path, layer)
     if about is None:
         raise ValueError(f"no GeoPackage at {path}")
@@ -256,12 +278,13 @@ def numeric(layer: DataFrame, column: str) -> DataFrame:
     return layer.withColumn(column, F.expr(f"try_cast(`{column}` AS DOUBLE)")) if column in layer.columns else layer
 
 
-def files_near(manifest: DataFrame, units: DataFrame, radius: float = 0.0) -> DataFrame:
-    """Paths of a manifest (path and box) whose box is at most ``radius`` from any unit's."""
+def files_near(boxes: DataFrame, units: DataFrame, radius: float = 0.0) -> DataFrame:
+    """Paths whose box is at most ``radius`` from any unit's, and those whose box is not known."""
     from arborel.operators.grid import BOX, box_join
 
-    files = manifest.select("path", *(F.col(c).alias(f"m_{c}") for c in BOX))
-    return box_join(files, units.select(*BOX), 5000.0, radius, tuple(f"m_{c}" for c in BOX), BOX).select("path").distinct()
+    files = boxes.select("path", *(F.col(c).alias(f"m_{c}") for c in BOX))
+    near = box_join(files, units.select(*BOX), 5000.0, radius, tuple(f"m_{c}" for c in BOX), BOX).select("path")
+    return near.unionByName(files.filter("m_x0 IS NULL OR m_y0 IS NULL OR m_x1 IS NULL OR m_y1 IS NULL").select("path")).distinct()
 
 
 def feature_collection(rows: list[dict]) -> str:

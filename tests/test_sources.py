@@ -186,6 +186,34 @@ def test_geotiff(spark, tmp_path):
     assert got == {(105.0, 195.0): 0, (115.0, 195.0): 1, (125.0, 195.0): None, (105.0, 185.0): 0, (115.0, 185.0): 1, (125.0, 185.0): 0}
 
 
+def test_files_far_off_are_not_read(spark, tmp_path):
+    """Of tiles, those near the units are read: by their headers, or a package's table of contents."""
+    units = spark.createDataFrame([(0.0, 0.0, 100.0, 100.0)], "x0 double, y0 double, x1 double, y1 double")
+    values = np.full((4, 4), 9.0)
+    for name, x in (("near", 90.0), ("far", 900.0)):
+        (tmp_path / f"{name}.tif").write_bytes(geotiff.encode(values, x, 50.0, 5.0, 32632))
+    checks = geotiff.checked(spark, f"file://{tmp_path}", 32632)
+    near = vector.files_near(checks, units)
+    pixels = geotiff.read_pixels(spark, f"file://{tmp_path}", near)
+    assert pixels.count() == 16 and pixels.agg(F.max("x")).first()[0] == 107.5 and checks.agg(F.max("pixel")).first()[0] == 5.0
+    (tmp_path / "near.tif").write_bytes(geotiff.encode(values, 90.0, 50.0, 5.0, 32632)[:-9])
+    with pytest.raises(Exception, match="near.tif cannot be decoded"):
+        geotiff.read_pixels(spark, f"file://{tmp_path}", near, strict=True).count()
+    (tmp_path / "trees").mkdir()
+    for name, x in (("a", 150), ("b", 5000), ("c", 5)):
+        gpkg(tmp_path / "trees" / f"{name}.gpkg", [(box(x, 5, x + 3, 8), 5.0, 9.0)])
+        if name != "c":
+            base = sqlite3.connect(tmp_path / "trees" / f"{name}.gpkg")
+            base.execute("CREATE TABLE gpkg_contents (table_name TEXT, min_x REAL, min_y REAL, max_x REAL, max_y REAL)")
+            base.execute("INSERT INTO gpkg_contents VALUES ('trees', ?, 5, ?, 8)", (x, x + 3))
+            base.commit()
+            base.close()
+    folder = f"file://{tmp_path}/trees"
+    for radius, kept in ((0.0, [5.0]), (60.0, [5.0, 150.0])):
+        wanted = vector.files_near(vector.package_boxes(spark, folder, "trees"), units, radius)
+        assert sorted(r["x0"] for r in vector.polygons(vector.read_geopackage(spark, folder, "trees", wanted)).collect()) == kept
+
+
 def test_osm(spark, tmp_path):
     ll = lambda *p: [{"lat": a, "lon": b} for a, b in p]
     ring = ll((45.0, 9.0), (45.0, 9.001), (45.001, 9.001), (45.0, 9.0))
