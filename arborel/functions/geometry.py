@@ -120,8 +120,9 @@ def bbox_distance2(x0: str, y0: str, x1: str, y1: str, x: str, y: str) -> Column
 def is_box(parts: str) -> Column:
     """Whether a polygon is one rectangle along the axes: a ring of four corners of which each shares x with one neighbour and y
     with the other. Where both sides of a test are, closed forms of their boxes take the place of the general expressions."""
-    turn = lambda i, j, k: f"(({parts}[0][0][{i}].x = {parts}[0][0][{j}].x AND {parts}[0][0][{j}].y = {parts}[0][0][{k}].y) OR ({parts}[0][0][{i}].y = {parts}[0][0][{j}].y AND {parts}[0][0][{j}].x = {parts}[0][0][{k}].x))"
-    return F.expr(f"coalesce(size({parts}) = 1 AND size({parts}[0]) = 1 AND size({parts}[0][0]) = 5 AND {turn(0, 1, 2)} AND {turn(1, 2, 3)} AND {turn(2, 3, 4)}, false)")
+    at = lambda i: f"get(get(get({parts}, 0), 0), {i})"  # noqa: E731  null where there is none
+    turn = lambda i, j, k: f"(({at(i)}.x = {at(j)}.x AND {at(j)}.y = {at(k)}.y) OR ({at(i)}.y = {at(j)}.y AND {at(j)}.x = {at(k)}.x))"
+    return F.expr(f"coalesce(size({parts}) = 1 AND size(get({parts}, 0)) = 1 AND size(get(get({parts}, 0), 0)) = 5 AND {turn(0, 1, 2)} AND {turn(1, 2, 3)} AND {turn(2, 3, 4)}, false)")
 
 
 def in_polygon(parts: str, flag: str, box: tuple[str, str, str, str], x: str, y: str) -> Column:

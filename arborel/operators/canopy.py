@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from arborel.functions import geometry
 from arborel.functions.overlay import round_buffer, shared_area
+from arborel.operators import chunks
 from arborel.operators.grid import BOX, POINT, box_join
 
 _TREE_BOX = tuple(f"t_{c}" for c in BOX)
@@ -62,22 +63,28 @@ def cover_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float =
 
 
 def binarised(pixels: DataFrame, low: float = 3.0, high: float = 60.0) -> DataFrame:
-    """Pixels with ``canopy``: 1 where the value is within [low, high], 0 elsewhere, null where there is no data."""
+    """Pixels with ``canopy``: 1 where the value is within [low, high], 0 elsewhere, null where there is no data; or chunks of those."""
+    if chunks.is_chunks(pixels):
+        return chunks.binarised(pixels, low, high)
     return pixels.withColumn("canopy", F.when(F.col("value").isNull() | F.isnan("value"), None).when(F.col("value").between(low, high), 1).otherwise(0))
 
 
 def merged_tiles(pixels: DataFrame) -> DataFrame:
     """One pixel for each place: where tiles overlap, the first tile with data (by tile_id) counts."""
+    if chunks.is_chunks(pixels):
+        return chunks.merged(pixels)
     rank = F.struct(F.col("value").isNull() | F.isnan("value"), F.col("tile_id"))
     return pixels.groupBy("x", "y").agg(F.min_by("value", rank).alias("value"), F.min_by("tile_id", rank).alias("tile_id"))
 
 
 def zonal(zones: DataFrame, pixels: DataFrame, key: list[str], pixel_size: float, all_touched: bool = False, size: float = 250.0, condition: Column | None = None) -> DataFrame:
-    """Per zone: canopy_pixels and total_pixels of the binarised pixels (x, y: centres) in its polygons.
+    """Per zone: canopy_pixels and total_pixels of the binarised pixels (x, y: centres), or chunks of pixels, in its polygons.
 
     A pixel is in a zone if its centre is, or with ``all_touched`` if any of its square is.
     Pixels without data are in neither count.
     """
+    if chunks.is_chunks(pixels):
+        return chunks.zonal(zones, pixels, key, all_touched)
     half = pixel_size / 2
     valid = pixels.filter("canopy IS NOT NULL").select("x", "y", "canopy")
     if all_touched:

@@ -100,6 +100,20 @@ def pixels(spark: SparkSession) -> DataFrame:
     return west.unionByName(east).select("tile_id", (F.col("i") * PIXEL + PIXEL / 2).alias("x"), (F.col("j") * PIXEL + PIXEL / 2).alias("y"), "value")
 
 
+SIDE = 64
+
+
+def chunks(spark: SparkSession) -> DataFrame:
+    """The pixels of the same two tiles in chunks of 64 by 64, as a reader of rasters gives them."""
+    tile = spark.createDataFrame([(0, 0, 250), (1, 240, 500)], "tile_id int, i0 long, i1 long")
+    rows = tile.withColumn("a", F.explode(F.sequence("i0", F.col("i1") - 1, F.lit(SIDE).cast("long")))).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(499).cast("long"), F.lit(SIDE).cast("long"))))
+    rows = rows.withColumns({"cols": F.least(F.lit(SIDE), F.col("i1") - F.col("a")).cast("int"), "rows": F.least(F.lit(SIDE), 500 - F.col("b")).cast("int")})
+    i, j = (lambda p: F.col("a") + p % F.col("cols")), (lambda p: F.col("b") + F.col("rows") - 1 - F.floor(p / F.col("cols")))
+    value = lambda p: F.when((i(p) + j(p)) % 97 != 0, ((i(p) * 31 + j(p) * 17 + i(p) * j(p)) % 700) / 10.0)
+    values = F.transform(F.sequence(F.lit(0).cast("long"), (F.col("cols") * F.col("rows") - 1).cast("long")), value)
+    return rows.select("tile_id", (F.col("a") * PIXEL).alias("x0"), ((F.col("b") + F.col("rows")) * PIXEL).alias("y1"), F.lit(PIXEL).alias("step"), "cols", "rows", values.alias("values"))
+
+
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """unit, pixel, date, cloud and band values: events as visits of a pixel, embeddings as its reflectance."""
     visits = _table(spark, sf_dir, "events").select(F.col("user_id").alias("pixel"), F.col("ts").alias("date"), (F.col("value") % 100).alias("cloud"), "event_id")

@@ -136,12 +136,13 @@ _CANOPY = "CASE WHEN px.v IS NULL THEN NULL WHEN px.v BETWEEN 3 AND 60 THEN 1 EL
 
 
 def _binary(spark):
-    return canopy.binarised(canopy.merged_tiles(city.pixels(spark)))
+    return canopy.binarised(canopy.merged_tiles(city.chunks(spark)))
 
 
 @query("raster_binarise", with_sql("px", f"SELECT coalesce({_CANOPY}, -1) AS canopy, count(*) AS n FROM px GROUP BY 1"))
 def raster_binarise(spark, sf):
-    return _binary(spark).groupBy(F.coalesce("canopy", F.lit(-1)).alias("canopy")).agg(F.count(F.lit(1)).alias("n"))
+    pixels = canopy.binarised(canopy.merged_tiles(city.pixels(spark)))
+    return pixels.groupBy(F.coalesce("canopy", F.lit(-1)).alias("canopy")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("raster_merged", with_sql("px", "SELECT x, y, v AS value, CAST(CASE WHEN i < 250 THEN 0 ELSE 1 END AS INTEGER) AS tile_id FROM px"))

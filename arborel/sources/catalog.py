@@ -192,7 +192,7 @@ def _tree_files(spark: SparkSession, c: Config, units: DataFrame | None, radius:
 
 
 def canopy_pixels(spark: SparkSession, c: Config, low: float, high: float, units: DataFrame | None = None, radius: float = 0.0) -> tuple[DataFrame, float]:
-    """Binarised pixels of the canopy height tiles and the pixel's size; a tile with another EPSG code, or that cannot be
+    """Binarised chunks of the canopy height tiles and the pixel's size; a tile with another EPSG code, or that cannot be
     decoded, is an error. With ``units``, tiles more than ``radius`` from all of them are not decoded."""
     epsg = int(str(c.crs).split(":")[-1])
     checks = geotiff.checked(spark, c.data.chm_tiles_dir, epsg)
@@ -205,5 +205,5 @@ def canopy_pixels(spark: SparkSession, c: Config, low: float, high: float, units
     good = checks.filter("error IS NULL")
     step = good.agg(F.max("pixel")).first()[0]
     wanted = good if units is None else vector.files_near(good, units, radius)
-    pixels = geotiff.read_pixels(spark, c.data.chm_tiles_dir, wanted, strict=True)
+    pixels = geotiff.read_chunks(spark, c.data.chm_tiles_dir, wanted, strict=True)
     return canopy.binarised(canopy.merged_tiles(pixels), low, high), float(step or 1.0)

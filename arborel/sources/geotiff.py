@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,17 +227,22 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
-def read_pixels(spark: SparkSession, path: str, wanted: DataFrame | None = None, strict: bool = False) -> DataFrame:
-    """tile_id (the file's path), x, y (pixel centres), value (null without data); in chunks of bounded size.
+def read_chunks(spark: SparkSession, path: str, wanted: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """Files as chunks of at most CHUNK by CHUNK pixels: tile_id (the path), x0 and y1 (upper left corner), step, cols, rows and
+    values (NaN without data).
 
-    With ``wanted`` (path) only those files are decoded. A file that cannot be is left out, or with ``strict`` an error.
+    With ``wanted`` (path) only those files are decoded. A file that cannot be is left out, or with ``strict`` an error;
+    so is one whose pixels are not square.
     """
+    schema = "tile_id string, x0 double, y1 double, step double, cols int, rows int, values array<double>"
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 try:
-                    r = decode(content)
+                    r = decode(content.as_py())
+                    if abs(r.px - r.py) > 1e-9 * r.px:
+                        raise ValueError(f"pixels of {r.px} by {r.py} are not square")
                 except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
                     if strict:
                         raise ValueError(f"{name} cannot be decoded: {e}") from e
@@ -245,14 +251,21 @@ def read_pixels(spark: SparkSession, path: str, wanted: DataFrame | None = None,
                 for i in range(0, r.values.shape[0], CHUNK):
                     for j in range(0, r.values.shape[1], CHUNK):
                         part = r.values[i : i + CHUNK, j : j + CHUNK]
-                        ii, jj = np.indices(part.shape)
-                        yield pd.DataFrame({"tile_id": name, "x": r.x0 + (j + jj.ravel() + 0.5) * r.px, "y": r.y0 - (i + ii.ravel() + 0.5) * r.py, "value": part.ravel()})
+                        columns = [[name], [r.x0 + j * r.px], [r.y0 - i * r.py], [r.px], pa.array([part.shape[1]], pa.int32()), pa.array([part.shape[0]], pa.int32()), pa.array([part.ravel()], pa.list_(pa.float64()))]
+                        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["tile_id", "x0", "y1", "step", "cols", "rows", "values"])
 
     files = _files(spark, path)
     if wanted is not None:
         files = files.join(wanted.select("path").distinct(), "path", "left_semi")
-    found = files.mapInPandas(rows, "tile_id string, x double, y double, value double")
-    return found.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+    return files.select("path", "content").mapInArrow(rows, schema)
+
+
+def read_pixels(spark: SparkSession, path: str, wanted: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """The pixels of ``read_chunks`` one by one: tile_id, x, y (centres), value (null without data)."""
+    found = read_chunks(spark, path, wanted, strict).select("tile_id", "x0", "y1", "step", "cols", F.posexplode("values").alias("i", "v"))
+    x = F.col("x0") + (F.col("i") % F.col("cols") + 0.5) * F.col("step")
+    y = F.col("y1") - (F.floor(F.col("i") / F.col("cols")) + 0.5) * F.col("step")
+    return found.select("tile_id", x.alias("x"), y.alias("y"), F.when(~F.isnan("v"), F.col("v")).alias("value"))
 
 
 def checked(spark: SparkSession, path: str, epsg: int) -> DataFrame:

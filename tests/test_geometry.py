@@ -200,4 +200,28 @@ def test_closed_forms_are_those_of_polygons(spark):
         assert (x["cut"] is None) == (x["plain"] is None)
         if x["cut"]:
             assert tuple(x["cut"]) == pytest.approx(tuple(x["plain"]))
-    assert [one(spark, geometry.is_box("pp"), pp=p) for p in (SQUARE, HOLED, TWO, ELL, [[ring([(0, 0), (1, 1), (2, 0), (1, -1)])]])] == [True, False, False, False, False]
+    assert [one(spark, geometry.is_box("pp"), pp=p) for p in (SQUARE, HOLED, TWO, ELL, [[ring([(0, 0), (1, 1), (2, 0), (1, -1)])]], [[ring([(0, 0), (1, 1), (2, 0)])]], [], [[]])] == [True, *[False] * 7]
+
+
+@pytest.mark.parametrize("all_touched", [False, True])
+def test_chunks_sum_as_pixels_do(spark, all_touched):
+    """Zones of all forms over two overlapping tiles with gaps, by chunk and by pixel."""
+    from arborel.operators import canopy
+    from arborel.plans import city
+
+    rows = [(i, p) for i, p in enumerate((SQUARE, HOLED, TWO, ELL, STAR, RINGED))]
+    r = random.Random(8)
+    zones = []
+    for i in range(60):
+        k, parts = rows[i % len(rows)]
+        size, x, y = r.choice([3.0, 25.0, 90.0]), r.uniform(-100, 4900) if i % 3 else 2400.0, r.uniform(-100, 4900)
+        zones.append((i, [[[{"x": x + size * p["x"], "y": y + size * p["y"]} for p in g] for g in part] for part in parts]))
+    zones.append((99, [[ring([(2450, 100), (2550, 100), (2550, 300), (2450, 300)])]]))
+    zones.append((98, [[ring([(90000, 100), (90050, 100), (90050, 300)])]]))
+    table = spark.createDataFrame(zones, f"zone long, parts {geometry.PARTS}")
+    table = table.withColumns(geometry.bbox("parts"))
+    found = []
+    for raster in (city.chunks(spark), city.pixels(spark)):
+        sums = canopy.zonal(table, canopy.binarised(canopy.merged_tiles(raster)), ["zone"], city.PIXEL, all_touched)
+        found.append({x["zone"]: (x["canopy_pixels"], x["total_pixels"]) for x in sums.collect()})
+    assert found[0] == found[1] and len(found[0]) > 45 and 99 in found[0] and 98 not in found[0]
