@@ -225,3 +225,14 @@ def test_chunks_sum_as_pixels_do(spark, all_touched):
         sums = canopy.zonal(table, canopy.binarised(canopy.merged_tiles(raster)), ["zone"], city.PIXEL, all_touched)
         found.append({x["zone"]: (x["canopy_pixels"], x["total_pixels"]) for x in sums.collect()})
     assert found[0] == found[1] and len(found[0]) > 45 and 99 in found[0] and 98 not in found[0]
+
+
+def test_medians_are_exact(spark):
+    from arborel.operators import spectral
+
+    r = random.Random(11)
+    rows = [(r.choice(["a", "b", None]), r.choice([r.uniform(-1, 1), 0.25, None]), r.uniform(0.1, 0.10002)) for _ in range(500)]
+    rows += [("one", 0.5, -3.0), ("two", 0.5, 1.0), ("two", 0.75, 2.0), ("none", None, None), ("same", -0.1, 0.0), ("same", -0.1, 0.0)]
+    got = {x["u"]: (x["NDVI"], x["NDWI"]) for x in spectral.medians(spark.createDataFrame(rows, "u string, NDVI double, NDWI double"), ["NDVI", "NDWI"], "u").collect()}
+    want = {u: tuple(float(np.median([x[k] for x in rows if x[0] == u and x[k] is not None])) if any(x[0] == u and x[k] is not None for x in rows) else None for k in (1, 2)) for u in {x[0] for x in rows}}
+    assert got == {u: tuple(v if v is None else pytest.approx(v, abs=1e-12) for v in m) for u, m in want.items()}
