@@ -322,17 +322,21 @@ def _seen(level: str) -> str:
     return "(" + " OR ".join(f"coalesce(blk_{level}_{j}, 0) = 0" for j in ("bottom", "middle", "top")) + ")"
 
 
-@query(
-    "visibility_counts",
-    _vis_sql(
-        f"SELECT bb.building_id, count(*) FILTER (v.tree_id IS NOT NULL AND {_seen('bottom')}) AS visible_trees_bottom, count(*) FILTER (v.tree_id IS NOT NULL AND {_seen('middle')}) AS visible_trees_middle, count(*) FILTER (v.tree_id IS NOT NULL AND {_seen('top')}) AS visible_trees_top, count(*) FILTER (v.tree_id IS NOT NULL AND ({_seen('bottom')} OR {_seen('middle')} OR {_seen('top')})) AS visible_trees FROM bb LEFT JOIN (SELECT pl.building_id, pl.tree_id, k.* EXCLUDE (building_id, tree_id) FROM pl LEFT JOIN k USING (building_id, tree_id)) v ON v.building_id = bb.building_id GROUP BY bb.building_id"
-    ),
+_COUNTS = (
+    f"SELECT bb.building_id, count(*) FILTER (v.tree_id IS NOT NULL AND {_seen('bottom')}) AS visible_trees_bottom, count(*) FILTER (v.tree_id IS NOT NULL AND {_seen('middle')}) AS visible_trees_middle, count(*) FILTER (v.tree_id IS NOT NULL AND {_seen('top')}) AS visible_trees_top, count(*) FILTER (v.tree_id IS NOT NULL AND ({_seen('bottom')} OR {_seen('middle')} OR {_seen('top')})) AS visible_trees FROM bb LEFT JOIN (SELECT pl.building_id, pl.tree_id, k.* EXCLUDE (building_id, tree_id) FROM pl LEFT JOIN k USING (building_id, tree_id)) v ON v.building_id = bb.building_id GROUP BY bb.building_id"
 )
+
+
+@query("visibility_counts", _vis_sql(_COUNTS))
 def visibility_counts(spark, sf):
     return visibility.visibility(city.buildings(spark, sf), trees.tall_trees(city.trees(spark, sf)))
 
 
-@query("visibility_centroid")
+# From a building's middle; the relations of pairs, lines and obstacles are the same otherwise.
+_FROM = _VIS[_VIS.index("CASE WHEN NOT inside") : _VIS.index(" FROM pr1)")]
+
+
+@query("visibility_centroid", with_sql("b t", _VIS.replace(_FROM, "(x0 + x1) / 2 AS ox, (y0 + y1) / 2 AS oy") + _COUNTS))
 def visibility_centroid(spark, sf):
     return visibility.visibility(city.buildings(spark, sf), trees.tall_trees(city.trees(spark, sf)), observer="centroid")
 
