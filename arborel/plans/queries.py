@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborel.functions import crs, geohash, geometry, s2
+from arborel.functions import crs, geohash, geometry, rhealpix, s2
 from arborel.operators import canopy, cells, graph, merge, parks, spectral, tiles, trees, visibility
 from arborel.operators.grid import BOX
 from arborel.plans import city
@@ -512,7 +513,25 @@ def s2_cells(spark, sf):
     return b.select("building_id", s2.cell(0.10 + (F.col("x0") + F.col("x1")) / 2 / 1e5, 52.20 + (F.col("y0") + F.col("y1")) / 2 / 1e5, 17).alias("s2_17"))
 
 
-@query("rhealpix_cells")
+def _rhealpix_sql(resolution: int) -> str:
+    """The cell's name written out: authalic latitude, square, place in it, and a digit for each division into nine."""
+    e, pi, n = rhealpix._E, math.pi, rhealpix.SIDES**resolution
+    q = lambda s: f"({1 - e**2!r}e0 * ({s} / (1 - {e**2!r}e0 * {s} * {s}) - ln((1 - {e!r}e0 * {s}) / (1 + {e!r}e0 * {s})) / {2 * e!r}e0))"
+    digits = " || ".join(f"CAST((j // {rhealpix.SIDES ** (resolution - 1 - k)}) % 3 * 3 + (i // {rhealpix.SIDES ** (resolution - 1 - k)}) % 3 AS VARCHAR)" for k in range(resolution))
+    return with_sql(
+        "b",
+        f", ll AS (SELECT building_id, radians({_LON} - 360 * floor(({_LON} + 180) / 360)) AS lam, {q(f'sin(radians({_LAT}))')} / {rhealpix._QP!r}e0 AS s FROM b), "
+        f"sp AS (SELECT *, least(3, CAST(floor((lam + {pi!r}e0) / {pi / 2!r}e0) AS INTEGER)) AS q, sqrt(greatest(0e0, 3 * (1 - abs(s)))) AS sigma FROM ll), "
+        f"tu AS (SELECT *, (lam + {3 * pi / 4!r}e0 - q * {pi / 2!r}e0) * sigma AS dx, -sign(s) * {pi / 4!r}e0 * sigma AS dy, CASE WHEN s > 0 THEN q ELSE (4 - q) % 4 END AS turn FROM sp), "
+        f"uv AS (SELECT building_id, CASE WHEN abs(s) <= 2e0 / 3 THEN q + 1 WHEN s > 0 THEN 0 ELSE 5 END AS f, "
+        f"CASE WHEN abs(s) <= 2e0 / 3 THEN (lam + {pi!r}e0) / {pi / 2!r}e0 - q ELSE CASE turn WHEN 0 THEN dx WHEN 1 THEN -dy WHEN 2 THEN -dx ELSE dy END / {pi / 2!r}e0 + 0.5e0 END AS u, "
+        f"CASE WHEN abs(s) <= 2e0 / 3 THEN ({pi / 4!r}e0 - s * {3 * pi / 8!r}e0) / {pi / 2!r}e0 ELSE 0.5e0 - CASE turn WHEN 0 THEN dy WHEN 1 THEN dx WHEN 2 THEN -dy ELSE -dx END / {pi / 2!r}e0 END AS v FROM tu), "
+        f"ij AS (SELECT building_id, f, CAST(floor(u * {n}) AS BIGINT) AS i, CAST(floor(v * {n}) AS BIGINT) AS j FROM uv) "
+        f"SELECT building_id, substr('{rhealpix.FACES}', f + 1, 1) || {digits} AS rhealpix_{resolution} FROM ij",
+    )
+
+
+@query("rhealpix_cells", _rhealpix_sql(9))
 def rhealpix_cells(spark, sf):
     """rHEALPix cells of resolution 9 at buildings; see the tests."""
     b = city.buildings(spark, sf)
