@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from arborel.operators.lineage import tables_folder
+
 #: Text handled at once by a Python worker, in characters; a longer text is a slice of its own.
 SLICE_CHARS = 1_000_000
 
@@ -20,17 +21,9 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none and runs on one machine (local tests) a temporary one is set.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="arborel-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """This application's folder below the one that driver and executors share, ``spark.checkpoint.dir``;
+    ``arborel.operators.lineage.forget`` deletes it."""
+    return tables_folder(spark)
 
 
 #: Bytes of an Arrow batch and of a Parquet row group of intermediate tables. Texts are large rows: Spark's
@@ -52,7 +45,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     cause what stands before it to run again.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/arborel/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").option("parquet.block.size", GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -51,7 +51,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/arborel/tokens-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(_table(spark, sf_dir, "documents"), path, "word_bpe_49k.json", end_id=1)
     return token_files.read_documents(spark, path)
 
