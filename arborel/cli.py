@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     add("--dggs_resolution", type=int)
     add("--h3_resolution", type=int, help="older spelling of --dggs h3 --dggs_resolution N")
     add("--geo_code")
+    add("--csv", action="store_true", help="write one CSV file for each geographic code as well")
     add("--query_method", choices=("rdd", "sql"), default="rdd", help="rdd leaves buildings without trees out of T3, sql counts them 0")
     add("--buffer", type=int, default=100)
     add("--tree_area", type=float, default=10)
@@ -160,6 +161,12 @@ def run(args: argparse.Namespace) -> None:
         rows = rows.filter(F.col("geo_code") == args.geo_code)
     name = FOLDERS[args.process] + (f"_{args.buffer}m" if args.process in ("T3", "T30_buildings", "Visibility") else "")
     sinks.write_by_code(sinks.without_nan(rows), f"{base}/{name}", overwrite=args.overwrite)
+    if args.csv:
+        written = spark.read.parquet(f"{base}/{name}")
+        if args.geo_code:
+            written = written.filter(F.col("geo_code") == args.geo_code)
+        suffix = name[len(FOLDERS[args.process]) :]
+        sinks.write_csv_by_code(written, f"{base}/{args.process}", args.process, suffix)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -26,12 +29,53 @@ def write_by_code(rows: DataFrame, path: str, code: str = "geo_code", overwrite:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(code).parquet(path)
 
 
+def _moved(spark: SparkSession, moves: list[tuple[str, str]], done: str) -> None:
+    """Rename files, replacing what is there, then delete the folder ``done``; in any file system that Spark writes."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    for old, new in moves:
+        target = path(new)
+        system = target.getFileSystem(conf)
+        system.mkdirs(target.getParent())
+        system.delete(target, True)
+        if not system.rename(path(old), target):
+            raise OSError(f"cannot write {new}")
+    path(done).getFileSystem(conf).delete(path(done), True)
+
+
+def _parts(spark: SparkSession, folder: str) -> list[str]:
+    """The part files below a folder."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    files = path(folder).getFileSystem(conf).listFiles(path(folder), True)
+    out = []
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        if name.rpartition("/")[2].startswith("part-"):
+            out.append(name)
+    return sorted(out)
+
+
 def write_single(rows: DataFrame, path: str, form: str = "csv") -> None:
-    """One file in the folder ``path``, for results of a few rows a unit; all rows pass through one task."""
+    """One file of the name ``path``, for results of a few rows a unit; all rows pass through one task."""
     if form not in ("csv", "parquet"):
         raise ValueError("form must be csv or parquet")
-    writer = rows.coalesce(1).write.mode("overwrite")
-    writer.option("header", True).csv(path) if form == "csv" else writer.parquet(path)
+    spark, aside = rows.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    writer = rows.coalesce(1).write
+    writer.option("header", True).csv(aside) if form == "csv" else writer.parquet(aside)
+    _moved(spark, [(_parts(spark, aside)[0], path)], aside)
+
+
+def write_csv_by_code(rows: DataFrame, folder: str, prefix: str, suffix: str = "", code: str = "geo_code") -> None:
+    """One CSV file for each code, <folder>/<prefix>_<code><suffix>.csv; a code's rows pass through one task, in the order of
+    their first column. Rows without a code are in none."""
+    spark, aside = rows.sparkSession, f"{folder.rstrip('/')}/.{uuid.uuid4().hex}"
+    named = rows.filter(F.col(code).isNotNull()).withColumn("_code", F.col(code))
+    first = next(c for c in rows.columns if c != code)
+    named.repartition("_code").sortWithinPartitions("_code", first).write.partitionBy("_code").option("header", True).csv(aside)
+    moves = []
+    for part in _parts(spark, aside):
+        value = unquote(part.rpartition("/")[0].rpartition("_code=")[2])
+        moves.append((part, f"{folder.rstrip('/')}/{prefix}_{value}{suffix}.csv"))
+    _moved(spark, moves, aside)
 
 
 def consolidate(spark: SparkSession, pattern: str, schema: str, path: str) -> None:

@@ -418,6 +418,12 @@ def test_sinks(spark, tmp_path):
     sinks.write_by_code(rows.filter("geo_code = 'a'"), path)
     assert spark.read.parquet(path).count() == 2
     sinks.write_single(rows, f"file://{tmp_path}/s")
+    assert (tmp_path / "s").is_file() and [p.name for p in tmp_path.iterdir() if p.name.startswith("s.")] == []
+    sinks.write_single(rows, f"file://{tmp_path}/s")
+    many = spark.createDataFrame([(k, f"x {i % 2}") for i, k in enumerate([5, 3, 9, 1])] + [(0, None)], "n int, geo_code string")
+    sinks.write_csv_by_code(many, f"file://{tmp_path}/csv", "T3", "_25m")
+    files = sorted(p for p in (tmp_path / "csv").iterdir() if not p.name.startswith("."))
+    assert [p.name for p in files] == ["T3_x 0_25m.csv", "T3_x 1_25m.csv"] and files[0].read_text().split() == ["n,geo_code", "5,x", "0", "9,x", "0"]
     sinks.consolidate(spark, f"file://{tmp_path}/s", "geo_code string, code string, v double", f"file://{tmp_path}/c")
     assert {r["code"] for r in spark.read.parquet(f"file://{tmp_path}/c").collect()} == {"0012", "7"}
     with pytest.raises(ValueError):
