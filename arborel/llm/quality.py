@@ -60,7 +60,8 @@ class Rules:
     """Parameters: below_widths and above_widths are the band's reach in quartile widths.
 
     A mean over few characters spreads more, so the reach grows as the square root of
-    usual_chars / characters in shorter texts. The reach above is set from labelled rows: few of
+    usual_chars / characters in shorter texts. Both reaches are set from labelled rows: those far below are near copies
+    of others, which are not for this rule to judge, so the reach below is wide. Above, few of
     quality 1 lie higher, wrong-language and shuffled documents mostly do. A width that n documents
     give has an error that falls as the square root of n, so it counts (1 + 13 / sqrt(n)) times above.
     """
@@ -68,7 +69,7 @@ class Rules:
     languages: tuple[str, ...] = LANGUAGES
     least_words: int = LEAST_WORDS
     most_repeated: int = 50  # percent of words
-    below_widths: float = 3.75
+    below_widths: float = 6.0
     above_widths: float = 2.5
     usual_chars: int = 1500
     least_width: float = 0.02  # a band's quartile width counts as this at least, in bits

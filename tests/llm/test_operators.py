@@ -334,6 +334,23 @@ def test_shuffled_and_wrong_language_documents_are_rejected(spark):
     assert sum(got[i]["kept"] for i, (_, _, good) in enumerate(rows) if good) >= 230
 
 
+def test_both_sides_of_the_band_reject(spark):
+    """Text that says next to nothing with each letter lies below, the same letters at random lie above; in three languages."""
+    r = random.Random(17)
+    rows = []
+    for lang, letters in (("xx", "abcdefghijklm"), ("yy", "nopqrstuvwxyz"), (None, "абвгдежзиклмн")):
+        parts = ["".join(r.choice(letters) for _ in range(3)) for _ in range(40)]
+        words = ["".join(r.choice(parts) for _ in range(r.randint(1, 3))) for _ in range(400)]
+        rows += [(lang, " ".join(r.choice(words) for _ in range(260)), 0) for _ in range(150)]
+        rows += [(lang, " ".join(letters[0] * r.randint(2, 14) for _ in range(180)), -1) for _ in range(6)]
+        rows += [(lang, " ".join("".join(r.choice(letters) for _ in range(r.randint(3, 9))) for _ in range(260)), 1) for _ in range(6)]
+    table = docs(spark, [{"doc_id": i, "text": t, "lang": k, "source": "s", "n_chars": len(t)} for i, (k, t, _) in enumerate(rows)])
+    got = {x["doc_id"]: x for x in quality.quality(table).collect()}
+    assert not any(x["base_failed"] for x in got.values())
+    assert not any(got[i]["kept"] for i, (_, _, side) in enumerate(rows) if side)
+    assert all(got[i]["kept"] for i, (_, _, side) in enumerate(rows) if not side)
+
+
 # 4 near-duplicates
 
 
