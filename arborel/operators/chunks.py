@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from arborel.functions import geometry
 from arborel.operators.grid import BOX, box_join
+from arborel.operators.lineage import written
 
 _CHUNK = ("tile_id", "x0", "y1", "step", "cols", "rows", "values")
 #: Tiles and their chunks meet in cells of this width, about a chunk at one metre.
@@ -37,19 +38,33 @@ def _name():
     return F.concat_ws("|", F.col("tile_id").cast("string"), F.col("x0").cast("string"), F.col("y1").cast("string"))
 
 
+def _rows(batch: pa.RecordBatch, values: str) -> Iterator[dict]:
+    """Rows of a batch, with ``values`` as arrays (null as NaN) and not as lists."""
+    at = batch.schema.get_field_index(values)
+    lists = batch.column(at)
+    flat = lists.values.to_numpy(zero_copy_only=False).astype(float)
+    cuts = lists.offsets.to_numpy()
+    for i, row in enumerate(batch.remove_column(at).to_pylist()):
+        yield row | {values: flat[cuts[i] : cuts[i + 1]]}
+
+
 def _matrix(row: dict) -> np.ndarray:
-    return np.array([np.nan if v is None else v for v in row["values"]], float).reshape(row["rows"], row["cols"])
+    return row["values"].reshape(row["rows"], row["cols"])
 
 
 def merged(chunks: DataFrame) -> DataFrame:
     """Chunks without the pixels that an earlier tile (by tile_id) has data for: where tiles overlap, the first with data counts.
 
-    Only chunks that overlap meet; a pixel of another tile is the one that holds this pixel's centre.
+    Only chunks that overlap meet; a pixel of another tile is the one that holds this pixel's centre. Chunks are written first,
+    so that files are decoded once, and boxes are read without their pixels.
     """
+    chunks = written(chunks.select(*_CHUNK), "chunks")
     inner = lambda c, d: F.col(c) + F.lit(1e-6) < F.col(d)  # noqa: E731  edges that only touch share no pixel
     overlap = inner("l_x0", "e_x1") & inner("e_x0", "l_x1") & inner("l_y0", "e_y1") & inner("e_y0", "l_y1")
     box = lambda p: tuple(f"{p}{c}" for c in BOX)
     pairs = box_join(_boxes(chunks, "l_"), _boxes(chunks, "e_"), CELL, 0.0, box("l_"), box("e_"), (F.col("e_tile") < F.col("l_tile")) & overlap)
+    if not pairs.head(1):
+        return chunks
     named = chunks.select(_name().alias("chunk"), *_CHUNK)
     others = named.join(pairs.select(F.col("e_chunk").alias("chunk"), F.col("l_chunk").alias("onto")), "chunk").select("onto", F.lit(0).alias("kind"), *_CHUNK)
     dealt = named.select(F.col("chunk").alias("onto"), F.lit(1).alias("kind"), *_CHUNK).unionByName(others)
@@ -58,13 +73,13 @@ def merged(chunks: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, earlier = None, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch, "values"):
                 if row["onto"] != at:
                     at, earlier = row["onto"], []
                 if row["kind"] == 0:
                     earlier.append(row)
                     continue
-                values = _matrix(row)
+                values = _matrix(row).copy()
                 x = row["x0"] + (np.arange(row["cols"]) + 0.5) * row["step"]
                 y = row["y1"] - (np.arange(row["rows"]) + 0.5) * row["step"]
                 for e in earlier:
@@ -73,10 +88,10 @@ def merged(chunks: DataFrame) -> DataFrame:
                     part = values[np.ix_(r, c)]
                     part[~np.isnan(_matrix(e)[np.ix_(i[r], j[c])])] = np.nan
                     values[np.ix_(r, c)] = part
-                out = {k: row[k] for k in _CHUNK} | {"values": values.ravel().tolist()}
-                yield pa.RecordBatch.from_pylist([out], schema=batch.schema.remove(0).remove(0))
+                columns = [pa.array([row[k]], batch.schema.field(k).type) for k in _CHUNK[:-1]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([values.ravel()], pa.list_(pa.float64()))], [*_CHUNK])
 
-    return dealt.repartition("onto").sortWithinPartitions("onto", "kind").mapInArrow(run, schema)
+    return written(dealt.repartition("onto").sortWithinPartitions("onto", "kind").mapInArrow(run, schema), "chunks")
 
 
 def binarised(chunks: DataFrame, low: float, high: float) -> DataFrame:
@@ -159,7 +174,7 @@ def zonal(zones: DataFrame, chunks: DataFrame, key: list[str], all_touched: bool
         at, chunk = None, None
         for batch in batches:
             zones_out, sums = [], []
-            for row in batch.to_pylist():
+            for row in _rows(batch, "r_values"):
                 if row["kind"] == 0:
                     at, chunk = row["chunk"], _Chunk({c: row[f"r_{c}"] for c in _CHUNK})
                 elif row["chunk"] == at:

@@ -44,9 +44,11 @@ def sight_pairs(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, o
     near = geometry.bbox_distance2("x0", "y0", "x1", "y1", "x", "y") <= buffer * buffer
     exact = F.col("is_box") | (geometry.point_distance("parts", "x", "y") <= buffer)
     homes = buildings.select("building_id", F.col("building_height").cast("double").alias("eye_top"), *BOX, "parts", geometry.is_box("parts").alias("is_box"))
+    if observer == "centroid":
+        homes = homes.withColumn("middle", geometry.centroid("parts"))
     aims = trees.select("tree_id", F.col("tree_height").cast("double").alias("aim_top"), "x", "y")
     pairs = box_join(homes, aims, max(float(buffer), 25.0), float(buffer), BOX, POINT, near & exact)
-    eye = geometry.centroid("parts") if observer == "centroid" else geometry.nearest_boundary_point("parts", "is_box", BOX, "x", "y")
+    eye = F.col("middle") if observer == "centroid" else geometry.nearest_boundary_point("parts", "is_box", BOX, "x", "y")
     pairs = pairs.select("building_id", "tree_id", "eye_top", "aim_top", eye.alias("eye"), "x", "y")
     pairs = pairs.select("building_id", "tree_id", "eye_top", "aim_top", F.col("eye.x").alias("eye_x"), F.col("eye.y").alias("eye_y"), F.col("x").alias("aim_x"), F.col("y").alias("aim_y"))
     return pairs.withColumn("way", F.sqrt(F.pow(F.col("aim_x") - F.col("eye_x"), 2) + F.pow(F.col("aim_y") - F.col("eye_y"), 2)))
