@@ -9,7 +9,6 @@ from arborel.plans.queries import ORACLE_SQL, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"merge_all", "merge_units", "merge_t3_t300", "t300_combined", "park_network_blocks"}
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +35,7 @@ def rows(columns, values):
     return sorted((tuple(plain(r[i]) for i in order) for r in values), key=repr)
 
 
-@pytest.mark.parametrize("name", [n for n in ORACLE_SQL if n not in SLOW] + ["merge_all"])
+@pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_matches_sql(spark, duck, name):
     if not os.path.isdir(SF):
         pytest.skip("no test tables")
