@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from arborel.functions import crs, geohash, geometry, rhealpix, s2
 from arborel.operators import canopy, cells, graph, merge, parks, spectral, tiles, trees, visibility
-from arborel.operators.grid import BOX
 from arborel.plans import city
 from arborel.plans.city import with_sql
 
