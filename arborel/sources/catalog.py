@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from arborel.config import Config, remote
 from arborel.functions import crs, geometry
 from arborel.functions.overlay import point_on_surface
-from arborel.operators import canopy, cells, graph, parks, trees
+from arborel.operators import canopy, cells, graph, parks, tiles, trees
 from arborel.operators.grid import BOX
 from arborel.sources import footprints, geotiff, osm, sinks, vector
 
@@ -167,7 +167,8 @@ def load(spark: SparkSession, c: Config, dggs: str | None = None, resolution: in
 def tree_table(spark: SparkSession, c: Config, units: DataFrame | None = None, radius: float = 0.0) -> DataFrame:
     """Trees with centroid, height, area and crown; ids follow the crown, so every branch of a plan sees the same.
 
-    With ``units``, files of a folder of GeoPackages that lie more than ``radius`` from all of them are not read.
+    With ``units``, files of a folder of GeoPackages that lie more than ``radius`` from all of them are not read. With a tile
+    system, of the files that its pattern gives one tile name the newest counts, and files without a name do not.
     """
     if not c.data.trees_dir:
         raise ValueError("data.trees_dir is not set")
@@ -188,6 +189,12 @@ def _tree_files(spark: SparkSession, c: Config, units: DataFrame | None, radius:
     wanted = None
     if units is not None and (source is None or crs.projection(source) == crs.projection(c.crs)):
         wanted = vector.files_near(vector.package_boxes(spark, path, c.columns.tree_layer), units, radius)
+    if c.tile_system.enabled and c.tile_system.tile_name_pattern:
+        # a tile that was surveyed again is there once for each year
+        at = F.col("path")
+        named = vector.packages(spark, path).select(at, tiles.tile_name(at, c.tile_system.tile_name_pattern).alias("tile_name"), tiles.year(at).alias("year"))
+        latest = tiles.newest(named.filter("tile_name IS NOT NULL AND tile_name <> ''")).select("path")
+        wanted = latest if wanted is None else wanted.join(latest, "path", "left_semi")
     return vector.reprojected(vector.read_geopackage(spark, path, c.columns.tree_layer, wanted), source, c.crs, path)
 
 

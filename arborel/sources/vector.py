@@ -171,7 +171,7 @@ def _first_package(spark: SparkSession, path: str, layer: str | None) -> dict |
                 yield pd.DataFrame({"path": [name], "about": [json.dumps(about)]})
 
     # the schema of a package is a few hundred bytes; one is enough
-    found = _packages(spark, path).mapInPandas(look, "path string, about string").agg(F.min(F.struct("path", "about")).alias("a")).first()["a"]
+    found = packages(spark, path).mapInPandas(look, "path string, about string").agg(F.min(F.struct("path", "about")).alias("a")).first()["a"]
     return json.loads(found["about"]) if found else None
 
 
@@ -183,7 +183,8 @@ def _package_code(base: sqlite3.Connection, table: str) -> int | None:
     return int(row[0]) if row else None
 
 
-def _packages(spark: SparkSession, path: str) -> DataFrame:
+def packages(spark: SparkSession, path: str) -> DataFrame:
+    """path and content of each GeoPackage below ``path``."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
@@ -207,7 +208,7 @@ def package_boxes(spark: SparkSession, path: str, layer: str | None = None) -> D
                 out.append((name, *(box or (None,) * 4)))
             yield pd.DataFrame(out, columns=["path", "x0", "y0", "x1", "y1"]).astype({c: float for c in ("x0", "y0", "x1", "y1")})
 
-    found = _packages(spark, path).mapInPandas(look, "path string, x0 double, y0 double, x1 double, y1 double")
+    found = packages(spark, path).mapInPandas(look, "path string, x0 double, y0 double, x1 double, y1 double")
     return found.select("path", *(F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("x0", "y0", "x1", "y1")))
 
 
@@ -216,7 +217,7 @@ def read_geopackage(spark: SparkSession, path: str, layer: str | None = None, wa
 
     The schema is that of the first file; a file is read by one task. With ``wanted`` (path) only those files are read.
     """
-    files = _packages(spark, path)
+    files = packages(spark, path)
     if wanted is not None:
         files = files.join(wanted.select("path").distinct(), "path", "left_semi")
     about = _first_package(spark, path, layer)

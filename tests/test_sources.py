@@ -214,6 +214,19 @@ def test_files_far_off_are_not_read(spark, tmp_path):
         assert sorted(r["x0"] for r in vector.polygons(vector.read_geopackage(spark, folder, "trees", wanted)).collect()) == kept
 
 
+def test_the_newest_of_a_tile_counts(spark, tmp_path):
+    from arborel import config as settings
+    from arborel.sources import catalog
+
+    for year, name, x in ((2019, "trees_TL0010", 1), (2022, "trees_TL0010", 2), (2019, "trees_TL0510", 3), (2019, "notes", 4)):
+        (tmp_path / str(year)).mkdir(exist_ok=True)
+        gpkg(tmp_path / str(year) / f"{name}.gpkg", [(box(x, 0, x + 1, 1), 5.0, 9.0)])
+    raw = {"study_area_name": "t", "crs": "EPSG:32632", "data": {k: "x.gpkg" for k in ("buildings", "parks_sites", "parks_access", "roads", "census_boundaries")} | {"trees_dir": f"file://{tmp_path}"}, "columns": {"geo_levels": ["a"], "building_id": "b", "tree_layer": "trees"}, "output": {"base_dir": "o"}}
+    for system, kept in ((None, [1, 2, 3, 4]), ({"enabled": True, "tile_name_pattern": r"_([A-Z]{2}\d{4})\."}, [2, 3])):
+        c = settings.parse_config(raw | ({"tile_system": system} if system else {}))
+        assert sorted(r["x0"] for r in catalog.tree_table(spark, c).collect()) == kept
+
+
 def test_osm(spark, tmp_path):
     ll = lambda *p: [{"lat": a, "lon": b} for a, b in p]
     ring = ll((45.0, 9.0), (45.0, 9.001), (45.001, 9.001), (45.0, 9.0))
