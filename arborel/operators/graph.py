@@ -73,6 +73,11 @@ def nearest_source(nodes: DataFrame, edges: DataFrame, sources: DataFrame, block
     return labels.select("node", "dist", "source")
 
 
+def edge_keys(edges: DataFrame, u: str = "u", v: str = "v", order: str = "edge_id") -> DataFrame:
+    """``edges`` with ``key``, which tells parallel edges from u to v apart: 0, 1, ... in the order of ``order``."""
+    return edges.withColumn("key", F.row_number().over(Window.partitionBy(u, v).orderBy(order)) - 1)
+
+
 def node_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, component) of every end of an edge; a component is named by its least node."""
     links = edges.select(F.greatest(u, v).alias("node"), F.least(u, v).alias("root")).filter("node IS NOT NULL AND root IS NOT NULL")

@@ -35,6 +35,11 @@ def with_cells(df: DataFrame, size: float, box: tuple[str, str, str, str] = BOX,
     return df.filter(whole).withColumn("_cx", F.explode(xs)).withColumn("_cy", F.explode(ys))
 
 
+def total_bounds(rows: DataFrame, box: tuple[str, str, str, str] = BOX) -> DataFrame:
+    """One row: the box around all boxes, nulls where there are none."""
+    return rows.agg(*(f(c).alias(n) for f, c, n in zip((F.min, F.min, F.max, F.max), box, BOX)))
+
+
 def box_join(left: DataFrame, right: DataFrame, size: float, radius: float = 0.0, left_box: tuple = BOX, right_box: tuple = BOX, condition: Column | None = None) -> DataFrame:
     """Pairs whose boxes are at most ``radius`` apart, each once, with the columns of both sides.
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborel.functions import crs, geohash, geometry, rhealpix, s2
-from arborel.operators import canopy, cells, graph, merge, parks, spectral, tiles, trees, visibility
+from arborel.operators import canopy, cells, graph, grid, merge, parks, spectral, tiles, trees, visibility
+from arborel.operators.grid import BOX
 from arborel.plans import city
 from arborel.plans.city import with_sql
 
@@ -235,6 +236,18 @@ def street_nodes(spark, sf):
     return parks.nodes_of_streets(city.road_nodes(spark), city.road_edges(spark)).select("node")
 
 
+@query("parallel_street_keys", with_sql("e", "SELECT edge_id, row_number() OVER (PARTITION BY u // 2, v // 2 ORDER BY edge_id) - 1 AS key FROM e"))
+def parallel_street_keys(spark, sf):
+    """Streets between pairs of nodes, which makes many of them parallel."""
+    pairs = city.road_edges(spark).select("edge_id", F.floor(F.col("u") / 2).alias("u"), F.floor(F.col("v") / 2).alias("v"))
+    return graph.edge_keys(pairs).select("edge_id", "key")
+
+
+@query("total_bounds", with_sql("b", "SELECT round(min(x0), 6) AS x0, round(min(y0), 6) AS y0, round(max(x1), 6) AS x1, round(max(y1), 6) AS y1 FROM b"))
+def total_bounds(spark, sf):
+    return grid.total_bounds(city.buildings(spark, sf)).select(*(F.round(c, 6).alias(c) for c in BOX))
+
+
 @query("road_components", with_sql("n", f"SELECT node, CAST(CASE WHEN node < {10 * city.LINES} THEN 0 ELSE {10 * city.LINES} END AS BIGINT) AS component FROM n"))
 def road_components(spark, sf):
     """The lattice without the streets between its tenth and eleventh lines."""

@@ -16,7 +16,7 @@ from arborel.config import Config, remote
 from arborel.functions import crs, geometry
 from arborel.functions.overlay import point_on_surface
 from arborel.operators import canopy, cells, graph, parks, tiles, trees
-from arborel.operators.grid import BOX
+from arborel.operators.grid import BOX, total_bounds
 from arborel.sources import footprints, geotiff, osm, sinks, vector
 
 
@@ -57,8 +57,8 @@ def _degrees(units: DataFrame, c: Config) -> tuple[float, float, float, float]:
     """The study area's box in degrees, which prunes the files of published footprints."""
     corners = F.array(*(F.struct(F.col(a).alias("x"), F.col(b).alias("y")) for a in ("x0", "x1") for b in ("y0", "y1")))
     at = F.explode(F.transform(corners, lambda p: F.struct(*(v.alias(n) for v, n in zip(crs.unproject(p["x"], p["y"], c.crs), ("lon", "lat"))))))
-    box = units.select(at.alias("p")).agg(F.min("p.lon"), F.min("p.lat"), F.max("p.lon"), F.max("p.lat")).first()
-    return tuple(box)
+    points = units.select(at.alias("p")).select("p.lon", "p.lat")
+    return tuple(total_bounds(points, ("lon", "lat", "lon", "lat")).first())
 
 
 def _units(spark: SparkSession, c: Config) -> DataFrame:
