@@ -95,7 +95,9 @@ def access_points(parks: DataFrame, edges: DataFrame, entrances: DataFrame | Non
     along = f"transform(filter({geometry.edges_sql('p_parts')}, e -> {det} = 0 AND (e.ax - ax) * (by - ay) = (e.ay - ay) * (bx - ax)), e -> named_struct('lo', greatest(0D, least({foot('a')}, {foot('b')})), 'hi', least(1D, greatest({foot('a')}, {foot('b')}))))"
     met = met.withColumn("_shared", F.expr(f"filter({along}, s -> s.lo < s.hi)"))
     places_of = f"transform(filter({geometry.edges_sql('p_parts')}, e -> {t} BETWEEN 0 AND 1 AND {u} BETWEEN 0 AND 1), e -> {t})"
-    apart = f"filter({places_of}, m -> NOT exists(_shared, s -> m BETWEEN s.lo AND s.hi))"
+    # ends of a stretch are crossings with the next edge, whose place may differ in the last digits; a millionth of a metre is the same place
+    same = "1e-6D / nullif(sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay)), 0)"
+    apart = f"filter({places_of}, m -> NOT exists(_shared, s -> m BETWEEN s.lo - {same} AND s.hi + {same}))"
     places = F.expr(f"concat(transform({apart}, m -> {at('m')}), transform(_shared, s -> {at('((s.lo + s.hi) / 2)')}))")
     crossings = met.select("park_id", F.explode(places).alias("c")).select("park_id", "c.x", "c.y")
     thin = crossings.groupBy("park_id", F.round("x").alias("rx"), F.round("y").alias("ry")).agg(F.min(F.struct("x", "y")).alias("c")).select("park_id", "c.x", "c.y")
