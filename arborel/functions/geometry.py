@@ -21,11 +21,15 @@ RING = f"array<{POINT}>"
 PARTS = f"array<array<{RING}>>"
 
 
-def rect(x0: str, y0: str, x1: str, y1: str) -> Column:
-    """A rectangle as a polygon."""
+def rect_sql(x0: str, y0: str, x1: str, y1: str) -> str:
     corner = lambda x, y: f"named_struct('x', CAST({x} AS DOUBLE), 'y', CAST({y} AS DOUBLE))"
     ring = ", ".join(corner(x, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)))
-    return F.expr(f"array(array(array({ring})))")
+    return f"array(array(array({ring})))"
+
+
+def rect(x0: str, y0: str, x1: str, y1: str) -> Column:
+    """A rectangle as a polygon."""
+    return F.expr(rect_sql(x0, y0, x1, y1))
 
 
 def _pairs(rings: str) -> str:
@@ -125,6 +129,16 @@ def is_box(parts: str) -> Column:
     return F.expr(f"coalesce(size({parts}) = 1 AND size(get({parts}, 0)) = 1 AND size(get(get({parts}, 0), 0)) = 5 AND {turn(0, 1, 2)} AND {turn(1, 2, 3)} AND {turn(2, 3, 4)}, false)")
 
 
+def unless_box(parts: str) -> Column:
+    """The polygon, or null if it is its box: what a shuffle need not carry."""
+    return F.when(~is_box(parts), F.col(parts)).alias(parts)
+
+
+def or_box(parts: str, box: tuple[str, str, str, str]) -> str:
+    """SQL of what ``unless_box`` left out, from the box again."""
+    return f"coalesce({parts}, {rect_sql(*box)})"
+
+
 def in_polygon(parts: str, flag: str, box: tuple[str, str, str, str], x: str, y: str) -> Column:
     """``contains_point``; of rectangles (``flag``) in closed form."""
     x0, y0, x1, y1 = box

@@ -11,6 +11,8 @@ A box that is null or has a null corner is in no cell and joins with nothing.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,50 +68,79 @@ def box_join(left: DataFrame, right: DataFrame, size: float, radius: float = 0.0
 SPAN = 4
 #: More doublings than any coordinates have room for; rows without a distance to anything end there.
 ROUNDS = 40
+#: The reach begins at so many halvings of the size at most.
+LEAST = -8
+
+
+def _start(count: int, bounds: list, size: float) -> int:
+    """The level to begin at: the reach is about as wide as right rows are apart, so dense tables do not meet by the hundred."""
+    if not count:
+        return 0
+    wide, high = bounds[2] - bounds[0], bounds[3] - bounds[1]
+    apart = max(math.sqrt(wide * high / count), max(wide, high) / count)
+    return max(LEAST, min(0, math.floor(math.log2(apart / size)))) if 0 < apart < math.inf else 0
 
 
-def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str, distance: Column, left_box: tuple = BOX, right_box: tuple = BOX, mark: tuple[str, str] | None = None, within: float | None = None) -> DataFrame:
-    """Each left row's nearest right row: key, the right columns, ``distance``; ties go to the least ``order``.
+def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str, distance: Column, left_box: tuple = BOX, right_box: tuple = BOX, mark: tuple[str, str] | None = None, within: float | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Each left row's nearest right row: key, the right columns (``order`` and those that ``keep`` names, all if it is not given),
+    ``distance``; ties go to the least ``order``.
 
-    Rounds look in a reach that doubles, from ``size`` on: a row whose best partner lies within the reach is done,
-    and only the others go on to the next round, so dense regions end early and sparse ones cost rounds, not rows.
-    Cells are as wide as the reach; a right row whose box spans many of them is dealt to wider cells of its own instead,
-    so no row is in many cells, however large it is. The best of a round is a partial minimum, never a list of pairs.
+    Rounds look in a reach that doubles, from ``size`` on, or less where right rows lie closer: a row whose best partner lies within
+    the reach is done, and only the others go on to the next round, so dense regions end early and sparse ones cost rounds, not rows.
+    Cells are as wide as the reach and ``size`` at least; a right row whose box spans many of them is dealt to wider cells of its own
+    instead, so no row is in many cells, however large it is. A round takes the least distance first, a number that hash aggregation
+    holds, and then the least order among the partners at that distance: pairs are neither sorted nor listed.
     Rows without any partner (an empty right side, or none ``within``) are left out. ``mark`` is not needed any more.
     """
+    rest = [c for c in right.columns if c != order] if keep is None else keep
     if within is not None:
         reach = box_join(left, right, size, within, left_box, right_box).withColumn("distance", distance).filter(F.col("distance") <= within)
-        return _best(reach, key, order, right)
+        return _best(reach, key, order, rest)
     l0, l1, l2, l3 = (F.col(c) for c in left_box)
     r0, r1, r2, r3 = (F.col(c) for c in right_box)
     whole = lambda *corners: F.expr(" AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)" for c in corners))
     extent = F.greatest(r2 - r0, r3 - r1) / F.lit(size * SPAN)
     own = F.greatest(F.ceil(F.log2(F.greatest(extent, F.lit(1.0)))), F.lit(0)).cast("int")
     some = right.filter(whole(*right_box)).withColumn("_own", own)
-    widest = some.agg(F.max("_own")).first()[0]
+    count, widest, *bounds = some.agg(F.count(F.lit(1)), F.max("_own"), F.min(r0), F.min(r1), F.max(r2), F.max(r3)).first()
     gap = F.pow(F.greatest(l0 - r2, r0 - l2, F.lit(0.0)), 2) + F.pow(F.greatest(l1 - r3, r1 - l3, F.lit(0.0)), 2)
-    done, waiting, level = None, left.filter(whole(*left_box)), 0
-    while widest is not None and level < ROUNDS:
-        reach = size * 2.0**level
-        cell = lambda x, width: F.floor(x / width)
+    cell = lambda x, width: F.floor(x / width)
+
+    def met(rows: DataFrame, reach: Column, cells: int, condition: Column) -> DataFrame:
+        """Pairs whose boxes are at most ``reach`` apart; one may meet in several cells, which a minimum does not mind."""
         width = F.pow(F.lit(2.0), F.col("_level")) * F.lit(float(size))
-        a = waiting.withColumn("_level", F.explode(F.sequence(F.lit(level), F.lit(max(level, widest)))))
+        a = rows.withColumn("_level", F.explode(F.sequence(F.lit(cells), F.lit(max(cells, widest)))))
         a = a.withColumn("_cx", F.explode(F.sequence(cell(l0 - reach, width), cell(l2 + reach, width)))).withColumn("_cy", F.explode(F.sequence(cell(l1 - reach, width), cell(l3 + reach, width))))
-        b = some.withColumn("_right_level", F.greatest(F.col("_own"), F.lit(level)))
+        b = some.withColumn("_right_level", F.greatest(F.col("_own"), F.lit(cells)))
         width = F.pow(F.lit(2.0), F.col("_right_level")) * F.lit(float(size))
         b = b.withColumn("_dx", F.explode(F.sequence(cell(r0, width), cell(r2, width)))).withColumn("_dy", F.explode(F.sequence(cell(r1, width), cell(r3, width)))).drop("_own")
-        # a pair may meet in several cells, which a minimum does not mind
-        pairs = a.join(b, (F.col("_level") == F.col("_right_level")) & (F.col("_cx") == F.col("_dx")) & (F.col("_cy") == F.col("_dy")) & (gap <= reach * reach))
-        found = written(_best(pairs.withColumn("distance", distance), key, order, right).filter(F.col("distance") <= reach), "nearest")
+        return a.join(b, (F.col("_level") == F.col("_right_level")) & (F.col("_cx") == F.col("_dx")) & (F.col("_cy") == F.col("_dy")) & (gap <= reach * reach) & condition)
+
+    done, waiting, level = None, left.filter(whole(*left_box)), _start(count, bounds, size)
+    last = level + ROUNDS
+    while widest is not None and level < last:
+        reach, cells = size * 2.0**level, max(level, 0)
+        least = met(waiting, F.lit(reach), cells, F.lit(True)).groupBy(key).agg(F.min(distance).alias("_least")).filter(F.col("_least") <= reach)
+        # boxes are no farther apart than what is in them, but for the last digits
+        slack = F.col("_least") * (1 + 1e-9) + 1e-9
+        ties = met(waiting.join(least, key), slack, cells, distance == F.col("_least"))
+        found = written(_first(ties, key, order, rest, "_least"), "nearest")
         done = found if done is None else done.unionByName(found)
         left_over = waiting.join(found.select(key), key, "left_anti")
         waiting, level = written(left_over, "waiting"), level + 1
         if not waiting.head(1):
             return done
-    return done if done is not None else _best(box_join(left, right, size, size, left_box, right_box).withColumn("distance", distance), key, order, right)
+    return done if done is not None else _best(box_join(left, right, size, size, left_box, right_box).withColumn("distance", distance), key, order, rest)
+
+
+def _first(ties: DataFrame, key: str, order: str, rest: list[str], distance: str) -> DataFrame:
+    """Of each key's rows at one ``distance`` that with the least ``order``."""
+    if not rest:
+        return ties.groupBy(key).agg(F.min(order).alias(order), F.min(distance).alias("distance"))
+    first = ties.groupBy(key).agg(F.min(F.struct(order, *rest)).alias("_first"), F.min(distance).alias("distance"))
+    return first.select(key, *(F.col(f"_first.{c}").alias(c) for c in (order, *rest)), "distance")
 
 
-def _best(pairs: DataFrame, key: str, order: str, right: DataFrame) -> DataFrame:
-    rest = [c for c in right.columns if c != order]
+def _best(pairs: DataFrame, key: str, order: str, rest: list[str]) -> DataFrame:
     best = pairs.groupBy(key).agg(F.min(F.struct(F.col("distance"), F.col(order), *rest)).alias("_best"))
     return best.select(key, *(F.col(f"_best.{c}").alias(c) for c in (order, *rest)), F.col("_best.distance").alias("distance"))

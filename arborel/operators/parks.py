@@ -17,10 +17,10 @@ SEARCH = 2000.0
 def euclidean(buildings: DataFrame, parks: DataFrame, size: float = 100.0) -> DataFrame:
     """Per building: closest_park_site_id and distance_euclidean (1 decimal, 0 where they touch); ties go to the least park."""
     park_box = tuple(f"p_{c}" for c in BOX)
-    a = buildings.select("building_id", *BOX, "parts", geometry.is_box("parts").alias("is_box"))
-    b = parks.select("park_id", *(F.col(c).alias(f"p_{c}") for c in BOX), F.col("parts").alias("p_parts"), geometry.is_box("parts").alias("p_is_box"))
-    exact = F.when(F.col("is_box") & F.col("p_is_box"), geometry.box_gap(BOX, park_box)).otherwise(geometry.polygon_distance("parts", "p_parts"))
-    found = nearest(a, b, size, "building_id", "park_id", exact, BOX, park_box)
+    a = buildings.select("building_id", *BOX, geometry.unless_box("parts"), geometry.is_box("parts").alias("is_box"))
+    b = parks.select("park_id", *(F.col(c).alias(f"p_{c}") for c in BOX), geometry.unless_box("parts").alias("p_parts"), geometry.is_box("parts").alias("p_is_box"))
+    exact = F.when(F.col("is_box") & F.col("p_is_box"), geometry.box_gap(BOX, park_box)).otherwise(geometry.polygon_distance(geometry.or_box("parts", BOX), geometry.or_box("p_parts", park_box)))
+    found = nearest(a, b, size, "building_id", "park_id", exact, BOX, park_box, keep=[])
     return found.select("building_id", F.col("park_id").alias("closest_park_site_id"), F.round("distance", 1).alias("distance_euclidean"))
 
 
@@ -29,7 +29,7 @@ def snapped(points: DataFrame, nodes: DataFrame, key: str, size: float = 250.0)
     b = nodes.select("node", F.col("x").alias("n_x"), F.col("y").alias("n_y"))
     a = points.select(key, "x", "y")
     distance = F.sqrt(F.pow(F.col("x") - F.col("n_x"), 2) + F.pow(F.col("y") - F.col("n_y"), 2))
-    found = nearest(a, b, size, key, "node", distance, POINT, ("n_x", "n_y", "n_x", "n_y"))
+    found = nearest(a, b, size, key, "node", distance, POINT, ("n_x", "n_y", "n_x", "n_y"), keep=[])
     return found.select(key, "node", F.col("distance").alias("snap"))
 
 

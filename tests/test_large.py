@@ -1,9 +1,13 @@
 """What went wrong on larger copies of the tables, each in small."""
 
 import os
+import random
 
 import pytest
 
+from arborel.functions import geometry
+from arborel.operators import parks
+from arborel.operators.grid import BOX
 from arborel.plans.queries import ORACLE_SQL, QUERIES
 from test_oracles import rows
 
@@ -31,3 +35,24 @@ def test_access_along_a_street(spark, tmp_path):
     """Parks with a side on a street: the side's ends are no places of their own."""
     got, want = both(spark, tmp_path, "park_access_points", supplier=[57502, 23449, 7])
     assert got == want and len(got) > 5
+
+
+def test_nearest_among_many(spark, monkeypatch):
+    """Parks by the hundred around every building: no pair is sorted, and the least park of those as near wins."""
+    from arborel.operators import grid
+
+    plans = []
+    monkeypatch.setattr(grid, "written", lambda df, name, f=grid.written: (plans.append(df._jdf.queryExecution().executedPlan().toString()), f(df, name))[1])
+    r = random.Random(5)
+    table = lambda n, wide, key: spark.createDataFrame([(i, x := float(r.randrange(300)), y := float(r.randrange(300)), x + r.randrange(1, wide), y + r.randrange(1, wide)) for i in range(n)], f"{key} long, x0 double, y0 double, x1 double, y1 double").withColumn("parts", geometry.rect(*BOX))
+    homes, sites = table(300, 15, "building_id"), table(400, 60, "park_id")
+    homes = homes.unionByName(spark.createDataFrame([(999, 900.0, 900.0, 910.0, 910.0)], "building_id long, x0 double, y0 double, x1 double, y1 double").withColumn("parts", geometry.rect(*BOX)))
+    # a triangle among the parks, which has no closed form
+    sites = sites.unionByName(spark.createDataFrame([(-1, 880.0, 880.0, 890.0, 890.0, [[[(880.0, 880.0), (890.0, 880.0), (880.0, 890.0), (880.0, 880.0)]]])], f"park_id long, x0 double, y0 double, x1 double, y1 double, parts {geometry.PARTS}"))
+    got = {x["building_id"]: (x["closest_park_site_id"], x["distance_euclidean"]) for x in parks.euclidean(homes, sites).collect()}
+    b, p = homes.drop("parts").collect(), sites.filter("park_id >= 0").drop("parts").collect()
+    gap = lambda u, v: (max(u.x0 - v.x1, v.x0 - u.x1, 0.0) ** 2 + max(u.y0 - v.y1, v.y0 - u.y1, 0.0) ** 2) ** 0.5
+    want = {u.building_id: min((gap(u, v), v.park_id) for v in p) for u in b if u.building_id != 999}
+    assert got.pop(999) == (-1, pytest.approx((450.0) ** 0.5, abs=0.05))
+    assert got == {k: (i, pytest.approx(d, abs=0.0501)) for k, (d, i) in want.items()}
+    assert plans and not any("SortAggregate" in x or "p_parts" in x.split("Join")[0] for x in plans)
