@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborel.functions import geometry
+from arborel.operators.blocks import points_near_boxes
 from arborel.operators.grid import BOX, POINT, box_join
 
 
@@ -23,14 +24,16 @@ def trees_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float =
     """Per building: tree_count_<buffer>m, the trees whose centroid (x, y) is at most ``buffer`` from the footprint.
 
     ``buildings`` has building_id, a box and parts. With ``keep_zero`` buildings without trees count 0,
-    else they are left out. The count is summed before the shuffle by building.
+    else they are left out. Rectangles are counted block by block, others pair by pair, and summed before the shuffle by building.
     """
     name = f"tree_count_{buffer:g}m"
     near = geometry.bbox_distance2("x0", "y0", "x1", "y1", "x", "y") <= buffer * buffer
-    exact = F.col("is_box") | (geometry.point_distance("parts", "x", "y") <= buffer)
+    exact = geometry.point_distance("parts", "x", "y") <= buffer
     kept = tall_trees(trees, least_area, least_height).select("x", "y")
-    pairs = box_join(_boxed(buildings, "building_id"), kept, max(float(buffer), 25.0), float(buffer), BOX, POINT, near & exact)
-    counts = pairs.groupBy("building_id").agg(F.count(F.lit(1)).alias(name))
+    boxed = _boxed(buildings, "building_id")
+    pairs = box_join(boxed.filter("NOT is_box").drop("is_box"), kept, max(float(buffer), 25.0), float(buffer), BOX, POINT, near & exact)
+    counts = points_near_boxes(boxed.filter("is_box"), kept, "building_id", float(buffer)).unionByName(pairs.groupBy("building_id").agg(F.count(F.lit(1)).alias("n")))
+    counts = counts.groupBy("building_id").agg(F.sum("n").alias(name))
     if not keep_zero:
         return counts
     return buildings.select("building_id").join(counts, "building_id", "left").select("building_id", F.coalesce(name, F.lit(0)).alias(name))

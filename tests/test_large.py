@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from arborel.functions import geometry
 from arborel.operators import parks
@@ -56,3 +57,22 @@ def test_nearest_among_many(spark, monkeypatch):
     assert got.pop(999) == (-1, pytest.approx((450.0) ** 0.5, abs=0.05))
     assert got == {k: (i, pytest.approx(d, abs=0.0501)) for k, (d, i) in want.items()}
     assert plans and not any("SortAggregate" in x or "p_parts" in x.split("Join")[0] for x in plans)
+
+
+def test_dense_counts_are_no_pairs(spark):
+    """Buildings of all forms, some rows of one building, among trees by the hundred, at block borders too."""
+    from arborel.operators import trees
+
+    r = random.Random(6)
+    table = spark.createDataFrame([(i % 117, x := float(r.randrange(400, 620)), y := float(r.randrange(-120, 620)), x + r.randrange(1, 40), y + r.randrange(1, 700 if i == 5 else 40)) for i in range(120)], "building_id long, x0 double, y0 double, x1 double, y1 double")
+    corner = "named_struct('x', {}, 'y', {})".format
+    triangle = F.expr(f"array(array(array({corner('x0', 'y0')}, {corner('x1', 'y0')}, {corner('x0', 'y1')}, {corner('x0', 'y0')})))")
+    homes = table.withColumn("parts", F.when((F.col("building_id") % 4 == 0) | (F.col("x0") % 7 == 0), triangle).otherwise(geometry.rect(*BOX)))
+    places = [(float(r.randrange(380, 660)), float(r.randrange(-150, 660))) for _ in range(1500)] + [(500.0, 500.0)] * 3
+    wood = spark.createDataFrame([(i, x, y, 20.0, 9.0) for i, (x, y) in enumerate(places)], "tree_id long, x double, y double, tree_area double, tree_height double")
+    pairs = homes.join(wood, geometry.point_distance("parts", "x", "y") <= 25)
+    want = {x["building_id"]: x["count"] for x in pairs.groupBy("building_id").count().collect()}
+    found = trees.trees_near_buildings(homes, wood, 25.0, keep_zero=False)
+    assert {x["building_id"]: x["tree_count_25m"] for x in found.collect()} == want and max(want.values()) > 40
+    plan = trees.trees_near_buildings(homes.filter("building_id % 4 > 0"), wood, 25.0)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" in plan
