@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborel.functions import geometry
-from arborel.functions.overlay import round_buffer, shared_area
+from arborel.functions.overlay import box_share, overlap_area, round_buffer, shared_area
 from arborel.operators import chunks
 from arborel.operators.grid import BOX, POINT, box_join
 
@@ -51,13 +51,28 @@ def cover_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float =
     """Per building: tree_pixels (canopy area within ``buffer`` of the footprint, 3 decimals), total_pixels, canopy_cover.
 
     The surroundings are the footprint grown by ``buffer``, with round corners of quad_segs steps a quarter;
-    0 is the footprint itself. Buildings without trees have 0.
+    0 is the footprint itself. Buildings without trees have 0. A crown in the surroundings of a rectangle has a closed form if it is one too.
     """
-    grown = _grown(buildings, buffer, quad_segs)
-    pairs = box_join(_zones(grown, "building_id"), _trees(trees), max(size, float(buffer)), 0.0, BOX, _TREE_BOX)
+    side = max(size, float(buffer))
     shared = shared_area("parts", "t_parts", "is_box", "t_is_box", BOX, _TREE_BOX)
-    sums = pairs.select("building_id", shared.alias("_part")).groupBy("building_id").agg(F.sum("_part").alias("_canopy"))
-    rows = grown.select("building_id", geometry.area("parts").alias("_area")).join(sums, "building_id", "left")
+    if buffer:
+        square = F.coalesce(geometry.is_box("parts") & (F.col("x0") < F.col("x1")) & (F.col("y0") < F.col("y1")), F.lit(False))
+        whole, crowns = buildings.select("building_id", *BOX, "parts", square.alias("_square")), _trees(trees)
+        grown = _grown(whole.filter("NOT _square"), buffer, quad_segs)
+        plain = whole.filter("_square").select("building_id", *BOX, "parts", *(F.col(c).alias(f"f_{c}") for c in BOX)).withColumns({c: F.col(c) + (-buffer if c[1] == "0" else buffer) for c in BOX})
+        corners = [F.col(c) for c in (*(f"f_{c}" for c in BOX), *_TREE_BOX)]
+        met = box_join(plain.drop("parts"), crowns.filter("t_is_box").drop("t_parts", "t_is_box"), side, 0.0, BOX, _TREE_BOX)
+        parts = met.select("building_id", box_share(float(buffer), quad_segs)(*corners).alias("_part"))
+        odd = box_join(plain, crowns.filter("NOT t_is_box"), side, 0.0, BOX, _TREE_BOX)
+        parts = parts.unionByName(odd.select("building_id", overlap_area(round_buffer(float(buffer), quad_segs)("parts"), F.col("t_parts")).alias("_part")))
+        areas = plain.select("building_id", geometry.convex_buffer_area("parts", float(buffer), quad_segs).alias("_area")).unionByName(grown.select("building_id", geometry.area("parts").alias("_area")))
+        pairs = box_join(_zones(grown, "building_id"), crowns, side, 0.0, BOX, _TREE_BOX)
+        parts = parts.unionByName(pairs.select("building_id", shared.alias("_part")))
+    else:
+        areas = buildings.select("building_id", geometry.area("parts").alias("_area"))
+        parts = box_join(_zones(buildings, "building_id"), _trees(trees), side, 0.0, BOX, _TREE_BOX).select("building_id", shared.alias("_part"))
+    sums = parts.groupBy("building_id").agg(F.sum("_part").alias("_canopy"))
+    rows = areas.join(sums, "building_id", "left")
     rows = rows.select("building_id", F.round(F.coalesce("_canopy", F.lit(0.0)), 3).alias("tree_pixels"), F.round("_area").alias("total_pixels"))
     return rows.withColumn("canopy_cover", F.round(F.try_divide(F.col("tree_pixels") * 100, F.col("total_pixels")), 3))
 

@@ -76,3 +76,22 @@ def test_dense_counts_are_no_pairs(spark):
     assert {x["building_id"]: x["tree_count_25m"] for x in found.collect()} == want and max(want.values()) > 40
     plan = trees.trees_near_buildings(homes.filter("building_id % 4 > 0"), wood, 25.0)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroups" in plan
+
+
+def test_crowns_around_rectangles(spark):
+    """Rectangles and triangles as footprints and crowns: the closed form is the area of the polygons."""
+    from arborel.functions import overlay
+    from arborel.operators import canopy
+
+    r = random.Random(7)
+    boxes = [(x := r.uniform(0, 60), y := r.uniform(0, 60), x + r.uniform(1, 20), y + r.uniform(1, 20)) for _ in range(400)]
+    ring = lambda *points: [[[{"x": x, "y": y} for x, y in (*points, points[0])]]]
+    shapes = [ring((x0, y0), (x1, y0), (x1, y1), (x0, y1)) if i % 5 else ring((x0, y0), (x1, y0), (x0, y1)) for i, (x0, y0, x1, y1) in enumerate(boxes)]
+    table = lambda some, key: spark.createDataFrame([(i, *boxes[i], shapes[i]) for i in some], f"{key} long, x0 double, y0 double, x1 double, y1 double, parts {geometry.PARTS}")
+    homes, crowns = range(12), range(12, 400)
+    found = canopy.cover_near_buildings(table(homes, "building_id"), table(crowns, "tree_id"), 7.5).collect()
+    grown = {i: [[[{"x": x, "y": y} for x, y in s]] for s in overlay.grown_rings(shapes[i], 7.5, 8)] for i in homes}
+    want = {i: sum(overlay.intersection_area(grown[i], shapes[k]) for k in crowns) for i in homes}
+    assert {x["building_id"]: x["tree_pixels"] for x in found} == {i: pytest.approx(v, abs=0.0011) for i, v in want.items()}
+    areas = {i: sum(overlay._area(s[:-1]) for s in overlay.grown_rings(shapes[i], 7.5, 8)) for i in homes}
+    assert {x["building_id"]: x["total_pixels"] for x in found} == {i: pytest.approx(v, abs=0.51) for i, v in areas.items()}
