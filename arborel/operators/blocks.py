@@ -1,8 +1,8 @@
-"""Dense joins of boxes with points, counted block by block in numpy.
+"""Dense joins of boxes with points, or with other boxes, done block by block in numpy.
 
 Where a row has partners by the thousand, a row for each pair costs more than the test. Both sides are dealt to square
 blocks, a point to one and a box to those it reaches, so a pair meets once; a block's task sees numbers only, tests
-boxes against points tile by tile and returns one count for each box.
+boxes against points tile by tile and returns one row for each box.
 """
 
 from __future__ import annotations
@@ -73,3 +73,45 @@ def points_near_boxes(boxes: DataFrame, points: DataFrame, key: str, radius: flo
     b = with_cells(points.select(*numbers(POINT[:2])), size, POINT)
     kind = boxes.schema[key].dataType.simpleString()
     return a.groupBy("_cx", "_cy").cogroup(b.groupBy("_cx", "_cy")).applyInArrow(counted, f"`{key}` {kind}, n long")
+
+
+def least_gaps(a: list[np.ndarray], b: list[np.ndarray], reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each box of a the first of the nearest boxes of b and their squared distance, if it is within ``reach``; else -1."""
+    at, least = np.full(len(a[0]), -1), np.full(len(a[0]), np.inf)
+    if not len(at) or not len(b[0]):
+        return at, least
+    reach = reach * (1 + 1e-9) + 1e-6
+    for rows in groups((a[0] + a[2]) / 2, (a[1] + a[3]) / 2, max(reach, 100.0)):
+        x0, y0, x1, y1 = (c[rows] for c in a)
+        some = np.flatnonzero((b[2] >= x0.min() - reach) & (b[0] <= x1.max() + reach) & (b[3] >= y0.min() - reach) & (b[1] <= y1.max() + reach))
+        if not len(some):
+            continue
+        u0, v0, u1, v1 = (c[some] for c in b)
+        step = max(1, TILE // len(some))
+        for i in range(0, len(rows), step):
+            s = slice(i, i + step)
+            gap = np.maximum(np.maximum(x0[s, None] - u1, u0 - x1[s, None]), 0.0)
+            up = np.maximum(np.maximum(y0[s, None] - v1, v0 - y1[s, None]), 0.0)
+            gap = gap * gap + up * up
+            first = gap.argmin(1)
+            at[rows[s]], least[rows[s]] = some[first], gap[np.arange(len(first)), first]
+    return at, least
+
+
+def nearest_boxes(left: DataFrame, right: DataFrame, key: str, order: str, left_box: tuple, right_box: tuple, reach: float) -> DataFrame:
+    """Per left box with any within ``reach``: key, ``order`` of the nearest right box (the least of those as near) and ``distance``."""
+    size = max(BLOCK, 2 * reach)
+
+    def found(a: pa.Table, b: pa.Table) -> pa.Table:
+        b = b.sort_by(order)
+        at, least = least_gaps([_column(a, c) for c in left_box], [_column(b, c) for c in right_box], reach)
+        some = np.flatnonzero(at >= 0)
+        return pa.table({key: a[key].take(pa.array(some)).combine_chunks(), "square": pa.array(least[some]), order: b[order].take(pa.array(at[some])).combine_chunks()})
+
+    numbers = lambda names: [F.col(c).cast("double").alias(c) for c in names]
+    a = with_cells(left.select(key, *numbers(left_box)), size, left_box, reach)
+    b = with_cells(right.select(order, *numbers(right_box)), size, right_box)
+    kinds = [df.schema[c].dataType.simpleString() for df, c in ((left, key), (right, order))]
+    met = a.groupBy("_cx", "_cy").cogroup(b.groupBy("_cx", "_cy")).applyInArrow(found, f"`{key}` {kinds[0]}, square double, `{order}` {kinds[1]}")
+    best = met.groupBy(key).agg(F.min(F.struct("square", order)).alias("_best"))
+    return best.select(key, F.col(f"_best.{order}").alias(order), F.sqrt("_best.square").alias("distance")).filter(F.col("distance") <= reach)

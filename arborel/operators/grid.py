@@ -12,6 +12,7 @@ A box that is null or has a null corner is in no cell and joins with nothing.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,7 +82,7 @@ def _start(count: int, bounds: list, size: float) -> int:
     return max(LEAST, min(0, math.floor(math.log2(apart / size)))) if 0 < apart < math.inf else 0
 
 
-def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str, distance: Column, left_box: tuple = BOX, right_box: tuple = BOX, mark: tuple[str, str] | None = None, within: float | None = None, keep: list[str] | None = None) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str, distance: Column, left_box: tuple = BOX, right_box: tuple = BOX, mark: tuple[str, str] | None = None, within: float | None = None, keep: list[str] | None = None, flags: tuple[str, str] | None = None) -> DataFrame:
     """Each left row's nearest right row: key, the right columns (``order`` and those that ``keep`` names, all if it is not given),
     ``distance``; ties go to the least ``order``.
 
@@ -90,8 +91,12 @@ def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str
     Cells are as wide as the reach and ``size`` at least; a right row whose box spans many of them is dealt to wider cells of its own
     instead, so no row is in many cells, however large it is. A round takes the least distance first, a number that hash aggregation
     holds, and then the least order among the partners at that distance: pairs are neither sorted nor listed.
+    ``flags`` names a column of each side that tells rectangles, for which ``distance`` is that of the boxes (and ``keep`` names none):
+    those meet block by block in numpy, and only pairs with other forms are joined.
     Rows without any partner (an empty right side, or none ``within``) are left out. ``mark`` is not needed any more.
     """
+    from arborel.operators.blocks import BLOCK, nearest_boxes
+
     rest = [c for c in right.columns if c != order] if keep is None else keep
     if within is not None:
         reach = box_join(left, right, size, within, left_box, right_box).withColumn("distance", distance).filter(F.col("distance") <= within)
@@ -106,7 +111,17 @@ def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str
     gap = F.pow(F.greatest(l0 - r2, r0 - l2, F.lit(0.0)), 2) + F.pow(F.greatest(l1 - r3, r1 - l3, F.lit(0.0)), 2)
     cell = lambda x, width: F.floor(x / width)
 
-    def met(rows: DataFrame, reach: Column, cells: int, condition: Column) -> DataFrame:
+    # sides of pairs to join, and whether there may be any; boxes over many blocks are joined too
+    small = lambda flag, c: (F.lit(False) if flag is None else F.col(flag)) & (F.greatest(F.col(c[2]) - F.col(c[0]), F.col(c[3]) - F.col(c[1])) <= SPAN * BLOCK)
+    left_small, right_small = small(flags and flags[0], left_box), small(flags and flags[1], right_box)
+    waiting = left.filter(whole(*left_box))
+    if flags:
+        waiting = written(waiting, "waiting")  # read more than once, and telling rectangles costs more than reading
+    odd = [df.filter(~c).head(1) != [] for df, c in ((waiting, left_small), (some, right_small))] if flags else []
+    joined = [(~left_small, F.lit(True)), (left_small, ~right_small)] if flags else [(F.lit(True), F.lit(True))]
+    joined = [sides for sides, there in zip(joined, odd or [True]) if there]
+
+    def met(rows: DataFrame, some: DataFrame, reach: Column, cells: int, condition: Column) -> DataFrame:
         """Pairs whose boxes are at most ``reach`` apart; one may meet in several cells, which a minimum does not mind."""
         width = F.pow(F.lit(2.0), F.col("_level")) * F.lit(float(size))
         a = rows.withColumn("_level", F.explode(F.sequence(F.lit(cells), F.lit(max(cells, widest)))))
@@ -116,15 +131,18 @@ def nearest(left: DataFrame, right: DataFrame, size: float, key: str, order: str
         b = b.withColumn("_dx", F.explode(F.sequence(cell(r0, width), cell(r2, width)))).withColumn("_dy", F.explode(F.sequence(cell(r1, width), cell(r3, width)))).drop("_own")
         return a.join(b, (F.col("_level") == F.col("_right_level")) & (F.col("_cx") == F.col("_dx")) & (F.col("_cy") == F.col("_dy")) & (gap <= reach * reach) & condition)
 
-    done, waiting, level = None, left.filter(whole(*left_box)), _start(count, bounds, size)
+    done, level = None, _start(count, bounds, size)
     last = level + ROUNDS
     while widest is not None and level < last:
         reach, cells = size * 2.0**level, max(level, 0)
-        least = met(waiting, F.lit(reach), cells, F.lit(True)).groupBy(key).agg(F.min(distance).alias("_least")).filter(F.col("_least") <= reach)
-        # boxes are no farther apart than what is in them, but for the last digits
-        slack = F.col("_least") * (1 + 1e-9) + 1e-9
-        ties = met(waiting.join(least, key), slack, cells, distance == F.col("_least"))
-        found = written(_first(ties, key, order, rest, "_least"), "nearest")
+        rounds = [nearest_boxes(waiting.filter(left_small), some.filter(right_small), key, order, left_box, right_box, reach)] if flags else []
+        for a, b in ((waiting.filter(c), some.filter(d)) for c, d in joined):
+            least = met(a, b, F.lit(reach), cells, F.lit(True)).groupBy(key).agg(F.min(distance).alias("_least")).filter(F.col("_least") <= reach)
+            # boxes are no farther apart than what is in them, but for the last digits
+            slack = F.col("_least") * (1 + 1e-9) + 1e-9
+            rounds.append(_first(met(a.join(least, key), b, slack, cells, distance == F.col("_least")), key, order, rest, "_least"))
+        found = rounds[0] if len(rounds) == 1 else _best(reduce(DataFrame.unionByName, rounds), key, order, rest)
+        found = written(found, "nearest")
         done = found if done is None else done.unionByName(found)
         left_over = waiting.join(found.select(key), key, "left_anti")
         waiting, level = written(left_over, "waiting"), level + 1

@@ -20,7 +20,7 @@ def euclidean(buildings: DataFrame, parks: DataFrame, size: float = 100.0) -> Da
     a = buildings.select("building_id", *BOX, geometry.unless_box("parts"), geometry.is_box("parts").alias("is_box"))
     b = parks.select("park_id", *(F.col(c).alias(f"p_{c}") for c in BOX), geometry.unless_box("parts").alias("p_parts"), geometry.is_box("parts").alias("p_is_box"))
     exact = F.when(F.col("is_box") & F.col("p_is_box"), geometry.box_gap(BOX, park_box)).otherwise(geometry.polygon_distance(geometry.or_box("parts", BOX), geometry.or_box("p_parts", park_box)))
-    found = nearest(a, b, size, "building_id", "park_id", exact, BOX, park_box, keep=[])
+    found = nearest(a, b, size, "building_id", "park_id", exact, BOX, park_box, keep=[], flags=("is_box", "p_is_box"))
     return found.select("building_id", F.col("park_id").alias("closest_park_site_id"), F.round("distance", 1).alias("distance_euclidean"))
 
 
