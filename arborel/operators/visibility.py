@@ -13,10 +13,18 @@ above the shade.
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborel.functions import geometry
+from arborel.operators import sightlines
+from arborel.operators.blocks import BLOCK
 from arborel.operators.grid import BOX, POINT, box_join, with_cells
 
 # The heights looked from and at, as shares of the whole height, and the length at both ends of a way
@@ -117,9 +125,162 @@ def visible_trees(observers: DataFrame, pairs: DataFrame, hidden: DataFrame) ->
     return observers.select("building_id").join(sums, "building_id", "left").na.fill(0, [*(f"visible_trees_{name}" for name in SHARES), "visible_trees"])
 
 
+#: What a row dealt to a block is, as a sum; and the rows that go back at once.
+HOME, STANDS, AIM = 1, 2, 4
+BATCH = 1 << 16
+_LINES = [(name, end) for name in SHARES for end in SHARES]
+
+
+def _number(*names: str) -> Column:
+    """Whether all are there and numbers."""
+    return F.expr(" AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)" for c in names))
+
+
+def _repeated(df: DataFrame, key: str) -> DataFrame | None:
+    """Keys of several rows, None if there are none."""
+    found = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+    return found if found.head(1) else None
+
+
+def _without(df: DataFrame, key: str, repeated: DataFrame | None, kept: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows that blocks can take, and the others: those not ``kept`` or of a repeated or null key."""
+    fine = kept & F.col(key).isNotNull()
+    if repeated is None:
+        return df.filter(fine), df.filter(~fine)
+    return df.filter(fine).join(repeated, key, "left_anti"), df.filter(~fine).unionByName(df.filter(fine).join(repeated, key, "left_semi"))
+
+
+def _split(looking: DataFrame, trees: DataFrame, stands: DataFrame | None, buffer: float, observer: str) -> tuple[DataFrame, DataFrame, float, list[tuple[DataFrame, DataFrame]]]:
+    """Buildings and trees whose pairs blocks can take, the farthest that their ways reach, and the others as sides to join.
+
+    Blocks take rectangles with a key of their own; among obstacles that are not all rectangles they take none.
+    """
+    wide = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    kept = F.coalesce(geometry.is_box("parts") & _number(*BOX, "building_height") & (wide <= max(float(buffer), 50.0)), F.lit(False))
+    there, widest = looking.agg(F.count_if(~kept | F.col("building_id").isNull()), F.max(F.when(kept, wide))).first()
+    if stands is not None:
+        corners = F.expr(" AND ".join(f"o_{c} IS NOT NULL" for c in BOX))
+        fine = F.coalesce(F.col("o_is_box") & _number("rise", *(f"o_{c}" for c in BOX)), F.lit(False))
+        if stands.filter(corners & ~fine).head(1):
+            return looking.limit(0), trees, 0.0, [(looking, trees)]
+    aimed = F.coalesce(_number("x", "y"), F.lit(False))
+    of_homes, of_trees = _repeated(looking, "building_id"), _repeated(trees, "tree_id")
+    homes, other_homes = _without(looking, "building_id", of_homes, kept)
+    aims, other_aims = _without(trees, "tree_id", of_trees, aimed)
+    sides = [(other_homes, trees)] if there or of_homes is not None else []
+    if of_trees is not None or trees.filter(~aimed | F.col("tree_id").isNull()).head(1):
+        sides.append((homes, other_aims))
+    return homes, aims, float(buffer) + (0.75 * (widest or 0.0) if observer == "centroid" else 0.0), sides
+
+
+def _in_blocks(homes: DataFrame, aims: DataFrame, obstructing: tuple[DataFrame, DataFrame] | None, buffer: float, reach: float, observer: str, kind: str, digits: int = 6) -> DataFrame:
+    """Pairs of rectangles and trees, done in numpy. By ``kind``: building_id, tree_id and
+
+    * ``pairs``: ox, oy and sight_len, rounded to ``digits``;
+    * ``lines``: bits, of nine lines in the order of ``blocked`` those that end in the shade, for pairs with an obstacle;
+    * ``counts``: no tree_id, but for each block the trees seen from the bottom, the middle, the top and any.
+    """
+    size = max(BLOCK, 5 * float(buffer))
+    key, tree_key = homes.schema["building_id"].dataType.simpleString(), aims.schema["tree_id"].dataType.simpleString()
+    centre, shaded = observer == "centroid", obstructing is not None
+
+    def rows(df: DataFrame, role: int, top: str, box: tuple[str, str, str, str] = BOX) -> DataFrame:
+        ids = [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in (("building_id", key), ("tree_id", tree_key))]
+        return df.select(F.lit(role).cast("byte").alias("role"), *ids, F.col(top).cast("double").alias("top"), *(F.col(c).cast("double").alias(n) for c, n in zip(box, BOX)))
+
+    dealt = [with_cells(rows(homes, HOME, "building_height"), size, BOX, reach), with_cells(rows(aims, AIM, "tree_height", POINT), size, ("x0", "y0", "x0", "y0"))]
+    if obstructing is not None:
+        dealt += [with_cells(rows(df, STANDS, top), size, BOX, reach) for df, top in zip(obstructing, ("building_height", "tree_height"))]
+
+    def seen(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        role = table["role"].to_numpy()
+        some = {r: table.filter(pa.array(role == r)).combine_chunks() for r in (HOME, AIM, STANDS)}
+        column = lambda r, c: some[r][c].to_numpy()
+        box = lambda r: [column(r, c) for c in BOX]
+        # the same code for the same building or tree; trees' codes follow buildings'
+        known = [pc.unique(table[c]).drop_null() for c in ("building_id", "tree_id")]
+        code = lambda r, k: pc.fill_null(pc.index_in(some[r][("building_id", "tree_id")[k]], known[k]), -1).to_numpy().astype(np.int64)
+        codes = len(known[0])
+        block = None
+        if shaded:
+            of_buildings, of_trees = code(STANDS, 0), code(STANDS, 1)
+            u, v = key[0].as_py() * size, key[1].as_py() * size
+            far = reach + 1.0
+            block = sightlines.Block(np.where(of_trees >= 0, of_trees + codes, of_buildings), column(STANDS, "top"), box(STANDS), (u - far, v - far, u + size + far, v + size + far))
+        looking = sightlines.Homes(code(HOME, 0), column(HOME, "top"), box(HOME))
+        found = sightlines.ways(looking, column(AIM, "x0"), column(AIM, "y0"), column(AIM, "top"), code(AIM, 1) + codes, block, codes, float(buffer), centre, kind == "lines")
+        ids = lambda r, c, at: some[r][c].combine_chunks().take(pa.array(at))
+        if kind == "counts":
+            sums = np.zeros((4, len(looking.top)), np.int64)
+            for w in found:
+                clear = ~(w.shade >= w.aim[:, None])
+                for k, c in enumerate((*clear.T, clear.any(1))):
+                    sums[k] += np.bincount(w.home[c], minlength=sums.shape[1])
+            at = np.flatnonzero(sums[3])
+            yield pa.RecordBatch.from_arrays([ids(HOME, "building_id", at), *(pa.array(x[at]) for x in sums)], ["building_id", *(f"n_{name}" for name in (*SHARES, "any"))])
+            return
+
+        def batch(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+            home, tree, *values = (np.concatenate(c) for c in zip(*parts))
+            return pa.RecordBatch.from_arrays([ids(HOME, "building_id", home), ids(AIM, "tree_id", tree), *map(pa.array, values)], ["building_id", "tree_id", *(["ox", "oy", "sight_len"] if kind == "pairs" else ["bits"])])
+
+        parts, n = [], 0
+        for w in found:
+            if kind == "pairs":
+                part = [w.home, w.tree, *(np.copysign(np.floor(np.abs(c) * 10.0**digits + 0.5) / 10.0**digits, c) for c in (w.ex, w.ey, w.way))]
+            else:
+                w = w.some(w.shade[:, 0] > -np.inf)
+                bits = np.zeros(len(w), np.int16)
+                for k, (_, end) in enumerate(_LINES):
+                    bits |= (w.aim * SHARES[end] <= w.shade[:, k // 3]).astype(np.int16) << k
+                part = [w.home, w.tree, bits]
+            parts.append(part)
+            n += len(part[0])
+            if n >= BATCH:
+                yield batch(parts)
+                parts, n = [], 0
+        if n:
+            yield batch(parts)
+
+    more = {"pairs": f"tree_id {tree_key}, ox double, oy double, sight_len double", "lines": f"tree_id {tree_key}, bits short", "counts": ", ".join(f"n_{name} long" for name in (*SHARES, "any"))}
+    return reduce(DataFrame.unionByName, dealt).groupBy("_cx", "_cy").applyInArrow(seen, f"building_id {key}, {more[kind]}")
+
+
+def sight_lines(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, observer: str = "facade", digits: int = 6) -> DataFrame:
+    """``sight_pairs`` as building_id, tree_id, the eye (ox, oy) and the length sight_len, rounded. Rectangles are done block by block;
+    of a tree inside, the lower, right, upper and left side count in this order where several are as near."""
+    homes, aims, reach, others = _split(buildings, trees, None, buffer, observer)
+    out = [_in_blocks(homes, aims, None, buffer, reach, observer, "pairs", digits)]
+    for a, b in others:
+        out.append(sight_pairs(a, b, buffer, observer).select("building_id", "tree_id", F.round("eye_x", digits).alias("ox"), F.round("eye_y", digits).alias("oy"), F.round("way", digits).alias("sight_len")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def blocked_lines(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, observer: str = "facade") -> DataFrame:
+    """``blocked`` for all pairs of usable buildings and trees with an obstacle on their way; among rectangles block by block."""
+    usable = usable_buildings(buildings)
+    things = obstacles(usable, trees)
+    homes, aims, reach, others = _split(usable, trees, things, buffer, observer)
+    bits = _in_blocks(homes, aims, (usable, trees), buffer, reach, observer, "lines")
+    out = [bits.select("building_id", "tree_id", *(F.shiftright("bits", k).bitwiseAND(F.lit(1)).cast("int").alias(f"blk_{name}_{end}") for k, (name, end) in enumerate(_LINES)))]
+    for a, b in others:
+        pairs = sight_pairs(a, b, buffer, observer)
+        out.append(blocked(pairs, shades(pairs, things, max(25.0, buffer / 2))))
+    return reduce(DataFrame.unionByName, out)
+
+
 def visibility(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, observer: str = "facade", observers: DataFrame | None = None) -> DataFrame:
-    """All steps; ``observers`` are the buildings to look from, all usable ones if not given."""
+    """All steps; ``observers`` are the buildings to look from, all usable ones if not given. Among rectangles block by block."""
     usable = usable_buildings(buildings)
     looking = usable if observers is None else usable_buildings(observers)
-    pairs = sight_pairs(looking, trees, buffer, observer)
-    return visible_trees(looking, pairs, shades(pairs, obstacles(usable, trees), max(25.0, buffer / 2)))
+    things = obstacles(usable, trees)
+    homes, aims, reach, others = _split(looking, trees, things, buffer, observer)
+    sums = _in_blocks(homes, aims, (usable, trees), buffer, reach, observer, "counts")
+    names = {f"n_{name}": f"visible_trees_{name}" for name in SHARES} | {"n_any": "visible_trees"}
+    sums = sums.select("building_id", *(F.col(n).alias(v) for n, v in names.items()))
+    for a, b in others:
+        pairs = sight_pairs(a, b, buffer, observer)
+        sums = sums.unionByName(visible_trees(a.select("building_id").distinct(), pairs, shades(pairs, things, max(25.0, buffer / 2))))
+    sums = sums.groupBy("building_id").agg(*(F.sum(v).alias(v) for v in names.values()))
+    return looking.select("building_id").join(sums, "building_id", "left").na.fill(0, [*names.values()])

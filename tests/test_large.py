@@ -102,3 +102,33 @@ def test_crowns_around_rectangles(spark):
     assert {x["building_id"]: x["tree_pixels"] for x in found} == {i: pytest.approx(v, abs=0.0011) for i, v in want.items()}
     areas = {i: sum(overlay._area(s[:-1]) for s in overlay.grown_rings(shapes[i], 7.5, 8)) for i in homes}
     assert {x["building_id"]: x["total_pixels"] for x in found} == {i: pytest.approx(v, abs=0.51) for i, v in areas.items()}
+
+
+def test_sightlines_in_blocks(spark, monkeypatch):
+    """Dense rectangles over block borders: blocks find what joins of pairs and obstacles find, repeated keys and other forms included."""
+    from arborel.operators import sightlines, visibility
+
+    r = random.Random(8)
+    kinds = "building_id long, x0 double, y0 double, x1 double, y1 double, building_height double"
+    boxes = [(i, x := float(r.randrange(430, 570)), y := float(r.randrange(-70, 70)), x + r.randrange(1, 12), y + r.randrange(1, 12), float(r.randrange(1, 30)) if i % 9 else None) for i in range(130)]
+    homes = spark.createDataFrame([*boxes, (7, 500.0, -40.0, 508.0, -30.0, 6.0), (900, 440.0, -2.0, 560.0, 1.0, 3.0)], kinds).withColumn("parts", geometry.rect(*BOX))
+    wood = spark.createDataFrame([(i % 78, x := float(r.randrange(430, 570)), y := float(r.randrange(-70, 70)), s := float(r.randrange(1, 5)), 1.5 + r.randrange(20)) for i in range(80)], "tree_id long, x double, y double, s double, tree_height double")
+    wood = wood.selectExpr("*", "x - s AS x0", "y - s AS y0", "x + s AS x1", "y + s AS y1").withColumn("parts", geometry.rect(*BOX)).drop("s")
+    corner = "named_struct('x', {}, 'y', {})".format
+    triangle = F.expr(f"array(array(array({corner('x0', 'y0')}, {corner('x1', 'y0')}, {corner('x0', 'y1')}, {corner('x0', 'y0')})))")
+    seen = lambda df, *keys: {tuple(x[k] for k in keys): tuple(x[c] for c in sorted(df.columns) if c not in keys) for x in df.collect()}
+    monkeypatch.setattr(sightlines, "ASKED", 8)
+    for all_homes, observer in ((homes, "facade"), (homes, "centroid"), (homes.withColumn("parts", F.when(F.col("building_id") == 3, triangle).otherwise(F.col("parts"))), "facade")):
+        usable = visibility.usable_buildings(all_homes).cache()
+        pairs = visibility.sight_pairs(usable, wood, 40.0, observer).cache()
+        hidden = visibility.shades(pairs, visibility.obstacles(usable, wood)).cache()
+        counts = visibility.visibility(all_homes, wood, 40.0, observer)
+        want = seen(visibility.visible_trees(usable.select("building_id").distinct(), pairs, hidden), "building_id")
+        assert seen(counts, "building_id") == want and 5 < max(v[0] for v in want.values())
+        lines = visibility.blocked_lines(all_homes, wood, 40.0, observer)
+        assert seen(lines, "building_id", "tree_id") == seen(visibility.blocked(pairs, hidden), "building_id", "tree_id")
+        found = visibility.sight_lines(usable, wood, 40.0, observer)
+        a, b = sorted((x.building_id, x.tree_id, x.sight_len) for x in found.collect()), sorted((x.building_id, x.tree_id, x.way) for x in pairs.collect())
+        assert [x[:2] for x in a] == [x[:2] for x in b] and [x[2] for x in a] == pytest.approx([x[2] for x in b], abs=1e-6)
+        for df in (counts, lines, found):
+            assert "FlatMapGroupsInArrow" in df._jdf.queryExecution().executedPlan().toString()
