@@ -5,8 +5,8 @@ geometry. A building, tree or obstacle is dealt to the square blocks where it ma
 holds it, so each pair is found once. Obstacles that need not be asked are passed over only where the result is known:
 
 * A tree's place well inside an obstacle that rises above the tree is hidden on every way from some metres off.
-* A pair is done when the trees' tops are in the shade for all eyes. The highest obstacles near are asked first; what is still
-  in view then is held against all obstacles of the cells that its way crosses.
+* A pair is done when the tree's top is in the shade for all eyes. Obstacles that take much of the view are asked first; what is
+  still in view then is held against all obstacles of the cells that its way crosses.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ MARGIN = 0.05
 #: Metres from which on a tree under a higher obstacle is hidden, and how deep inside the obstacle its place has to be.
 CLOSE, DEEP = 5.0, 0.06
 #: Trees of a tile, tests done at once, obstacles asked at once, and metres of a cell.
-TREES, TESTS, ASKED, CELL = 24, 1 << 16, 48, 10.0
+TREES, TESTS, ASKED, CELL = 24, 1 << 16, 32, 10.0
 
 
 def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,10 +86,16 @@ class Block:
         self.bounds, self.starts = bounds, None
 
     def near(self, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
-        """Obstacles that touch a box, the highest first."""
+        """Obstacles that touch a box."""
         b = self.box
         return np.flatnonzero((b[2] >= x0) & (b[0] <= x1) & (b[3] >= y0) & (b[1] <= y1))
 
+    def hides(self, x: float, y: float, aim: float, things: np.ndarray) -> np.ndarray:
+        """How much of the view from a place at that height each obstacle takes, roughly: the steeper and the wider it stands."""
+        x0, y0, x1, y1 = (c[things] for c in self.box)
+        apart = np.hypot(np.maximum(np.maximum(x0 - x, x - x1), 0.0), np.maximum(np.maximum(y0 - y, y - y1), 0.0)) + CLOSE
+        return (self.rise[things] - aim) * (x1 - x0 + y1 - y0) / apart**2
+
     def _hide(self, w: Ways, rows: np.ndarray, things: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
         """Raise the shades of ``rows`` (ascending) by obstacles that their ways cross from near to far."""
         if not len(rows):
@@ -261,7 +267,9 @@ def ways(homes: Homes, x: np.ndarray, y: np.ndarray, aim: np.ndarray, tcode: np.
                 covered[t], but[t] = block.covers(x[t], y[t], aim[t], tcode[t], codes, highest)
             hidden = lambda w: covered[w.tree] & (w.way >= CLOSE) & (w.hcode != but[w.tree])  # noqa: E731, B023
             asked = block.near(u0 - slack, v0 - slack, u1 + slack, v1 + slack)
-            found = [_paired(homes, x, y, aim, tcode, trees if hidden_too else trees[~covered[trees]], some, reach, reach, centre, None)]
+            bare = trees[~covered[trees]]
+            asked = asked[np.argsort(-block.hides((u0 + u1) / 2, (v0 + v1) / 2, aim[bare].mean() if len(bare) else 0.0, asked), kind="stable")]
+            found = [_paired(homes, x, y, aim, tcode, trees if hidden_too else bare, some, reach, reach, centre, None)]
             if not hidden_too and covered[trees].any():
                 # a way of less than CLOSE is to a box within CLOSE, and a building's own tree is inside
                 found.append(_paired(homes, x, y, aim, tcode, trees[covered[trees]], near(CLOSE + 1e-6), reach, CLOSE, centre, lambda w: ~hidden(w)))  # noqa: B023
@@ -271,7 +279,7 @@ def ways(homes: Homes, x: np.ndarray, y: np.ndarray, aim: np.ndarray, tcode: np.
                     w.shade[known] = np.inf
                     yield w.some(known)
                     w = w.some(~known)
-                # the highest obstacles first, as long as that ends many ways
+                # the obstacles that hide most first, as long as that ends many ways
                 k, rest = 0, np.flatnonzero(w.way > 0)
                 yield w.some(w.way == 0)
                 w = w.some(rest)

@@ -136,10 +136,9 @@ def _number(*names: str) -> Column:
     return F.expr(" AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)" for c in names))
 
 
-def _repeated(df: DataFrame, key: str) -> DataFrame | None:
-    """Keys of several rows, None if there are none."""
-    found = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
-    return found if found.head(1) else None
+def _repeated(df: DataFrame, key: str) -> DataFrame:
+    """Keys of several rows."""
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
 
 
 def _without(df: DataFrame, key: str, repeated: DataFrame | None, kept: Column) -> tuple[DataFrame, DataFrame]:
@@ -157,20 +156,28 @@ def _split(looking: DataFrame, trees: DataFrame, stands: DataFrame | None, buffe
     """
     wide = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     kept = F.coalesce(geometry.is_box("parts") & _number(*BOX, "building_height") & (wide <= max(float(buffer), 50.0)), F.lit(False))
-    there, widest = looking.agg(F.count_if(~kept | F.col("building_id").isNull()), F.max(F.when(kept, wide))).first()
+    aimed = F.coalesce(_number("x", "y"), F.lit(False))
+    # all that has to be known, in one job; keys of one hash are looked at again
+    hashes = looking.select(F.lit(0).alias("side"), F.xxhash64("building_id").alias("hash")).unionByName(trees.select(F.lit(1).alias("side"), F.xxhash64("tree_id").alias("hash")))
+    repeated = hashes.groupBy("side", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").agg(*(F.coalesce(F.max(F.col("side") == k), F.lit(False)).alias(f"repeated_{k}") for k in (0, 1)))
+    facts = looking.agg(F.count_if(~kept | F.col("building_id").isNull()).alias("odd_homes"), F.max(F.when(kept, wide)).alias("widest"))
+    facts = facts.crossJoin(trees.agg(F.count_if(~aimed | F.col("tree_id").isNull()).alias("odd_aims"))).crossJoin(repeated)
     if stands is not None:
         corners = F.expr(" AND ".join(f"o_{c} IS NOT NULL" for c in BOX))
         fine = F.coalesce(F.col("o_is_box") & _number("rise", *(f"o_{c}" for c in BOX)), F.lit(False))
-        if stands.filter(corners & ~fine).head(1):
-            return looking.limit(0), trees, 0.0, [(looking, trees)]
-    aimed = F.coalesce(_number("x", "y"), F.lit(False))
-    of_homes, of_trees = _repeated(looking, "building_id"), _repeated(trees, "tree_id")
+        facts = facts.crossJoin(stands.agg(F.count_if(corners & ~fine).alias("odd_stands")))
+    known = facts.first().asDict()
+    if known.get("odd_stands"):
+        return looking.limit(0), trees, 0.0, [(looking, trees)]
+    of_homes = _repeated(looking, "building_id") if known["repeated_0"] else None
+    of_trees = _repeated(trees, "tree_id") if known["repeated_1"] else None
     homes, other_homes = _without(looking, "building_id", of_homes, kept)
     aims, other_aims = _without(trees, "tree_id", of_trees, aimed)
-    sides = [(other_homes, trees)] if there or of_homes is not None else []
-    if of_trees is not None or trees.filter(~aimed | F.col("tree_id").isNull()).head(1):
+    widest = known["widest"] or 0.0
+    sides = [(other_homes, trees)] if known["odd_homes"] or of_homes is not None else []
+    if known["odd_aims"] or of_trees is not None:
         sides.append((homes, other_aims))
-    return homes, aims, float(buffer) + (0.75 * (widest or 0.0) if observer == "centroid" else 0.0), sides
+    return homes, aims, float(buffer) + (0.75 * widest if observer == "centroid" else 0.0), sides
 
 
 def _in_blocks(homes: DataFrame, aims: DataFrame, obstructing: tuple[DataFrame, DataFrame] | None, buffer: float, reach: float, observer: str, kind: str, digits: int = 6) -> DataFrame:

@@ -320,15 +320,12 @@ def _vis_inputs(spark, sf):
 
 @query("visibility_pairs", _vis_sql("SELECT building_id, tree_id, round(ox, 6) AS ox, round(oy, 6) AS oy, round(len, 6) AS sight_len FROM pl"))
 def visibility_pairs(spark, sf):
-    b, t = _vis_inputs(spark, sf)
-    return visibility.sight_pairs(b, t).select("building_id", "tree_id", F.round("eye_x", 6).alias("ox"), F.round("eye_y", 6).alias("oy"), F.round("way", 6).alias("sight_len"))
+    return visibility.sight_lines(*_vis_inputs(spark, sf))
 
 
 @query("visibility_blocked", _vis_sql("SELECT * FROM k"))
 def visibility_blocked(spark, sf):
-    b, t = _vis_inputs(spark, sf)
-    pairs = visibility.sight_pairs(b, t)
-    return visibility.blocked(pairs, visibility.shades(pairs, visibility.obstacles(b, t)))
+    return visibility.blocked_lines(*_vis_inputs(spark, sf))
 
 
 def _seen(level: str) -> str:
