@@ -31,10 +31,10 @@ def groups(x: np.ndarray, y: np.ndarray, side: float) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero((cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1])) + 1)
 
 
-def near_counts(box: list[np.ndarray], x: np.ndarray, y: np.ndarray, radius: float) -> np.ndarray:
-    """How many of the points (x, y) are at most ``radius`` from each box."""
-    out = np.zeros(len(box[0]), np.int64)
-    if not len(out) or not len(x):
+def near_counts(box: list[np.ndarray], x: np.ndarray, y: np.ndarray, radii: list[float]) -> np.ndarray:
+    """How many of the points (x, y) are at most so far from each box: a row for each of ``radii``."""
+    out, radius = np.zeros((len(radii), len(box[0])), np.int64), max(radii)
+    if not len(box[0]) or not len(x):
         return out
     order = np.argsort(x, kind="stable")
     x, y = x[order], y[order]
@@ -55,24 +55,26 @@ def near_counts(box: list[np.ndarray], x: np.ndarray, y: np.ndarray, radius: flo
             np.maximum(up, 0.0, out=up)
             up *= up
             gap += up
-            out[rows[s]] = np.count_nonzero(gap <= radius * radius, axis=1)
+            for k, r in enumerate(radii):
+                out[k, rows[s]] = np.count_nonzero(gap <= r * r, axis=1)
     return out
 
 
-def points_near_boxes(boxes: DataFrame, points: DataFrame, key: str, radius: float) -> DataFrame:
-    """key and n, the points (x, y) at most ``radius`` from the box: a row for each block where there are any, to be summed."""
+def points_near_boxes(boxes: DataFrame, points: DataFrame, key: str, radii: list[float]) -> DataFrame:
+    """key and n_0, n_1 ..., the points (x, y) at most so far from the box: a row for each block where there are any, to be summed."""
+    radius, names = max(radii), [f"n_{k}" for k in range(len(radii))]
     size = max(BLOCK, 5 * radius)
 
     def counted(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = near_counts([_column(left, c) for c in BOX], _column(right, "x"), _column(right, "y"), radius)
-        some = np.flatnonzero(found)
-        return pa.table({key: left[key].take(pa.array(some)).combine_chunks(), "n": pa.array(found[some])})
+        found = near_counts([_column(left, c) for c in BOX], _column(right, "x"), _column(right, "y"), radii)
+        some = np.flatnonzero(found.any(0))
+        return pa.table({key: left[key].take(pa.array(some)).combine_chunks()} | {n: pa.array(c[some]) for n, c in zip(names, found)})
 
     numbers = lambda names: [F.col(c).cast("double").alias(c) for c in names]
     a = with_cells(boxes.select(key, *numbers(BOX)), size, BOX, radius)
     b = with_cells(points.select(*numbers(POINT[:2])), size, POINT)
     kind = boxes.schema[key].dataType.simpleString()
-    return a.groupBy("_cx", "_cy").cogroup(b.groupBy("_cx", "_cy")).applyInArrow(counted, f"`{key}` {kind}, n long")
+    return a.groupBy("_cx", "_cy").cogroup(b.groupBy("_cx", "_cy")).applyInArrow(counted, ", ".join([f"`{key}` {kind}", *(f"{n} long" for n in names)]))
 
 
 def least_gaps(a: list[np.ndarray], b: list[np.ndarray], reach: float) -> tuple[np.ndarray, np.ndarray]:

@@ -49,11 +49,12 @@ def with_spectral(canopy_rows: DataFrame, means: DataFrame | None, level: str) -
 
 
 def building_metrics(t300: DataFrame, buildings: DataFrame, t3_by_buffer: dict[int, DataFrame]) -> DataFrame:
-    """T300 rows of known buildings with their tree counts (0 where there are none) and the optional attributes they have."""
+    """T300 rows of known buildings with their tree counts (0 where there are none) and the optional attributes they have.
+    A table that has the counts of several buffers is joined once."""
     extra = [c for c in ("distance_water", "map_use", "building_area") if c in buildings.columns]
     out = t300.join(buildings.select("building_id", *extra), "building_id")
-    for b, df in t3_by_buffer.items():
-        out = out.join(df.select("building_id", f"tree_count_{b}m"), "building_id", "left")
+    for table in {id(df): df for df in t3_by_buffer.values()}.values():
+        out = out.join(table.select("building_id", *(f"tree_count_{b}m" for b, df in t3_by_buffer.items() if df is table)), "building_id", "left")
     return out.fillna(0, [f"tree_count_{b}m" for b in t3_by_buffer])
 
 

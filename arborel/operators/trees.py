@@ -27,18 +27,26 @@ def trees_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float =
     else they are left out. Rectangles are counted block by block, others pair by pair, and summed before the shuffle by building.
     """
     name = f"tree_count_{buffer:g}m"
-    near = geometry.bbox_distance2("x0", "y0", "x1", "y1", "x", "y") <= buffer * buffer
-    exact = geometry.point_distance("parts", "x", "y") <= buffer
-    kept = tall_trees(trees, least_area, least_height).select("x", "y")
-    boxed = _boxed(buildings, "building_id")
-    pairs = box_join(boxed.filter("NOT is_box").drop("is_box"), kept, max(float(buffer), 25.0), float(buffer), BOX, POINT, near & exact)
-    counts = points_near_boxes(boxed.filter("is_box"), kept, "building_id", float(buffer)).unionByName(pairs.groupBy("building_id").agg(F.count(F.lit(1)).alias("n")))
-    counts = counts.groupBy("building_id").agg(F.sum("n").alias(name))
+    counts = tree_counts(buildings, trees, [buffer], least_area, least_height)
     if not keep_zero:
         return counts
     return buildings.select("building_id").join(counts, "building_id", "left").select("building_id", F.coalesce(name, F.lit(0)).alias(name))
 
 
+def tree_counts(buildings: DataFrame, trees: DataFrame, buffers: list[float], least_area: float = 10.0, least_height: float = 3.0) -> DataFrame:
+    """``trees_near_buildings`` for several buffers at once, with a column for each: buildings with a tree within the widest."""
+    radii = [float(b) for b in buffers]
+    widest, names = max(radii), [f"n_{k}" for k in range(len(radii))]
+    near = geometry.bbox_distance2("x0", "y0", "x1", "y1", "x", "y") <= widest * widest
+    apart = geometry.point_distance("parts", "x", "y")
+    kept = tall_trees(trees, least_area, least_height).select("x", "y")
+    boxed = _boxed(buildings, "building_id")
+    pairs = box_join(boxed.filter("NOT is_box").drop("is_box"), kept, max(widest, 25.0), widest, BOX, POINT, near & (apart <= widest))
+    odd = pairs.select("building_id", apart.alias("apart")).groupBy("building_id").agg(*(F.count_if(F.col("apart") <= r).alias(n) for n, r in zip(names, radii)))
+    counts = points_near_boxes(boxed.filter("is_box"), kept, "building_id", radii).unionByName(odd)
+    return counts.groupBy("building_id").agg(*(F.sum(n).alias(f"tree_count_{b:g}m") for n, b in zip(names, buffers)))
+
+
 def trees_per_unit(units: DataFrame, trees: DataFrame, codes: list[str], size: float = 250.0, distinct: bool = True) -> DataFrame:
     """Per unit: tree_count, the trees whose whole geometry touches it; a tree on a border counts in every unit it touches.
 

@@ -384,7 +384,7 @@ def merge_t30_buildings(spark, sf):
 @query("merge_t3_t300", _METRICS)
 def merge_t3_t300(spark, sf):
     b = city.buildings(spark, sf)
-    return merge.building_metrics(_t300(spark, sf), b, {r: _t3(r, False)(spark, sf) for r in (25, 100)})
+    return merge.building_metrics(_t300(spark, sf), b, dict.fromkeys((25, 100), trees.tree_counts(b, city.trees(spark, sf), [25, 100])))
 
 
 @query("merge_units", _MEANS)

@@ -132,3 +132,21 @@ def test_sightlines_in_blocks(spark, monkeypatch):
         assert [x[:2] for x in a] == [x[:2] for x in b] and [x[2] for x in a] == pytest.approx([x[2] for x in b], abs=1e-6)
         for df in (counts, lines, found):
             assert "FlatMapGroupsInArrow" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merged_counts_meet_once(spark):
+    """The tree counts of both buffers come from one meeting of buildings and trees, rectangles and other forms alike."""
+    from arborel.operators import trees
+
+    plan = QUERIES["merge_units"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("tree_count_100m") and plan.count("n_1") and "n_2" not in plan
+    r = random.Random(9)
+    homes = spark.createDataFrame([(i, x := float(r.randrange(450, 550)), y := float(r.randrange(100)), x + 9, y + 7) for i in range(40)], "building_id long, x0 double, y0 double, x1 double, y1 double")
+    corner = "named_struct('x', {}, 'y', {})".format
+    triangle = F.expr(f"array(array(array({corner('x0', 'y0')}, {corner('x1', 'y0')}, {corner('x0', 'y1')}, {corner('x0', 'y0')})))")
+    homes = homes.withColumn("parts", F.when(F.col("building_id") % 3 == 0, triangle).otherwise(geometry.rect(*BOX)))
+    wood = spark.createDataFrame([(float(r.randrange(430, 570)), float(r.randrange(-20, 120)), 20.0, 9.0) for _ in range(200)], "x double, y double, tree_area double, tree_height double")
+    both_at_once = {x["building_id"]: (x["tree_count_5m"], x["tree_count_20m"]) for x in trees.tree_counts(homes, wood, [5, 20]).collect()}
+    for k, buffer in enumerate((5, 20)):
+        single = trees.trees_near_buildings(homes, wood, buffer).collect()
+        assert {x["building_id"]: x[f"tree_count_{buffer}m"] for x in single} == {i: both_at_once.get(i, (0, 0))[k] for i in range(40)}
