@@ -48,9 +48,16 @@ def _ring_area(ring: str) -> str:
     return f"(aggregate({step}, 0D, (s, v) -> s + v) / 2)"
 
 
+def _corners(parts: str) -> tuple[str, str]:
+    """Two opposite corners of a rectangle, null where there are none."""
+    return tuple(f"get(get(get({parts}, 0), 0), {i})" for i in (0, 2))
+
+
 def area(parts: str) -> Column:
     """Shells less holes."""
-    return F.expr(f"aggregate(transform({parts}, g -> aggregate(slice(g, 2, greatest(size(g) - 1, 0)), abs({_ring_area('g[0]')}), (s, h) -> s - abs({_ring_area('h')}))), 0D, (s, v) -> s + v)")
+    a, b = _corners(parts)
+    general = F.expr(f"aggregate(transform({parts}, g -> aggregate(slice(g, 2, greatest(size(g) - 1, 0)), abs({_ring_area('g[0]')}), (s, h) -> s - abs({_ring_area('h')}))), 0D, (s, v) -> s + v)")
+    return F.when(is_box(parts), F.expr(f"abs(({b}.x - {a}.x) * ({b}.y - {a}.y))")).otherwise(general)
 
 
 def perimeter(parts: str) -> Column:
@@ -73,7 +80,9 @@ def bbox(parts: str) -> dict[str, Column]:
 
 
 def centroid(parts: str) -> Column:
-    """Area-weighted centroid, struct(x, y); rings are summed with the sign of shell or hole. Null without area."""
+    """Area-weighted centroid, struct(x, y); rings are summed with the sign of shell or hole. Null without area. A rectangle's is its middle."""
+    a, b = _corners(parts)
+    middle = F.expr(f"if(({b}.x - {a}.x) * ({b}.y - {a}.y) = 0, NULL, named_struct('x', ({a}.x + {b}.x) / 2, 'y', ({a}.y + {b}.y) / 2))")
     o = f"{parts}[0][0][0]"
     ring = (
         "aggregate(zip_with(slice(r, 1, greatest(size(r) - 1, 0)), slice(r, 2, greatest(size(r) - 1, 0)), (p, q) -> "
@@ -82,7 +91,7 @@ def centroid(parts: str) -> Column:
     )
     signed = f"flatten(transform({parts}, g -> transform(transform(g, r -> {ring}), (m, i) -> named_struct('a', m.a * sign(m.a) * if(i = 0, 1, -1), 'x', m.x * sign(m.a) * if(i = 0, 1, -1), 'y', m.y * sign(m.a) * if(i = 0, 1, -1)))))"
     total = f"aggregate({signed}, named_struct('a', 0D, 'x', 0D, 'y', 0D), (s, m) -> named_struct('a', s.a + m.a, 'x', s.x + m.x, 'y', s.y + m.y), s -> if(s.a = 0, NULL, named_struct('x', {o}.x + s.x / (3 * nullif(s.a, 0)), 'y', {o}.y + s.y / (3 * nullif(s.a, 0)))))"
-    return F.expr(total)
+    return F.when(is_box(parts), middle).otherwise(F.expr(total))
 
 
 def contains_sql(parts: str, x: str, y: str) -> str:
@@ -124,9 +133,10 @@ def bbox_distance2(x0: str, y0: str, x1: str, y1: str, x: str, y: str) -> Column
 def is_box(parts: str) -> Column:
     """Whether a polygon is one rectangle along the axes: a ring of four corners of which each shares x with one neighbour and y
     with the other. Where both sides of a test are, closed forms of their boxes take the place of the general expressions."""
-    at = lambda i: f"get(get(get({parts}, 0), 0), {i})"  # noqa: E731  null where there is none
+    # the ring is named once: an expression of all its corners' paths is too long a method for the JVM to compile
+    at = lambda i: f"get(r, {i})"  # noqa: E731  null where there is none
     turn = lambda i, j, k: f"(({at(i)}.x = {at(j)}.x AND {at(j)}.y = {at(k)}.y) OR ({at(i)}.y = {at(j)}.y AND {at(j)}.x = {at(k)}.x))"
-    return F.expr(f"coalesce(size({parts}) = 1 AND size(get({parts}, 0)) = 1 AND size(get(get({parts}, 0), 0)) = 5 AND {turn(0, 1, 2)} AND {turn(1, 2, 3)} AND {turn(2, 3, 4)}, false)")
+    return F.expr(f"coalesce(size({parts}) = 1 AND size(get({parts}, 0)) = 1 AND size(get(get({parts}, 0), 0)) = 5 AND exists(get({parts}, 0), r -> {turn(0, 1, 2)} AND {turn(1, 2, 3)} AND {turn(2, 3, 4)}), false)")
 
 
 def unless_box(parts: str) -> Column:

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from arborel.operators.grid import BOX, POINT, with_cells
 
-#: Metres that a block is wide, and the tests of a tile.
+#: Metres that a block is wide, the tests of a tile, and the boxes that look for partners together.
 BLOCK = 500.0
 TILE = 1 << 17
+HOMES = 64
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
@@ -117,3 +118,42 @@ def nearest_boxes(left: DataFrame, right: DataFrame, key: str, order: str, left_
     met = a.groupBy("_cx", "_cy").cogroup(b.groupBy("_cx", "_cy")).applyInArrow(found, f"`{key}` {kinds[0]}, square double, `{order}` {kinds[1]}")
     best = met.groupBy(key).agg(F.min(F.struct("square", order)).alias("_best"))
     return best.select(key, F.col(f"_best.{order}").alias(order), F.sqrt("_best.square").alias("distance")).filter(F.col("distance") <= reach)
+
+
+def shared_sums(a: list[np.ndarray], b: list[np.ndarray], cell: tuple[int, int], size: float) -> np.ndarray:
+    """For each box of a the area that it shares with each box of b, summed; pairs that meet in several blocks count in the one
+    that holds the lower left corner of their overlap."""
+    out = np.zeros(len(a[0]))
+    if not len(out) or not len(b[0]):
+        return out
+    x, y = (a[0] + a[2]) / 2, (a[1] + a[3]) / 2
+    spread = max(np.ptp(x), 1.0) * max(np.ptp(y), 1.0)
+    for rows in groups(x, y, max(np.sqrt(spread * HOMES / len(out)), 1.0)):
+        x0, y0, x1, y1 = (c[rows] for c in a)
+        some = np.flatnonzero((b[2] >= x0.min()) & (b[0] <= x1.max()) & (b[3] >= y0.min()) & (b[1] <= y1.max()))
+        u0, v0, u1, v1 = (c[some] for c in b)
+        step = max(1, TILE // max(1, len(some)))
+        for i in range(0, len(rows), step):
+            s = slice(i, i + step)
+            left, low = np.maximum(x0[s, None], u0), np.maximum(y0[s, None], v0)
+            wide, high = np.minimum(x1[s, None], u1) - left, np.minimum(y1[s, None], v1) - low
+            r, c = np.nonzero((wide > 0) & (high > 0))
+            here = (np.floor(left[r, c] / size) == cell[0]) & (np.floor(low[r, c] / size) == cell[1])
+            r, c = r[here], c[here]
+            out[rows[s]] += np.bincount(r, wide[r, c] * high[r, c], len(rows[s]))
+    return out
+
+
+def shared_areas(left: DataFrame, right: DataFrame, keys: list[str], left_box: tuple, right_box: tuple) -> DataFrame:
+    """keys and _part, the area that a left box shares with right boxes: a row for each block where there is any, to be summed."""
+
+    def shared(key: tuple[pa.Scalar, ...], a: pa.Table, b: pa.Table) -> pa.Table:
+        sums = shared_sums([_column(a, c) for c in left_box], [_column(b, c) for c in right_box], (key[0].as_py(), key[1].as_py()), BLOCK)
+        some = np.flatnonzero(sums)
+        return pa.table({k: a[k].take(pa.array(some)).combine_chunks() for k in keys} | {"_part": pa.array(sums[some])})
+
+    numbers = lambda names: [F.col(c).cast("double").alias(c) for c in names]
+    a = with_cells(left.select(*keys, *numbers(left_box)), BLOCK, left_box)
+    b = with_cells(right.select(*numbers(right_box)), BLOCK, right_box)
+    kinds = [f"`{k}` {left.schema[k].dataType.simpleString()}" for k in keys]
+    return a.groupBy("_cx", "_cy").cogroup(b.groupBy("_cx", "_cy")).applyInArrow(shared, ", ".join([*kinds, "_part double"]))

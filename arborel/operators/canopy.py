@@ -6,19 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arborel.functions import geometry
-from arborel.functions.overlay import box_share, overlap_area, round_buffer, shared_area
+from arborel.functions.overlay import box_overlap, box_share, overlap_area, round_buffer, shared_area
 from arborel.operators import chunks
-from arborel.operators.grid import BOX, POINT, box_join
+from arborel.operators.blocks import shared_areas
+from arborel.operators.grid import BOX, POINT, are_few, box_join
 
 _TREE_BOX = tuple(f"t_{c}" for c in BOX)
 
 
 def _trees(trees: DataFrame, *more: str) -> DataFrame:
-    return trees.select(*more, *(F.col(c).alias(f"t_{c}") for c in BOX), F.col("parts").alias("t_parts"), geometry.is_box("parts").alias("t_is_box"))
+    return trees.select(*more, *(F.col(c).alias(f"t_{c}") for c in BOX), geometry.unless_box("parts").alias("t_parts"), geometry.is_box("parts").alias("t_is_box"))
 
 
 def _zones(zones: DataFrame, *keys: str) -> DataFrame:
-    return zones.select(*keys, *BOX, "parts", geometry.is_box("parts").alias("is_box"))
+    return zones.select(*keys, *BOX, geometry.unless_box("parts"), geometry.is_box("parts").alias("is_box"))
+
+
+def _shared(zones: DataFrame, keys: list[str], crowns: DataFrame, size: float, few: bool = False) -> DataFrame:
+    """keys and _part: areas of crowns in zones. Rectangles come summed block by block, or pair by pair with ``few`` zones; pairs with
+    other forms one by one."""
+    boxes, squares = zones.filter("is_box"), crowns.filter("t_is_box")
+    if few:
+        out = box_join(squares, F.broadcast(boxes), size, 0.0, _TREE_BOX, BOX).select(*keys, box_overlap(BOX, _TREE_BOX).alias("_part"))
+    else:
+        out = shared_areas(boxes, squares, keys, BOX, _TREE_BOX)
+    odd = []
+    if zones.agg(F.bool_and("is_box")).first()[0] is False:
+        odd.append((zones.filter("NOT is_box"), crowns))
+    if crowns.agg(F.bool_and("t_is_box")).first()[0] is False:
+        odd.append((boxes, crowns.filter("NOT t_is_box")))
+    for a, b in odd:
+        pairs = box_join(a, b, size, 0.0, BOX, _TREE_BOX)
+        out = out.unionByName(pairs.select(*keys, shared_area("parts", "t_parts", "is_box", "t_is_box", BOX, _TREE_BOX).alias("_part")))
+    return out
 
 
 def _grown(buildings: DataFrame, buffer: float, quad_segs: int) -> DataFrame:
@@ -36,13 +56,13 @@ def cover_of_units(units: DataFrame, trees: DataFrame, codes: list[str], stored_
     the area of its polygon inside the unit. Rows of equal codes are one unit.
     """
     areas = units.groupBy(*codes).agg(F.sum(geometry.area("parts")).alias("_area"))
-    a = _trees(trees, "tree_id", "tree_area")
-    pairs = box_join(a, _zones(units, *codes), size, 0.0, _TREE_BOX, BOX)
     if stored_area:
-        touched = pairs.filter((F.col("t_is_box") & F.col("is_box")) | geometry.polygons_intersect("t_parts", "parts")).select(*codes, "tree_id", "tree_area").distinct()
+        pairs = box_join(_trees(trees, "tree_id", "tree_area"), _zones(units, *codes), size, 0.0, _TREE_BOX, BOX)
+        touched = pairs.filter((F.col("t_is_box") & F.col("is_box")) | geometry.polygons_intersect(geometry.or_box("t_parts", _TREE_BOX), geometry.or_box("parts", BOX))).select(*codes, "tree_id", "tree_area").distinct()
         sums = touched.groupBy(*codes).agg(F.sum("tree_area").alias("_canopy"))
     else:
-        sums = pairs.withColumn("_part", shared_area("t_parts", "parts", "t_is_box", "is_box", _TREE_BOX, BOX)).groupBy(*codes).agg(F.sum("_part").alias("_canopy"))
+        zones = _zones(units, *codes)
+        sums = _shared(zones, codes, _trees(trees), size, are_few(zones, size)).groupBy(*codes).agg(F.sum("_part").alias("_canopy"))
     cover = F.round(F.try_divide(F.coalesce("_canopy", F.lit(0.0)) * 100, F.col("_area")), 3)
     return areas.join(sums, codes, "left").select(*codes, cover.alias("canopy_cover"), F.round("_area").cast("long").alias("total_pixels"))
 
@@ -70,7 +90,7 @@ def cover_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float =
         parts = parts.unionByName(pairs.select("building_id", shared.alias("_part")))
     else:
         areas = buildings.select("building_id", geometry.area("parts").alias("_area"))
-        parts = box_join(_zones(buildings, "building_id"), _trees(trees), side, 0.0, BOX, _TREE_BOX).select("building_id", shared.alias("_part"))
+        parts = _shared(_zones(buildings, "building_id"), ["building_id"], _trees(trees), side)
     sums = parts.groupBy("building_id").agg(F.sum("_part").alias("_canopy"))
     rows = areas.join(sums, "building_id", "left")
     rows = rows.select("building_id", F.round(F.coalesce("_canopy", F.lit(0.0)), 3).alias("tree_pixels"), F.round("_area").alias("total_pixels"))
@@ -105,7 +125,7 @@ def zonal(zones: DataFrame, pixels: DataFrame, key: list[str], pixel_size: float
     if all_touched:
         square = valid.select("canopy", *((F.col(c[0]) + s * half).alias(f"t_{c}") for c, s in zip(BOX, (-1, -1, 1, 1))))
         square = square.withColumn("t_parts", geometry.rect("t_x0", "t_y0", "t_x1", "t_y1"))
-        pairs = box_join(_zones(zones, *key), square, size, 0.0, BOX, _TREE_BOX, F.col("is_box") | geometry.polygons_intersect("parts", "t_parts"))
+        pairs = box_join(_zones(zones, *key), square, size, 0.0, BOX, _TREE_BOX, F.col("is_box") | geometry.polygons_intersect(geometry.or_box("parts", BOX), "t_parts"))
     else:
         pairs = box_join(_zones(zones, *key), valid, size, 0.0, BOX, POINT, geometry.in_polygon("parts", "is_box", BOX, "x", "y"))
     return pairs.groupBy(*key).agg(F.sum("canopy").alias("canopy_pixels"), F.count("canopy").alias("total_pixels"))

@@ -65,6 +65,18 @@ def box_join(left: DataFrame, right: DataFrame, size: float, radius: float = 0.0
     return a.join(b, on if condition is None else on & condition).drop("_cx", "_cy", "_dx", "_dy")
 
 
+#: Rectangles in at most so many cells are few.
+FEW = 10_000
+
+
+def are_few(rows: DataFrame, size: float) -> bool:
+    """Whether boxes whose ``parts`` are null (rectangles) lie in few cells, so that they may be sent to every task and the
+    tables that they meet need no shuffle."""
+    cells = with_cells(rows.select(*BOX, "parts"), size).limit(FEW + 1)
+    count, odd = cells.agg(F.count(F.lit(1)), F.count("parts")).first()
+    return count <= FEW and not odd
+
+
 #: A right row is dealt to cells of which its box spans at most so many each way.
 SPAN = 4
 #: More doublings than any coordinates have room for; rows without a distance to anything end there.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arborel.functions import geometry
 from arborel.operators.blocks import points_near_boxes
-from arborel.operators.grid import BOX, POINT, box_join
+from arborel.operators.grid import BOX, POINT, are_few, box_join
 
 
 def tall_trees(trees: DataFrame, least_area: float = 10.0, least_height: float = 3.0) -> DataFrame:
@@ -16,8 +16,13 @@ def tall_trees(trees: DataFrame, least_area: float = 10.0, least_height: float =
 
 
 def _boxed(rows: DataFrame, *keys: str, prefix: str = "") -> DataFrame:
-    """Keys, box and polygon, and whether the polygon is its box, so that exact tests are done with the box test."""
-    return rows.select(*keys, *(F.col(c).alias(prefix + c) for c in (*BOX, "parts")), geometry.is_box("parts").alias(f"{prefix}is_box"))
+    """Keys, box and polygon, and whether the polygon is its box (null then), so that exact tests are done with the box test."""
+    return rows.select(*keys, *(F.col(c).alias(prefix + c) for c in BOX), geometry.unless_box("parts").alias(f"{prefix}parts"), geometry.is_box("parts").alias(f"{prefix}is_box"))
+
+
+def _sent(units: DataFrame, size: float) -> DataFrame:
+    """Units, sent to every task if they are few."""
+    return F.broadcast(units) if are_few(units, size) else units
 
 
 def trees_near_buildings(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, keep_zero: bool = True, least_area: float = 10.0, least_height: float = 3.0) -> DataFrame:
@@ -53,8 +58,8 @@ def trees_per_unit(units: DataFrame, trees: DataFrame, codes: list[str], size: f
     ``codes`` may name several rows of ``units`` as one unit; with ``distinct`` a tree counts once in it,
     else once for each row it touches.
     """
-    touch = (F.col("t_is_box") & F.col("is_box")) | geometry.polygons_intersect("t_parts", "parts")
-    pairs = box_join(_boxed(trees, "tree_id", prefix="t_"), _boxed(units, *codes), size, 0.0, tuple(f"t_{c}" for c in BOX), BOX, touch)
+    touch = (F.col("t_is_box") & F.col("is_box")) | geometry.polygons_intersect(geometry.or_box("t_parts", tuple(f"t_{c}" for c in BOX)), geometry.or_box("parts", BOX))
+    pairs = box_join(_boxed(trees, "tree_id", prefix="t_"), _sent(_boxed(units, *codes), size), size, 0.0, tuple(f"t_{c}" for c in BOX), BOX, touch)
     counted = F.count_distinct("tree_id") if distinct else F.count(F.lit(1))
     return pairs.groupBy(*codes).agg(counted.alias("tree_count"))
 
@@ -63,12 +68,12 @@ def overlay(buildings: DataFrame, units: DataFrame, codes: list[str], size: floa
     """Each building's unit: the one that holds its point (the centroid where no other is given); the least codes where several do."""
     at = point if point is not None else geometry.centroid("parts")
     points = buildings.select("building_id", at.alias("_at")).select("building_id", F.col("_at.x").alias("x"), F.col("_at.y").alias("y"))
-    pairs = box_join(points, _boxed(units, *codes), size, 0.0, POINT, BOX, geometry.in_polygon("parts", "is_box", BOX, "x", "y"))
+    pairs = box_join(points, _sent(_boxed(units, *codes), size), size, 0.0, POINT, BOX, geometry.in_polygon("parts", "is_box", BOX, "x", "y"))
     return pairs.groupBy("building_id").agg(F.min(F.struct(*codes)).alias("_unit")).select("building_id", *(F.col(f"_unit.{c}").alias(c) for c in codes))
 
 
 def near_units(features: DataFrame, units: DataFrame, key: str, radius: float = 0.0, size: float = 500.0) -> DataFrame:
     """Features that touch, or are at most ``radius`` from, any of ``units``; members stand for their union."""
-    exact = (F.col("f_is_box") & F.col("is_box")) | (geometry.polygon_distance("f_parts", "parts") <= radius)
+    exact = (F.col("f_is_box") & F.col("is_box")) | (geometry.polygon_distance(geometry.or_box("f_parts", tuple(f"f_{c}" for c in BOX)), geometry.or_box("parts", BOX)) <= radius)
     pairs = box_join(_boxed(features, key, prefix="f_"), _boxed(units), size, radius, tuple(f"f_{c}" for c in BOX), BOX, exact)
     return features.join(pairs.select(key).distinct(), key, "left_semi")

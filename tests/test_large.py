@@ -150,3 +150,40 @@ def test_merged_counts_meet_once(spark):
     for k, buffer in enumerate((5, 20)):
         single = trees.trees_near_buildings(homes, wood, buffer).collect()
         assert {x["building_id"]: x[f"tree_count_{buffer}m"] for x in single} == {i: both_at_once.get(i, (0, 0))[k] for i in range(40)}
+
+
+def test_crowns_in_rectangles_are_no_pairs(spark, monkeypatch):
+    """Crowns in footprints and units, over block borders and with other forms too: blocks find what the polygons share."""
+    from arborel.functions import overlay
+    from arborel.operators import blocks, canopy, grid
+
+    r = random.Random(10)
+    boxes = [(x := r.randrange(47000, 53000) / 100, y := r.randrange(-3000, 3000) / 100, x + r.uniform(1, 30), y + r.uniform(1, 20)) for _ in range(330)]
+    ring = lambda *points: [[[{"x": x, "y": y} for x, y in (*points, points[0])]]]
+    square = [ring((x0, y0), (x1, y0), (x1, y1), (x0, y1)) for x0, y0, x1, y1 in boxes]
+    mixed = [s if i % 7 else ring((x0, y0), (x1, y0), (x0, y1)) for i, (s, (x0, y0, x1, y1)) in enumerate(zip(square, boxes))]
+    monkeypatch.setattr(blocks, "HOMES", 8)
+    for shapes in (square, mixed):
+        table = lambda some, key: spark.createDataFrame([(i, *boxes[i], shapes[i]) for i in some], f"{key} long, x0 double, y0 double, x1 double, y1 double, parts {geometry.PARTS}")  # noqa: B023, E731
+        homes, crowns = table(range(40), "building_id"), table(range(40, 330), "tree_id")
+        want = {i: sum(overlay.intersection_area(shapes[i], shapes[k]) for k in range(40, 330)) for i in range(40)}
+        rows = canopy.cover_near_buildings(homes, crowns, 0.0)
+        assert {x["building_id"]: x["tree_pixels"] for x in rows.collect()} == {i: pytest.approx(v, abs=0.0011) for i, v in want.items()} and max(want.values()) > 100
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and ("ArrowEvalPython" in plan) == (shapes is mixed)
+        for few in (0, 10_000):
+            monkeypatch.setattr(grid, "FEW", few)
+            units = homes.withColumnRenamed("building_id", "unit")
+            cover = {x["unit"]: x["canopy_cover"] for x in canopy.cover_of_units(units, crowns, ["unit"], stored_area=False).collect()}
+            assert cover == {i: pytest.approx(v * 100 / overlay.intersection_area(shapes[i], shapes[i]), abs=0.0011) for i, v in want.items()}
+
+
+def test_rectangles_in_closed_form(spark):
+    """Middle and area of a rectangle are those of its corners to the last digit; no other form is taken for one."""
+    corner = lambda *points: [[[{"x": x, "y": y} for x, y in points]]]
+    shapes = [corner((0.1, 0.2), (0.7, 0.2), (0.7, 0.5), (0.1, 0.5), (0.1, 0.2)), corner((0.0, 0.0), (2.0, 0.0), (0.0, 2.0), (0.0, 0.0)), corner((1.0, 1.0), (1.0, 3.0), (1.0, 3.0), (1.0, 1.0), (1.0, 1.0)), corner((0.0, 0.0), (1.0, 0.0)), [], None, corner((0.0, 0.0), (2.0, 0.0), (3.0, 1.0), (1.0, 1.0), (0.0, 0.0))]
+    rows = spark.createDataFrame(list(enumerate(shapes)), f"i long, parts {geometry.PARTS}").select("i", geometry.is_box("parts").alias("b"), geometry.centroid("parts").alias("c"), geometry.area("parts").alias("a")).orderBy("i").collect()
+    assert [x.b for x in rows][:2] == [True, False] and not any(x.b for x in rows[3:])
+    assert tuple(rows[0].c) == ((0.1 + 0.7) / 2, (0.2 + 0.5) / 2) and rows[0].a == (0.7 - 0.1) * (0.5 - 0.2)
+    assert tuple(rows[1].c) == pytest.approx((2 / 3, 2 / 3)) and rows[1].a == 2 and rows[2].c is None
+    assert tuple(rows[6].c) == pytest.approx((1.5, 0.5)) and rows[6].a == 2 and rows[5].a is None
