@@ -139,6 +139,11 @@ def is_box(parts: str) -> Column:
     return F.expr(f"coalesce(size({parts}) = 1 AND size(get({parts}, 0)) = 1 AND size(get(get({parts}, 0), 0)) = 5 AND exists(get({parts}, 0), r -> {turn(0, 1, 2)} AND {turn(1, 2, 3)} AND {turn(2, 3, 4)}), false)")
 
 
+def is_own_box(parts: str, box: tuple[str, str, str, str]) -> Column:
+    """``is_box`` where most polygons are the ring that ``rect`` draws around their box: those are told by comparing the two."""
+    return F.coalesce(F.col(parts) == rect(*box), F.lit(False)) | is_box(parts)
+
+
 def unless_box(parts: str) -> Column:
     """The polygon, or null if it is its box: what a shuffle need not carry."""
     return F.when(~is_box(parts), F.col(parts)).alias(parts)

@@ -2,26 +2,33 @@
 
 Where buildings have trees by the hundred, and ways cross obstacles by the dozen, rows for all of them cost more than the
 geometry. A building, tree or obstacle is dealt to the square blocks where it may matter; a tree is looked at in the block that
-holds it, so each pair is found once. Obstacles that need not be asked are passed over only where the result is known:
+holds it, so each pair is found once. Obstacles are passed over only where the result is known, which is mostly so for all the ways
+to a tree at once:
 
-* A tree's place well inside an obstacle that rises above the tree is hidden on every way from some metres off.
-* A pair is done when the tree's top is in the shade for all eyes. Obstacles that take much of the view are asked first; what is
-  still in view then is held against all obstacles of the cells that its way crosses.
+* A place well inside an obstacle that rises above the tree is hidden from some metres off: such pairs are listed, not looked at.
+* From other trees, obstacles that fill all of a narrow sector hide what looks along it from beyond them: a way is held against one
+  number for its sector.
+* What may still be in view is held against all obstacles of the cells that its way crosses.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 
 #: Shares of the heights looked from and at, and the length at both ends of a way in metres that obstacles may touch.
 LEVELS = (0.0, 0.5, 1.0)
 MARGIN = 0.05
-#: Metres from which on a tree under a higher obstacle is hidden, and how deep inside the obstacle its place has to be.
+#: Metres from which on trees under a higher obstacle are listed as hidden, and how deep inside the obstacle their place has to be.
 CLOSE, DEEP = 5.0, 0.06
-#: Trees of a tile, tests done at once, obstacles asked at once, and metres of a cell.
-TREES, TESTS, ASKED, CELL = 24, 1 << 16, 32, 10.0
+#: Trees of a tile, tests done at once, obstacles whose sectors a tree is given, and metres of a cell.
+TREES, TESTS, ASKED, CELL = 64, 1 << 16, 64, 10.0
+#: Ways that are walked together.
+WAITING = 1 << 13
+#: Sectors around a tree, the angle where they begin (no side of a rectangle lies along it), metres that their obstacles may be away,
+#: the classes of eyes by height, and the metres that rounding is given.
+SECTORS, TURN, AWAY, EYES, TINY = 64, 0.0123, 40.0, 4, 1e-6
 
 
 def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,9 +58,27 @@ class Ways:
     def __len__(self) -> int:
         return len(self.home)
 
-    def open(self) -> np.ndarray:
-        """Whether the tree's top may still be in view of an eye."""
-        return ~(self.shade.min(1) >= self.aim) & (self.way > 0)
+
+class Aims:
+    """Trees looked at: place, top and code; ``codes`` is the number of buildings' codes, and trees' codes follow them.
+
+    ``cover`` and ``second`` are the rises of the two highest obstacles of different codes that a place is well inside of (-inf:
+    none), ``by`` the code of the first. ``hidden`` tells trees that no building sees from ``CLOSE`` on."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, top: np.ndarray, code: np.ndarray, codes: int):
+        self.x, self.y, self.top, self.code, self.codes = x, y, top, code, codes
+        self.cover, self.second, self.by = np.full(len(x), -np.inf), np.full(len(x), -np.inf), np.full(len(x), -1)
+        self.hidden = np.zeros(len(x), bool)
+
+    def tiles(self, rows: np.ndarray) -> list[np.ndarray]:
+        """Rows that lie close together."""
+        from arborel.operators.blocks import groups
+
+        if not len(rows):
+            return []
+        x, y = self.x[rows], self.y[rows]
+        span = max(np.ptp(x), np.ptp(y), 1.0)
+        return [rows[g] for g in groups(x, y, float(np.clip(span * np.sqrt(TREES / len(rows)), 10.0, max(span, 10.0))))]
 
 
 def joined(parts: list[Ways]) -> Ways:
@@ -90,12 +115,6 @@ class Block:
         b = self.box
         return np.flatnonzero((b[2] >= x0) & (b[0] <= x1) & (b[3] >= y0) & (b[1] <= y1))
 
-    def hides(self, x: float, y: float, aim: float, things: np.ndarray) -> np.ndarray:
-        """How much of the view from a place at that height each obstacle takes, roughly: the steeper and the wider it stands."""
-        x0, y0, x1, y1 = (c[things] for c in self.box)
-        apart = np.hypot(np.maximum(np.maximum(x0 - x, x - x1), 0.0), np.maximum(np.maximum(y0 - y, y - y1), 0.0)) + CLOSE
-        return (self.rise[things] - aim) * (x1 - x0 + y1 - y0) / apart**2
-
     def _hide(self, w: Ways, rows: np.ndarray, things: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
         """Raise the shades of ``rows`` (ascending) by obstacles that their ways cross from near to far."""
         if not len(rows):
@@ -107,27 +126,6 @@ class Block:
             most = np.maximum.reduceat(eye * share + over / np.where(over >= 0, near, far), first)
             w.shade[rows[first], k] = np.maximum(w.shade[rows[first], k], most)
 
-    def ask(self, w: Ways, things: np.ndarray) -> None:
-        """Hold ways against all of some obstacles."""
-        step = max(1, TESTS // max(1, len(things)))
-        x0, y0, x1, y1 = (c[things] for c in self.box)
-        code = self.code[things]
-        for i in range(0, len(w), step):
-            s = slice(i, i + step)
-            ex, ey = w.ex[s, None], w.ey[s, None]
-            dx, dy = w.ax[s, None] - ex, w.ay[s, None] - ey
-            (lo, hi), (c, d) = _slab(x0, x1, ex, dx), _slab(y0, y1, ey, dy)
-            np.maximum(lo, c, out=lo)
-            np.minimum(hi, d, out=hi)
-            np.maximum(lo, 0.0, out=lo)
-            np.minimum(hi, 1.0, out=hi)
-            rows, at = np.divmod(np.flatnonzero(lo <= hi), lo.shape[1])
-            lo, hi, margin = lo[rows, at], hi[rows, at], MARGIN / w.way[i + rows]
-            np.maximum(lo, margin, out=lo)
-            np.minimum(hi, 1 - margin, out=hi)
-            hit = (lo <= hi) & (code[at] != w.hcode[i + rows]) & (code[at] != w.tcode[i + rows])
-            self._hide(w, i + rows[hit], things[at[hit]], lo[hit], hi[hit])
-
     def _cells(self) -> None:
         u0, v0, u1, v1 = self.bounds
         self.wide, self.high = int((u1 - u0) // CELL) + 1, int((v1 - v0) // CELL) + 1
@@ -182,44 +180,130 @@ class Block:
                 hit = (lo <= hi) & (near <= far) & (code != w.hcode[rows]) & (code != w.tcode[rows])
                 self._hide(w, rows[hit], things[hit], near[hit], far[hit])
 
-    def covers(self, x: np.ndarray, y: np.ndarray, aim: np.ndarray, tcode: np.ndarray, homes: int, highest: float) -> tuple[np.ndarray, np.ndarray]:
-        """Which places are hidden from ``CLOSE`` on, and the code of the one building that this does not hold for (-1: none).
-
-        Codes below ``homes`` are buildings'; an obstacle hides nothing from its own building."""
-        found = self.near(x.min(), y.min(), x.max(), y.max())
+    def cover(self, aims: Aims, homes: Homes) -> None:
+        """Tell the trees' covers, and which trees are hidden."""
+        for tile in aims.tiles(np.arange(len(aims.x))):
+            found = self.near(aims.x[tile].min(), aims.y[tile].min(), aims.x[tile].max(), aims.y[tile].max())
+            if not len(found):
+                continue
+            (x0, y0, x1, y1), rise, code = (c[found] for c in self.box), self.rise[found], self.code[found]
+            step = max(1, TESTS // len(found))
+            for i in range(0, len(tile), step):
+                t = tile[i : i + step]
+                x, y, top = aims.x[t, None], aims.y[t, None], aims.top[t, None]
+                inside = (x0 + DEEP <= x) & (x <= x1 - DEEP) & (y0 + DEEP <= y) & (y <= y1 - DEEP) & (top + TINY <= rise) & (top >= 0) & (code != aims.code[t, None])
+                # obstacles come by their rise, the highest first
+                at = inside.argmax(1)
+                some = inside[np.arange(len(t)), at]
+                aims.cover[t], aims.by[t] = np.where(some, rise[at], -np.inf), np.where(some, code[at], -1)
+                inside &= code != aims.by[t, None]
+                at = inside.argmax(1)
+                aims.second[t] = np.where(inside[np.arange(len(t)), at], rise[at], -np.inf)
+        highest = homes.top.max()
+        enough = lambda rise: under(CLOSE, rise, highest, aims.top)
+        aims.hidden = enough(aims.cover)
+        # a building's own tree is inside, as a rule; where it is not, all of the tree's ways are looked at
+        home = np.full(aims.codes + 1, -1)
+        home[homes.code] = np.arange(len(homes.code))
+        own = home[np.where(aims.hidden & ~enough(aims.second) & (aims.by < aims.codes), aims.by, aims.codes)]
+        rows = np.flatnonzero(own >= 0)
+        x0, y0, x1, y1 = (c[own[rows]] for c in homes.box)
+        aims.hidden[rows[_gaps(x0, y0, x1, y1, aims.x[rows], aims.y[rows]) >= CLOSE * CLOSE]] = False
+
+    def sectors(self, aims: Aims, trees: np.ndarray, eyes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each tree, class of eyes (up to that height) and sector: the length from which on ways are hidden, and by which code.
+
+        An obstacle that both sides of a sector hit is hit all along it. The farthest way in, at one of the sides, hides least: the view
+        from an eye above the obstacle passes over its far side, and ends in its shade if (eye - top) / (rise - top) times as far away."""
+        least, by = np.full((len(trees), len(eyes), SECTORS), np.inf), np.full((len(trees), len(eyes), SECTORS), -1)
+        x, y, top, code = (c[trees, None] for c in (aims.x, aims.y, aims.top, aims.code))
+        found = self.near(x.min() - AWAY, y.min() - AWAY, x.max() + AWAY, y.max() + AWAY)
+        found = found[(self.rise[found] > top.min()) & (np.minimum(self.box[2] - self.box[0], self.box[3] - self.box[1])[found] > 4 * TINY)]
+        if not len(found):
+            return least, by
         x0, y0, x1, y1 = (c[found] for c in self.box)
-        rise, code = self.rise[found], self.code[found]
-        # an eye above the obstacle looks past its far side, which ends a margin before the tree
-        slack = 1e-6 + np.maximum(highest - rise, 0.0) * (MARGIN / CLOSE) / (1 - MARGIN / CLOSE) * 1.01
-        inside = (x0 + DEEP <= x[:, None]) & (x[:, None] <= x1 - DEEP) & (y0 + DEEP <= y[:, None]) & (y[:, None] <= y1 - DEEP)
-        inside &= (aim[:, None] + slack <= rise) & (code != tcode[:, None])
-        hidden = inside.any(1)
-        if not hidden.any():
-            return hidden, np.full(len(x), -1)
-        owner = code[inside.argmax(1)]
-        others = (inside & (code != owner[:, None])).any(1)
-        return hidden, np.where(others | (owner >= homes) | (owner < 0), -1, owner)
-
-
-def _tiles(x: np.ndarray, y: np.ndarray, side: float) -> list[np.ndarray]:
-    from arborel.operators.blocks import groups
-
-    return groups(x, y, side)
-
-
-def _paired(homes: Homes, x: np.ndarray, y: np.ndarray, aim: np.ndarray, tcode: np.ndarray, trees: np.ndarray, some: np.ndarray, reach: float, within: float, centre: bool, keep: Callable | None) -> Iterator[Ways]:
-    """Ways of ``trees`` and the buildings ``some`` at most ``within`` apart."""
+        angles = TURN + np.arange(SECTORS) * (2 * np.pi / SECTORS)
+        east, north = 1 / np.cos(angles), 1 / np.sin(angles)
+        count = min(ASKED, len(found))
+        step = max(1, min(TESTS // len(found), 2 * TESTS // (count * SECTORS)))
+        for i in range(0, len(trees), step):
+            s = slice(i, i + step)
+            above = self.rise[found] - top[s]
+            fine = (above >= TINY) & (top[s] >= 0) & (self.code[found] != code[s])
+            gap = np.sqrt(_gaps(x0, y0, x1, y1, x[s], y[s]))
+            rank = np.where(fine, np.maximum(gap, gap * (eyes[-1] - top[s]) / np.where(fine, above, 1.0)), np.inf)
+            best = np.argpartition(rank, count - 1, axis=1)[:, :count] if count < len(found) else np.broadcast_to(np.arange(count), rank.shape)
+            fine, above = np.take_along_axis(fine, best, 1), np.take_along_axis(above, best, 1)
+            a, b = ((c[best] - x[s] + d)[..., None] * east for c, d in ((x0, TINY), (x1, -TINY)))
+            c, d = ((c[best] - y[s] + d)[..., None] * north for c, d in ((y0, TINY), (y1, -TINY)))
+            begin, end = np.maximum(np.minimum(a, b), np.minimum(c, d)), np.minimum(np.maximum(a, b), np.maximum(c, d))
+            np.maximum(begin, MARGIN, out=begin)
+            begin[(begin > end) | (end < DEEP + 0.01) | ~fine[..., None]] = np.inf
+            begin = np.maximum(begin, np.roll(begin, -1, axis=-1)) + TINY
+            for k, eye in enumerate(eyes):
+                ratio = (eye - top[s]) / np.where(fine, above, 1.0)
+                ratio = np.where(np.isfinite(ratio), np.maximum(ratio, TINY), np.inf)
+                length = np.maximum(begin + DEEP, begin * ratio[..., None])
+                at = length.argmin(1)[:, None]
+                least[s, k] = np.take_along_axis(length, at, 1)[:, 0]
+                by[s, k] = self.code[found][np.take_along_axis(best[..., None], at, 1)[:, 0]]
+        return least, by
+
+
+def under(way, rise, eye, top):
+    """Whether a tree well inside an obstacle of that rise is hidden on ways of that length from all eyes up to that height."""
+    return (rise >= top + TINY) & (way >= 4 * MARGIN) & (way * (rise - top) >= (MARGIN + TINY) * (eye - top))
+
+
+def _gaps(x0, y0, x1, y1, x, y):
+    """Squared distances of places and boxes."""
+    gap, up = np.maximum(x0 - x, x - x1), np.maximum(y0 - y, y - y1)
+    np.maximum(gap, 0.0, out=gap)
+    np.maximum(up, 0.0, out=up)
+    gap *= gap
+    up *= up
+    gap += up
+    return gap
+
+
+def _met(homes: Homes, aims: Aims, trees: np.ndarray, least: float, most: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Trees of a tile, buildings, and which of them (a matrix) are at least and at most so far from each other."""
+    x, y = aims.x[trees], aims.y[trees]
+    slack = most * (1 + 1e-9) + 1e-6
+    some = np.flatnonzero((homes.box[2] >= x.min() - slack) & (homes.box[0] <= x.max() + slack) & (homes.box[3] >= y.min() - slack) & (homes.box[1] <= y.max() + slack))
     step = max(1, TESTS // max(1, len(some)))
     x0, y0, x1, y1 = (c[some] for c in homes.box)
     for i in range(0, len(trees) if len(some) else 0, step):
-        t = trees[i : i + step]
-        gap = np.maximum(np.maximum(x0 - x[t, None], 0.0), x[t, None] - x1) ** 2
-        gap += np.maximum(np.maximum(y0 - y[t, None], 0.0), y[t, None] - y1) ** 2
-        r, h = np.nonzero((gap <= within * within) & (gap <= reach * reach))
+        gap = _gaps(x0, y0, x1, y1, x[i : i + step, None], y[i : i + step, None])
+        fine = gap <= most * most
+        if least:
+            fine &= gap >= least * least
+        yield trees[i : i + step], some, fine
+
+
+def hidden_pairs(homes: Homes, aims: Aims, reach: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs with hidden trees that are ``CLOSE`` or more and at most ``reach`` apart: trees, how many buildings each has, and these."""
+    if not len(homes.top):
+        return
+    for tile in aims.tiles(np.flatnonzero(aims.hidden)):
+        for trees, some, fine in _met(homes, aims, tile, CLOSE, reach):
+            counts = np.count_nonzero(fine, axis=1)
+            kept = counts > 0
+            yield trees[kept], counts[kept], np.broadcast_to(some, fine.shape)[fine]
+
+
+def _paired(homes: Homes, aims: Aims, trees: np.ndarray, reach: float, centre: bool, close: bool) -> Iterator[Ways]:
+    """Ways of ``trees`` and the buildings at most ``reach`` apart; if ``close``, only those that ``hidden_pairs`` leaves."""
+    for t, some, fine in _met(homes, aims, trees, 0.0, min(reach, CLOSE) if close else reach):
+        r, h = np.nonzero(fine)
+        r, h = t[r], some[h]
+        ax, ay = aims.x[r], aims.y[r]
+        b = [c[h] for c in homes.box]
+        if close:
+            kept = np.flatnonzero(_gaps(*b, ax, ay) < CLOSE * CLOSE)
+            r, h, ax, ay, b = r[kept], h[kept], ax[kept], ay[kept], [c[kept] for c in b]
         if not len(r):
             continue
-        ax, ay = x[t[r]], y[t[r]]
-        b = [c[h] for c in (x0, y0, x1, y1)]
         if centre:
             ex, ey = (b[0] + b[2]) / 2, (b[1] + b[3]) / 2
         else:
@@ -229,21 +313,18 @@ def _paired(homes: Homes, x: np.ndarray, y: np.ndarray, aim: np.ndarray, tcode:
             ex[k] = np.choose(sides, [ax[k], b[2][k], ax[k], b[0][k]])
             ey[k] = np.choose(sides, [b[1][k], ay[k], b[3][k], ay[k]])
         way = np.sqrt((ax - ex) ** 2 + (ay - ey) ** 2)
-        w = Ways(home=some[h], tree=t[r], ex=ex, ey=ey, ax=ax, ay=ay, way=way, eye=homes.top[some[h]], aim=aim[t[r]], hcode=homes.code[some[h]], tcode=tcode[t[r]], shade=np.full((len(r), 3), -np.inf))
-        yield w if keep is None else w.some(keep(w))
+        yield Ways(home=h, tree=r, ex=ex, ey=ey, ax=ax, ay=ay, way=way, eye=homes.top[h], aim=aims.top[r], hcode=homes.code[h], tcode=aims.code[r], shade=np.full((len(r), 3), -np.inf))
 
 
-def ways(homes: Homes, x: np.ndarray, y: np.ndarray, aim: np.ndarray, tcode: np.ndarray, block: Block | None, codes: int, reach: float, centre: bool, hidden_too: bool) -> Iterator[Ways]:
-    """All ways at most ``reach`` long from a box to its trees; with the shades of the block's obstacles if it is given.
+def ways(homes: Homes, aims: Aims, block: Block | None, reach: float, centre: bool) -> Iterator[Ways]:
+    """All ways at most ``reach`` long from a box to its trees; with the shades of the block's obstacles if it is given, and then
+    without ``hidden_pairs``.
 
-    A shade at or above a tree's top may be higher than told. Without ``hidden_too``, ways from afar to trees that are hidden from
-    everywhere may be left out. ``codes`` is the number of buildings' codes."""
-    if not len(x) or not len(homes.top):
+    A shade at or above a tree's top may be higher or lower than told, but is at or above it."""
+    if not len(aims.x) or not len(homes.top):
         return
-    span = max(x.max() - x.min(), y.max() - y.min(), 1.0)
-    side = float(np.clip(span * np.sqrt(TREES / len(x)), 10.0, max(span, 10.0)))
-    slack = reach * (1 + 1e-9) + 1e-6
     left: list[Ways] = []
+    waiting = 0
 
     def finished() -> Iterator[Ways]:
         if left:
@@ -252,52 +333,31 @@ def ways(homes: Homes, x: np.ndarray, y: np.ndarray, aim: np.ndarray, tcode: np.
             block.walk(w)
             yield w
 
+    if block is None:
+        for tile in aims.tiles(np.arange(len(aims.x))):
+            yield from _paired(homes, aims, tile, reach, centre, False)
+        return
     with np.errstate(divide="ignore", invalid="ignore"):
-        highest = homes.top.max()
-        for trees in _tiles(x, y, side):
-            u0, v0, u1, v1 = x[trees].min(), y[trees].min(), x[trees].max(), y[trees].max()
-            near = lambda far: np.flatnonzero((homes.box[2] >= u0 - far) & (homes.box[0] <= u1 + far) & (homes.box[3] >= v0 - far) & (homes.box[1] <= v1 + far))  # noqa: E731, B023
-            some = near(slack)
-            if block is None:
-                yield from _paired(homes, x, y, aim, tcode, trees, some, reach, reach, centre, None)
-                continue
-            covered, but = np.zeros(len(x), bool), np.full(len(x), -1)
-            for i in range(0, len(trees), 1024):
-                t = trees[i : i + 1024]
-                covered[t], but[t] = block.covers(x[t], y[t], aim[t], tcode[t], codes, highest)
-            hidden = lambda w: covered[w.tree] & (w.way >= CLOSE) & (w.hcode != but[w.tree])  # noqa: E731, B023
-            asked = block.near(u0 - slack, v0 - slack, u1 + slack, v1 + slack)
-            bare = trees[~covered[trees]]
-            asked = asked[np.argsort(-block.hides((u0 + u1) / 2, (v0 + v1) / 2, aim[bare].mean() if len(bare) else 0.0, asked), kind="stable")]
-            found = [_paired(homes, x, y, aim, tcode, trees if hidden_too else bare, some, reach, reach, centre, None)]
-            if not hidden_too and covered[trees].any():
-                # a way of less than CLOSE is to a box within CLOSE, and a building's own tree is inside
-                found.append(_paired(homes, x, y, aim, tcode, trees[covered[trees]], near(CLOSE + 1e-6), reach, CLOSE, centre, lambda w: ~hidden(w)))  # noqa: B023
-            for w in (w for ws in found for w in ws):
-                if hidden_too:
-                    known = hidden(w)
+        eyes = np.unique(np.quantile(homes.top, np.arange(1, EYES + 1) / EYES, method="higher"))
+        place = np.empty(len(aims.x), np.int64)
+        for close in (True, False):
+            for tile in aims.tiles(np.flatnonzero(aims.hidden == close)):
+                if not close:
+                    place[tile] = np.arange(len(tile))
+                    least, by = block.sectors(aims, tile, eyes)
+                for w in _paired(homes, aims, tile, reach, centre, close):
+                    rise = np.where(w.hcode != aims.by[w.tree], aims.cover[w.tree], aims.second[w.tree])
+                    known = under(w.way, rise, w.eye, w.aim)
+                    if not close:
+                        sector = np.floor((np.arctan2(w.ey - w.ay, w.ex - w.ax) - TURN) * (SECTORS / (2 * np.pi))).astype(np.int64) % SECTORS
+                        at = place[w.tree], np.searchsorted(eyes, w.eye), sector
+                        known |= (w.way >= least[at]) & (by[at] != w.hcode)
                     w.shade[known] = np.inf
+                    known |= w.way == 0
                     yield w.some(known)
-                    w = w.some(~known)
-                # the obstacles that hide most first, as long as that ends many ways
-                k, rest = 0, np.flatnonzero(w.way > 0)
-                yield w.some(w.way == 0)
-                w = w.some(rest)
-                while len(w) and k < len(asked):
-                    block.ask(w, asked[k : k + ASKED])
-                    k += ASKED
-                    still = w.open()
-                    share = still.mean()
-                    yield w.some(~still)
-                    w = w.some(still)
-                    if share > 0.7 and k + 2 * ASKED < len(asked):
-                        break
-                if not len(w):
-                    continue
-                if k >= len(asked) and not centre:
-                    yield w
-                else:
-                    left.append(w)
-                    if sum(map(len, left)) > 50_000:
+                    left.append(w.some(~known))
+                    waiting += len(left[-1])
+                    if waiting > WAITING:
+                        waiting = 0
                         yield from finished()
         yield from finished()

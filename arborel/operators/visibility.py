@@ -66,7 +66,7 @@ def obstacles(buildings: DataFrame, trees: DataFrame) -> DataFrame:
     """Buildings and crowns as one table: own_building or own_tree (the other is null), rise, box, polygon and whether it is its box."""
 
     def stood(df: DataFrame, building: Column, tree: Column, height: str) -> DataFrame:
-        return df.select(building.alias("own_building"), tree.alias("own_tree"), F.col(height).cast("double").alias("rise"), *(F.col(c).alias(f"o_{c}") for c in BOX), F.col("parts").alias("o_parts"), geometry.is_box("parts").alias("o_is_box"))
+        return df.select(building.alias("own_building"), tree.alias("own_tree"), F.col(height).cast("double").alias("rise"), *(F.col(c).alias(f"o_{c}") for c in BOX), F.col("parts").alias("o_parts"), geometry.is_own_box("parts", BOX).alias("o_is_box"))
 
     none = F.lit(None).cast("string")
     of_buildings = stood(buildings, F.col("building_id").cast("string"), none, "building_height")
@@ -129,6 +129,33 @@ def visible_trees(observers: DataFrame, pairs: DataFrame, hidden: DataFrame) ->
 HOME, STANDS, AIM = 1, 2, 4
 BATCH = 1 << 16
 _LINES = [(name, end) for name in SHARES for end in SHARES]
+ALL = (1 << len(_LINES)) - 1
+
+
+def alike(w: sightlines.Ways) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ways with an obstacle, as runs of one tree and the same lines that end in the shade: tree, lines as bits, length; and all buildings."""
+    rows = np.flatnonzero(w.shade[:, 0] > -np.inf)
+    shade, aim, tree, home = w.shade[rows], w.aim[rows], w.tree[rows], w.home[rows]
+    bits = np.zeros(len(rows), np.int64)
+    for k, (_, end) in enumerate(_LINES):
+        bits |= (aim * SHARES[end] <= shade[:, k // 3]).astype(np.int64) << k
+    run = tree * (ALL + 1) + bits
+    if (run[1:] < run[:-1]).any():
+        order = np.argsort(run, kind="stable")
+        run, home = run[order], home[order]
+    first = np.flatnonzero(np.r_[len(run) > 0, run[1:] != run[:-1]])
+    return run[first] // (ALL + 1), (run[first] % (ALL + 1)).astype(np.int16), np.diff(np.r_[first, len(run)]), home
+
+
+def _in_turn(*sources: Iterator) -> Iterator:
+    """One of each in turn, until all are at their end."""
+    waiting = list(sources)
+    while waiting:
+        for source in list(waiting):
+            try:
+                yield next(source)
+            except StopIteration:
+                waiting.remove(source)
 
 
 def _number(*names: str) -> Column:
@@ -141,8 +168,10 @@ def _repeated(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
 
 
-def _without(df: DataFrame, key: str, repeated: DataFrame | None, kept: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows that blocks can take, and the others: those not ``kept`` or of a repeated or null key."""
+def _without(df: DataFrame, key: str, repeated: DataFrame | None, kept: Column, odd: int) -> tuple[DataFrame, DataFrame]:
+    """Rows that blocks can take, and the others: those not ``kept`` or of a repeated or null key; ``odd`` are not kept or null."""
+    if not odd and repeated is None:
+        return df, df.limit(0)  # nothing has to be told a second time
     fine = kept & F.col(key).isNotNull()
     if repeated is None:
         return df.filter(fine), df.filter(~fine)
@@ -151,28 +180,40 @@ def _without(df: DataFrame, key: str, repeated: DataFrame | None, kept: Column)
 
 def _split(looking: DataFrame, trees: DataFrame, stands: DataFrame | None, buffer: float, observer: str) -> tuple[DataFrame, DataFrame, float, list[tuple[DataFrame, DataFrame]]]:
     """Buildings and trees whose pairs blocks can take, the farthest that their ways reach, and the others as sides to join.
+    ``stands`` are the buildings that, like all trees, are obstacles; None if there are none.
 
     Blocks take rectangles with a key of their own; among obstacles that are not all rectangles they take none.
     """
     wide = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-    kept = F.coalesce(geometry.is_box("parts") & _number(*BOX, "building_height") & (wide <= max(float(buffer), 50.0)), F.lit(False))
+    kept = F.coalesce(F.col("_box") & _number(*BOX, "building_height") & (wide <= max(float(buffer), 50.0)), F.lit(False))
+    with_box = lambda df: df.withColumn("_box", geometry.is_own_box("parts", BOX))
     aimed = F.coalesce(_number("x", "y"), F.lit(False))
     # all that has to be known, in one job; keys of one hash are looked at again
     hashes = looking.select(F.lit(0).alias("side"), F.xxhash64("building_id").alias("hash")).unionByName(trees.select(F.lit(1).alias("side"), F.xxhash64("tree_id").alias("hash")))
     repeated = hashes.groupBy("side", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").agg(*(F.coalesce(F.max(F.col("side") == k), F.lit(False)).alias(f"repeated_{k}") for k in (0, 1)))
-    facts = looking.agg(F.count_if(~kept | F.col("building_id").isNull()).alias("odd_homes"), F.max(F.when(kept, wide)).alias("widest"))
-    facts = facts.crossJoin(trees.agg(F.count_if(~aimed | F.col("tree_id").isNull()).alias("odd_aims"))).crossJoin(repeated)
+    odd_homes = F.count_if(~kept | F.col("building_id").isNull()).alias("odd_homes")
+    odd_aims = F.count_if(~aimed | F.col("tree_id").isNull()).alias("odd_aims")
+
+    def odd_stands(top: str, name: str) -> Column:
+        corners = F.expr(" AND ".join(f"{c} IS NOT NULL" for c in BOX))
+        return F.count_if(corners & ~F.coalesce(F.col("_box") & _number(top, *BOX), F.lit(False))).alias(name)
+
+    of_looking, of_aims = [odd_homes, F.max(F.when(kept, wide)).alias("widest")], [odd_aims]
     if stands is not None:
-        corners = F.expr(" AND ".join(f"o_{c} IS NOT NULL" for c in BOX))
-        fine = F.coalesce(F.col("o_is_box") & _number("rise", *(f"o_{c}" for c in BOX)), F.lit(False))
-        facts = facts.crossJoin(stands.agg(F.count_if(corners & ~fine).alias("odd_stands")))
+        of_aims.append(odd_stands("tree_height", "odd_crowns"))
+        if stands is looking:
+            of_looking.append(odd_stands("building_height", "odd_stands"))
+    facts = with_box(looking).agg(*of_looking).crossJoin((trees if stands is None else with_box(trees)).agg(*of_aims)).crossJoin(repeated)
+    if stands is not None and stands is not looking:
+        facts = facts.crossJoin(with_box(stands).agg(odd_stands("building_height", "odd_stands")))
     known = facts.first().asDict()
-    if known.get("odd_stands"):
+    if known.get("odd_stands") or known.get("odd_crowns"):
         return looking.limit(0), trees, 0.0, [(looking, trees)]
     of_homes = _repeated(looking, "building_id") if known["repeated_0"] else None
     of_trees = _repeated(trees, "tree_id") if known["repeated_1"] else None
-    homes, other_homes = _without(looking, "building_id", of_homes, kept)
-    aims, other_aims = _without(trees, "tree_id", of_trees, aimed)
+    homes, other_homes = _without(with_box(looking), "building_id", of_homes, kept, known["odd_homes"])
+    homes, other_homes = homes.drop("_box"), other_homes.drop("_box")
+    aims, other_aims = _without(trees, "tree_id", of_trees, aimed, known["odd_aims"])
     widest = known["widest"] or 0.0
     sides = [(other_homes, trees)] if known["odd_homes"] or of_homes is not None else []
     if known["odd_aims"] or of_trees is not None:
@@ -184,7 +225,8 @@ def _in_blocks(homes: DataFrame, aims: DataFrame, obstructing: tuple[DataFrame,
     """Pairs of rectangles and trees, done in numpy. By ``kind``: building_id, tree_id and
 
     * ``pairs``: ox, oy and sight_len, rounded to ``digits``;
-    * ``lines``: bits, of nine lines in the order of ``blocked`` those that end in the shade, for pairs with an obstacle;
+    * ``lines``: no building_id, but ``buildings``, those of whose nine lines to the tree the same ones end in the shade (bits, in the
+      order of ``blocked``), for pairs with an obstacle;
     * ``counts``: no tree_id, but for each block the trees seen from the bottom, the middle, the top and any.
     """
     size = max(BLOCK, 5 * float(buffer))
@@ -216,42 +258,57 @@ def _in_blocks(homes: DataFrame, aims: DataFrame, obstructing: tuple[DataFrame,
             far = reach + 1.0
             block = sightlines.Block(np.where(of_trees >= 0, of_trees + codes, of_buildings), column(STANDS, "top"), box(STANDS), (u - far, v - far, u + size + far, v + size + far))
         looking = sightlines.Homes(code(HOME, 0), column(HOME, "top"), box(HOME))
-        found = sightlines.ways(looking, column(AIM, "x0"), column(AIM, "y0"), column(AIM, "top"), code(AIM, 1) + codes, block, codes, float(buffer), centre, kind == "lines")
+        aimed = sightlines.Aims(column(AIM, "x0"), column(AIM, "y0"), column(AIM, "top"), code(AIM, 1) + codes, codes)
+        if shaded and len(looking.top):
+            block.cover(aimed, looking)
+        found = sightlines.ways(looking, aimed, block, float(buffer), centre)
         ids = lambda r, c, at: some[r][c].combine_chunks().take(pa.array(at))
+
+        def batch(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+            home, tree, *values = (np.concatenate(c) for c in zip(*parts))
+            return pa.RecordBatch.from_arrays([ids(HOME, "building_id", home), ids(AIM, "tree_id", tree), *map(pa.array, values)], ["building_id", "tree_id", "ox", "oy", "sight_len"])
+
+        def listed(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            tree, bits, counts, home = (np.concatenate(c) for c in zip(*parts))
+            ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+            return pa.RecordBatch.from_arrays([ids(AIM, "tree_id", tree), pa.array(bits), pa.ListArray.from_arrays(ends, ids(HOME, "building_id", home))], ["tree_id", "bits", "buildings"])
+
         if kind == "counts":
             sums = np.zeros((4, len(looking.top)), np.int64)
             for w in found:
                 clear = ~(w.shade >= w.aim[:, None])
-                for k, c in enumerate((*clear.T, clear.any(1))):
-                    sums[k] += np.bincount(w.home[c], minlength=sums.shape[1])
+                rows = np.flatnonzero(clear.any(1))
+                for k, c in enumerate((*clear[rows].T, slice(None))):
+                    np.add.at(sums[k], w.home[rows][c], 1)
             at = np.flatnonzero(sums[3])
             yield pa.RecordBatch.from_arrays([ids(HOME, "building_id", at), *(pa.array(x[at]) for x in sums)], ["building_id", *(f"n_{name}" for name in (*SHARES, "any"))])
             return
 
-        def batch(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-            home, tree, *values = (np.concatenate(c) for c in zip(*parts))
-            return pa.RecordBatch.from_arrays([ids(HOME, "building_id", home), ids(AIM, "tree_id", tree), *map(pa.array, values)], ["building_id", "tree_id", *(["ox", "oy", "sight_len"] if kind == "pairs" else ["bits"])])
-
-        parts, n = [], 0
-        for w in found:
-            if kind == "pairs":
-                part = [w.home, w.tree, *(np.copysign(np.floor(np.abs(c) * 10.0**digits + 0.5) / 10.0**digits, c) for c in (w.ex, w.ey, w.way))]
-            else:
-                w = w.some(w.shade[:, 0] > -np.inf)
-                bits = np.zeros(len(w), np.int16)
-                for k, (_, end) in enumerate(_LINES):
-                    bits |= (w.aim * SHARES[end] <= w.shade[:, k // 3]).astype(np.int16) << k
-                part = [w.home, w.tree, bits]
-            parts.append(part)
-            n += len(part[0])
-            if n >= BATCH:
+        if kind == "pairs":
+            parts, n = [], 0
+            for w in found:
+                parts.append([w.home, w.tree, *(np.copysign(np.floor(np.abs(c) * 10.0**digits + 0.5) / 10.0**digits, c) for c in (w.ex, w.ey, w.way))])
+                n += len(w)
+                if n >= BATCH:
+                    yield batch(parts)
+                    parts, n = [], 0
+            if n:
                 yield batch(parts)
-                parts, n = [], 0
+            return
+        lists, n = [], 0
+        listing = ((t, np.full(len(t), ALL, np.int16), c, h) for t, c, h in sightlines.hidden_pairs(looking, aimed, float(buffer)))
+        # in turn, so that the JVM takes in the many pairs of the one while the few of the other are looked at
+        for part in _in_turn(listing, map(alike, found)):
+            lists.append(part)
+            n += len(part[3])
+            if n >= BATCH:
+                yield listed(lists)
+                lists, n = [], 0
         if n:
-            yield batch(parts)
+            yield listed(lists)
 
-    more = {"pairs": f"tree_id {tree_key}, ox double, oy double, sight_len double", "lines": f"tree_id {tree_key}, bits short", "counts": ", ".join(f"n_{name} long" for name in (*SHARES, "any"))}
-    return reduce(DataFrame.unionByName, dealt).groupBy("_cx", "_cy").applyInArrow(seen, f"building_id {key}, {more[kind]}")
+    columns = {"pairs": f"building_id {key}, tree_id {tree_key}, ox double, oy double, sight_len double", "lines": f"tree_id {tree_key}, bits short, buildings array<{key}>", "counts": ", ".join([f"building_id {key}", *(f"n_{name} long" for name in (*SHARES, "any"))])}
+    return reduce(DataFrame.unionByName, dealt).groupBy("_cx", "_cy").applyInArrow(seen, columns[kind])
 
 
 def sight_lines(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, observer: str = "facade", digits: int = 6) -> DataFrame:
@@ -268,9 +325,11 @@ def blocked_lines(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0,
     """``blocked`` for all pairs of usable buildings and trees with an obstacle on their way; among rectangles block by block."""
     usable = usable_buildings(buildings)
     things = obstacles(usable, trees)
-    homes, aims, reach, others = _split(usable, trees, things, buffer, observer)
+    homes, aims, reach, others = _split(usable, trees, usable, buffer, observer)
     bits = _in_blocks(homes, aims, (usable, trees), buffer, reach, observer, "lines")
-    out = [bits.select("building_id", "tree_id", *(F.shiftright("bits", k).bitwiseAND(F.lit(1)).cast("int").alias(f"blk_{name}_{end}") for k, (name, end) in enumerate(_LINES)))]
+    names = [f"blk_{name}_{end}" for name, end in _LINES]
+    told = bits.select("tree_id", "buildings", *(F.shiftright("bits", k).bitwiseAND(F.lit(1)).cast("int").alias(c) for k, c in enumerate(names)))
+    out = [told.select(F.explode("buildings").alias("building_id"), "tree_id", *names)]
     for a, b in others:
         pairs = sight_pairs(a, b, buffer, observer)
         out.append(blocked(pairs, shades(pairs, things, max(25.0, buffer / 2))))
@@ -282,7 +341,7 @@ def visibility(buildings: DataFrame, trees: DataFrame, buffer: float = 100.0, ob
     usable = usable_buildings(buildings)
     looking = usable if observers is None else usable_buildings(observers)
     things = obstacles(usable, trees)
-    homes, aims, reach, others = _split(looking, trees, things, buffer, observer)
+    homes, aims, reach, others = _split(looking, trees, usable, buffer, observer)
     sums = _in_blocks(homes, aims, (usable, trees), buffer, reach, observer, "counts")
     names = {f"n_{name}": f"visible_trees_{name}" for name in SHARES} | {"n_any": "visible_trees"}
     sums = sums.select("building_id", *(F.col(n).alias(v) for n, v in names.items()))

@@ -187,3 +187,50 @@ def test_rectangles_in_closed_form(spark):
     assert tuple(rows[0].c) == ((0.1 + 0.7) / 2, (0.2 + 0.5) / 2) and rows[0].a == (0.7 - 0.1) * (0.5 - 0.2)
     assert tuple(rows[1].c) == pytest.approx((2 / 3, 2 / 3)) and rows[1].a == 2 and rows[2].c is None
     assert tuple(rows[6].c) == pytest.approx((1.5, 0.5)) and rows[6].a == 2 and rows[5].a is None
+
+
+def test_most_ways_are_known_by_their_sector(monkeypatch):
+    """Among obstacles by the dozen few ways are held against single ones, and what is told of all pairs is what each obstacle by itself tells."""
+    import numpy as np
+
+    from arborel.operators import sightlines, visibility
+
+    r = np.random.default_rng(11)
+    x0, y0 = r.integers(-10000, 11000, (2, 1500)) / 100
+    box, top = [x0, y0, x0 + r.integers(8, 17, 1500), y0 + r.integers(8, 13, 1500)], r.integers(4, 31, 1500) * 1.0
+    x, y, aim, crown = r.integers(0, 2500, 60) / 100, r.integers(0, 2500, 60) / 100, r.integers(3, 20, 60) + 0.5, r.uniform(1, 5, 60)
+    x[:5], y[:5] = x0[:5], y0[:5]  # on corners
+    rise, stood = np.r_[top, aim], [np.r_[a, b] for a, b in zip(box, (x - crown, y - crown, x + crown, y + crown))]
+    own = np.r_[np.arange(1500), 1500 + np.arange(60)]
+    own[7] = 3  # an obstacle that is another building's second part
+    walked, walk = [], sightlines.Block.walk
+    monkeypatch.setattr(sightlines.Block, "walk", lambda self, w: (walked.append(len(w)), walk(self, w))[1])
+    for centre in (False, True):
+        walked.clear()
+        block, homes = sightlines.Block(own, rise, stood, (-120.0, -120.0, 160.0, 160.0)), sightlines.Homes(np.arange(1500), top, box)
+        aims = sightlines.Aims(x, y, aim, 1500 + np.arange(60), 1500)
+        block.cover(aims, homes)
+        told = {(t, h): visibility.ALL for trees, counts, some in sightlines.hidden_pairs(homes, aims, 60.0) for t, h in zip(np.repeat(trees, counts), some)}
+        hidden = len(told)
+        seen = []
+        for w in sightlines.ways(homes, aims, block, 60.0, centre):
+            seen.append(w)
+            tree, bits, counts, home = visibility.alike(w)
+            told |= dict(zip(zip(np.repeat(tree, counts), home), np.repeat(bits, counts)))
+        w = sightlines.joined(seen)
+        near = sum(int((sightlines._gaps(*box, a, b) <= 3600).sum()) for a, b in zip(x, y))
+        assert len(w) + hidden == near and hidden > 0.7 * near and sum(walked) < 0.25 * len(w) and len(told) <= near
+        # all pairs by the general relation
+        every = sightlines.Aims(x, y, aim, 1500 + np.arange(60), 1500)
+        for pairs in sightlines.ways(homes, every, None, 60.0, centre):
+            for k in r.choice(len(pairs), min(len(pairs), 1500), replace=False):
+                ex, ey, way, eye, t, h = pairs.ex[k], pairs.ey[k], pairs.way[k], pairs.eye[k], pairs.tree[k], pairs.home[k]
+                dx, dy = x[t] - ex, y[t] - ey
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    a, b, c, d = (stood[0] - ex) / dx, (stood[2] - ex) / dx, (stood[1] - ey) / dy, (stood[3] - ey) / dy
+                across = (np.where(dx == 0, np.where((stood[0] <= ex) & (ex <= stood[2]), 0.0, np.inf), np.minimum(a, b)), np.where(dy == 0, np.where((stood[1] <= ey) & (ey <= stood[3]), 0.0, np.inf), np.minimum(c, d)))
+                lo, hi = np.maximum(np.maximum(*across), 0.0), np.minimum(np.minimum(np.where(dx == 0, 1.0, np.maximum(a, b)), np.where(dy == 0, 1.0, np.maximum(c, d))), 1.0)
+                near, far = np.maximum(lo, 0.05 / max(way, 1e-9)), np.minimum(hi, 1 - 0.05 / max(way, 1e-9))
+                met = (lo <= hi) & (near <= far) & (own != h) & (own != 1500 + t) & (way > 0)
+                bits = sum(int((rise[met] >= np.minimum(e + near[met] * (z - e), e + far[met] * (z - e))).any()) << (3 * i + j) for i, e in enumerate((0.0, eye / 2, eye)) for j, z in enumerate((0.0, aim[t] / 2, aim[t])))
+                assert told.get((t, h)) == (bits if met.any() else None), (t, h)
