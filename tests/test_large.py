@@ -234,3 +234,25 @@ def test_most_ways_are_known_by_their_sector(monkeypatch):
                 met = (lo <= hi) & (near <= far) & (own != h) & (own != 1500 + t) & (way > 0)
                 bits = sum(int((rise[met] >= np.minimum(e + near[met] * (z - e), e + far[met] * (z - e))).any()) << (3 * i + j) for i, e in enumerate((0.0, eye / 2, eye)) for j, z in enumerate((0.0, aim[t] / 2, aim[t])))
                 assert told.get((t, h)) == (bits if met.any() else None), (t, h)
+
+
+def test_blocked_lines_are_listed_by_tree(spark):
+    """Pairs of one tree whose lines are alike leave the blocks as one row, and of rectangles nothing is asked of their corners."""
+    import numpy as np
+
+    from arborel.operators import sightlines, visibility
+
+    shade = np.array([[-np.inf] * 3, [9.0, 9.0, 9.0], [9.0, 9.0, 9.0], [2.0, 4.0, 6.0], [9.0, 9.0, 9.0]])
+    n, none = len(shade), np.zeros(len(shade))
+    w = sightlines.Ways(home=np.arange(n), tree=np.array([4, 4, 4, 4, 1]), ex=none, ey=none, ax=none, ay=none, way=none + 1, eye=none, aim=none + 5, hcode=none, tcode=none, shade=shade)
+    tree, bits, counts, home = visibility.alike(w)
+    assert [*zip(tree, bits, counts)] == [(1, 511, 1), (4, 0b111011001, 1), (4, 511, 2)] and [*home] == [4, 3, 1, 2]
+    plan = QUERIES["visibility_blocked"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(buildings" in plan
+    rows = spark.createDataFrame([(0, 1.0, 2.0, 5.0, 4.0)], "i long, x0 double, y0 double, x1 double, y1 double").withColumn("parts", geometry.rect(*BOX))
+    corner = "named_struct('x', {}, 'y', {})".format
+    turned = F.expr(f"array(array(array({corner('x1', 'y1')}, {corner('x0', 'y1')}, {corner('x0', 'y0')}, {corner('x1', 'y0')}, {corner('x1', 'y1')})))")
+    triangle = F.expr(f"array(array(array({corner('x0', 'y0')}, {corner('x1', 'y0')}, {corner('x0', 'y1')}, {corner('x0', 'y0')})))")
+    told = lambda df: [x[0] for x in df.select(geometry.is_own_box("parts", BOX)).collect()]
+    assert told(rows) == [True] and told(rows.withColumn("parts", turned)) == [True] and told(rows.withColumn("parts", triangle)) == [False]
+    assert told(rows.withColumn("parts", F.expr(f"cast(null AS {geometry.PARTS})"))) == [False]
